@@ -6,16 +6,17 @@ few cars and long races one series can hold a large share of all rows.  So
 every pass here cuts a series into *blocks* of ``block_frames`` consecutive
 frame numbers and works in two levels:
 
-1. ``repartition(series, block)``: the only shuffle of the full data.
-2. A hash aggregate per block (no extra exchange: the data is already
-   clustered by block) keeps what a neighbouring block needs: row count,
-   first/last row values, first/last non-null values.
-3. A window over that summary (one row per block, so tiny) turns it into
+1. A hash aggregate per block keeps what a neighbouring block needs: row
+   count, first/last row values, first/last non-null values.  It runs
+   partially before its shuffle, so each task sends one small row per block
+   it saw -- a hot series costs nothing extra here.
+2. A window over that summary (one row per block, so tiny) turns it into
    *carries*: rows before the block, last non-null value before it, first
    non-null value after it, the rows just before and after it.
-4. The summary joins back on (series, block) -- the big side keeps its
-   partitioning, only the summary moves -- and one window per block
-   computes the local result, patched by the carries at the block edges.
+3. The rows shuffle once on (series, block) -- the only exchange of the full
+   data -- meet their block's carries (a broadcast when AQE measures the
+   summary small, a sort-merge join on the same keys otherwise) and one
+   window per block computes the local result, patched at the block edges.
 
 A block holds at most ``block_frames`` rows when frames are unique in a
 series, so no task ever buffers more than that, however skewed the series
@@ -115,14 +116,15 @@ def series_pass(
     # Values each block passes to its neighbours.
     need_edges = list(dict.fromkeys(mean + list(previous.values()) + list(following.values())))
 
-    ordering = F.struct(*series.ordering())
-    blocked = (
-        df.withColumn(_KEY, F.struct(*series.keys))
-        .withColumn(_BLK, _block(series))
-        .repartition(_KEY, _BLK)
-    )
+    blocked = df.withColumn(_KEY, F.struct(*series.keys)).withColumn(_BLK, _block(series))
+    # Ordering of rows inside a block for the summary.  A plain bigint keeps
+    # the aggregate a (partial) HashAggregate; tie-break columns need a struct.
+    if series.tiebreak:
+        ordering = F.struct(*series.ordering())
+    else:
+        ordering = F.coalesce(F.col(series.order).cast("bigint"), F.lit(_MIN_LONG))
 
-    # 2. one summary row per block
+    # 1. one summary row per block
     aggs = [F.count(F.lit(1)).alias(_N)]
     for i, c in enumerate(forward):
         aggs.append(F.max_by(c, F.when(F.col(c).isNotNull(), ordering)).alias(f"_pl_lnn{i}"))
@@ -133,7 +135,7 @@ def series_pass(
         aggs.append(F.max_by(c, ordering).alias(f"_pl_last{i}"))
     summary = blocked.groupBy(_KEY, _BLK).agg(*aggs)
 
-    # 3. carries across blocks: a window over the (small) summary
+    # 2. carries across blocks: a window over the (small) summary
     by_block = Window.partitionBy(_KEY).orderBy(_BLK)
     before = by_block.rowsBetween(Window.unboundedPreceding, -1)
     after_desc = Window.partitionBy(_KEY).orderBy(F.col(_BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -145,10 +147,12 @@ def series_pass(
     for i, _ in enumerate(need_edges):
         carry[f"_pl_cp{i}"] = F.lag(f"_pl_last{i}").over(by_block)
         carry[f"_pl_cn{i}"] = F.lead(f"_pl_first{i}").over(by_block)
-    carries = summary.select(_KEY, _BLK, _N, *[v.alias(k) for k, v in carry.items()])
+    carries = summary.select(_KEY, _BLK, *[v.alias(k) for k, v in carry.items()])
 
-    # 4. local windows per block, patched at the edges by the carries
-    joined = blocked.join(carries, [_KEY, _BLK], "left")
+    # 3. local windows per block, then the carries patch the block edges.  The
+    #    window runs before the join: its output is clustered and sorted by
+    #    (series, block, frame), which a sort-merge join on (series, block)
+    #    accepts as is, so the big side is exchanged and sorted only once.
     local = Window.partitionBy(_KEY, _BLK).orderBy(*series.ordering())
     running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running_desc = (
@@ -156,30 +160,35 @@ def series_pass(
         .orderBy(*[o.desc() for o in series.ordering()])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    rn = F.row_number().over(local)
-    first_in_block = F.col(_RN) == 1
-    last_in_block = F.col(_RN) == F.col(_N)
-    joined = joined.withColumn(_RN, rn)
+    edge_index = {c: i for i, c in enumerate(need_edges)}
+    loc: dict[str, Column] = {_RN: F.row_number().over(local), "_pl_last_row": F.lead(F.lit(1)).over(local).isNull()}
+    for i, c in enumerate(forward):
+        loc[f"_pl_lf{i}"] = F.last(c, ignorenulls=True).over(running)
+    for i, c in enumerate(backward):
+        loc[f"_pl_lb{i}"] = F.last(c, ignorenulls=True).over(running_desc)
+    for i, c in enumerate(need_edges):
+        loc[f"_pl_lag{i}"] = F.lag(c).over(local)
+        loc[f"_pl_lead{i}"] = F.lead(c).over(local)
+    joined = blocked.withColumns(loc).join(carries, [_KEY, _BLK], "left")
 
-    def prev_of(i: int, c: str) -> Column:
-        return F.when(first_in_block, F.col(f"_pl_cp{i}")).otherwise(F.lag(c).over(local))
+    def prev_of(i: int) -> Column:
+        return F.when(F.col(_RN) == 1, F.col(f"_pl_cp{i}")).otherwise(F.col(f"_pl_lag{i}"))
 
-    def next_of(i: int, c: str) -> Column:
-        return F.when(last_in_block, F.col(f"_pl_cn{i}")).otherwise(F.lead(c).over(local))
+    def next_of(i: int) -> Column:
+        return F.when(F.col("_pl_last_row"), F.col(f"_pl_cn{i}")).otherwise(F.col(f"_pl_lead{i}"))
 
-    edge_index = {c: i for i, c in enumerate(need_edges)}
     out: dict[str, Column] = {}
     for i, c in enumerate(forward):
-        out[c] = F.coalesce(F.last(c, ignorenulls=True).over(running), F.col(f"_pl_cf{i}"))
+        out[c] = F.coalesce(F.col(f"_pl_lf{i}"), F.col(f"_pl_cf{i}"))
     for i, c in enumerate(backward):
-        out[c] = F.coalesce(F.last(c, ignorenulls=True).over(running_desc), F.col(f"_pl_cb{i}"))
+        out[c] = F.coalesce(F.col(f"_pl_lb{i}"), F.col(f"_pl_cb{i}"))
     for c in mean:
         i = edge_index[c]
-        out[c] = F.when(F.col(c).isNull(), (prev_of(i, c) + next_of(i, c)) / 2).otherwise(F.col(c))
+        out[c] = F.when(F.col(c).isNull(), (prev_of(i) + next_of(i)) / 2).otherwise(F.col(c))
     for name, c in previous.items():
-        out[name] = prev_of(edge_index[c], c)
+        out[name] = prev_of(edge_index[c])
     for name, c in following.items():
-        out[name] = next_of(edge_index[c], c)
+        out[name] = next_of(edge_index[c])
     if number:
         out[number] = (F.col(_OFF) + F.col(_RN)).cast("bigint")
 
