@@ -389,3 +389,136 @@ def union_missing_cols(spark, sf_dir):
 def empty_typed(spark, sf_dir):
     t = load_t(spark, sf_dir)
     return union_all([empty_like(spark, t.schema), t])
+
+
+# --- sources and sinks: files written from T below the shared folder ------------
+
+RACE_NO = "CAST(('0x' || substr(md5(raceId), 1, 16))::UBIGINT AS VARCHAR)"
+
+
+def _race_files(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
+    from pitlane.plans import fixtures as X
+    from pitlane.session import staging_path
+
+    t = load_t(spark, sf_dir)
+    makers = {"Telemetry": lambda: t, "ParticipantData": lambda: X.participants_of(t), "SessionData": lambda: X.sessions_of(t)}
+    root = staging_path(spark, "race-files")
+    for i, kind in enumerate(kinds):
+        X.write_kind(makers[kind](), root, kind, mode="overwrite" if i == 0 else "append")
+    return root
+
+
+@query("race_id_from_file", O.with_t(f"SELECT * REPLACE ({RACE_NO} AS raceId) FROM c", O.CLEAN_CTE))
+def race_id_from_file(spark, sf_dir):
+    from pitlane.sources import files
+
+    root = _race_files(spark, sf_dir, "Telemetry")
+    return clean(files.telemetry(spark, root))
+
+
+@query(
+    "participants",
+    O.with_t(f"SELECT DISTINCT {RACE_NO} AS raceId, pilot_index, 'pilot ' || CAST(pilot_index AS VARCHAR) AS name FROM t"),
+)
+def participants(spark, sf_dir):
+    from pitlane.sources import files
+
+    root = _race_files(spark, sf_dir, "Telemetry", "ParticipantData", "SessionData")
+    return files.participants(spark, root)
+
+
+@query(
+    "sessions",
+    O.with_t(
+        f"SELECT {RACE_NO} AS raceId, trackId, weather FROM s",
+        "s AS (SELECT raceId, CAST(count(*) % 22 AS INTEGER) AS trackId, "
+        "CASE WHEN max(speed) > 400 THEN 'wet' ELSE 'dry' END AS weather FROM t GROUP BY raceId)",
+    ),
+)
+def sessions(spark, sf_dir):
+    from pyspark.sql.types import IntegerType
+
+    from pitlane.sources import files
+
+    root = _race_files(spark, sf_dir, "Telemetry", "ParticipantData", "SessionData")
+    # the reference names no session column; this fixture declares its one number
+    return files.sessions(spark, root, {"trackId": IntegerType()})
+
+
+@query(
+    "catalogue",
+    O.with_t(
+        f"SELECT DISTINCT {RACE_NO} AS raceId, true AS has_Telemetry, true AS has_ParticipantData, "
+        "true AS has_SessionData, CAST(3 AS BIGINT) AS entries FROM t"
+    ),
+)
+def catalogue(spark, sf_dir):
+    from pitlane.sources import files
+
+    root = _race_files(spark, sf_dir, "Telemetry", "ParticipantData", "SessionData")
+    return files.catalogue(spark, root)
+
+
+def _roundtrip(spark, sf_dir, fmt, layout, chunk_size=200):
+    from pitlane.session import staging_path
+    from pitlane.sinks.files import write_chunks
+    from pitlane.sources.files import chunks
+
+    prepared = prepare(load_t(spark, sf_dir), series=T_SERIES, chunk_size=chunk_size)
+    path = staging_path(spark, f"chunks-{fmt}")
+    write_chunks(prepared, path, fmt=fmt, layout=layout)
+    return chunks(spark, path, prepared.schema, fmt)
+
+
+_PREPARED_SQL = O.with_t("SELECT * FROM p", O.CLEAN_CTE + ",\n" + O.PREPARED_CTE)
+
+
+@query("parquet_chunks_roundtrip", _PREPARED_SQL)
+def parquet_chunks_roundtrip(spark, sf_dir):
+    from pitlane.sinks.files import CHUNK_LAYOUT
+
+    return _roundtrip(spark, sf_dir, "parquet", CHUNK_LAYOUT)
+
+
+@query("csv_chunks_roundtrip", _PREPARED_SQL)
+def csv_chunks_roundtrip(spark, sf_dir):
+    from pitlane.sinks.files import CHUNK_LAYOUT_PER_CHUNK
+
+    # the per-chunk folder layout: raceId=/pilot_index=/chunk_id=
+    return _roundtrip(spark, sf_dir, "csv", CHUNK_LAYOUT_PER_CHUNK)
+
+
+@query("flat_extract_roundtrip", _PREPARED_SQL)
+def flat_extract_roundtrip(spark, sf_dir):
+    from pitlane.session import staging_path
+    from pitlane.sinks.files import write_flat
+
+    prepared = prepare(load_t(spark, sf_dir), series=T_SERIES)
+    path = staging_path(spark, "flat")
+    write_flat(prepared, path, max_records_per_file=2000)
+    return spark.read.schema(prepared.schema).parquet(path)
+
+
+OVERWRITTEN_RACE = "click"
+
+
+@query(
+    "overwrite_race",
+    O.with_t(
+        f"SELECT * REPLACE (CASE WHEN raceId = '{OVERWRITTEN_RACE}' THEN (row_num - 1) // 50 ELSE chunk_id END AS chunk_id) FROM p",
+        O.CLEAN_CTE + ",\n" + O.PREPARED_CTE,
+    ),
+)
+def overwrite_race(spark, sf_dir):
+    """All races written, then one race re-chunked and replaced alone."""
+    from pitlane.session import staging_path
+    from pitlane.sinks.files import write_chunks
+    from pitlane.sources.files import chunks
+
+    t = load_t(spark, sf_dir)
+    path = staging_path(spark, "overwrite")
+    full = prepare(t, series=T_SERIES)
+    write_chunks(full, path)
+    one = prepare(t.where(F.col("raceId") == OVERWRITTEN_RACE), series=T_SERIES, chunk_size=50)
+    write_chunks(one, path, dynamic=True)
+    return chunks(spark, path, full.schema)

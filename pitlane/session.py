@@ -17,6 +17,7 @@ SESSION_CONF = {
     # 20-digit race ids must stay strings when a partitioned output is read back
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
