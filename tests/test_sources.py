@@ -1,0 +1,50 @@
+"""File sources: race id from names, header groups, stacking by name."""
+
+import os
+
+from pyspark.sql.types import IntegerType
+
+from pitlane.sources import files as src
+
+
+def write(path, text):
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def test_race_files_by_name_and_header(spark, workdir):
+    write(os.path.join(workdir, "TelemetryData_15525718781239906836.csv"), "pilot_index,frameIdentifier,speed,mystery\n0,1,10.5,a\n0,2,,b\n")
+    # reordered header: must be read by name, never by position
+    write(os.path.join(workdir, "TelemetryData_42.csv"), "speed,frameIdentifier,pilot_index\n7.0,5,3\n")
+    write(os.path.join(workdir, "TelemetryData_nodigits.csv"), "pilot_index,frameIdentifier\n9,9\n")
+    write(os.path.join(workdir, "SessionData_42.csv"), "trackId,weather\n3,dry\n")
+    write(os.path.join(workdir, "ParticipantData_42.csv"), "pilot_index,name\n3,x\n")
+    df = src.telemetry(spark, workdir)
+    rows = sorted((r.raceId, r.pilot_index, r.frameIdentifier, r.speed, r.mystery) for r in df.collect())
+    assert rows == [
+        ("15525718781239906836", 0, 1, 10.5, "a"),
+        ("15525718781239906836", 0, 2, None, "b"),
+        ("42", 3, 5, 7.0, None),
+    ]
+    types = dict(df.dtypes)
+    assert types["raceId"] == "string" and types["frameIdentifier"] == "bigint" and types["speed"] == "double"
+    s = src.sessions(spark, workdir, {"trackId": IntegerType()}).collect()
+    assert [(r.raceId, r.trackId, r.weather) for r in s] == [("42", 3, "dry")]
+    cat = {r.raceId: r for r in src.catalogue(spark, workdir).collect()}
+    assert cat["42"].has_Telemetry and cat["42"].has_SessionData and cat["42"].has_ParticipantData
+    assert cat["15525718781239906836"].has_Telemetry and not cat["15525718781239906836"].has_SessionData
+    assert "nodigits" not in cat
+
+
+def test_unparsable_field_is_null(spark, workdir):
+    write(os.path.join(workdir, "TelemetryData_1.csv"), "pilot_index,frameIdentifier,gear\nx,1,3\n0,2,zz\n")
+    got = sorted((r.frameIdentifier, r.pilot_index, r.gear) for r in src.telemetry(spark, workdir).collect())
+    assert got == [(1, None, 3), (2, 0, None)]
+
+
+def test_spark_output_folders(spark, workdir):
+    df = spark.createDataFrame([(0, i, float(i)) for i in range(5)], "pilot_index int, frameIdentifier bigint, speed double")
+    df.write.option("header", True).csv(os.path.join(workdir, "TelemetryData_77.csv"))
+    out = src.telemetry(spark, workdir)
+    assert out.count() == 5
+    assert {r.raceId for r in out.collect()} == {"77"}
