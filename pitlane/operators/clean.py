@@ -7,6 +7,7 @@ whole-stage-codegen span; no shuffle, no sort.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from pitlane.functions import columns as C
 from pitlane.functions.roles import DEFAULT_ROLES, Roles
@@ -43,3 +44,8 @@ def clean(df: DataFrame, roles: Roles | None = None) -> DataFrame:
     """
     roles = roles or DEFAULT_ROLES.present_in(df.columns)
     return df.withColumns(clean_columns(roles)).drop(*roles.consumed)
+
+
+def with_race_id(df: DataFrame, race_id: str, name: str = "raceId") -> DataFrame:
+    """Stamp every row with a race id, kept as a string (ids exceed 64 bits)."""
+    return df.withColumn(name, F.lit(str(race_id)))

@@ -71,3 +71,12 @@ def prepare(
     number = "row_num" if chunk_size else None
     out = series_pass(cleaned, series, forward=forward, mean=mean, number=number)
     return with_chunks(out, size=chunk_size) if chunk_size else out
+
+
+def manifest(chunked: DataFrame, keys=("raceId", "pilot_index", "chunk_id"), order: str = "frameIdentifier") -> DataFrame:
+    """One row per chunk: its number of frames and its first and last frame."""
+    return chunked.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("frames"),
+        F.min(order).alias("first_frame"),
+        F.max(order).alias("last_frame"),
+    )

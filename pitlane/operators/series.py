@@ -200,6 +200,14 @@ def series_pass(
 # --- single operators, each one pass of the above ---------------------------
 
 
+def ordered(df: DataFrame, series: Series = DEFAULT_SERIES) -> DataFrame:
+    """Globally ordered by series key, then frame (a range shuffle).
+
+    Only for outputs that must be ordered; no window needs it first.
+    """
+    return df.orderBy(*series.keys, *series.ordering())
+
+
 def forward_fill(df: DataFrame, *cols: str, series: Series = DEFAULT_SERIES) -> DataFrame:
     """Null becomes the last non-null value at or before the row (leading nulls stay)."""
     return series_pass(df, series, forward=cols)

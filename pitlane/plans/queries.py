@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pitlane.functions import columns as C
 from pitlane.functions.roles import WHEELS
 from pitlane.operators import profile as prof
-from pitlane.operators.clean import clean
-from pitlane.operators.impute import chunk, impute, prepare, with_chunks
-from pitlane.operators.series import series_pass
+from pitlane.operators.clean import clean, with_race_id
+from pitlane.operators.impute import chunk, impute, manifest, prepare
+from pitlane.operators.series import ordered, series_pass
 from pitlane.operators.union import empty_like, union_all
 from pitlane.plans import oracle_sql as O
 from pitlane.plans.telemetry_view import T_SERIES, load_t
@@ -154,7 +154,7 @@ def clean_full(spark, sf_dir):
 @query("race_id_const", O.with_t(f"SELECT '15525718781239906836' AS raceId, pilot_index, frameIdentifier, speed FROM t"))
 def race_id_const(spark, sf_dir):
     t = load_t(spark, sf_dir).drop("raceId")
-    return t.withColumn("raceId", F.lit("15525718781239906836")).select("raceId", "pilot_index", "frameIdentifier", "speed")
+    return with_race_id(t, "15525718781239906836").select("raceId", "pilot_index", "frameIdentifier", "speed")
 
 
 # --- series windows ---------------------------------------------------------
@@ -242,15 +242,6 @@ _MANIFEST_SQL = O.with_t(
 )
 
 
-def manifest(chunked: DataFrame) -> DataFrame:
-    """One row per chunk: its size and first / last frame."""
-    return chunked.groupBy("raceId", "pilot_index", "chunk_id").agg(
-        F.count(F.lit(1)).alias("frames"),
-        F.min("frameIdentifier").alias("first_frame"),
-        F.max("frameIdentifier").alias("last_frame"),
-    )
-
-
 @query("chunk_manifest", _MANIFEST_SQL)
 def chunk_manifest(spark, sf_dir):
     return manifest(chunk(load_t(spark, sf_dir).select(*KEYS), 200, T_SERIES))
@@ -522,3 +513,36 @@ def overwrite_race(spark, sf_dir):
     one = prepare(t.where(F.col("raceId") == OVERWRITTEN_RACE), series=T_SERIES, chunk_size=50)
     write_chunks(one, path, dynamic=True)
     return chunks(spark, path, full.schema)
+
+
+@query("global_sort", O.with_t("SELECT * FROM t"))
+def global_sort(spark, sf_dir):
+    return ordered(load_t(spark, sf_dir))
+
+
+@query(
+    "duplicate_frames",
+    O.with_t(f"SELECT {KEYS_SQL}, count(*) AS count FROM t GROUP BY {KEYS_SQL} HAVING count(*) > 1"),
+)
+def duplicate_frames(spark, sf_dir):
+    """Frames that occur twice in one series would make the order undefined."""
+    return prof.duplicate_keys(load_t(spark, sf_dir), KEYS)
+
+
+@query(
+    "keyed_chunks_roundtrip",
+    O.with_t(
+        f"SELECT {KEYS_SQL}, concat_ws('_', raceId, CAST(pilot_index AS VARCHAR), CAST(chunk_id AS VARCHAR)) AS chunk_key, "
+        "chunk_id, row_num FROM p",
+        O.CLEAN_CTE + ",\n" + O.PREPARED_CTE,
+    ),
+)
+def keyed_chunks_roundtrip(spark, sf_dir):
+    """Flat per-chunk export: one folder per ``<race>_<pilot>_<chunk>``."""
+    from pitlane.session import staging_path
+    from pitlane.sinks.files import write_keyed_chunks
+
+    prepared = prepare(load_t(spark, sf_dir), series=T_SERIES).select(*KEYS, "chunk_id", "row_num")
+    path = staging_path(spark, "keyed")
+    write_keyed_chunks(prepared, path)
+    return spark.read.parquet(path).select(*KEYS, "chunk_key", "chunk_id", "row_num")

@@ -27,6 +27,16 @@ def with_chunk_key(
     return df.withColumn(name, F.concat_ws("_", *[F.col(c).cast("string") for c in parts]))
 
 
+def write_keyed_chunks(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
+    """One folder per chunk, named by its flat key ``chunk_key=<race>_<pilot>_<chunk>``.
+
+    The flat export of the training set: a chunk is one folder whatever
+    number of part files Spark writes into it.
+    """
+    keyed = with_chunk_key(df)
+    write_chunks(keyed, path, fmt=fmt, layout=("chunk_key",), mode=mode)
+
+
 def write_chunks(
     df: DataFrame,
     path: str,

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -133,6 +134,7 @@ def scan_csv(
     files: list[DataFile],
     types: Mapping[str, DataType],
     options: Mapping[str, str] | None = None,
+    header_threads: int = 16,
 ) -> DataFrame:
     """One CSV scan per distinct header, stacked by column name, plus ``raceId``.
 
@@ -143,8 +145,12 @@ def scan_csv(
     if not files:
         raise FileNotFoundError("no data files")
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for f in files:
-        groups[tuple(read_header(spark, f.path))].append(f.path)
+    # one short read per file; on an object store these are latency-bound, so
+    # they run concurrently (only the header lines reach the driver)
+    with ThreadPoolExecutor(max_workers=header_threads) as pool:
+        headers = list(pool.map(lambda f: tuple(read_header(spark, f.path)), files))
+    for f, header in zip(files, headers):
+        groups[header].append(f.path)
     frames = []
     for header, paths in groups.items():
         schema = StructType([StructField(h, types.get(h, StringType()), True) for h in header])

@@ -1,0 +1,8 @@
+"""Streaming: nothing to build.
+
+The reference is batch only: it reads finished race files and has no
+stream source, watermark, streaming window or state.  The cleaning step is
+row-wise (``pitlane.operators.clean.clean``) and works on a streaming
+DataFrame unchanged; the series fills need every frame of a series and stay
+batch operators.
+"""
