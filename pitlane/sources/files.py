@@ -120,9 +120,10 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
 
 def race_id_column(pattern: str = RACE_ID_PATTERN) -> Column:
     """Race id of a row: first ``_<digits>`` of its file name, else of its folder."""
-    path = F.col("_metadata.file_path")
-    name = F.regexp_extract(path, r"([^/]+)$", 1)
-    folder = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
+    # split, not an anchored regex: ``([^/]+)$`` backtracks over the whole path
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    name = F.element_at(parts, -1)
+    folder = F.element_at(parts, -2)
     return F.coalesce(
         F.nullif(F.regexp_extract(name, pattern, 1), F.lit("")),
         F.nullif(F.regexp_extract(folder, pattern, 1), F.lit("")),
