@@ -4,44 +4,46 @@ A series is all rows of one car in one race, ordered by frame.  A naive
 ``Window.partitionBy(race, pilot)`` puts a whole series into one task; with
 few cars and long races one series can hold a large share of all rows.  So
 every pass here cuts a series into *blocks* of ``block_frames`` consecutive
-frame numbers and works in two levels:
+frame numbers and works per block:
 
 1. A hash aggregate per block keeps what a neighbouring block needs: row
-   count, first/last row values, first/last non-null values.  It runs
+   count, sums, first/last row values, first/last non-null values.  It runs
    partially before its shuffle, so each task sends one small row per block
    it saw -- a hot series costs nothing extra here.
-2. A window over that summary (one row per block, so tiny) turns it into
-   *carries*: rows before the block, last non-null value before it, first
-   non-null value after it, the rows just before and after it.
+2. The block summaries form a series of their own (one row per block), and
+   the *carries* each block needs -- rows and sums before it, last non-null
+   value before it, first non-null value after it, the rows just before and
+   after it -- are series operations on it.  They are computed by the same
+   pass one level up (blocks of ``fan_out`` blocks), and at the top level by
+   a plain window over what is left: with two levels that window sees one
+   row per ``block_frames * fan_out`` frames of a series.
 3. The rows shuffle once on (series, block) -- the only exchange of the full
-   data -- meet their block's carries (a broadcast when AQE measures the
-   summary small, a sort-merge join on the same keys otherwise) and one
-   window per block computes the local result, patched at the block edges.
+   data -- and one window per block computes the local result; the carries
+   join on (series, block) and patch the block edges.  The window runs
+   before the join, so its output (clustered and sorted by series, block,
+   frame) feeds a sort-merge join without another sort; AQE makes it a
+   broadcast join when it measures the carries small.
 
 A block holds at most ``block_frames`` rows when frames are unique in a
-series, so no task ever buffers more than that, however skewed the series
-sizes.  Results equal those of an unblocked window over the whole series.
+series, so no task buffers more than that however skewed the series sizes.
+Results equal those of an unblocked window over the whole series.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType, IntegralType
 
 from pitlane.functions.roles import ORDER_KEY, SERIES_KEYS
 
 DEFAULT_BLOCK_FRAMES = 1 << 16
+DEFAULT_FAN_OUT = 1 << 12
 _MIN_LONG = -(1 << 63)
 
-_KEY = "_pl_series"
-_BLK = "_pl_block"
-_N = "_pl_n"
-_RN = "_pl_rn"
-_OFF = "_pl_before"
-
 
 @dataclass(frozen=True)
 class Series:
@@ -50,12 +52,16 @@ class Series:
     ``keys`` identify a series (a car in a race), ``order`` orders it and
     ``tiebreak`` orders rows sharing a frame number.  ``block_frames`` is the
     width of a block in frame numbers; it bounds the rows a task buffers.
+    ``levels`` is the number of block levels (0: a plain window per series)
+    and ``fan_out`` the number of blocks grouped at each further level.
     """
 
     keys: tuple[str, ...] = SERIES_KEYS
     order: str = ORDER_KEY
     tiebreak: tuple[str, ...] = ()
     block_frames: int = DEFAULT_BLOCK_FRAMES
+    levels: int = 2
+    fan_out: int = DEFAULT_FAN_OUT
 
     def ordering(self) -> list[Column]:
         return [F.col(self.order)] + [F.col(c) for c in self.tiebreak]
@@ -68,10 +74,26 @@ class Series:
 DEFAULT_SERIES = Series()
 
 
-def _block(series: Series) -> Column:
-    # Monotone in the frame number, so a block is a contiguous run of the
-    # series order.  Rows without a frame sort first, as they do in a window.
-    return F.coalesce(F.floor(F.col(series.order) / F.lit(series.block_frames)), F.lit(_MIN_LONG))
+@dataclass
+class _Ops:
+    """Series operations as ``{output: input}`` maps (``number``: output name)."""
+
+    forward: dict[str, str] = field(default_factory=dict)  # last non-null at or before
+    forward_before: dict[str, str] = field(default_factory=dict)  # ... strictly before
+    backward: dict[str, str] = field(default_factory=dict)  # next non-null at or after
+    backward_after: dict[str, str] = field(default_factory=dict)  # ... strictly after
+    mean: dict[str, str] = field(default_factory=dict)  # null -> mean of both neighbours
+    previous: dict[str, str] = field(default_factory=dict)  # lag 1
+    following: dict[str, str] = field(default_factory=dict)  # lead 1
+    sum_before: dict[str, str] = field(default_factory=dict)  # sum of the rows before (0 if none)
+    number: str | None = None  # 1-based row number
+
+    def outputs(self) -> list[str]:
+        names: list[str] = []
+        for m in (self.forward, self.forward_before, self.backward, self.backward_after, self.mean,
+                  self.previous, self.following, self.sum_before):
+            names += list(m)
+        return names + ([self.number] if self.number else [])
 
 
 def _as_mapping(cols: Iterable[str] | Mapping[str, str]) -> dict[str, str]:
@@ -81,6 +103,168 @@ def _as_mapping(cols: Iterable[str] | Mapping[str, str]) -> dict[str, str]:
     return {c: c for c in cols}
 
 
+def _uniq(*maps: Mapping[str, str]) -> list[str]:
+    return list(dict.fromkeys(v for m in maps for v in m.values()))
+
+
+def _plain(df: DataFrame, keys: list, order: list[Column], ops: _Ops) -> DataFrame:
+    """The operations as plain windows over whole series (the top level)."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    w_desc = Window.partitionBy(*keys).orderBy(*[o.desc() for o in order])
+    run, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    run_desc, after = w_desc.rowsBetween(Window.unboundedPreceding, 0), w_desc.rowsBetween(Window.unboundedPreceding, -1)
+    out: dict[str, Column] = {}
+    for o, c in ops.forward.items():
+        out[o] = F.last(c, ignorenulls=True).over(run)
+    for o, c in ops.forward_before.items():
+        out[o] = F.last(c, ignorenulls=True).over(before)
+    for o, c in ops.backward.items():
+        out[o] = F.last(c, ignorenulls=True).over(run_desc)
+    for o, c in ops.backward_after.items():
+        out[o] = F.last(c, ignorenulls=True).over(after)
+    for o, c in ops.mean.items():
+        out[o] = F.when(F.col(c).isNull(), (F.lag(c).over(w) + F.lead(c).over(w)) / 2).otherwise(F.col(c))
+    for o, c in ops.previous.items():
+        out[o] = F.lag(c).over(w)
+    for o, c in ops.following.items():
+        out[o] = F.lead(c).over(w)
+    for o, c in ops.sum_before.items():
+        out[o] = F.coalesce(F.sum(c).over(before), F.lit(0))
+    if ops.number:
+        out[ops.number] = F.row_number().over(w).cast("bigint")
+    return df.withColumns(out)
+
+
+def _summary_order(df: DataFrame, order: str, tiebreak: list[str]) -> Column:
+    """Row order inside a block for ``min_by``/``max_by``.
+
+    A plain number keeps the aggregate a (partial) HashAggregate; tie-break
+    columns need a struct.  Rows without a frame order first.
+    """
+    if tiebreak:
+        return F.struct(F.col(order), *[F.col(c) for c in tiebreak])
+    dtype = df.schema[order].dataType
+    if isinstance(dtype, IntegralType):
+        return F.coalesce(F.col(order).cast("bigint"), F.lit(_MIN_LONG))
+    if isinstance(dtype, FractionalType):
+        return F.coalesce(F.col(order).cast("double"), F.lit(float("-inf")))
+    return F.struct(F.col(order))
+
+
+def _blocked(
+    df: DataFrame,
+    keys: list,
+    order: str,
+    tiebreak: list[str],
+    width: int,
+    levels: int,
+    fan_out: int,
+    ops: _Ops,
+    level: int = 0,
+) -> DataFrame:
+    order_cols = [F.col(order)] + [F.col(c) for c in tiebreak]
+    if levels <= 0:
+        return _plain(df, keys, order_cols, ops)
+
+    p = f"_pl{level}_"
+    key, blk, n = p + "series", p + "block", p + "n"
+    # A block is a run of ``width`` frame numbers: monotone in the frame, so a
+    # contiguous piece of the series order.  Rows without a frame sort first.
+    block = F.coalesce(F.floor(F.col(order) / F.lit(width)), F.lit(_MIN_LONG))
+    blocked = df.withColumn(key, F.struct(*keys)).withColumn(blk, block)
+    ordering = _summary_order(df, order, tiebreak)
+
+    fwd = _uniq(ops.forward, ops.forward_before)
+    bwd = _uniq(ops.backward, ops.backward_after)
+    edges = _uniq(ops.mean, ops.previous, ops.following)
+    sums = _uniq(ops.sum_before)
+    ix = {name: {c: i for i, c in enumerate(cols)} for name, cols in
+          (("f", fwd), ("b", bwd), ("e", edges), ("s", sums))}
+
+    # 1. one summary row per block (partial aggregation before the shuffle)
+    aggs = [F.count(F.lit(1)).alias(n)]
+    for i, c in enumerate(fwd):
+        aggs.append(F.max_by(c, F.when(F.col(c).isNotNull(), ordering)).alias(f"{p}lnn{i}"))
+    for i, c in enumerate(bwd):
+        aggs.append(F.min_by(c, F.when(F.col(c).isNotNull(), ordering)).alias(f"{p}fnn{i}"))
+    for i, c in enumerate(edges):
+        aggs.append(F.min_by(c, ordering).alias(f"{p}first{i}"))
+        aggs.append(F.max_by(c, ordering).alias(f"{p}last{i}"))
+    for i, c in enumerate(sums):
+        aggs.append(F.sum(c).alias(f"{p}sum{i}"))
+    summary = blocked.groupBy(key, blk).agg(*aggs)
+
+    # 2. carries: series operations over the blocks, one level up
+    carry_ops = _Ops(
+        forward_before={f"{p}cf{i}": f"{p}lnn{i}" for i in range(len(fwd))},
+        backward_after={f"{p}cb{i}": f"{p}fnn{i}" for i in range(len(bwd))},
+        previous={f"{p}cp{i}": f"{p}last{i}" for i in range(len(edges))},
+        following={f"{p}cn{i}": f"{p}first{i}" for i in range(len(edges))},
+        sum_before={f"{p}cs{i}": f"{p}sum{i}" for i in range(len(sums))},
+    )
+    if ops.number:
+        carry_ops.sum_before[f"{p}off"] = n
+    carries = _blocked(summary, [key], blk, [], fan_out, levels - 1, fan_out, carry_ops, level + 1)
+    carries = carries.select(key, blk, *carry_ops.outputs())
+
+    # 3. local windows per block, then the carries patch the block edges
+    local = Window.partitionBy(key, blk).orderBy(*order_cols)
+    local_desc = Window.partitionBy(key, blk).orderBy(*[o.desc() for o in order_cols])
+    run, before = local.rowsBetween(Window.unboundedPreceding, 0), local.rowsBetween(Window.unboundedPreceding, -1)
+    run_desc = local_desc.rowsBetween(Window.unboundedPreceding, 0)
+    after = local_desc.rowsBetween(Window.unboundedPreceding, -1)
+    rn, last_row = p + "rn", p + "last_row"
+    loc: dict[str, Column] = {}
+    if ops.number or edges:
+        loc[rn] = F.row_number().over(local)
+    if edges:
+        loc[last_row] = F.lead(F.lit(1)).over(local).isNull()
+    for o, c in ops.forward.items():
+        loc[p + "L" + o] = F.last(c, ignorenulls=True).over(run)
+    for o, c in ops.forward_before.items():
+        loc[p + "L" + o] = F.last(c, ignorenulls=True).over(before)
+    for o, c in ops.backward.items():
+        loc[p + "L" + o] = F.last(c, ignorenulls=True).over(run_desc)
+    for o, c in ops.backward_after.items():
+        loc[p + "L" + o] = F.last(c, ignorenulls=True).over(after)
+    for i, c in enumerate(edges):
+        loc[f"{p}lag{i}"] = F.lag(c).over(local)
+        loc[f"{p}lead{i}"] = F.lead(c).over(local)
+    for o, c in ops.sum_before.items():
+        loc[p + "L" + o] = F.sum(c).over(before)
+    joined = blocked.withColumns(loc).join(carries, [key, blk], "left")
+
+    def prev_of(c: str) -> Column:
+        i = ix["e"][c]
+        return F.when(F.col(rn) == 1, F.col(f"{p}cp{i}")).otherwise(F.col(f"{p}lag{i}"))
+
+    def next_of(c: str) -> Column:
+        i = ix["e"][c]
+        return F.when(F.col(last_row), F.col(f"{p}cn{i}")).otherwise(F.col(f"{p}lead{i}"))
+
+    out: dict[str, Column] = {}
+    for m in (ops.forward, ops.forward_before):
+        for o, c in m.items():
+            out[o] = F.coalesce(F.col(p + "L" + o), F.col(f"{p}cf{ix['f'][c]}"))
+    for m in (ops.backward, ops.backward_after):
+        for o, c in m.items():
+            out[o] = F.coalesce(F.col(p + "L" + o), F.col(f"{p}cb{ix['b'][c]}"))
+    for o, c in ops.mean.items():
+        out[o] = F.when(F.col(c).isNull(), (prev_of(c) + next_of(c)) / 2).otherwise(F.col(c))
+    for o, c in ops.previous.items():
+        out[o] = prev_of(c)
+    for o, c in ops.following.items():
+        out[o] = next_of(c)
+    for o, c in ops.sum_before.items():
+        out[o] = F.coalesce(F.col(p + "L" + o), F.lit(0)) + F.coalesce(F.col(f"{p}cs{ix['s'][c]}"), F.lit(0))
+    if ops.number:
+        out[ops.number] = (F.col(f"{p}off") + F.col(rn)).cast("bigint")
+
+    columns = df.columns
+    result = joined.withColumns(out)
+    return result.select(*columns, *[o for o in out if o not in columns])
+
+
 def series_pass(
     df: DataFrame,
     series: Series = DEFAULT_SERIES,
@@ -92,7 +276,7 @@ def series_pass(
     following: Iterable[str] | Mapping[str, str] = (),
     number: str | None = None,
 ) -> DataFrame:
-    """All series window operators in one shuffle.
+    """All series window operators in one shuffle of the rows.
 
     * ``forward``: null becomes the last non-null value up to the row.
     * ``backward``: null becomes the next non-null value from the row on.
@@ -104,97 +288,23 @@ def series_pass(
     Filled columns keep their name and position; the column sets must be
     disjoint, since each fill reads the unfilled values.
     """
-    forward, backward, mean = list(forward), list(backward), list(mean)
-    previous, following = _as_mapping(previous), _as_mapping(following)
-    filled = forward + backward + mean
+    ops = _Ops(
+        forward=_as_mapping(forward),
+        backward=_as_mapping(backward),
+        mean=_as_mapping(mean),
+        previous=_as_mapping(previous),
+        following=_as_mapping(following),
+        number=number,
+    )
+    filled = list(ops.forward) + list(ops.backward) + list(ops.mean)
     if len(set(filled)) != len(filled):
         raise ValueError("a column can take only one fill")
-    if not (filled or previous or following or number):
+    if not ops.outputs():
         return df
-
-    columns = df.columns
-    # Values each block passes to its neighbours.
-    need_edges = list(dict.fromkeys(mean + list(previous.values()) + list(following.values())))
-
-    blocked = df.withColumn(_KEY, F.struct(*series.keys)).withColumn(_BLK, _block(series))
-    # Ordering of rows inside a block for the summary.  A plain bigint keeps
-    # the aggregate a (partial) HashAggregate; tie-break columns need a struct.
-    if series.tiebreak:
-        ordering = F.struct(*series.ordering())
-    else:
-        ordering = F.coalesce(F.col(series.order).cast("bigint"), F.lit(_MIN_LONG))
-
-    # 1. one summary row per block
-    aggs = [F.count(F.lit(1)).alias(_N)]
-    for i, c in enumerate(forward):
-        aggs.append(F.max_by(c, F.when(F.col(c).isNotNull(), ordering)).alias(f"_pl_lnn{i}"))
-    for i, c in enumerate(backward):
-        aggs.append(F.min_by(c, F.when(F.col(c).isNotNull(), ordering)).alias(f"_pl_fnn{i}"))
-    for i, c in enumerate(need_edges):
-        aggs.append(F.min_by(c, ordering).alias(f"_pl_first{i}"))
-        aggs.append(F.max_by(c, ordering).alias(f"_pl_last{i}"))
-    summary = blocked.groupBy(_KEY, _BLK).agg(*aggs)
-
-    # 2. carries across blocks: a window over the (small) summary
-    by_block = Window.partitionBy(_KEY).orderBy(_BLK)
-    before = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    after_desc = Window.partitionBy(_KEY).orderBy(F.col(_BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = {_OFF: F.coalesce(F.sum(_N).over(before), F.lit(0))}
-    for i, _ in enumerate(forward):
-        carry[f"_pl_cf{i}"] = F.last(f"_pl_lnn{i}", ignorenulls=True).over(before)
-    for i, _ in enumerate(backward):
-        carry[f"_pl_cb{i}"] = F.last(f"_pl_fnn{i}", ignorenulls=True).over(after_desc)
-    for i, _ in enumerate(need_edges):
-        carry[f"_pl_cp{i}"] = F.lag(f"_pl_last{i}").over(by_block)
-        carry[f"_pl_cn{i}"] = F.lead(f"_pl_first{i}").over(by_block)
-    carries = summary.select(_KEY, _BLK, *[v.alias(k) for k, v in carry.items()])
-
-    # 3. local windows per block, then the carries patch the block edges.  The
-    #    window runs before the join: its output is clustered and sorted by
-    #    (series, block, frame), which a sort-merge join on (series, block)
-    #    accepts as is, so the big side is exchanged and sorted only once.
-    local = Window.partitionBy(_KEY, _BLK).orderBy(*series.ordering())
-    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running_desc = (
-        Window.partitionBy(_KEY, _BLK)
-        .orderBy(*[o.desc() for o in series.ordering()])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return _blocked(
+        df, list(series.keys), series.order, list(series.tiebreak),
+        series.block_frames, series.levels, series.fan_out, ops,
     )
-    edge_index = {c: i for i, c in enumerate(need_edges)}
-    loc: dict[str, Column] = {_RN: F.row_number().over(local), "_pl_last_row": F.lead(F.lit(1)).over(local).isNull()}
-    for i, c in enumerate(forward):
-        loc[f"_pl_lf{i}"] = F.last(c, ignorenulls=True).over(running)
-    for i, c in enumerate(backward):
-        loc[f"_pl_lb{i}"] = F.last(c, ignorenulls=True).over(running_desc)
-    for i, c in enumerate(need_edges):
-        loc[f"_pl_lag{i}"] = F.lag(c).over(local)
-        loc[f"_pl_lead{i}"] = F.lead(c).over(local)
-    joined = blocked.withColumns(loc).join(carries, [_KEY, _BLK], "left")
-
-    def prev_of(i: int) -> Column:
-        return F.when(F.col(_RN) == 1, F.col(f"_pl_cp{i}")).otherwise(F.col(f"_pl_lag{i}"))
-
-    def next_of(i: int) -> Column:
-        return F.when(F.col("_pl_last_row"), F.col(f"_pl_cn{i}")).otherwise(F.col(f"_pl_lead{i}"))
-
-    out: dict[str, Column] = {}
-    for i, c in enumerate(forward):
-        out[c] = F.coalesce(F.col(f"_pl_lf{i}"), F.col(f"_pl_cf{i}"))
-    for i, c in enumerate(backward):
-        out[c] = F.coalesce(F.col(f"_pl_lb{i}"), F.col(f"_pl_cb{i}"))
-    for c in mean:
-        i = edge_index[c]
-        out[c] = F.when(F.col(c).isNull(), (prev_of(i) + next_of(i)) / 2).otherwise(F.col(c))
-    for name, c in previous.items():
-        out[name] = prev_of(edge_index[c])
-    for name, c in following.items():
-        out[name] = next_of(edge_index[c])
-    if number:
-        out[number] = (F.col(_OFF) + F.col(_RN)).cast("bigint")
-
-    result = joined.withColumns(out)
-    keep = columns + [n for n in out if n not in columns]
-    return result.select(*keep)
 
 
 # --- single operators, each one pass of the above ---------------------------

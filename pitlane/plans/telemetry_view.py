@@ -37,8 +37,9 @@ T_COLUMNS = (
 )
 
 # Frame numbers of T are event ids shared by 20 series, about 1 row per 20
-# frames; 4096 frames give blocks of ~200 rows, several per series at sf0.01.
-T_SERIES = Series(block_frames=4096)
+# frames; 4096 frames give blocks of ~200 rows, several per series at sf0.01,
+# and a fan-out of 2 gives the second block level edges of its own.
+T_SERIES = Series(block_frames=4096, levels=2, fan_out=2)
 
 
 def _case(m, pairs, modulus):

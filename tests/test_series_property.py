@@ -38,22 +38,28 @@ row = st.tuples(
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(data=st.lists(row, min_size=1, max_size=40), width=st.integers(1, 9), frames=st.integers(0, 3))
-def test_blocked_equals_brute_force(spark, data, width, frames):
+@given(
+    data=st.lists(row, min_size=1, max_size=40),
+    width=st.integers(1, 9),
+    frames=st.integers(0, 3),
+    levels=st.integers(0, 3),
+    fan_out=st.integers(1, 4),
+)
+def test_blocked_equals_brute_force(spark, data, width, frames, levels, fan_out):
     # unique frames per series, spread out by a random stride
     rows = [(r, p, i * (frames + 1), x, c) for i, (r, p, x, c) in enumerate(data)]
     df = spark.createDataFrame(rows, "raceId string, pilot_index int, frameIdentifier bigint, x double, c int")
     prev_next = df.withColumn("x2", df.x)
     out = series_pass(
         prev_next,
-        Series(block_frames=width),
+        Series(block_frames=width, levels=levels, fan_out=fan_out),
         mean=["x"],
         forward=["c"],
         previous={"p": "x2"},
         following={"n": "x2"},
         number="rn",
     ).join(df.selectExpr("raceId", "pilot_index", "frameIdentifier", "c AS c_raw"), ["raceId", "pilot_index", "frameIdentifier"])
-    out = series_pass(out, Series(block_frames=width + 1), backward=["c_raw"])
+    out = series_pass(out, Series(block_frames=width + 1, levels=levels, fan_out=fan_out + 1), backward=["c_raw"])
     expected = brute_force(rows)
     got = {(r.raceId, r.pilot_index, r.frameIdentifier): (r.x, r.c, r.c_raw, r.p, r.n, r.rn) for r in out.collect()}
     assert got.keys() == expected.keys()

@@ -21,6 +21,17 @@ def column(df, c):
 BLOCKS = [1, 2, 3, 4, 1 << 16]
 
 
+@pytest.mark.parametrize("levels", [0, 1, 2, 3])
+@pytest.mark.parametrize("width", [1, 2, 3])
+def test_levels_agree(spark, width, levels):
+    df = frame(spark, [10.0, None, 20.0, None, None, 30.0, None, 5.0, None, 7.0])
+    s = Series(block_frames=width, levels=levels, fan_out=2)
+    out = series_pass(df, s, mean=["x"], previous={"p": "x"}, number="rn")
+    assert column(out, "x") == [10.0, 15.0, 20.0, None, None, 30.0, 17.5, 5.0, 6.0, 7.0]
+    assert column(out, "p") == [None, 10.0, None, 20.0, None, None, 30.0, None, 5.0, None]
+    assert column(out, "rn") == list(range(1, 11))
+
+
 @pytest.mark.parametrize("width", BLOCKS)
 def test_neighbour_mean(spark, width):
     df = frame(spark, [10.0, None, 20.0, None, None, 30.0, None])
