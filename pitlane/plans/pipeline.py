@@ -91,3 +91,46 @@ def dimension_tables(spark: SparkSession, source: str) -> Iterable[tuple[str, Da
     """The stacked participant and session tables, each with ``raceId``."""
     yield "participants", src.participants(spark, source)
     yield "sessions", src.sessions(spark, source)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m pitlane --source DIR [--chunks DIR] [--table DIR] ...``"""
+    import argparse
+    import json
+
+    from pitlane.session import build_session
+
+    ap = argparse.ArgumentParser(prog="pitlane", description="Prepare racing telemetry files.")
+    ap.add_argument("--source", required=True, help="folder of <Kind>_<raceId>.csv files")
+    ap.add_argument("--chunks", help="chunked training set output")
+    ap.add_argument("--chunks-format", default="parquet", choices=["parquet", "csv"])
+    ap.add_argument("--per-chunk-folders", action="store_true", help="raceId=/pilot_index=/chunk_id= layout")
+    ap.add_argument("--chunk-size", type=int, default=CHUNK_SIZE)
+    ap.add_argument("--table", help="relational table as flat Parquet")
+    ap.add_argument("--jdbc-url", help="relational table over JDBC (credentials from the environment)")
+    ap.add_argument("--jdbc-table", default="telemetry")
+    ap.add_argument("--participants", help="stacked participant table output")
+    ap.add_argument("--sessions", help="stacked session table output")
+    ap.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
+    args = ap.parse_args(argv)
+
+    from pitlane.sinks.files import CHUNK_LAYOUT_PER_CHUNK
+
+    if args.master:
+        spark = build_session(args.master)
+    else:
+        spark = SparkSession.builder.appName("pitlane").getOrCreate()
+        ensure_checkpoint_dir(spark)
+    conf = PipelineConf(
+        source=args.source,
+        chunks_path=args.chunks,
+        chunks_format=args.chunks_format,
+        chunks_layout=CHUNK_LAYOUT_PER_CHUNK if args.per_chunk_folders else CHUNK_LAYOUT,
+        chunk_size=args.chunk_size,
+        table_path=args.table,
+        jdbc_url=args.jdbc_url,
+        jdbc_table=args.jdbc_table,
+        participants_path=args.participants,
+        sessions_path=args.sessions,
+    )
+    print(json.dumps(run(spark, conf)))

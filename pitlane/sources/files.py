@@ -75,34 +75,38 @@ def _hidden(name: str) -> bool:
     return name.startswith("_") or name.startswith(".")
 
 
-def list_files(spark: SparkSession, root: str, kind: str) -> list[DataFile]:
+def list_files(spark: SparkSession, root: str, kind: str, threads: int = 16) -> list[DataFile]:
     """Data files of one kind below ``root`` whose entry name carries a race id.
 
     An entry is a file or a folder directly below ``root`` whose name
-    contains ``kind``; a folder contributes every visible file inside it.
-    Entries without ``_<digits>`` in the name are skipped.
+    contains ``kind``; a folder contributes every visible file inside it
+    (folders are listed concurrently).  Entries without ``_<digits>`` in the
+    name are skipped.
     """
     jvm, conf = _hadoop(spark)
     base = jvm.org.apache.hadoop.fs.Path(root)
     fs = base.getFileSystem(conf)
     statuses = fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, f"*{kind}*")) or []
-    out: list[DataFile] = []
-    for st in statuses:
+
+    def expand(st) -> list[DataFile]:
         entry = st.getPath().getName()
         m = _RACE_RE.search(entry)
         if _hidden(entry) or not m:
-            continue
-        if st.isDirectory():
-            it = fs.listFiles(st.getPath(), True)
-            while it.hasNext():
-                f = it.next().getPath()
-                rel = f.toUri().getPath()[len(st.getPath().toUri().getPath()) :]
-                if any(_hidden(part) for part in rel.split("/") if part):
-                    continue
-                out.append(DataFile(f.toString(), entry, kind, m.group(1)))
-        else:
-            out.append(DataFile(st.getPath().toString(), entry, kind, m.group(1)))
-    return out
+            return []
+        if not st.isDirectory():
+            return [DataFile(st.getPath().toString(), entry, kind, m.group(1))]
+        found = []
+        top = st.getPath().toUri().getPath()
+        it = fs.listFiles(st.getPath(), True)
+        while it.hasNext():
+            f = it.next().getPath()
+            rel = f.toUri().getPath()[len(top) :]
+            if not any(_hidden(part) for part in rel.split("/") if part):
+                found.append(DataFile(f.toString(), entry, kind, m.group(1)))
+        return found
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return [f for group in pool.map(expand, list(statuses)) for f in group]
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
