@@ -107,53 +107,84 @@ def _uniq(*maps: Mapping[str, str]) -> list[str]:
     return list(dict.fromkeys(v for m in maps for v in m.values()))
 
 
-def _plain(df: DataFrame, keys: list, order: list[Column], ops: _Ops) -> DataFrame:
+# The pass builds a few hundred window and aggregate expressions.  They are
+# written as SQL text (one JVM call per column) rather than composed from
+# Column objects (one JVM call per function, column and alias), which keeps
+# plan construction on the driver fast; Catalyst sees the same expressions.
+
+_RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+_BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+_MIN_LONG_SQL = "CAST(-9223372036854775808 AS BIGINT)"
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _over(partition: list[str], order: list[str], desc: bool = False, frame: str = "") -> str:
+    direction = "DESC NULLS LAST" if desc else "ASC NULLS FIRST"
+    ords = ", ".join(f"{o} {direction}" for o in order)
+    return f"OVER (PARTITION BY {', '.join(partition)} ORDER BY {ords} {frame})"
+
+
+def _mean_sql(c: str, prev: str, nxt: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN (CAST({prev} AS DOUBLE) + CAST({nxt} AS DOUBLE)) / 2 ELSE {c} END"
+
+
+def _project(df: DataFrame, out: dict[str, str]) -> DataFrame:
+    """Replace or append ``{name: sql}`` columns, keeping the column order."""
+    cols = [f"{out[c]} AS {_q(c)}" if c in out else _q(c) for c in df.columns]
+    cols += [f"{sql} AS {_q(n)}" for n, sql in out.items() if n not in df.columns]
+    return df.selectExpr(*cols)
+
+
+def _plain(df: DataFrame, keys: list[str], order: list[str], ops: _Ops) -> DataFrame:
     """The operations as plain windows over whole series (the top level)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    w_desc = Window.partitionBy(*keys).orderBy(*[o.desc() for o in order])
-    run, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
-    run_desc, after = w_desc.rowsBetween(Window.unboundedPreceding, 0), w_desc.rowsBetween(Window.unboundedPreceding, -1)
-    out: dict[str, Column] = {}
+    part = [_q(k) for k in keys]
+    w = _over(part, order)
+    run, before = _over(part, order, frame=_RUN), _over(part, order, frame=_BEFORE)
+    run_desc, after = _over(part, order, True, _RUN), _over(part, order, True, _BEFORE)
+    out: dict[str, str] = {}
     for o, c in ops.forward.items():
-        out[o] = F.last(c, ignorenulls=True).over(run)
+        out[o] = f"last({_q(c)}, true) {run}"
     for o, c in ops.forward_before.items():
-        out[o] = F.last(c, ignorenulls=True).over(before)
+        out[o] = f"last({_q(c)}, true) {before}"
     for o, c in ops.backward.items():
-        out[o] = F.last(c, ignorenulls=True).over(run_desc)
+        out[o] = f"last({_q(c)}, true) {run_desc}"
     for o, c in ops.backward_after.items():
-        out[o] = F.last(c, ignorenulls=True).over(after)
+        out[o] = f"last({_q(c)}, true) {after}"
     for o, c in ops.mean.items():
-        out[o] = F.when(F.col(c).isNull(), (F.lag(c).over(w) + F.lead(c).over(w)) / 2).otherwise(F.col(c))
+        out[o] = _mean_sql(_q(c), f"lag({_q(c)}) {w}", f"lead({_q(c)}) {w}")
     for o, c in ops.previous.items():
-        out[o] = F.lag(c).over(w)
+        out[o] = f"lag({_q(c)}) {w}"
     for o, c in ops.following.items():
-        out[o] = F.lead(c).over(w)
+        out[o] = f"lead({_q(c)}) {w}"
     for o, c in ops.sum_before.items():
-        out[o] = F.coalesce(F.sum(c).over(before), F.lit(0))
+        out[o] = f"coalesce(sum({_q(c)}) {before}, 0)"
     if ops.number:
-        out[ops.number] = F.row_number().over(w).cast("bigint")
-    return df.withColumns(out)
+        out[ops.number] = f"CAST(row_number() {w} AS BIGINT)"
+    return _project(df, out)
 
 
-def _summary_order(df: DataFrame, order: str, tiebreak: list[str]) -> Column:
+def _summary_order(df: DataFrame, order: str, tiebreak: list[str]) -> str:
     """Row order inside a block for ``min_by``/``max_by``.
 
     A plain number keeps the aggregate a (partial) HashAggregate; tie-break
     columns need a struct.  Rows without a frame order first.
     """
     if tiebreak:
-        return F.struct(F.col(order), *[F.col(c) for c in tiebreak])
+        return f"struct({', '.join(_q(c) for c in [order, *tiebreak])})"
     dtype = df.schema[order].dataType
     if isinstance(dtype, IntegralType):
-        return F.coalesce(F.col(order).cast("bigint"), F.lit(_MIN_LONG))
+        return f"coalesce(CAST({_q(order)} AS BIGINT), {_MIN_LONG_SQL})"
     if isinstance(dtype, FractionalType):
-        return F.coalesce(F.col(order).cast("double"), F.lit(float("-inf")))
-    return F.struct(F.col(order))
+        return f"coalesce(CAST({_q(order)} AS DOUBLE), CAST('-Infinity' AS DOUBLE))"
+    return f"struct({_q(order)})"
 
 
 def _blocked(
     df: DataFrame,
-    keys: list,
+    keys: list[str],
     order: str,
     tiebreak: list[str],
     width: int,
@@ -162,44 +193,50 @@ def _blocked(
     ops: _Ops,
     level: int = 0,
 ) -> DataFrame:
-    order_cols = [F.col(order)] + [F.col(c) for c in tiebreak]
+    order_sql = [_q(order)] + [_q(c) for c in tiebreak]
     if levels <= 0:
-        return _plain(df, keys, order_cols, ops)
+        return _plain(df, keys, order_sql, ops)
 
     p = f"_pl{level}_"
     key, blk, n = p + "series", p + "block", p + "n"
+    K, B = _q(key), _q(blk)
     # A block is a run of ``width`` frame numbers: monotone in the frame, so a
     # contiguous piece of the series order.  Rows without a frame sort first.
-    block = F.coalesce(F.floor(F.col(order) / F.lit(width)), F.lit(_MIN_LONG))
-    blocked = df.withColumn(key, F.struct(*keys)).withColumn(blk, block)
+    blocked = df.selectExpr(
+        "*",
+        f"struct({', '.join(_q(k) for k in keys)}) AS {K}",
+        f"coalesce(CAST(floor({_q(order)} / {int(width)}) AS BIGINT), {_MIN_LONG_SQL}) AS {B}",
+    )
     ordering = _summary_order(df, order, tiebreak)
 
     fwd = _uniq(ops.forward, ops.forward_before)
     bwd = _uniq(ops.backward, ops.backward_after)
-    edges = _uniq(ops.mean, ops.previous, ops.following)
+    heads = _uniq(ops.mean, ops.following)  # need the first row of the next block
+    tails = _uniq(ops.mean, ops.previous)  # need the last row of the previous block
     sums = _uniq(ops.sum_before)
     ix = {name: {c: i for i, c in enumerate(cols)} for name, cols in
-          (("f", fwd), ("b", bwd), ("e", edges), ("s", sums))}
+          (("f", fwd), ("b", bwd), ("h", heads), ("t", tails), ("s", sums))}
 
     # 1. one summary row per block (partial aggregation before the shuffle)
-    aggs = [F.count(F.lit(1)).alias(n)]
+    aggs = [f"count(1) AS {_q(n)}"]
     for i, c in enumerate(fwd):
-        aggs.append(F.max_by(c, F.when(F.col(c).isNotNull(), ordering)).alias(f"{p}lnn{i}"))
+        aggs.append(f"max_by({_q(c)}, CASE WHEN {_q(c)} IS NOT NULL THEN {ordering} END) AS {p}lnn{i}")
     for i, c in enumerate(bwd):
-        aggs.append(F.min_by(c, F.when(F.col(c).isNotNull(), ordering)).alias(f"{p}fnn{i}"))
-    for i, c in enumerate(edges):
-        aggs.append(F.min_by(c, ordering).alias(f"{p}first{i}"))
-        aggs.append(F.max_by(c, ordering).alias(f"{p}last{i}"))
+        aggs.append(f"min_by({_q(c)}, CASE WHEN {_q(c)} IS NOT NULL THEN {ordering} END) AS {p}fnn{i}")
+    for i, c in enumerate(heads):
+        aggs.append(f"min_by({_q(c)}, {ordering}) AS {p}first{i}")
+    for i, c in enumerate(tails):
+        aggs.append(f"max_by({_q(c)}, {ordering}) AS {p}last{i}")
     for i, c in enumerate(sums):
-        aggs.append(F.sum(c).alias(f"{p}sum{i}"))
-    summary = blocked.groupBy(key, blk).agg(*aggs)
+        aggs.append(f"sum({_q(c)}) AS {p}sum{i}")
+    summary = blocked.groupBy(key, blk).agg(*[F.expr(a) for a in aggs])
 
     # 2. carries: series operations over the blocks, one level up
     carry_ops = _Ops(
         forward_before={f"{p}cf{i}": f"{p}lnn{i}" for i in range(len(fwd))},
         backward_after={f"{p}cb{i}": f"{p}fnn{i}" for i in range(len(bwd))},
-        previous={f"{p}cp{i}": f"{p}last{i}" for i in range(len(edges))},
-        following={f"{p}cn{i}": f"{p}first{i}" for i in range(len(edges))},
+        previous={f"{p}cp{i}": f"{p}last{i}" for i in range(len(tails))},
+        following={f"{p}cn{i}": f"{p}first{i}" for i in range(len(heads))},
         sum_before={f"{p}cs{i}": f"{p}sum{i}" for i in range(len(sums))},
     )
     if ops.number:
@@ -208,61 +245,59 @@ def _blocked(
     carries = carries.select(key, blk, *carry_ops.outputs())
 
     # 3. local windows per block, then the carries patch the block edges
-    local = Window.partitionBy(key, blk).orderBy(*order_cols)
-    local_desc = Window.partitionBy(key, blk).orderBy(*[o.desc() for o in order_cols])
-    run, before = local.rowsBetween(Window.unboundedPreceding, 0), local.rowsBetween(Window.unboundedPreceding, -1)
-    run_desc = local_desc.rowsBetween(Window.unboundedPreceding, 0)
-    after = local_desc.rowsBetween(Window.unboundedPreceding, -1)
+    part = [K, B]
+    w = _over(part, order_sql)
+    run, before = _over(part, order_sql, frame=_RUN), _over(part, order_sql, frame=_BEFORE)
+    run_desc, after = _over(part, order_sql, True, _RUN), _over(part, order_sql, True, _BEFORE)
     rn, last_row = p + "rn", p + "last_row"
-    loc: dict[str, Column] = {}
-    if ops.number or edges:
-        loc[rn] = F.row_number().over(local)
-    if edges:
-        loc[last_row] = F.lead(F.lit(1)).over(local).isNull()
-    for o, c in ops.forward.items():
-        loc[p + "L" + o] = F.last(c, ignorenulls=True).over(run)
-    for o, c in ops.forward_before.items():
-        loc[p + "L" + o] = F.last(c, ignorenulls=True).over(before)
-    for o, c in ops.backward.items():
-        loc[p + "L" + o] = F.last(c, ignorenulls=True).over(run_desc)
-    for o, c in ops.backward_after.items():
-        loc[p + "L" + o] = F.last(c, ignorenulls=True).over(after)
-    for i, c in enumerate(edges):
-        loc[f"{p}lag{i}"] = F.lag(c).over(local)
-        loc[f"{p}lead{i}"] = F.lead(c).over(local)
+    loc: dict[str, str] = {}
+    if ops.number or tails:
+        loc[rn] = f"row_number() {w}"
+    if heads:
+        loc[last_row] = f"lead(1) {w} IS NULL"
+    for m, frame in ((ops.forward, run), (ops.forward_before, before), (ops.backward, run_desc), (ops.backward_after, after)):
+        for o, c in m.items():
+            loc[p + "L" + o] = f"last({_q(c)}, true) {frame}"
+    for i, c in enumerate(tails):
+        loc[f"{p}lag{i}"] = f"lag({_q(c)}) {w}"
+    for i, c in enumerate(heads):
+        loc[f"{p}lead{i}"] = f"lead({_q(c)}) {w}"
     for o, c in ops.sum_before.items():
-        loc[p + "L" + o] = F.sum(c).over(before)
-    joined = blocked.withColumns(loc).join(carries, [key, blk], "left")
+        loc[p + "L" + o] = f"sum({_q(c)}) {before}"
+    joined = blocked.selectExpr("*", *[f"{sql} AS {_q(name)}" for name, sql in loc.items()]).join(
+        carries, [key, blk], "left"
+    )
 
-    def prev_of(c: str) -> Column:
-        i = ix["e"][c]
-        return F.when(F.col(rn) == 1, F.col(f"{p}cp{i}")).otherwise(F.col(f"{p}lag{i}"))
+    def prev_of(c: str) -> str:
+        i = ix["t"][c]
+        return f"CASE WHEN {_q(rn)} = 1 THEN {p}cp{i} ELSE {p}lag{i} END"
 
-    def next_of(c: str) -> Column:
-        i = ix["e"][c]
-        return F.when(F.col(last_row), F.col(f"{p}cn{i}")).otherwise(F.col(f"{p}lead{i}"))
+    def next_of(c: str) -> str:
+        i = ix["h"][c]
+        return f"CASE WHEN {_q(last_row)} THEN {p}cn{i} ELSE {p}lead{i} END"
 
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     for m in (ops.forward, ops.forward_before):
         for o, c in m.items():
-            out[o] = F.coalesce(F.col(p + "L" + o), F.col(f"{p}cf{ix['f'][c]}"))
+            out[o] = f"coalesce({_q(p + 'L' + o)}, {p}cf{ix['f'][c]})"
     for m in (ops.backward, ops.backward_after):
         for o, c in m.items():
-            out[o] = F.coalesce(F.col(p + "L" + o), F.col(f"{p}cb{ix['b'][c]}"))
+            out[o] = f"coalesce({_q(p + 'L' + o)}, {p}cb{ix['b'][c]})"
     for o, c in ops.mean.items():
-        out[o] = F.when(F.col(c).isNull(), (prev_of(c) + next_of(c)) / 2).otherwise(F.col(c))
+        out[o] = _mean_sql(_q(c), prev_of(c), next_of(c))
     for o, c in ops.previous.items():
         out[o] = prev_of(c)
     for o, c in ops.following.items():
         out[o] = next_of(c)
     for o, c in ops.sum_before.items():
-        out[o] = F.coalesce(F.col(p + "L" + o), F.lit(0)) + F.coalesce(F.col(f"{p}cs{ix['s'][c]}"), F.lit(0))
+        out[o] = f"coalesce({_q(p + 'L' + o)}, 0) + coalesce({p}cs{ix['s'][c]}, 0)"
     if ops.number:
-        out[ops.number] = (F.col(f"{p}off") + F.col(rn)).cast("bigint")
+        out[ops.number] = f"CAST({p}off + {_q(rn)} AS BIGINT)"
 
     columns = df.columns
-    result = joined.withColumns(out)
-    return result.select(*columns, *[o for o in out if o not in columns])
+    cols = [f"{out[c]} AS {_q(c)}" if c in out else _q(c) for c in columns]
+    cols += [f"{sql} AS {_q(o)}" for o, sql in out.items() if o not in columns]
+    return joined.selectExpr(*cols)
 
 
 def series_pass(
