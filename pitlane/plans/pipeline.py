@@ -45,10 +45,11 @@ class PipelineConf:
     roles: Roles | None = None
     series: Series = DEFAULT_SERIES
     dynamic_overwrite: bool = False  # replace only the races present in the input
+    headers: str = "all"  # "first": one header, one glob, headers checked by Spark (uniform files)
 
 
 def prepared_telemetry(spark: SparkSession, conf: PipelineConf) -> DataFrame:
-    raw = src.telemetry(spark, conf.source)
+    raw = src.telemetry(spark, conf.source, headers=conf.headers)
     return prepare(raw, conf.roles, conf.series, conf.chunk_size)
 
 
@@ -111,6 +112,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--jdbc-table", default="telemetry")
     ap.add_argument("--participants", help="stacked participant table output")
     ap.add_argument("--sessions", help="stacked session table output")
+    ap.add_argument("--uniform-headers", action="store_true", help="all files share one header: one glob scan")
     ap.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     args = ap.parse_args(argv)
 
@@ -132,5 +134,6 @@ def main(argv: list[str] | None = None) -> None:
         jdbc_table=args.jdbc_table,
         participants_path=args.participants,
         sessions_path=args.sessions,
+        headers="first" if args.uniform_headers else "all",
     )
     print(json.dumps(run(spark, conf)))

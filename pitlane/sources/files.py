@@ -16,7 +16,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -134,6 +134,23 @@ def race_id_column(pattern: str = RACE_ID_PATTERN) -> Column:
     )
 
 
+def _reader(spark: SparkSession, schema: StructType, options: Mapping[str, str] | None):
+    reader = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("enforceSchema", False)  # every file's header is checked against the schema
+        .option("mode", "PERMISSIVE")
+        .option("recursiveFileLookup", True)  # no partition columns from folder names
+    )
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    return reader
+
+
+def _schema(header: Iterable[str], types: Mapping[str, DataType]) -> StructType:
+    return StructType([StructField(h, types.get(h, StringType()), True) for h in header])
+
+
 def scan_csv(
     spark: SparkSession,
     files: list[DataFile],
@@ -156,25 +173,47 @@ def scan_csv(
         headers = list(pool.map(lambda f: tuple(read_header(spark, f.path)), files))
     for f, header in zip(files, headers):
         groups[header].append(f.path)
-    frames = []
-    for header, paths in groups.items():
-        schema = StructType([StructField(h, types.get(h, StringType()), True) for h in header])
-        reader = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("mode", "PERMISSIVE")
-            .option("recursiveFileLookup", True)  # no partition columns from folder names
-        )
-        for k, v in (options or {}).items():
-            reader = reader.option(k, v)
-        frame = reader.csv(paths)
-        frames.append(frame.withColumn("raceId", race_id_column()))
+    frames = [
+        _reader(spark, _schema(header, types), options).csv(paths).withColumn("raceId", race_id_column())
+        for header, paths in groups.items()
+    ]
     return union_all(frames, allow_missing=True)
 
 
-def telemetry(spark: SparkSession, root: str, types: Mapping[str, DataType] = TELEMETRY_TYPES) -> DataFrame:
-    """All telemetry files below ``root`` as one frame with ``raceId``."""
+def scan_uniform(
+    spark: SparkSession,
+    root: str,
+    kind: str,
+    types: Mapping[str, DataType],
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """All files of a kind in one scan, for datasets whose files share one header.
+
+    The driver reads a single header and hands Spark one glob; Spark checks
+    the header of every file against it in the executors and fails the job
+    on a file that differs (never reading it by position).  Rows of entries
+    without a race id in their name are dropped.
+    """
+    files = list_files(spark, root, kind)
+    if not files:
+        raise FileNotFoundError(f"no {kind} files below {root}")
+    schema = _schema(read_header(spark, files[0].path), types)
+    pattern = root.rstrip("/") + f"/*{kind}*"
+    frame = _reader(spark, schema, options).csv(pattern).withColumn("raceId", race_id_column())
+    return frame.where(F.col("raceId").isNotNull())
+
+
+def telemetry(
+    spark: SparkSession, root: str, types: Mapping[str, DataType] = TELEMETRY_TYPES, headers: str = "all"
+) -> DataFrame:
+    """All telemetry files below ``root`` as one frame with ``raceId``.
+
+    ``headers="all"`` reads every file's header and scans each header group
+    (files may differ); ``headers="first"`` is the one-glob scan of
+    ``scan_uniform`` for large uniform datasets.
+    """
+    if headers == "first":
+        return scan_uniform(spark, root, TELEMETRY, types)
     return scan_csv(spark, list_files(spark, root, TELEMETRY), types)
 
 

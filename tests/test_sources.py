@@ -48,3 +48,20 @@ def test_spark_output_folders(spark, workdir):
     out = src.telemetry(spark, workdir)
     assert out.count() == 5
     assert {r.raceId for r in out.collect()} == {"77"}
+
+
+def test_uniform_scan_and_header_check(spark, workdir):
+    import pytest
+
+    write(os.path.join(workdir, "TelemetryData_1.csv"), "pilot_index,frameIdentifier,speed\n0,1,1.5\n")
+    write(os.path.join(workdir, "TelemetryData_2.csv"), "pilot_index,frameIdentifier,speed\n1,2,2.5\n")
+    write(os.path.join(workdir, "TelemetryData_x.csv"), "pilot_index,frameIdentifier,speed\n9,9,9.0\n")
+    got = sorted((r.raceId, r.pilot_index, r.speed) for r in src.telemetry(spark, workdir, headers="first").collect())
+    assert got == [("1", 0, 1.5), ("2", 1, 2.5)]
+    # a reordered header fails the uniform scan instead of being read by position
+    write(os.path.join(workdir, "TelemetryData_3.csv"), "speed,frameIdentifier,pilot_index\n3.5,3,2\n")
+    with pytest.raises(Exception):
+        src.telemetry(spark, workdir, headers="first").collect()
+    # while the grouped scan reads it by name
+    got = sorted((r.raceId, r.pilot_index, r.speed) for r in src.telemetry(spark, workdir).collect())
+    assert got == [("1", 0, 1.5), ("2", 1, 2.5), ("3", 2, 3.5)]
