@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from pitlane.functions import columns as C
 from pitlane.functions.roles import WHEELS
@@ -21,7 +22,19 @@ from pitlane.operators.impute import chunk, impute, manifest, prepare
 from pitlane.operators.series import ordered, series_pass
 from pitlane.operators.union import empty_like, union_all
 from pitlane.plans import oracle_sql as O
+from pitlane.plans import fixtures as X
 from pitlane.plans.telemetry_view import T_SERIES, load_t
+from pitlane.session import staging_path
+from pitlane.sinks.files import (
+    CHUNK_LAYOUT,
+    CHUNK_LAYOUT_PER_CHUNK,
+    with_chunk_key,
+    write_chunks,
+    write_flat,
+    write_keyed_chunks,
+)
+from pitlane.sources import files
+from pitlane.sources.files import chunks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -255,8 +268,6 @@ def chunk_manifest(spark, sf_dir):
     ),
 )
 def chunk_key(spark, sf_dir):
-    from pitlane.sinks.files import with_chunk_key
-
     chunked = chunk(load_t(spark, sf_dir).select(*KEYS), 200, T_SERIES)
     return with_chunk_key(chunked).select(*KEYS, "chunk_key")
 
@@ -388,9 +399,6 @@ RACE_NO = "CAST(('0x' || substr(md5(raceId), 1, 16))::UBIGINT AS VARCHAR)"
 
 
 def _race_files(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
-    from pitlane.plans import fixtures as X
-    from pitlane.session import staging_path
-
     t = load_t(spark, sf_dir)
     makers = {"Telemetry": lambda: t, "ParticipantData": lambda: X.participants_of(t), "SessionData": lambda: X.sessions_of(t)}
     root = staging_path(spark, "race-files")
@@ -401,8 +409,6 @@ def _race_files(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
 
 @query("race_id_from_file", O.with_t(f"SELECT * REPLACE ({RACE_NO} AS raceId) FROM c", O.CLEAN_CTE))
 def race_id_from_file(spark, sf_dir):
-    from pitlane.sources import files
-
     root = _race_files(spark, sf_dir, "Telemetry")
     return clean(files.telemetry(spark, root))
 
@@ -412,8 +418,6 @@ def race_id_from_file(spark, sf_dir):
     O.with_t(f"SELECT DISTINCT {RACE_NO} AS raceId, pilot_index, 'pilot ' || CAST(pilot_index AS VARCHAR) AS name FROM t"),
 )
 def participants(spark, sf_dir):
-    from pitlane.sources import files
-
     root = _race_files(spark, sf_dir, "Telemetry", "ParticipantData", "SessionData")
     return files.participants(spark, root)
 
@@ -427,10 +431,6 @@ def participants(spark, sf_dir):
     ),
 )
 def sessions(spark, sf_dir):
-    from pyspark.sql.types import IntegerType
-
-    from pitlane.sources import files
-
     root = _race_files(spark, sf_dir, "Telemetry", "ParticipantData", "SessionData")
     # the reference names no session column; this fixture declares its one number
     return files.sessions(spark, root, {"trackId": IntegerType()})
@@ -444,17 +444,11 @@ def sessions(spark, sf_dir):
     ),
 )
 def catalogue(spark, sf_dir):
-    from pitlane.sources import files
-
     root = _race_files(spark, sf_dir, "Telemetry", "ParticipantData", "SessionData")
     return files.catalogue(spark, root)
 
 
 def _roundtrip(spark, sf_dir, fmt, layout, chunk_size=200):
-    from pitlane.session import staging_path
-    from pitlane.sinks.files import write_chunks
-    from pitlane.sources.files import chunks
-
     prepared = prepare(load_t(spark, sf_dir), series=T_SERIES, chunk_size=chunk_size)
     path = staging_path(spark, f"chunks-{fmt}")
     write_chunks(prepared, path, fmt=fmt, layout=layout)
@@ -466,24 +460,17 @@ _PREPARED_SQL = O.with_t("SELECT * FROM p", O.CLEAN_CTE + ",\n" + O.PREPARED_CTE
 
 @query("parquet_chunks_roundtrip", _PREPARED_SQL)
 def parquet_chunks_roundtrip(spark, sf_dir):
-    from pitlane.sinks.files import CHUNK_LAYOUT
-
     return _roundtrip(spark, sf_dir, "parquet", CHUNK_LAYOUT)
 
 
 @query("csv_chunks_roundtrip", _PREPARED_SQL)
 def csv_chunks_roundtrip(spark, sf_dir):
-    from pitlane.sinks.files import CHUNK_LAYOUT_PER_CHUNK
-
     # the per-chunk folder layout: raceId=/pilot_index=/chunk_id=
     return _roundtrip(spark, sf_dir, "csv", CHUNK_LAYOUT_PER_CHUNK)
 
 
 @query("flat_extract_roundtrip", _PREPARED_SQL)
 def flat_extract_roundtrip(spark, sf_dir):
-    from pitlane.session import staging_path
-    from pitlane.sinks.files import write_flat
-
     prepared = prepare(load_t(spark, sf_dir), series=T_SERIES)
     path = staging_path(spark, "flat")
     write_flat(prepared, path, max_records_per_file=2000)
@@ -502,10 +489,6 @@ OVERWRITTEN_RACE = "click"
 )
 def overwrite_race(spark, sf_dir):
     """All races written, then one race re-chunked and replaced alone."""
-    from pitlane.session import staging_path
-    from pitlane.sinks.files import write_chunks
-    from pitlane.sources.files import chunks
-
     t = load_t(spark, sf_dir)
     path = staging_path(spark, "overwrite")
     full = prepare(t, series=T_SERIES)
@@ -539,9 +522,6 @@ def duplicate_frames(spark, sf_dir):
 )
 def keyed_chunks_roundtrip(spark, sf_dir):
     """Flat per-chunk export: one folder per ``<race>_<pilot>_<chunk>``."""
-    from pitlane.session import staging_path
-    from pitlane.sinks.files import write_keyed_chunks
-
     prepared = prepare(load_t(spark, sf_dir), series=T_SERIES).select(*KEYS, "chunk_id", "row_num")
     path = staging_path(spark, "keyed")
     write_keyed_chunks(prepared, path)

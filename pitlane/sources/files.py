@@ -31,6 +31,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from pitlane.functions.columns import race_id_from_name
 from pitlane.functions.roles import MEAN_SCALARS
 from pitlane.operators.union import union_all
 
@@ -128,10 +129,7 @@ def race_id_column(pattern: str = RACE_ID_PATTERN) -> Column:
     parts = F.split(F.col("_metadata.file_path"), "/")
     name = F.element_at(parts, -1)
     folder = F.element_at(parts, -2)
-    return F.coalesce(
-        F.nullif(F.regexp_extract(name, pattern, 1), F.lit("")),
-        F.nullif(F.regexp_extract(folder, pattern, 1), F.lit("")),
-    )
+    return F.coalesce(race_id_from_name(name, pattern), race_id_from_name(folder, pattern))
 
 
 def _reader(spark: SparkSession, schema: StructType, options: Mapping[str, str] | None):
