@@ -413,6 +413,13 @@ def race_id_from_file(spark, sf_dir):
     return clean(files.telemetry(spark, root))
 
 
+@query("race_id_from_file_uniform", O.with_t(f"SELECT * REPLACE ({RACE_NO} AS raceId) FROM c", O.CLEAN_CTE))
+def race_id_from_file_uniform(spark, sf_dir):
+    """The same files through the one-glob scan (headers checked by Spark)."""
+    root = _race_files(spark, sf_dir, "Telemetry")
+    return clean(files.telemetry(spark, root, headers="first"))
+
+
 @query(
     "participants",
     O.with_t(f"SELECT DISTINCT {RACE_NO} AS raceId, pilot_index, 'pilot ' || CAST(pilot_index AS VARCHAR) AS name FROM t"),
