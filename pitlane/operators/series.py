@@ -42,7 +42,6 @@ from pitlane.functions.roles import ORDER_KEY, SERIES_KEYS
 
 DEFAULT_BLOCK_FRAMES = 1 << 16
 DEFAULT_FAN_OUT = 1 << 12
-_MIN_LONG = -(1 << 63)
 
 
 @dataclass(frozen=True)
@@ -63,6 +62,12 @@ class Series:
     levels: int = 2
     fan_out: int = DEFAULT_FAN_OUT
 
+    def __post_init__(self) -> None:
+        if self.block_frames < 1 or self.fan_out < 1 or self.levels < 0:
+            raise ValueError("block_frames and fan_out must be positive, levels not negative")
+        if not self.keys:
+            raise ValueError("a series needs at least one key column")
+
     def ordering(self) -> list[Column]:
         return [F.col(self.order)] + [F.col(c) for c in self.tiebreak]
 

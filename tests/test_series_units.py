@@ -124,3 +124,12 @@ def test_columns_and_order_preserved(spark):
     out = series_pass(df, Series(block_frames=2), mean=["x"], number="rn")
     assert out.columns == df.columns + ["rn"]
     assert out.count() == 3
+
+
+def test_series_settings_are_checked():
+    with pytest.raises(ValueError):
+        Series(block_frames=0)
+    with pytest.raises(ValueError):
+        Series(levels=-1)
+    with pytest.raises(ValueError):
+        Series(keys=())
