@@ -42,6 +42,7 @@ def main() -> None:
     t0 = time.perf_counter()
     QUERIES["pipeline_full"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     cold = round(time.perf_counter() - t0, 3)
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()  # rows of view T
     times: dict[str, float] = {}
     for name in names:
         t0 = time.perf_counter()
@@ -50,7 +51,9 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "cold_first_query": cold}))
+    print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
+                      "cold_first_query": cold, "telemetry_rows": rows,
+                      "pipeline_rows_per_sec": round(rows / times["pipeline_full"]) if times.get("pipeline_full") else None}))
     spark.stop()
 
 
