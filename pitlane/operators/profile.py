@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 
 def _null_count(c: str) -> Column:
-    # sum over 0/1: like the notebook, null (not 0) on an empty frame
+    # sum over 0/1, as the original profile does: null (not 0) on an empty frame
     return F.sum(F.when(F.col(c).isNull(), 1).otherwise(0))
 
 
