@@ -13,6 +13,7 @@ rows never do.
 
 from __future__ import annotations
 
+import csv
 import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
@@ -120,16 +121,36 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
         line = reader.readLine() or ""
     finally:
         stream.close()
-    return [h.strip().strip('"') for h in line.lstrip("﻿").split(",")] if line else []
+    return [h.strip() for h in next(csv.reader([line.lstrip("\ufeff")]))] if line else []
 
 
-def race_id_column(pattern: str = RACE_ID_PATTERN) -> Column:
-    """Race id of a row: first ``_<digits>`` of its file name, else of its folder."""
+def race_id_column(root: str | None = None, pattern: str = RACE_ID_PATTERN) -> Column:
+    """Race id of a row: first ``_<digits>`` of the entry below ``root`` it came from.
+
+    The entry is the file itself for a file directly below ``root``, or the
+    top folder for files inside a folder -- the same rule the listing uses.
+    Without ``root`` (or for a path outside it) the file name, then its
+    folder, is used.
+    """
+    path = F.col("_metadata.file_path")
     # split, not an anchored regex: ``([^/]+)$`` backtracks over the whole path
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    name = F.element_at(parts, -1)
-    folder = F.element_at(parts, -2)
-    return F.coalesce(race_id_from_name(name, pattern), race_id_from_name(folder, pattern))
+    parts = F.split(path, "/")
+    by_name = F.coalesce(
+        race_id_from_name(F.element_at(parts, -1), pattern),
+        race_id_from_name(F.element_at(parts, -2), pattern),
+    )
+    if not root:
+        return by_name
+    prefix = root.rstrip("/") + "/"
+    entry = F.element_at(F.split(F.substring(path, len(prefix) + 1, 1 << 30), "/"), 1)
+    return F.coalesce(F.when(path.startswith(prefix), race_id_from_name(entry, pattern)), by_name)
+
+
+def qualified(spark: SparkSession, root: str) -> str:
+    """``root`` as the file system writes it into ``_metadata.file_path``."""
+    jvm, conf = _hadoop(spark)
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    return p.getFileSystem(conf).makeQualified(p).toString()
 
 
 def _reader(spark: SparkSession, schema: StructType, options: Mapping[str, str] | None):
@@ -155,6 +176,7 @@ def scan_csv(
     types: Mapping[str, DataType],
     options: Mapping[str, str] | None = None,
     header_threads: int = 16,
+    root: str | None = None,
 ) -> DataFrame:
     """One CSV scan per distinct header, stacked by column name, plus ``raceId``.
 
@@ -172,7 +194,7 @@ def scan_csv(
     for f, header in zip(files, headers):
         groups[header].append(f.path)
     frames = [
-        _reader(spark, _schema(header, types), options).csv(paths).withColumn("raceId", race_id_column())
+        _reader(spark, _schema(header, types), options).csv(paths).withColumn("raceId", race_id_column(root))
         for header, paths in groups.items()
     ]
     return union_all(frames, allow_missing=True)
@@ -197,7 +219,7 @@ def scan_uniform(
         raise FileNotFoundError(f"no {kind} files below {root}")
     schema = _schema(read_header(spark, files[0].path), types)
     pattern = root.rstrip("/") + f"/*{kind}*"
-    frame = _reader(spark, schema, options).csv(pattern).withColumn("raceId", race_id_column())
+    frame = _reader(spark, schema, options).csv(pattern).withColumn("raceId", race_id_column(qualified(spark, root)))
     return frame.where(F.col("raceId").isNotNull())
 
 
@@ -212,17 +234,17 @@ def telemetry(
     """
     if headers == "first":
         return scan_uniform(spark, root, TELEMETRY, types)
-    return scan_csv(spark, list_files(spark, root, TELEMETRY), types)
+    return scan_csv(spark, list_files(spark, root, TELEMETRY), types, root=qualified(spark, root))
 
 
 def participants(spark: SparkSession, root: str, types: Mapping[str, DataType] = PARTICIPANT_TYPES) -> DataFrame:
     """Driver table of every race, stacked by name, with ``raceId``."""
-    return scan_csv(spark, list_files(spark, root, PARTICIPANTS), types)
+    return scan_csv(spark, list_files(spark, root, PARTICIPANTS), types, root=qualified(spark, root))
 
 
 def sessions(spark: SparkSession, root: str, types: Mapping[str, DataType] = SESSION_TYPES) -> DataFrame:
     """Session table of every race (read from the session files), with ``raceId``."""
-    return scan_csv(spark, list_files(spark, root, SESSIONS), types)
+    return scan_csv(spark, list_files(spark, root, SESSIONS), types, root=qualified(spark, root))
 
 
 def catalogue(spark: SparkSession, root: str, kinds=(TELEMETRY, PARTICIPANTS, SESSIONS)) -> DataFrame:

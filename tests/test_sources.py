@@ -65,3 +65,13 @@ def test_uniform_scan_and_header_check(spark, workdir):
     # while the grouped scan reads it by name
     got = sorted((r.raceId, r.pilot_index, r.speed) for r in src.telemetry(spark, workdir).collect())
     assert got == [("1", 0, 1.5), ("2", 1, 2.5), ("3", 2, 3.5)]
+
+
+def test_race_id_from_the_entry_below_the_root(spark, workdir):
+    folder = os.path.join(workdir, "TelemetryData_5")
+    os.makedirs(folder)
+    write(os.path.join(folder, "chunk_2024.csv"), "pilot_index,frameIdentifier\n1,1\n")
+    write(os.path.join(workdir, "TelemetryData_6.csv"), '"pilot_index","frameIdentifier"\n2,2\n')
+    for mode in ("all", "first"):
+        got = sorted((r.raceId, r.pilot_index) for r in src.telemetry(spark, workdir, headers=mode).collect())
+        assert got == [("5", 1), ("6", 2)], mode
