@@ -7,8 +7,19 @@ Everything is DataFrame code on built-in Spark expressions.
 """
 
 from pitlane.functions.roles import DEFAULT_ROLES, Roles
-from pitlane.operators.clean import clean
-from pitlane.operators.impute import chunk, impute, prepare, with_chunks
+from pitlane.operators.clean import clean, with_race_id
+from pitlane.operators.impute import chunk, impute, manifest, prepare, with_chunks
+from pitlane.operators.profile import (
+    distinct_values,
+    duplicate_keys,
+    null_counts,
+    null_rows,
+    null_shares,
+    preview,
+    profile,
+    row_count,
+    value_counts,
+)
 from pitlane.operators.series import (
     DEFAULT_SERIES,
     Series,
@@ -16,9 +27,11 @@ from pitlane.operators.series import (
     forward_fill,
     lag_lead,
     neighbour_mean,
+    ordered,
     row_number,
     series_pass,
 )
+from pitlane.operators.union import empty_like, union_all
 
 __all__ = [
     "DEFAULT_ROLES",
@@ -28,12 +41,26 @@ __all__ = [
     "backward_fill",
     "chunk",
     "clean",
+    "distinct_values",
+    "duplicate_keys",
+    "empty_like",
     "forward_fill",
     "impute",
     "lag_lead",
+    "manifest",
     "neighbour_mean",
+    "null_counts",
+    "null_rows",
+    "null_shares",
+    "ordered",
     "prepare",
+    "preview",
+    "profile",
+    "row_count",
     "row_number",
     "series_pass",
+    "union_all",
+    "value_counts",
     "with_chunks",
+    "with_race_id",
 ]
