@@ -85,6 +85,11 @@ def list_files(spark: SparkSession, root: str, kind: str, threads: int = 16) ->
     (folders are listed concurrently).  Entries without ``_<digits>`` in the
     name are skipped.
     """
+    return _list(spark, root, kind, threads)[0]
+
+
+def _list(spark: SparkSession, root: str, kind: str, threads: int = 16) -> tuple[list[DataFile], int]:
+    """``list_files`` plus the number of entries skipped for having no race id."""
     jvm, conf = _hadoop(spark)
     base = jvm.org.apache.hadoop.fs.Path(root)
     fs = base.getFileSystem(conf)
@@ -107,8 +112,11 @@ def list_files(spark: SparkSession, root: str, kind: str, threads: int = 16) ->
                 found.append(DataFile(f.toString(), entry, kind, m.group(1)))
         return found
 
+    statuses = list(statuses)
     with ThreadPoolExecutor(max_workers=threads) as pool:
-        return [f for group in pool.map(expand, list(statuses)) for f in group]
+        found = [f for group in pool.map(expand, statuses) for f in group]
+    named = sum(1 for st in statuses if _RACE_RE.search(st.getPath().getName()) and not _hidden(st.getPath().getName()))
+    return found, len(statuses) - named
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
@@ -177,6 +185,7 @@ def scan_csv(
     options: Mapping[str, str] | None = None,
     header_threads: int = 16,
     root: str | None = None,
+    glob: str | None = None,
 ) -> DataFrame:
     """One CSV scan per distinct header, stacked by column name, plus ``raceId``.
 
@@ -193,6 +202,10 @@ def scan_csv(
         headers = list(pool.map(lambda f: tuple(read_header(spark, f.path)), files))
     for f, header in zip(files, headers):
         groups[header].append(f.path)
+    if glob and len(groups) == 1:
+        # one header for every file: one path string instead of one per file
+        (header,) = groups
+        return _reader(spark, _schema(header, types), options).csv(glob).withColumn("raceId", race_id_column(root))
     frames = [
         _reader(spark, _schema(header, types), options).csv(paths).withColumn("raceId", race_id_column(root))
         for header, paths in groups.items()
@@ -234,17 +247,23 @@ def telemetry(
     """
     if headers == "first":
         return scan_uniform(spark, root, TELEMETRY, types)
-    return scan_csv(spark, list_files(spark, root, TELEMETRY), types, root=qualified(spark, root))
+    return _scan_kind(spark, root, TELEMETRY, types)
+
+
+def _scan_kind(spark: SparkSession, root: str, kind: str, types: Mapping[str, DataType]) -> DataFrame:
+    files, skipped = _list(spark, root, kind)
+    glob = None if skipped else root.rstrip("/") + f"/*{kind}*"
+    return scan_csv(spark, files, types, root=qualified(spark, root), glob=glob)
 
 
 def participants(spark: SparkSession, root: str, types: Mapping[str, DataType] = PARTICIPANT_TYPES) -> DataFrame:
     """Driver table of every race, stacked by name, with ``raceId``."""
-    return scan_csv(spark, list_files(spark, root, PARTICIPANTS), types, root=qualified(spark, root))
+    return _scan_kind(spark, root, PARTICIPANTS, types)
 
 
 def sessions(spark: SparkSession, root: str, types: Mapping[str, DataType] = SESSION_TYPES) -> DataFrame:
     """Session table of every race (read from the session files), with ``raceId``."""
-    return scan_csv(spark, list_files(spark, root, SESSIONS), types, root=qualified(spark, root))
+    return _scan_kind(spark, root, SESSIONS, types)
 
 
 def catalogue(spark: SparkSession, root: str, kinds=(TELEMETRY, PARTICIPANTS, SESSIONS)) -> DataFrame:
