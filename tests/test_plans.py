@@ -43,3 +43,28 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<o_orderstatus:string>" in plan
     plan = final_plan(QUERIES["presence_flags"](spark, SF_SMALL))
     assert "value" not in re.search(r"ReadSchema: struct<[^>]*>", plan).group(0)
+
+
+def test_hot_series_is_split_across_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from pitlane.operators.impute import prepare
+    from pitlane.operators.series import Series
+    from pitlane.plans.telemetry_view import load_t
+
+    # every row in one series: a plain window would put all of it in one task
+    t = load_t(spark, SF_SMALL).withColumn("raceId", F.lit("hot")).withColumn("pilot_index", F.lit(0))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        def largest_share(series):
+            out = prepare(t, series=series).withColumn("task", F.spark_partition_id())
+            # count a column the pass computes, so the optimizer keeps the pass
+            sizes = [r[1] for r in out.groupBy("task").agg(F.count("row_num")).collect()]
+            return max(sizes) / sum(sizes)
+
+        assert largest_share(Series(levels=0)) == 1.0
+        assert largest_share(Series(block_frames=64, fan_out=4)) < 0.4
+    finally:
+        spark.conf.set(key, before)
