@@ -151,7 +151,9 @@ def race_id_column(root: str | None = None, pattern: str = RACE_ID_PATTERN) -> C
         return by_name
     prefix = root.rstrip("/") + "/"
     entry = F.element_at(F.split(F.substring(path, len(prefix) + 1, 1 << 30), "/"), 1)
-    return F.coalesce(F.when(path.startswith(prefix), race_id_from_name(entry, pattern)), by_name)
+    # below the root only the entry counts: a file without an id must not pick
+    # one up from a folder above it
+    return F.when(path.startswith(prefix), race_id_from_name(entry, pattern)).otherwise(by_name)
 
 
 def qualified(spark: SparkSession, root: str) -> str:

@@ -75,3 +75,16 @@ def test_race_id_from_the_entry_below_the_root(spark, workdir):
     for mode in ("all", "first"):
         got = sorted((r.raceId, r.pilot_index) for r in src.telemetry(spark, workdir, headers=mode).collect())
         assert got == [("5", 1), ("6", 2)], mode
+
+
+def test_no_id_from_folders_above_the_root(spark):
+    import tempfile
+
+    base = tempfile.mkdtemp(prefix="pitlane-test-")
+    root = os.path.join(base, "season_2020")  # digits above the root must not become a race id
+    os.makedirs(root)
+    write(os.path.join(root, "TelemetryData_7.csv"), "pilot_index,frameIdentifier\n1,1\n")
+    write(os.path.join(root, "TelemetryData_none.csv"), "pilot_index,frameIdentifier\n2,2\n")
+    for mode in ("all", "first"):
+        got = sorted((r.raceId, r.pilot_index) for r in src.telemetry(spark, root, headers=mode).collect())
+        assert got == [("7", 1)], mode
