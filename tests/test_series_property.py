@@ -65,3 +65,23 @@ def test_blocked_equals_brute_force(spark, data, width, frames, levels, fan_out)
     assert got.keys() == expected.keys()
     for k, v in expected.items():
         assert got[k] == v, (k, got[k], v)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    data=st.lists(row, min_size=1, max_size=30),
+    width=st.integers(1, 5),
+    levels=st.integers(0, 2),
+    fan_out=st.integers(1, 3),
+)
+def test_tiebreak_with_repeated_frames(spark, data, width, levels, fan_out):
+    # frames repeat (i // 3); the row index breaks ties, so the order is still total
+    rows = [(r, p, i // 3, i, x, c) for i, (r, p, x, c) in enumerate(data)]
+    df = spark.createDataFrame(rows, "raceId string, pilot_index int, frameIdentifier bigint, sub int, x double, c int")
+    s = Series(tiebreak=("sub",), block_frames=width, levels=levels, fan_out=fan_out)
+    out = series_pass(df, s, mean=["x"], forward=["c"], number="rn")
+    # brute force over (frame, sub) == order of the row index
+    expected = brute_force([(r, p, i, x, c) for (r, p, _, i, x, c) in rows])
+    got = {(r.raceId, r.pilot_index, r.sub): (r.x, r.c, r.rn) for r in out.collect()}
+    for (race, pilot, i), (mean, last, _, _, _, rn) in expected.items():
+        assert got[(race, pilot, i)] == (mean, last, rn)
