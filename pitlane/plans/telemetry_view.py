@@ -74,8 +74,13 @@ def telemetry_view(events: DataFrame) -> DataFrame:
     )
 
 
+# The columns of ``events`` that view T reads, declared: Parquet reads them by
+# name and the driver skips inferring a schema from the file footers.
+EVENTS_COLUMNS = "event_id bigint, user_id bigint, event_type string, value double"
+
+
 def load_t(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry_view(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return telemetry_view(spark.read.schema(EVENTS_COLUMNS).parquet(f"{sf_dir}/events.parquet"))
 
 
 def _sql_case(pairs, modulus):
