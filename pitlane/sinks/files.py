@@ -23,8 +23,11 @@ CHUNK_LAYOUT_PER_CHUNK = ("raceId", "pilot_index", "chunk_id")
 def with_chunk_key(
     df: DataFrame, parts: Iterable[str] = ("raceId", "pilot_index", "chunk_id"), name: str = "chunk_key"
 ) -> DataFrame:
-    """``<race>_<pilot>_<chunk>``: one flat key per chunk, as a column."""
-    return df.withColumn(name, F.concat_ws("_", *[F.col(c).cast("string") for c in parts]))
+    """``<race>_<pilot>_<chunk>``: one flat key per chunk, as a column.
+
+    A null part stays an empty field (``race__3``), so keys never collide.
+    """
+    return df.withColumn(name, F.concat_ws("_", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in parts]))
 
 
 def write_keyed_chunks(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:

@@ -54,3 +54,8 @@ def test_pipeline_run(spark, workdir):
     ch = spark.read.parquet(conf.chunks_path)
     gaps = ch.groupBy("raceId", "pilot_index").agg((F.max("chunk_id") + 1 - F.countDistinct("chunk_id")).alias("gap"))
     assert gaps.where("gap <> 0").count() == 0
+
+
+def test_chunk_key_keeps_null_parts(spark):
+    df = spark.createDataFrame([("r", None, 3), ("r", 3, None)], "raceId string, pilot_index int, chunk_id bigint")
+    assert sorted(r.chunk_key for r in with_chunk_key(df).collect()) == ["r_3_", "r__3"]
