@@ -18,17 +18,25 @@ def _null_count(c: str) -> Column:
     return F.sum(F.when(F.col(c).isNull(), 1).otherwise(0))
 
 
-def null_counts(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
-    """One row: number of nulls per column, named like the column."""
-    cols = list(cols) if cols is not None else df.columns
-    return df.agg(*[_null_count(c).alias(c) for c in cols])
+def _grouped(df: DataFrame, by: Iterable[str]):
+    by = list(by)
+    return df.groupBy(*by) if by else df.groupBy()
 
 
-def null_shares(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
-    """One row: percentage of null values per column, plus ``rows``."""
-    cols = list(cols) if cols is not None else df.columns
+def null_counts(df: DataFrame, cols: Iterable[str] | None = None, by: Iterable[str] = ()) -> DataFrame:
+    """Number of nulls per column, named like the column: one row, or one per ``by`` group
+    (e.g. ``by=["raceId"]`` for the per-race profile)."""
+    by = list(by)
+    cols = list(cols) if cols is not None else [c for c in df.columns if c not in by]
+    return _grouped(df, by).agg(*[_null_count(c).alias(c) for c in cols])
+
+
+def null_shares(df: DataFrame, cols: Iterable[str] | None = None, by: Iterable[str] = ()) -> DataFrame:
+    """Percentage of null values per column, plus ``rows``: one row, or one per ``by`` group."""
+    by = list(by)
+    cols = list(cols) if cols is not None else [c for c in df.columns if c not in by]
     total = F.count(F.lit(1))
-    return df.agg(
+    return _grouped(df, by).agg(
         total.alias("rows"),
         *[(F.lit(100.0) * _null_count(c) / total).alias(c) for c in cols],
     )

@@ -303,6 +303,16 @@ def null_share(spark, sf_dir):
     return prof.null_shares(load_t(spark, sf_dir))
 
 
+@query(
+    "null_counts_by_race",
+    O.with_t(
+        "SELECT raceId, " + ", ".join(_null_count_sql(c) for c in _T_COLS if c != "raceId") + " FROM t GROUP BY raceId"
+    ),
+)
+def null_counts_by_race(spark, sf_dir):
+    return prof.null_counts(load_t(spark, sf_dir), by=["raceId"])
+
+
 @query(
     "null_counts_after",
     O.with_t(
