@@ -68,3 +68,10 @@ def test_hot_series_is_split_across_tasks(spark):
         assert largest_share(Series(block_frames=64, fan_out=4)) < 0.4
     finally:
         spark.conf.set(key, before)
+
+
+def test_cleaning_is_one_codegen_span(spark):
+    plan = final_plan(QUERIES["clean_full"](spark, SF_SMALL))
+    ops = [l.strip(" +-:") for l in plan.splitlines() if l.strip()]
+    assert ops[-1].startswith("FileScan parquet") and "Batched: true" in ops[-1]
+    assert all(op.startswith("*(1) ") for op in ops[:-1]), ops
