@@ -247,6 +247,8 @@ def telemetry(
     (files may differ); ``headers="first"`` is the one-glob scan of
     ``scan_uniform`` for large uniform datasets.
     """
+    if headers not in ("all", "first"):
+        raise ValueError('headers must be "all" or "first"')
     if headers == "first":
         return scan_uniform(spark, root, TELEMETRY, types)
     return _scan_kind(spark, root, TELEMETRY, types)
