@@ -272,8 +272,8 @@ def chunk_key(spark, sf_dir):
     return with_chunk_key(chunked).select(*KEYS, "chunk_key")
 
 
-@query("pipeline_full", O.with_t("SELECT * FROM p", O.CLEAN_CTE + ",\n" + O.PREPARED_CTE))
-def pipeline_full(spark, sf_dir):
+@query("prepare_full", O.with_t("SELECT * FROM p", O.CLEAN_CTE + ",\n" + O.PREPARED_CTE))
+def prepare_full(spark, sf_dir):
     return prepare(load_t(spark, sf_dir), series=T_SERIES)
 
 

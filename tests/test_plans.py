@@ -15,7 +15,7 @@ def final_plan(df) -> str:
 
 
 def test_pipeline_one_row_shuffle_and_hash_aggregates(spark):
-    plan = final_plan(QUERIES["pipeline_full"](spark, SF_SMALL))
+    plan = final_plan(QUERIES["prepare_full"](spark, SF_SMALL))
     assert "SortAggregate" not in plan
     assert "rangepartitioning" not in plan  # no global sort
     # rows are scanned once and the block summary once more; its exchange is reused
