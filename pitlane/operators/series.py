@@ -339,6 +339,9 @@ def series_pass(
     filled = list(ops.forward) + list(ops.backward) + list(ops.mean)
     if len(set(filled)) != len(filled):
         raise ValueError("a column can take only one fill")
+    outputs = ops.outputs()
+    if len(set(outputs)) != len(outputs):
+        raise ValueError("two operations write the same output column")
     if not ops.outputs():
         return df
     return _blocked(

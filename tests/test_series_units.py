@@ -133,3 +133,9 @@ def test_series_settings_are_checked():
         Series(levels=-1)
     with pytest.raises(ValueError):
         Series(keys=())
+
+
+def test_outputs_must_be_distinct(spark):
+    df = frame(spark, [1.0])
+    with pytest.raises(ValueError):
+        series_pass(df, mean=["x"], previous={"x": "x"})
