@@ -36,7 +36,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import FractionalType, IntegralType
+from pyspark.sql.types import FractionalType, IntegralType, TimestampNTZType, TimestampType
 
 from pitlane.functions.roles import ORDER_KEY, SERIES_KEYS
 
@@ -50,7 +50,8 @@ class Series:
 
     ``keys`` identify a series (a car in a race), ``order`` orders it and
     ``tiebreak`` orders rows sharing a frame number.  ``block_frames`` is the
-    width of a block in frame numbers; it bounds the rows a task buffers.
+    width of a block in frame numbers (microseconds for a timestamp order
+    key); it bounds the rows a window group buffers.
     ``levels`` is the number of block levels (0: a plain window per series)
     and ``fan_out`` the number of blocks grouped at each further level.
     """
@@ -171,6 +172,13 @@ def _plain(df: DataFrame, keys: list[str], order: list[str], ops: _Ops) -> DataF
     return _project(df, out)
 
 
+def _order_number(df: DataFrame, order: str) -> str:
+    """The order key as a number for block arithmetic (timestamps: microseconds)."""
+    if isinstance(df.schema[order].dataType, (TimestampType, TimestampNTZType)):
+        return f"unix_micros(CAST({_q(order)} AS TIMESTAMP))"
+    return _q(order)
+
+
 def _summary_order(df: DataFrame, order: str, tiebreak: list[str]) -> str:
     """Row order inside a block for ``min_by``/``max_by``.
 
@@ -180,8 +188,8 @@ def _summary_order(df: DataFrame, order: str, tiebreak: list[str]) -> str:
     if tiebreak:
         return f"struct({', '.join(_q(c) for c in [order, *tiebreak])})"
     dtype = df.schema[order].dataType
-    if isinstance(dtype, IntegralType):
-        return f"coalesce(CAST({_q(order)} AS BIGINT), {_MIN_LONG_SQL})"
+    if isinstance(dtype, (IntegralType, TimestampType, TimestampNTZType)):
+        return f"coalesce(CAST({_order_number(df, order)} AS BIGINT), {_MIN_LONG_SQL})"
     if isinstance(dtype, FractionalType):
         return f"coalesce(CAST({_q(order)} AS DOUBLE), CAST('-Infinity' AS DOUBLE))"
     return f"struct({_q(order)})"
@@ -210,7 +218,7 @@ def _blocked(
     blocked = df.selectExpr(
         "*",
         f"struct({', '.join(_q(k) for k in keys)}) AS {K}",
-        f"coalesce(CAST(floor({_q(order)} / {int(width)}) AS BIGINT), {_MIN_LONG_SQL}) AS {B}",
+        f"coalesce(CAST(floor({_order_number(df, order)} / {int(width)}) AS BIGINT), {_MIN_LONG_SQL}) AS {B}",
     )
     ordering = _summary_order(df, order, tiebreak)
 

@@ -139,3 +139,16 @@ def test_outputs_must_be_distinct(spark):
     df = frame(spark, [1.0])
     with pytest.raises(ValueError):
         series_pass(df, mean=["x"], previous={"x": "x"})
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_timestamp_order_key(spark, kind):
+    from datetime import datetime, timedelta
+
+    t0 = datetime(2020, 7, 5, 14, 0, 0)
+    rows = [("r", 0, t0 + timedelta(seconds=i), v) for i, v in enumerate([1.0, None, 3.0, None, None, 6.0])]
+    df = spark.createDataFrame(rows, f"raceId string, pilot_index int, ts {kind}, x double")
+    # blocks of two seconds (in microseconds)
+    out = series_pass(df, Series(order="ts", block_frames=2_000_000, fan_out=2), mean=["x"], number="rn")
+    got = [(r.x, r.rn) for r in out.orderBy("ts").collect()]
+    assert got == [(1.0, 1), (2.0, 2), (3.0, 3), (None, 4), (None, 5), (6.0, 6)]
