@@ -36,7 +36,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import FractionalType, IntegralType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DecimalType, FractionalType, IntegralType, TimestampNTZType, TimestampType
 
 from pitlane.functions.roles import ORDER_KEY, SERIES_KEYS
 
@@ -190,7 +190,7 @@ def _summary_order(df: DataFrame, order: str, tiebreak: list[str]) -> str:
     dtype = df.schema[order].dataType
     if isinstance(dtype, (IntegralType, TimestampType, TimestampNTZType)):
         return f"coalesce(CAST({_order_number(df, order)} AS BIGINT), {_MIN_LONG_SQL})"
-    if isinstance(dtype, FractionalType):
+    if isinstance(dtype, FractionalType) and not isinstance(dtype, DecimalType):
         return f"coalesce(CAST({_q(order)} AS DOUBLE), CAST('-Infinity' AS DOUBLE))"
     return f"struct({_q(order)})"
 

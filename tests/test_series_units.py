@@ -152,3 +152,14 @@ def test_timestamp_order_key(spark, kind):
     out = series_pass(df, Series(order="ts", block_frames=2_000_000, fan_out=2), mean=["x"], number="rn")
     got = [(r.x, r.rn) for r in out.orderBy("ts").collect()]
     assert got == [(1.0, 1), (2.0, 2), (3.0, 3), (None, 4), (None, 5), (6.0, 6)]
+
+
+def test_decimal_order_key_keeps_precision(spark):
+    from decimal import Decimal
+
+    base = Decimal("1234567890123456.0")  # beyond double precision in the last digit
+    rows = [("r", 0, base + i, v) for i, v in enumerate([1.0, None, 3.0])]
+    df = spark.createDataFrame(rows, "raceId string, pilot_index int, f decimal(20,1), x double")
+    out = series_pass(df, Series(order="f", block_frames=1, fan_out=2), mean=["x"], previous={"p": "x"})
+    got = [(r.x, r.p) for r in out.orderBy("f").collect()]
+    assert got == [(1.0, None), (2.0, 1.0), (3.0, None)]
