@@ -405,7 +405,7 @@ def empty_typed(spark, sf_dir):
 
 # --- sources and sinks: files written from T below the shared folder ------------
 
-RACE_NO = "CAST(('0x' || substr(md5(raceId), 1, 16))::UBIGINT AS VARCHAR)"
+RACE_NO = X.RACE_NUMBER_SQL.format(c="raceId")
 
 
 def _race_files(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
