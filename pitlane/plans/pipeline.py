@@ -79,15 +79,17 @@ def run(spark: SparkSession, conf: PipelineConf) -> dict[str, str]:
         ("participants", conf.participants_path, src.participants),
         ("sessions", conf.sessions_path, src.sessions),
     ):
-        if path and src.list_files(spark, conf.source, _KIND[name]):
-            write_flat(reader(spark, conf.source), path)
-            written[name] = path
+        if not path:
+            continue
+        try:
+            table = reader(spark, conf.source)
+        except FileNotFoundError:
+            continue  # the dataset has no files of this kind
+        write_flat(table, path)
+        written[name] = path
     return written
 
 
-_KIND = {"participants": src.PARTICIPANTS, "sessions": src.SESSIONS}
-
-
 def dimension_tables(spark: SparkSession, source: str) -> Iterable[tuple[str, DataFrame]]:
     """The stacked participant and session tables, each with ``raceId``."""
     yield "participants", src.participants(spark, source)
