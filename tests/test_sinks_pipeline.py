@@ -59,3 +59,20 @@ def test_pipeline_run(spark, workdir):
 def test_chunk_key_keeps_null_parts(spark):
     df = spark.createDataFrame([("r", None, 3), ("r", 3, None)], "raceId string, pilot_index int, chunk_id bigint")
     assert sorted(r.chunk_key for r in with_chunk_key(df).collect()) == ["r_3_", "r__3"]
+
+
+def test_pipeline_without_dimension_files(spark, workdir):
+    from pitlane.plans.fixtures import write_kind
+
+    root = os.path.join(workdir, "races")
+    write_kind(load_t(spark, SF_SMALL), root, "Telemetry", mode="overwrite")
+    conf = PipelineConf(
+        source=root,
+        chunks_path=os.path.join(workdir, "chunks"),
+        participants_path=os.path.join(workdir, "participants"),
+        sessions_path=os.path.join(workdir, "sessions"),
+        series=T_SERIES,
+    )
+    written = run(spark, conf)
+    assert set(written) == {"chunks"}
+    assert spark.read.parquet(conf.chunks_path).count() == load_t(spark, SF_SMALL).count()
