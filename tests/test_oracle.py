@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
+DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -40,6 +41,10 @@ def test_query_matches_oracle(spark, con, name):
     want = canon(res.columns, res.fetchall())
     assert got[0] == want[0]
     assert got[1] == want[1]
+    # the same column types on both sides
+    spark_types = {c: DUCK.get(t, t) for c, t in df.dtypes}
+    duck_types = dict(zip(res.columns, (str(t) for t in res.types)))
+    assert spark_types == duck_types
 
 
 def test_entry_smoke(spark):
