@@ -76,3 +76,18 @@ def test_pipeline_without_dimension_files(spark, workdir):
     written = run(spark, conf)
     assert set(written) == {"chunks"}
     assert spark.read.parquet(conf.chunks_path).count() == load_t(spark, SF_SMALL).count()
+
+
+def test_command_line(spark, workdir, capsys):
+    import json
+
+    from pitlane.plans.pipeline import main
+
+    root = write_race_files(spark, load_t(spark, SF_SMALL))
+    out = os.path.join(workdir, "cli")
+    main(["--master", "local[2]", "--source", root, "--chunks", f"{out}/chunks", "--chunks-format", "csv",
+          "--per-chunk-folders", "--sessions", f"{out}/sessions", "--uniform-headers"])
+    written = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(written) == {"chunks", "sessions"}
+    assert any(d.startswith("raceId=") for d in os.listdir(f"{out}/chunks"))
+    assert spark.read.parquet(f"{out}/sessions").count() == 5
