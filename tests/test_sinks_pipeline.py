@@ -91,3 +91,15 @@ def test_command_line(spark, workdir, capsys):
     assert set(written) == {"chunks", "sessions"}
     assert any(d.startswith("raceId=") for d in os.listdir(f"{out}/chunks"))
     assert spark.read.parquet(f"{out}/sessions").count() == 5
+
+
+def test_flat_extract_bounds_file_size(spark, workdir):
+    from pitlane.sinks.files import write_flat
+
+    t = load_t(spark, SF_SMALL)
+    path = os.path.join(workdir, "flat")
+    write_flat(t, path, max_records_per_file=100)
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert len(files) >= t.count() // 100
+    assert not any(os.path.isdir(os.path.join(path, f)) for f in os.listdir(path))  # no key=value folders
+    assert spark.read.parquet(path).count() == t.count()
