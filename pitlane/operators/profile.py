@@ -69,11 +69,12 @@ def duplicate_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     return df.groupBy(*keys).count().where(F.col("count") > 1)
 
 
-def profile(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
-    """Long form: one row per column with its null count and null share."""
-    cols = list(cols) if cols is not None else df.columns
+def profile(df: DataFrame, cols: Iterable[str] | None = None, by: Iterable[str] = ()) -> DataFrame:
+    """Long form: one row per column (and ``by`` group) with its null count and share."""
+    by = list(by)
+    cols = list(cols) if cols is not None else [c for c in df.columns if c not in by]
     total = F.count(F.lit(1)).alias("rows")
-    counts = df.agg(total, *[_null_count(c).alias(f"n{i}") for i, c in enumerate(cols)])
+    counts = _grouped(df, by).agg(total, *[_null_count(c).alias(f"n{i}") for i, c in enumerate(cols)])
     pairs = [
         F.struct(
             F.lit(c).alias("column"),
@@ -82,7 +83,7 @@ def profile(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
         )
         for i, c in enumerate(cols)
     ]
-    return counts.select(F.inline(F.array(*pairs)))
+    return counts.select(*by, F.inline(F.array(*pairs)))
 
 
 def preview(df: DataFrame, order: Iterable[str], n: int = 5) -> DataFrame:

@@ -76,3 +76,14 @@ def test_union_count_is_sum(spark):
     t = load_t(spark, SF_SMALL)
     parts = [t.where(F.col("raceId") == r) for r in ("click", "view")] + [t.where(~F.col("raceId").isin("click", "view"))]
     assert union_all(parts).count() == sum(p.count() for p in parts) == t.count()
+
+
+def test_profile_per_race_matches_whole_frame(spark):
+    from pitlane.operators.profile import profile
+
+    t = load_t(spark, SF_SMALL)
+    whole = {r.column: r.nulls for r in profile(t).collect()}
+    per_race = profile(t, by=["raceId"])
+    assert per_race.select("raceId").distinct().count() == t.select("raceId").distinct().count()
+    summed = {r.column: r.total for r in per_race.groupBy("column").agg(F.sum("nulls").alias("total")).collect()}
+    assert summed == {c: n for c, n in whole.items() if c != "raceId"}
