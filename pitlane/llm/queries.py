@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlane.llm import exact_dedup, mixing, packing, simhash
+from pitlane.llm import exact_dedup, html_extract, mixing, packing, pitman_yor, prefix_hash, quality, secrets, simhash, toxicity
 from pitlane.llm.common import table
 
 
@@ -13,26 +13,65 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of all documents, learned from the toxic labels."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), packing.tokenizer_path())
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents, learned from the quality labels."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the sources' target weights."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of all documents under a model of four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    return pitman_yor.score(docs, pitman_yor.train(docs))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts, with likenesses."""
+    return prefix_hash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents up to white space."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret candidates of all documents with the forest's probability."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_toxicity": op2_toxicity,
+    "op3_html_extraction": op3_html_extraction,
     "op4_packing": op4_packing,
+    "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
+    "op7_lm_scoring": op7_lm_scoring,
+    "op8_fingerprints": op8_fingerprints,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE = {"op9_exact_dedup": exact_dedup.SQL}
