@@ -114,7 +114,7 @@ def without_boilerplate(parts: list[tuple[str, str]]) -> list[tuple[str, str]]:
 
 
 def region(parts: list[tuple[str, str]], weights: dict[str, float]) -> tuple[int, int]:
-    """Half-open range of the greatest sum: the first of equal ones, empty if there is no word."""
+    """Half-open range of the greatest sum: the first to reach it, from as far left as it holds; empty if there is no word."""
     word, other = weights[WORD], weights.get("", -1.0)
     best, found, total, start = 0.0, (0, 0), 0.0, 0
     for i, (kind, value) in enumerate(parts):
@@ -124,7 +124,7 @@ def region(parts: list[tuple[str, str]], weights: dict[str, float]) -> tuple[int
                 best, found = total, (start, i + 1)
         else:
             total += weights.get(value, other)
-        if total <= 0:
+        if total < 0:
             total, start = 0.0, i + 1
     return found
 

@@ -1,0 +1,69 @@
+import hashlib
+import random
+
+import pytest
+
+from pitlane.llm import prefix_hash as P
+from pitlane.llm.common import table
+from tests.llm.cases import AWKWARD, frame
+
+
+def test_spans_and_extensions_match_plain_comparison():
+    rng = random.Random(4)
+    text = "".join(rng.choice("abä\U0001f600") for _ in range(200)) * 2
+    other = text[:150] + "x" + text[151:]
+    one, two = P.PrefixHash(text), P.PrefixHash(other)
+    for _ in range(300):
+        n = rng.randrange(1, 60)
+        i, j = rng.randrange(len(text) - n), rng.randrange(len(other) - n)
+        assert (one.span(i, i + n) == two.span(j, j + n)) == (text[i : i + n] == other[j : j + n])
+        common = 0
+        while i + common < len(text) and j + common < len(other) and text[i + common] == other[j + common]:
+            common += 1
+        assert one.common_extension(i, two, j) == common
+
+
+def test_likeness_estimates_shared_spans():
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdefghij ") for _ in range(6000))
+    other = text[:3000] + "".join(rng.choice("abcdefghij ") for _ in range(3000))
+    spans = [{t[i : i + P.SPAN] for i in range(len(t) - P.SPAN + 1)} for t in (text, other)]
+    dice = 2 * len(spans[0] & spans[1]) / (len(spans[0]) + len(spans[1]))
+    a, b = (P.PrefixHash(t).fingerprint() for t in (text, other))
+    assert P.likeness(a, b) == pytest.approx(dice, abs=0.2)
+    assert P.likeness(a, a) == 1.0 and P.likeness(a, P.PrefixHash("").fingerprint()) == 0.0
+    assert P.PrefixHash("short").fingerprint() == P.PrefixHash("short").fingerprint() != P.PrefixHash("shirt").fingerprint()
+
+
+def expected(rows):
+    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), (r[1] or "").encode()))
+    out = []
+    for (doc, text), (_, following) in zip(rows, [*rows[1:], rows[0]], strict=True):
+        text, following = text or "", following or ""
+        third = len(text) // 3
+        changed = text[: len(text) - third] + following[:third]
+        own, new, nxt = (P.PrefixHash(t).fingerprint() for t in (text, changed, following))
+        common = next((k for k, (x, y) in enumerate(zip(text, changed, strict=False)) if x != y), min(len(text), len(changed)))
+        out.append((doc, len(text), hashlib.sha256(changed.encode()).hexdigest(), own, new, P.likeness(own, new), P.likeness(own, nxt), common))
+    return sorted(out, key=str)
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_awkward_rows(spark):
+    for rows in (AWKWARD, AWKWARD[:1], AWKWARD[3:5]):
+        assert result(P.fingerprints(frame(spark, rows))) == expected([r[:2] for r in rows])
+
+
+def test_given_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    got = P.fingerprints(docs)
+    assert result(got) == expected([(r.doc_id, r.text) for r in docs.collect()])
+    rows = [r for r in got.collect() if r.n_chars >= 100]
+    assert sum(r.near_edited > r.near_next for r in rows) >= 0.98 * len(rows)
+
+
+def test_empty_table(spark):
+    assert P.fingerprints(frame(spark, [])).collect() == []

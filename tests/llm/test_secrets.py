@@ -1,0 +1,102 @@
+import hashlib
+import random
+import re
+
+import regex
+from pyspark.sql import functions as F
+
+from pitlane.llm import secrets as X
+from pitlane.llm.common import table
+from tests.llm.cases import AWKWARD, WORDS, frame
+
+CANDIDATE = regex.compile(r"(?<![\p{L}\p{N}+/_=-])[A-Za-z0-9+/_=-]{16,}+(?![\p{L}\p{N}])")
+
+
+def places(text):
+    return [(m.start(), m[0]) for m in CANDIDATE.finditer(text or "")]
+
+
+def corpus(n=400):
+    """Texts with a hex key after a credential's name, or long plain words and numbers."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(n):
+        words = [rng.choice(WORDS) for _ in range(30)]
+        if i % 2:
+            words.insert(rng.randrange(30), f'api_key = "{rng.getrandbits(128):032x}"')
+        else:
+            words.insert(rng.randrange(30), rng.choice([str(rng.getrandbits(60)).zfill(19), "".join(rng.choice(WORDS) for _ in range(6))]))
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_candidates_of_awkward_rows(spark):
+    rows = AWKWARD + [(20, "abcdefghijklmnop " * 3 + "é" * 5 + " x=abcdefghijklmnopq"), (21, "abcdefghijklmnopé abcdefghijklmnopq"), (22, "k = '" + "a1" * 9 + "'")]
+    got = sorted(((r.doc_id, r.start, r.candidate) for r in X.candidates(frame(spark, rows)).collect()), key=str)
+    assert got == sorted(((r[0], s, c) for r in rows for s, c in places(r[1])), key=str)
+
+
+def test_positions_and_contexts(spark):
+    text = "é\U0001f600 one " + "A1b2" * 5 + " mid " + "x" * 90 + " end"
+    found = X.candidates(frame(spark, [(1, text)])).orderBy("start").collect()
+    for r in found:
+        assert text[r.start : r.start + len(r.candidate)] == r.candidate
+        assert text[: r.start].endswith(r.before) and text[r.start + len(r.candidate) :].startswith(r.after)
+    assert found[0].before == text[: found[0].start] and found[1].after == " end"
+
+
+def test_features_match_brute_force(spark):
+    pairs, triples = [0.0] * X._N**2, [0.0] * X._N**3
+    pairs[1 * X._N + 2], triples[(1 * X._N + 2) * X._N + 3] = -2.0, 1.0  # "ab", "abc"
+    model = X.Model(pairs, triples, [("key", 1.5)])
+    text = 'the key = "abcab1XYZ99abcab1" is'
+    r = X.features(X.candidates(frame(spark, [(1, text, "repo/test/a.py")])), model).first()
+    c = r.candidate
+    low = c.lower()
+    runs = lambda n: [low[i : i + n] for i in range(len(low) - n + 1) if re.fullmatch("[a-z]+", low[i : i + n])]
+    assert r.length == 17 and r.digits == 4 / 17 and r.upper == 3 / 17 and r.distinct == len(set(c)) / 17
+    assert r.pair_likelihood == -2.0 * runs(2).count("ab") / len(runs(2))
+    assert r.dictionary_coverage == runs(3).count("abc") / len(runs(3))
+    kinds = ["d" if x.isdigit() else "u" if x.isupper() else "l" for x in c]
+    assert r.class_changes == sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / 17
+    assert (r.assigned, r.quoted, r.word_before, r.path_depth, r.path_example) == (1.0, 1.0, 1.5, 2.0, 1.0)
+
+
+def test_forest_learns_labelled_findings(spark):
+    rows = corpus()
+    docs = frame(spark, rows)
+    found = X.candidates(docs)
+    # labels from the generator, not from the weak rule
+    labelled = found.withColumn("label", (F.col("doc_id") % 2).cast("int")).where("doc_id < 300")
+    got = X.scan(docs, labelled=labelled).collect()
+    assert {(r.doc_id, r.start) for r in got} == {(i, s) for i, t in rows for s, _ in places(t)}
+    fresh = [r for r in got if r.doc_id >= 300]
+    assert sum(r.is_secret == bool(r.doc_id % 2) for r in fresh) >= 0.97 * len(fresh)
+    one = got[0]
+    text = dict(rows)[one.doc_id]
+    assert one.candidate_sha256 == hashlib.sha256(text[one.start : one.start + one.length].encode()).hexdigest()
+
+
+def test_weak_labels_stand_in(spark):
+    got = X.scan(frame(spark, corpus())).collect()
+    assert {r.doc_id for r in got if r.is_secret} == {i for i, _ in corpus() if i % 2}
+
+
+def test_one_label_only_and_empty(spark):
+    docs = frame(spark, [(1, "plain averyveryverylongword here"), (2, None)])
+    assert [(r.doc_id, r.is_secret) for r in X.scan(docs).collect()] == [(1, False)]
+    assert X.scan(frame(spark, [])).collect() == []
+
+
+def test_given_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    got = X.scan(docs).collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert {(r.doc_id, r.start) for r in got} == {(i, s) for i, t in texts.items() for s, _ in places(t)}
+    tokens = {(i, m.start(1)) for i, t in texts.items() for m in re.finditer(r'token = "([0-9a-f]{40})"', t)}
+    assert {(r.doc_id, r.start) for r in got if r.is_secret} == tokens
+
+
+def test_plan_has_no_python(spark):
+    plan = X.scan(table(spark, "/root/testdata/sf0.001", "documents"))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
