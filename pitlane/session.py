@@ -34,14 +34,18 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    It is read from the session; only when nothing is configured (a local
-    test) a fresh folder is made and set.
+    It is read from the session.  When nothing is configured, a local master
+    gets a fresh folder of its own; on a cluster that is an error, since
+    executors would each write to their own disks.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         configured = tempfile.mkdtemp(prefix="pitlane-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir()
@@ -50,3 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a written intermediate table."""
     return os.path.join(ensure_checkpoint_dir(spark), "pitlane", f"{name}-{uuid.uuid4().hex}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is on."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).delete(p, True)
