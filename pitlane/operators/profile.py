@@ -13,14 +13,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _named(c: str) -> Column:
+    """Column by its whole name, dots included."""
+    return F.col("`" + c.replace("`", "``") + "`")
+
+
 def _null_count(c: str) -> Column:
     # sum over 0/1, as the original profile does: null (not 0) on an empty frame
-    return F.sum(F.when(F.col(c).isNull(), 1).otherwise(0))
+    return F.sum(F.when(_named(c).isNull(), 1).otherwise(0))
 
 
 def _grouped(df: DataFrame, by: Iterable[str]):
-    by = list(by)
-    return df.groupBy(*by) if by else df.groupBy()
+    return df.groupBy(*map(_named, by))
 
 
 def null_counts(df: DataFrame, cols: Iterable[str] | None = None, by: Iterable[str] = ()) -> DataFrame:
@@ -44,11 +48,11 @@ def null_shares(df: DataFrame, cols: Iterable[str] | None = None, by: Iterable[s
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """``col, count``: rows per value, nulls included as one group."""
-    return df.groupBy(col).count()
+    return df.groupBy(_named(col)).count()
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
-    return df.select(col).distinct()
+    return df.select(_named(col)).distinct()
 
 
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
@@ -57,7 +61,7 @@ def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
 
 def null_rows(df: DataFrame, col: str) -> DataFrame:
     """Rows where ``col`` is null."""
-    return df.where(F.col(col).isNull())
+    return df.where(_named(col).isNull())
 
 
 def duplicate_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
@@ -65,8 +69,7 @@ def duplicate_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
 
     A series needs a unique frame per car and race for a defined order.
     """
-    keys = list(keys)
-    return df.groupBy(*keys).count().where(F.col("count") > 1)
+    return df.groupBy(*map(_named, keys)).count().where(F.col("count") > 1)
 
 
 def profile(df: DataFrame, cols: Iterable[str] | None = None, by: Iterable[str] = ()) -> DataFrame:
@@ -83,7 +86,7 @@ def profile(df: DataFrame, cols: Iterable[str] | None = None, by: Iterable[str]
         )
         for i, c in enumerate(cols)
     ]
-    return counts.select(*by, F.inline(F.array(*pairs)))
+    return counts.select(*map(_named, by), F.inline(F.array(*pairs)))
 
 
 def preview(df: DataFrame, order: Iterable[str], n: int = 5) -> DataFrame:
