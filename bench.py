@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pitlane.plans.fixtures import write_race_files  # noqa: E402
 from pitlane.plans.pipeline import PipelineConf, run  # noqa: E402
 from pitlane.plans.queries import QUERIES  # noqa: E402
-from pitlane.plans.telemetry_view import T_SERIES, load_t  # noqa: E402
+from pitlane.plans.telemetry_view import load_t  # noqa: E402
 from pitlane.session import build_session, staging_path  # noqa: E402
 
 REPEAT = 3  # each query: median of this many warm runs
@@ -37,7 +37,11 @@ HEADLINE = [
     "group_count",
     "union_races",
     "race_id_from_file",
+    "forward_fill",
+    "neighbour_mean",
+    "row_number",
     "parquet_chunks_roundtrip",
+    "csv_chunks_roundtrip",
 ]
 
 
@@ -73,7 +77,6 @@ def main() -> None:
             table_path=f"{out}/table",
             participants_path=f"{out}/participants",
             sessions_path=f"{out}/sessions",
-            series=T_SERIES,
         )
         t0 = time.perf_counter()
         run(spark, conf)

@@ -8,6 +8,8 @@ same pass.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,10 +68,20 @@ def prepare(
     chunk_size: int | None = CHUNK_SIZE,
 ) -> DataFrame:
     """``clean`` then imputation and (optionally) chunking, in one shuffle."""
-    cleaned = clean(df, roles)
+    return imputed_chunks(clean(df, roles), roles, series, chunk_size)
+
+
+def imputed_chunks(
+    cleaned: DataFrame,
+    roles: Roles | None = None,
+    series: Series = DEFAULT_SERIES,
+    chunk_size: int | None = CHUNK_SIZE,
+    previous: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Imputation and (optionally) chunking of cleaned rows, in one shuffle; ``previous`` adds lags."""
     forward, mean = _fill_lists(cleaned, roles)
     number = "row_num" if chunk_size else None
-    out = series_pass(cleaned, series, forward=forward, mean=mean, number=number)
+    out = series_pass(cleaned, series, forward=forward, mean=mean, previous=previous or {}, number=number)
     return with_chunks(out, size=chunk_size) if chunk_size else out
 
 

@@ -44,6 +44,21 @@ def write_kind(df: DataFrame, root: str, kind: str, mode: str = "append") -> Non
     named.write.mode(mode).partitionBy("file").option("header", True).csv(root)
 
 
+def with_float_ints(t: DataFrame) -> DataFrame:
+    """T's keys as an export of columns with gaps writes them (``7.0``), a ``gear`` with fields that are no integers,
+    and a column nobody declares."""
+    m = F.col("frameIdentifier")
+    gear = F.when(m % 11 == 0, F.lit("n/a")).when(m % 13 == 0, F.lit("3.5")).when(m % 17 != 0, F.concat((m % 8).cast("string"), F.lit(".0")))
+    return t.select(
+        "raceId",
+        F.concat(F.col("pilot_index").cast("string"), F.lit(".0")).alias("pilot_index"),
+        F.concat(m.cast("string"), F.lit(".0")).alias("frameIdentifier"),
+        "speed",
+        gear.alias("gear"),
+        (m % 1000 / 8).alias("lapDistance"),
+    )
+
+
 def write_race_files(spark: SparkSession, t: DataFrame) -> str:
     """Telemetry, participant and session files of every race in T; returns the root."""
     root = staging_path(spark, "race-files")

@@ -1,15 +1,17 @@
 """The full preparation pipeline over a folder of race files.
 
-raw files ─scan─► clean ─► fills + row numbers (one shuffle) ─► chunk ids
-                                   │
-                   staged once in the shared folder when two sinks read it
-                                   │
-             ┌─────────────────────┴────────────────────┐
+raw files ─scan─► typed, clean ─► staged once (the CSV is parsed once)
+                                    │
+              rows without a key ◄──┴──► fills + row numbers ─► chunk ids
+                                                                   │
+                                    staged when two sinks read it  │
+             ┌─────────────────────────────────────────────────────┴┐
    relational table (JDBC or Parquet)        chunked training set (Parquet/CSV)
 participant / session files ─► stacked tables with raceId ─► their own sinks
 
-One lazy plan for all races; nothing is computed twice and no per-race loop
-runs on the driver.
+One plan for all races; no per-race loop runs on the driver.  What a run
+rejects (fields without a value of their type, rows without a key, frames that
+occur twice) is counted while the rows pass, not by passes of its own.
 """
 
 from __future__ import annotations
@@ -17,12 +19,16 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from pitlane.functions.roles import CHUNK_SIZE, Roles
-from pitlane.operators.impute import prepare
+from pitlane.operators.clean import clean
+from pitlane.operators.impute import imputed_chunks
+from pitlane.operators.keys import keyed_rows, keyless, rejected_rows
 from pitlane.operators.series import DEFAULT_SERIES, Series
-from pitlane.session import ensure_checkpoint_dir, staging_path
+from pitlane.session import ensure_checkpoint_dir, remove_path, staging_path
 from pitlane.sinks.files import CHUNK_LAYOUT, write_chunks, write_flat, write_jdbc
 from pitlane.sources import files as src
 
@@ -36,64 +42,164 @@ class PipelineConf:
     chunks_format: str = "parquet"
     chunks_layout: tuple[str, ...] = CHUNK_LAYOUT
     chunk_size: int = CHUNK_SIZE
-    table_path: str | None = None  # relational table as flat Parquet
+    table_path: str | None = None  # relational table as Parquet
     jdbc_url: str | None = None  # relational table over JDBC
     jdbc_table: str = "telemetry"
     jdbc_properties: Mapping[str, str] = field(default_factory=dict)
+    jdbc_num_partitions: int = 16  # bound of concurrent connections
+    jdbc_truncate: bool = False
+    jdbc_batch_size: int = 10_000
     participants_path: str | None = None
     sessions_path: str | None = None
+    rejects_path: str | None = None  # rows without a race, car or frame
     roles: Roles | None = None
     series: Series = DEFAULT_SERIES
-    dynamic_overwrite: bool = False  # replace only the races present in the input
+    dynamic_overwrite: bool = False  # replace only the races present in the input, in every output
+    duplicate_frames: str = "report"  # "error": fail before any sink when a series has a frame twice
     headers: str = "all"  # "first": one header, one glob, headers checked by Spark (uniform files)
+    types: Mapping[str, DataType] = field(default_factory=dict)  # types of further telemetry columns
+    participant_types: Mapping[str, DataType] = field(default_factory=dict)
+    session_types: Mapping[str, DataType] = field(default_factory=dict)
+    reader_options: Mapping[str, str] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        if self.dynamic_overwrite and self.jdbc_url:
+            raise ValueError("a JDBC table cannot replace single races: no dynamic_overwrite with jdbc_url")
+        if self.dynamic_overwrite and self.chunks_layout[0] != "raceId":
+            raise ValueError("dynamic_overwrite needs a chunk layout that starts with raceId")
+        if self.duplicate_frames not in ("report", "error"):
+            raise ValueError('duplicate_frames must be "report" or "error"')
 
-def prepared_telemetry(spark: SparkSession, conf: PipelineConf) -> DataFrame:
-    raw = src.telemetry(spark, conf.source, headers=conf.headers)
-    return prepare(raw, conf.roles, conf.series, conf.chunk_size)
 
+class Written(dict):
+    """``{output: location}`` of a run; ``counts`` has what it rejected and reported."""
 
-def run(spark: SparkSession, conf: PipelineConf) -> dict[str, str]:
-    """Run the pipeline; returns ``{output: location}`` of what was written."""
+    def __init__(self) -> None:
+        super().__init__()
+        self.counts: dict[str, int | dict[str, int]] = {}
+
+
+_PREVIOUS = "_pl_previous_frame"
+
+
+def cleaned_telemetry(spark: SparkSession, conf: PipelineConf, seen: Observation | None = None) -> DataFrame:
+    """Typed and cleaned rows of all telemetry files; ``seen`` counts rejected fields and rows without a key."""
+    types = {**src.TELEMETRY_TYPES, **conf.types}
+    raw = src.raw_files(spark, conf.source, src.TELEMETRY, conf.headers, conf.reader_options)
+    if seen is not None:
+        key_types = {c: types[c] for c in (*conf.series.keys, conf.series.order) if c in types and c in raw.columns}
+        no_key = keyless(conf.series) if set(conf.series.keys) | {conf.series.order} <= set(raw.columns) else F.lit(True)
+        for c, t in key_types.items():
+            no_key = no_key | src.tolerant(F.col(c), t).isNull()
+        counts = [n.alias(f"rejected {c}") for c, n in src.rejects(raw, types).items()]
+        raw = raw.observe(seen, F.count_if(no_key).alias("no key"), *counts)
+    return clean(src.typed(raw, types), conf.roles)
+
+
+def prepared_telemetry(cleaned: DataFrame, conf: PipelineConf, seen: Observation | None = None) -> DataFrame:
+    """Filled, numbered and chunked rows of the series; ``seen`` counts frames that occur twice."""
+    rows = keyed_rows(cleaned, conf.series)
+    if seen is None:
+        return imputed_chunks(rows, conf.roles, conf.series, conf.chunk_size)
+    # equal frames are neighbours in their series: one more lag in the same window finds them
+    out = imputed_chunks(rows, conf.roles, conf.series, conf.chunk_size, previous={_PREVIOUS: conf.series.order})
+    twice = F.count_if(F.col(_PREVIOUS) == F.col(conf.series.order)).alias("twice")
+    return out.observe(seen, twice).drop(_PREVIOUS)
+
+
+def _staged(spark: SparkSession, df: DataFrame, name: str, stages: list[str]) -> DataFrame:
+    stages.append(staging_path(spark, name))
+    df.write.parquet(stages[-1])
+    return spark.read.schema(df.schema).parquet(stages[-1])
+
+
+def run(spark: SparkSession, conf: PipelineConf) -> Written:
+    """Run the pipeline; returns where each output was written.
+
+    Asking for an output whose files are missing is an error, raised before
+    anything is written.  Staging tables lie below ``spark.checkpoint.dir``
+    and are removed at the end.
+    """
     ensure_checkpoint_dir(spark)
-    written: dict[str, str] = {}
-    prepared = prepared_telemetry(spark, conf)
+    written = Written()
+    dimensions = list(dimension_tables(spark, conf))
+    stages: list[str] = []
+    try:
+        if conf.chunks_path or conf.table_path or conf.jdbc_url or conf.rejects_path:
+            _write_telemetry(spark, conf, written, stages)
+        for name, path, table in dimensions:
+            _write_table(table, path, conf)
+            written[name] = path
+    finally:
+        for path in stages:
+            remove_path(spark, path)
+    return written
+
+
+def _write_table(table: DataFrame, path: str, conf: PipelineConf) -> None:
+    """A table of many races: flat, or by race so that single races can be replaced."""
+    if conf.dynamic_overwrite:
+        write_flat(table, path, by=("raceId",), dynamic=True)
+    else:
+        write_flat(table, path)
+
+
+def _write_telemetry(spark: SparkSession, conf: PipelineConf, written: Written, stages: list[str]) -> None:
+    fields, frames = Observation(), Observation()
+    # the only pass over the CSV text; the block summary and the rows both read columns of this
+    cleaned = _staged(spark, cleaned_telemetry(spark, conf, fields), "cleaned", stages)
+    seen = fields.get
+    written.counts["rows_without_key"] = seen["no key"]
+    written.counts["rejected_fields"] = {c.removeprefix("rejected "): n for c, n in seen.items() if c.startswith("rejected ") and n}
+    if conf.rejects_path:
+        _write_table(rejected_rows(cleaned, conf.series), conf.rejects_path, conf)
+        written["rejects"] = conf.rejects_path
     sinks = [conf.chunks_path, conf.table_path, conf.jdbc_url]
-    if sum(s is not None for s in sinks) > 1:
-        # several sinks read the same rows: compute them once, into the shared folder
-        stage = staging_path(spark, "prepared")
-        prepared.write.mode("overwrite").parquet(stage)
-        prepared = spark.read.schema(prepared.schema).parquet(stage)
-        written["staging"] = stage
+    if not any(sinks):
+        return
+    prepared = prepared_telemetry(cleaned, conf, frames)
+    if sum(s is not None for s in sinks) > 1 or conf.dynamic_overwrite or conf.duplicate_frames == "error":
+        # several sinks read the same rows, or old rows go first: compute them once, into the shared folder
+        prepared = _staged(spark, prepared, "prepared", stages)
+        written.counts["duplicate_frames"] = frames.get["twice"]
+        if conf.duplicate_frames == "error" and frames.get["twice"]:
+            raise ValueError(f"{frames.get['twice']} frames occur twice in their series; set Series.tiebreak or remove them")
     relational = prepared.drop("row_num", "chunk_id")
     if conf.chunks_path:
-        write_chunks(prepared, conf.chunks_path, conf.chunks_format, conf.chunks_layout, dynamic=conf.dynamic_overwrite)
+        if conf.dynamic_overwrite:
+            # a race may come back with fewer chunks, so its folder goes before the new one is added
+            drop_races(spark, conf.chunks_path, prepared.select("raceId").distinct())
+        write_chunks(
+            prepared, conf.chunks_path, conf.chunks_format, conf.chunks_layout, mode="append" if conf.dynamic_overwrite else "overwrite"
+        )
         written["chunks"] = conf.chunks_path
     if conf.table_path:
-        write_flat(relational, conf.table_path)
+        _write_table(relational, conf.table_path, conf)
         written["table"] = conf.table_path
     if conf.jdbc_url:
-        write_jdbc(relational, conf.jdbc_url, conf.jdbc_table, properties=conf.jdbc_properties)
+        write_jdbc(
+            relational, conf.jdbc_url, conf.jdbc_table, properties=conf.jdbc_properties,
+            num_partitions=conf.jdbc_num_partitions, truncate=conf.jdbc_truncate, batch_size=conf.jdbc_batch_size,
+        )
         written["jdbc"] = f"{conf.jdbc_url}#{conf.jdbc_table}"
-    for name, path, reader in (
-        ("participants", conf.participants_path, src.participants),
-        ("sessions", conf.sessions_path, src.sessions),
-    ):
-        if not path:
-            continue
-        try:
-            table = reader(spark, conf.source)
-        except FileNotFoundError:
-            continue  # the dataset has no files of this kind
-        write_flat(table, path)
-        written[name] = path
-    return written
+    written.counts.setdefault("duplicate_frames", frames.get["twice"])
 
 
-def dimension_tables(spark: SparkSession, source: str) -> Iterable[tuple[str, DataFrame]]:
-    """The stacked participant and session tables, each with ``raceId``."""
-    yield "participants", src.participants(spark, source)
-    yield "sessions", src.sessions(spark, source)
+def drop_races(spark: SparkSession, path: str, races: DataFrame) -> None:
+    """Remove the ``raceId=`` folders of ``races`` (one id per race passes through the driver)."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for r in races.collect():
+        remove_path(spark, f"{path.rstrip('/')}/raceId={escape(r['raceId'])}")
+
+
+def dimension_tables(spark: SparkSession, conf: PipelineConf) -> Iterable[tuple[str, str, DataFrame]]:
+    """(name, path, table) of the participant and session tables asked for; missing files are an error."""
+    for name, path, reader, types in (
+        ("participants", conf.participants_path, src.participants, {**src.PARTICIPANT_TYPES, **conf.participant_types}),
+        ("sessions", conf.sessions_path, src.sessions, {**src.SESSION_TYPES, **conf.session_types}),
+    ):
+        if path:
+            yield name, path, reader(spark, conf.source, types)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -114,6 +220,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--jdbc-table", default="telemetry")
     ap.add_argument("--participants", help="stacked participant table output")
     ap.add_argument("--sessions", help="stacked session table output")
+    ap.add_argument("--rejects", help="output for rows without a race, car or frame")
+    ap.add_argument("--type", action="append", default=[], metavar="COLUMN=TYPE", help="type of a further telemetry column, e.g. lapDistance=double")
+    ap.add_argument("--reader-option", action="append", default=[], metavar="NAME=VALUE", help="option of the CSV reader")
+    ap.add_argument("--replace-races", action="store_true", help="replace only the races present in the input")
+    ap.add_argument("--fail-on-duplicate-frames", action="store_true")
+    ap.add_argument("--jdbc-connections", type=int, default=16)
     ap.add_argument("--uniform-headers", action="store_true", help="all files share one header: one glob scan")
     ap.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     args = ap.parse_args(argv)
@@ -136,6 +248,13 @@ def main(argv: list[str] | None = None) -> None:
         jdbc_table=args.jdbc_table,
         participants_path=args.participants,
         sessions_path=args.sessions,
+        rejects_path=args.rejects,
+        dynamic_overwrite=args.replace_races,
+        duplicate_frames="error" if args.fail_on_duplicate_frames else "report",
+        jdbc_num_partitions=args.jdbc_connections,
+        types={c: DataType.fromDDL(t) for c, t in (x.split("=", 1) for x in args.type)},
+        reader_options=dict(x.split("=", 1) for x in args.reader_option),
         headers="first" if args.uniform_headers else "all",
     )
-    print(json.dumps(run(spark, conf)))
+    written = run(spark, conf)
+    print(json.dumps({"written": written, "counts": written.counts}))

@@ -12,18 +12,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import DoubleType, IntegerType
 
 from pitlane.functions import columns as C
-from pitlane.functions.roles import WHEELS
+from pitlane.functions.roles import COMPOUND_CODES, WHEELS
 from pitlane.operators import profile as prof
 from pitlane.operators.clean import clean, with_race_id
 from pitlane.operators.impute import chunk, impute, manifest, prepare
-from pitlane.operators.series import ordered, series_pass
+from pitlane.operators.keys import keyed_rows, rejected_rows
+from pitlane.operators.series import DEFAULT_SERIES, ordered, series_pass
 from pitlane.operators.union import empty_like, union_all
 from pitlane.plans import oracle_sql as O
 from pitlane.plans import fixtures as X
-from pitlane.plans.telemetry_view import T_SERIES, load_t
+from pitlane.plans.pipeline import PipelineConf, run
+from pitlane.plans.telemetry_view import K_SQL, T_SERIES, load_k, load_t
 from pitlane.session import staging_path
 from pitlane.sinks.files import (
     CHUNK_LAYOUT,
@@ -79,7 +81,7 @@ def equals_flag(spark, sf_dir):
 @query("ordinal_encode", O.with_t(f"SELECT {KEYS_SQL}, {O.compound_code()} AS actualTyreCompound FROM t"))
 def ordinal_encode(spark, sf_dir):
     t = load_t(spark, sf_dir)
-    return t.select(*KEYS, C.ordinal_code("actualTyreCompound", {"soft": 0, "medium": 1, "hard": 2}).alias("actualTyreCompound"))
+    return t.select(*KEYS, C.ordinal_code("actualTyreCompound", COMPOUND_CODES).alias("actualTyreCompound"))
 
 
 @query(
@@ -164,10 +166,13 @@ def clean_full(spark, sf_dir):
     return t_clean(spark, sf_dir)
 
 
-@query("race_id_const", O.with_t(f"SELECT '15525718781239906836' AS raceId, pilot_index, frameIdentifier, speed FROM t"))
+LONG_RACE_ID = "18274650913827465091"  # 20 digits: beyond a signed 64-bit integer
+
+
+@query("race_id_const", O.with_t(f"SELECT '{LONG_RACE_ID}' AS raceId, pilot_index, frameIdentifier, speed FROM t"))
 def race_id_const(spark, sf_dir):
     t = load_t(spark, sf_dir).drop("raceId")
-    return with_race_id(t, "15525718781239906836").select("raceId", "pilot_index", "frameIdentifier", "speed")
+    return with_race_id(t, LONG_RACE_ID).select("raceId", "pilot_index", "frameIdentifier", "speed")
 
 
 # --- series windows ---------------------------------------------------------
@@ -181,13 +186,13 @@ def race_id_const(spark, sf_dir):
 )
 def lag_lead(spark, sf_dir):
     t = load_t(spark, sf_dir).select(*KEYS, "speed")
-    return series_pass(t, T_SERIES, previous={"prev_speed": "speed"}, following={"next_speed": "speed"})
+    return series_pass(t, DEFAULT_SERIES, previous={"prev_speed": "speed"}, following={"next_speed": "speed"})
 
 
 @query("neighbour_mean", O.with_t(f"SELECT {KEYS_SQL}, {O.nmean('speed')} AS speed FROM t"))
 def neighbour_mean(spark, sf_dir):
     t = load_t(spark, sf_dir).select(*KEYS, "speed")
-    return series_pass(t, T_SERIES, mean=["speed"])
+    return series_pass(t, DEFAULT_SERIES, mean=["speed"])
 
 
 @query(
@@ -196,7 +201,7 @@ def neighbour_mean(spark, sf_dir):
 )
 def neighbour_mean_int(spark, sf_dir):
     c = t_clean(spark, sf_dir).select(*KEYS, "FL_surfaceType")
-    return series_pass(c, T_SERIES, mean=["FL_surfaceType"])
+    return series_pass(c, DEFAULT_SERIES, mean=["FL_surfaceType"])
 
 
 _FILL_COLS = ["actualTyreCompound", "FL_surfaceType", "RR_surfaceType"]
@@ -208,7 +213,7 @@ _FILL_COLS = ["actualTyreCompound", "FL_surfaceType", "RR_surfaceType"]
 )
 def forward_fill(spark, sf_dir):
     c = t_clean(spark, sf_dir).select(*KEYS, *_FILL_COLS)
-    return series_pass(c, T_SERIES, forward=_FILL_COLS)
+    return series_pass(c, DEFAULT_SERIES, forward=_FILL_COLS)
 
 
 @query(
@@ -217,18 +222,24 @@ def forward_fill(spark, sf_dir):
 )
 def backward_fill(spark, sf_dir):
     c = t_clean(spark, sf_dir).select(*KEYS, *_FILL_COLS)
-    return series_pass(c, T_SERIES, backward=_FILL_COLS)
+    return series_pass(c, DEFAULT_SERIES, backward=_FILL_COLS)
 
 
 @query("impute_full", O.with_t("SELECT * FROM i", O.CLEAN_CTE + ",\n" + O.IMPUTED_CTE))
 def impute_full(spark, sf_dir):
+    return impute(t_clean(spark, sf_dir))
+
+
+@query("impute_small_blocks", O.with_t("SELECT * FROM i", O.CLEAN_CTE + ",\n" + O.IMPUTED_CTE))
+def impute_small_blocks(spark, sf_dir):
+    """Blocks of about 200 rows and a fan-out of 2, so that every level has edges at this size."""
     return impute(t_clean(spark, sf_dir), series=T_SERIES)
 
 
 @query("row_number", O.with_t(f"SELECT {KEYS_SQL}, row_number() OVER ({O.SERIES_W}) AS row_num FROM t"))
 def row_number(spark, sf_dir):
     t = load_t(spark, sf_dir).select(*KEYS)
-    return series_pass(t, T_SERIES, number="row_num")
+    return series_pass(t, DEFAULT_SERIES, number="row_num")
 
 
 def _chunk_sql(size: int) -> str:
@@ -240,12 +251,12 @@ def _chunk_sql(size: int) -> str:
 
 @query("chunk_200", _chunk_sql(200))
 def chunk_200(spark, sf_dir):
-    return chunk(load_t(spark, sf_dir).select(*KEYS, "speed"), 200, T_SERIES)
+    return chunk(load_t(spark, sf_dir).select(*KEYS, "speed"), 200)
 
 
 @query("chunk_50", _chunk_sql(50))
 def chunk_50(spark, sf_dir):
-    return chunk(load_t(spark, sf_dir).select(*KEYS, "speed"), 50, T_SERIES)
+    return chunk(load_t(spark, sf_dir).select(*KEYS, "speed"), 50)
 
 
 _MANIFEST_SQL = O.with_t(
@@ -257,7 +268,7 @@ _MANIFEST_SQL = O.with_t(
 
 @query("chunk_manifest", _MANIFEST_SQL)
 def chunk_manifest(spark, sf_dir):
-    return manifest(chunk(load_t(spark, sf_dir).select(*KEYS), 200, T_SERIES))
+    return manifest(chunk(load_t(spark, sf_dir).select(*KEYS), 200))
 
 
 @query(
@@ -268,13 +279,13 @@ def chunk_manifest(spark, sf_dir):
     ),
 )
 def chunk_key(spark, sf_dir):
-    chunked = chunk(load_t(spark, sf_dir).select(*KEYS), 200, T_SERIES)
+    chunked = chunk(load_t(spark, sf_dir).select(*KEYS), 200)
     return with_chunk_key(chunked).select(*KEYS, "chunk_key")
 
 
 @query("prepare_full", O.with_t("SELECT * FROM p", O.CLEAN_CTE + ",\n" + O.PREPARED_CTE))
 def prepare_full(spark, sf_dir):
-    return prepare(load_t(spark, sf_dir), series=T_SERIES)
+    return prepare(load_t(spark, sf_dir))
 
 
 # --- aggregates and filters -------------------------------------------------
@@ -321,7 +332,7 @@ def null_counts_by_race(spark, sf_dir):
     ),
 )
 def null_counts_after(spark, sf_dir):
-    return prof.null_counts(impute(t_clean(spark, sf_dir), series=T_SERIES))
+    return prof.null_counts(impute(t_clean(spark, sf_dir)))
 
 
 @query("group_count", O.with_t("SELECT FL_surfaceType, count(*) AS count FROM c GROUP BY FL_surfaceType", O.CLEAN_CTE))
@@ -405,12 +416,13 @@ def empty_typed(spark, sf_dir):
 
 # --- sources and sinks: files written from T below the shared folder ------------
 
+OVERWRITTEN_RACE = "click"
 RACE_NO = X.RACE_NUMBER_SQL.format(c="raceId")
 
 
 def _race_files(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
     t = load_t(spark, sf_dir)
-    makers = {"Telemetry": lambda: t, "ParticipantData": lambda: X.participants_of(t), "SessionData": lambda: X.sessions_of(t)}
+    makers = {files.TELEMETRY: lambda: t, files.PARTICIPANTS: lambda: X.participants_of(t), files.SESSIONS: lambda: X.sessions_of(t)}
     root = staging_path(spark, "race-files")
     for i, kind in enumerate(kinds):
         X.write_kind(makers[kind](), root, kind, mode="overwrite" if i == 0 else "append")
@@ -419,38 +431,72 @@ def _race_files(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
 
 @query("race_id_from_file", O.with_t(f"SELECT * REPLACE ({RACE_NO} AS raceId) FROM c", O.CLEAN_CTE))
 def race_id_from_file(spark, sf_dir):
-    root = _race_files(spark, sf_dir, "Telemetry")
+    root = _race_files(spark, sf_dir, files.TELEMETRY)
     return clean(files.telemetry(spark, root))
 
 
 @query("race_id_from_file_uniform", O.with_t(f"SELECT * REPLACE ({RACE_NO} AS raceId) FROM c", O.CLEAN_CTE))
 def race_id_from_file_uniform(spark, sf_dir):
     """The same files through the one-glob scan (headers checked by Spark)."""
-    root = _race_files(spark, sf_dir, "Telemetry")
+    root = _race_files(spark, sf_dir, files.TELEMETRY)
     return clean(files.telemetry(spark, root, headers="first"))
 
 
+def _float_int_files(spark: SparkSession, sf_dir: str) -> str:
+    root = staging_path(spark, "float-ints")
+    X.write_kind(X.with_float_ints(load_t(spark, sf_dir)), root, files.TELEMETRY, mode="overwrite")
+    return root
+
+
+_FLOAT_INT_TYPES = {**files.TELEMETRY_TYPES, "lapDistance": DoubleType()}
+_GEAR_BAD = "(frameIdentifier % 11 = 0 OR frameIdentifier % 13 = 0)"
+
+
 @query(
-    "participants",
-    O.with_t(f"SELECT DISTINCT {RACE_NO} AS raceId, pilot_index, 'pilot ' || CAST(pilot_index AS VARCHAR) AS name FROM t"),
+    "scan_float_ints",
+    O.with_t(
+        f"SELECT {RACE_NO} AS raceId, pilot_index, frameIdentifier, speed, "
+        f"CASE WHEN NOT {_GEAR_BAD} AND frameIdentifier % 17 <> 0 THEN CAST(frameIdentifier % 8 AS INTEGER) END AS gear, "
+        "(frameIdentifier % 1000) / 8.0::DOUBLE AS lapDistance FROM t"
+    ),
 )
-def participants(spark, sf_dir):
-    root = _race_files(spark, sf_dir, "Telemetry", "ParticipantData", "SessionData")
-    return files.participants(spark, root)
+def scan_float_ints(spark, sf_dir):
+    """Integers written as ``7.0`` keep their value; a further column takes its declared type."""
+    return files.telemetry(spark, _float_int_files(spark, sf_dir), _FLOAT_INT_TYPES)
 
 
 @query(
-    "sessions",
+    "rejected_fields",
     O.with_t(
-        f"SELECT {RACE_NO} AS raceId, trackId, weather FROM s",
-        "s AS (SELECT raceId, CAST(count(*) % 22 AS INTEGER) AS trackId, "
-        "CASE WHEN max(speed) > 400 THEN 'wet' ELSE 'dry' END AS weather FROM t GROUP BY raceId)",
+        f"SELECT {RACE_NO} AS raceId, c AS \"column\", count(*) FILTER (c = 'gear' AND {_GEAR_BAD}) AS rejected "
+        "FROM t, (SELECT unnest(['pilot_index', 'frameIdentifier', 'speed', 'gear', 'lapDistance']) AS c) GROUP BY raceId, c"
     ),
 )
+def rejected_fields(spark, sf_dir):
+    """Fields of each column without a value of its type, by race."""
+    raw = files.raw_files(spark, _float_int_files(spark, sf_dir), files.TELEMETRY)
+    return files.rejected_fields(raw, _FLOAT_INT_TYPES)
+
+
+@query(
+    "participants",
+    O.with_t(f"SELECT DISTINCT {RACE_NO} AS raceId, pilot_index, 'pilot ' || CAST(pilot_index AS VARCHAR) AS name FROM t"),
+)
+def participants(spark, sf_dir):
+    return files.participants(spark, _race_files(spark, sf_dir, files.PARTICIPANTS))
+
+
+_SESSIONS_SQL = O.with_t(
+    f"SELECT {RACE_NO} AS raceId, trackId, weather FROM s",
+    "s AS (SELECT raceId, CAST(count(*) % 22 AS INTEGER) AS trackId, "
+    "CASE WHEN max(speed) > 400 THEN 'wet' ELSE 'dry' END AS weather FROM t GROUP BY raceId)",
+)
+
+
+@query("sessions", _SESSIONS_SQL)
 def sessions(spark, sf_dir):
-    root = _race_files(spark, sf_dir, "Telemetry", "ParticipantData", "SessionData")
-    # the reference names no session column; this fixture declares its one number
-    return files.sessions(spark, root, {"trackId": IntegerType()})
+    # no session column has a fixed name; this fixture declares its one number
+    return files.sessions(spark, _race_files(spark, sf_dir, files.SESSIONS), {"trackId": IntegerType()})
 
 
 @query(
@@ -461,12 +507,62 @@ def sessions(spark, sf_dir):
     ),
 )
 def catalogue(spark, sf_dir):
-    root = _race_files(spark, sf_dir, "Telemetry", "ParticipantData", "SessionData")
-    return files.catalogue(spark, root)
+    return files.catalogue(spark, _race_files(spark, sf_dir, files.TELEMETRY, files.PARTICIPANTS, files.SESSIONS))
+
+
+# --- the whole pipeline: race files -> run() -> one output read back -------------
+
+
+def _pipeline(spark: SparkSession, sf_dir: str, output: str) -> str:
+    root = _race_files(spark, sf_dir, files.TELEMETRY, files.PARTICIPANTS, files.SESSIONS)
+    out = staging_path(spark, "run")
+    paths = {f"{k}_path": f"{out}/{k}" for k in ("chunks", "table", "participants", "sessions")}
+    return run(spark, PipelineConf(source=root, session_types={"trackId": IntegerType()}, **paths))[output]
+
+
+def _numbered(sql_tail: str) -> str:
+    return O.with_t(sql_tail.format(race=f"{RACE_NO} AS raceId"), O.CLEAN_CTE + ",\n" + O.PREPARED_CTE)
+
+
+@query("pipeline_full_chunks", _numbered("SELECT * REPLACE ({race}) FROM p"))
+def pipeline_full_chunks(spark, sf_dir):
+    return spark.read.option("recursiveFileLookup", False).parquet(_pipeline(spark, sf_dir, "chunks")).withColumns(
+        {"raceId": F.col("raceId").cast("string"), "pilot_index": F.col("pilot_index").cast("int")}
+    )
+
+
+@query("pipeline_full_table", _numbered("SELECT * EXCLUDE (row_num, chunk_id) REPLACE ({race}) FROM p"))
+def pipeline_full_table(spark, sf_dir):
+    return spark.read.parquet(_pipeline(spark, sf_dir, "table"))
+
+
+@query("pipeline_full_participants", ORACLE["participants"])
+def pipeline_full_participants(spark, sf_dir):
+    return spark.read.parquet(_pipeline(spark, sf_dir, "participants"))
+
+
+@query("pipeline_full_sessions", _SESSIONS_SQL)
+def pipeline_full_sessions(spark, sf_dir):
+    return spark.read.parquet(_pipeline(spark, sf_dir, "sessions"))
+
+
+@query(
+    "overwrite_race_table",
+    _numbered("SELECT * EXCLUDE (row_num, chunk_id) REPLACE ({race}) FROM p WHERE raceId <> 'click' OR pilot_index < 2"),
+)
+def overwrite_race_table(spark, sf_dir):
+    """A run over all races, then one over a single race with fewer cars: only that race changes."""
+    table = staging_path(spark, "table")
+    t = load_t(spark, sf_dir)
+    for rows in (t, t.where((F.col("raceId") == OVERWRITTEN_RACE) & (F.col("pilot_index") < 2))):
+        root = staging_path(spark, "race-files")
+        X.write_kind(rows, root, files.TELEMETRY, mode="overwrite")
+        run(spark, PipelineConf(source=root, table_path=table, dynamic_overwrite=True))
+    return spark.read.parquet(table).withColumn("raceId", F.col("raceId").cast("string"))
 
 
 def _roundtrip(spark, sf_dir, fmt, layout, chunk_size=200):
-    prepared = prepare(load_t(spark, sf_dir), series=T_SERIES, chunk_size=chunk_size)
+    prepared = prepare(load_t(spark, sf_dir), chunk_size=chunk_size)
     path = staging_path(spark, f"chunks-{fmt}")
     write_chunks(prepared, path, fmt=fmt, layout=layout)
     return chunks(spark, path, prepared.schema, fmt)
@@ -488,15 +584,12 @@ def csv_chunks_roundtrip(spark, sf_dir):
 
 @query("flat_extract_roundtrip", _PREPARED_SQL)
 def flat_extract_roundtrip(spark, sf_dir):
-    prepared = prepare(load_t(spark, sf_dir), series=T_SERIES)
+    prepared = prepare(load_t(spark, sf_dir))
     path = staging_path(spark, "flat")
     write_flat(prepared, path, max_records_per_file=2000)
     return spark.read.schema(prepared.schema).parquet(path)
 
 
-OVERWRITTEN_RACE = "click"
-
-
 @query(
     "overwrite_race",
     O.with_t(
@@ -508,9 +601,9 @@ def overwrite_race(spark, sf_dir):
     """All races written, then one race re-chunked and replaced alone."""
     t = load_t(spark, sf_dir)
     path = staging_path(spark, "overwrite")
-    full = prepare(t, series=T_SERIES)
+    full = prepare(t)
     write_chunks(full, path)
-    one = prepare(t.where(F.col("raceId") == OVERWRITTEN_RACE), series=T_SERIES, chunk_size=50)
+    one = prepare(t.where(F.col("raceId") == OVERWRITTEN_RACE), chunk_size=50)
     write_chunks(one, path, dynamic=True)
     return chunks(spark, path, full.schema)
 
@@ -520,26 +613,34 @@ def global_sort(spark, sf_dir):
     return ordered(load_t(spark, sf_dir))
 
 
+_NULL_KEY = " OR ".join(f"{k} IS NULL" for k in KEYS)
+
+
+@query("null_key_rows", O.with_t(f"SELECT * FROM k WHERE {_NULL_KEY}", K_SQL))
+def null_key_rows(spark, sf_dir):
+    """Rows without a race, car or frame, which no series takes in."""
+    return rejected_rows(load_k(spark, sf_dir))
+
+
 @query(
     "duplicate_frames",
-    O.with_t(f"SELECT {KEYS_SQL}, count(*) AS count FROM t GROUP BY {KEYS_SQL} HAVING count(*) > 1"),
+    O.with_t(f"SELECT {KEYS_SQL}, count(*) AS count FROM k WHERE NOT ({_NULL_KEY}) GROUP BY {KEYS_SQL} HAVING count(*) > 1", K_SQL),
 )
 def duplicate_frames(spark, sf_dir):
     """Frames that occur twice in one series would make the order undefined."""
-    return prof.duplicate_keys(load_t(spark, sf_dir), KEYS)
+    return prof.duplicate_keys(keyed_rows(load_k(spark, sf_dir)), KEYS)
 
 
 @query(
     "keyed_chunks_roundtrip",
     O.with_t(
-        f"SELECT {KEYS_SQL}, concat_ws('_', raceId, CAST(pilot_index AS VARCHAR), CAST(chunk_id AS VARCHAR)) AS chunk_key, "
-        "chunk_id, row_num FROM p",
+        "SELECT *, concat_ws('_', raceId, CAST(pilot_index AS VARCHAR), CAST(chunk_id AS VARCHAR)) AS chunk_key FROM p",
         O.CLEAN_CTE + ",\n" + O.PREPARED_CTE,
     ),
 )
 def keyed_chunks_roundtrip(spark, sf_dir):
-    """Flat per-chunk export: one folder per ``<race>_<pilot>_<chunk>``."""
-    prepared = prepare(load_t(spark, sf_dir), series=T_SERIES).select(*KEYS, "chunk_id", "row_num")
+    """Flat per-chunk export: one folder per ``<race>_<pilot>_<chunk>``, all columns read back."""
+    prepared = prepare(load_t(spark, sf_dir))
     path = staging_path(spark, "keyed")
     write_keyed_chunks(prepared, path)
-    return spark.read.parquet(path).select(*KEYS, "chunk_key", "chunk_id", "row_num")
+    return spark.read.parquet(path).select(*prepared.columns, "chunk_key")

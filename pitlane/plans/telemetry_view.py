@@ -74,6 +74,22 @@ def telemetry_view(events: DataFrame) -> DataFrame:
     )
 
 
+# View K: T with keys that are missing and frames that occur twice in a series.
+# --- fixed values: rules of view K ------------------------------------------
+K_PILOT_NULL = 97
+K_FRAME_NULL = 89
+K_COARSE = 3  # of these rows the frame is rounded down to a multiple of
+K_STEP = 256
+# ---------------------------------------------------------------------------
+
+
+def load_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("frameIdentifier")
+    frame = F.when(m % K_FRAME_NULL != 0, F.when(m % K_COARSE == 0, m - m % K_STEP).otherwise(m))
+    pilot = F.when(m % K_PILOT_NULL != 0, F.col("pilot_index"))
+    return load_t(spark, sf_dir).withColumns({"pilot_index": pilot, "frameIdentifier": frame})
+
+
 # The columns of ``events`` that view T reads, declared: Parquet reads them by
 # name and the driver skips inferring a schema from the file footers.
 EVENTS_COLUMNS = "event_id bigint, user_id bigint, event_type string, value double"
@@ -103,3 +119,9 @@ SELECT
        CAST(event_id % 5 AS VARCHAR), CAST(event_id % 6 AS VARCHAR)) END AS surfaceType
 FROM events
 """
+
+K_SQL = f"""k AS (SELECT * REPLACE (
+  CASE WHEN frameIdentifier % {K_PILOT_NULL} <> 0 THEN pilot_index END AS pilot_index,
+  CASE WHEN frameIdentifier % {K_FRAME_NULL} = 0 THEN NULL WHEN frameIdentifier % {K_COARSE} = 0
+       THEN frameIdentifier - frameIdentifier % {K_STEP} ELSE frameIdentifier END AS frameIdentifier)
+  FROM t)"""

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 # (one folder per 200 rows) is available for consumers that want it.
 CHUNK_LAYOUT = ("raceId", "pilot_index")
 CHUNK_LAYOUT_PER_CHUNK = ("raceId", "pilot_index", "chunk_id")
+CHUNKS_PER_FILE = 5_000  # a million rows of 200-row chunks: files near 128 MB
 
 
 def with_chunk_key(
@@ -33,8 +34,7 @@ def with_chunk_key(
 def write_keyed_chunks(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """One folder per chunk, named by its flat key ``chunk_key=<race>_<pilot>_<chunk>``.
 
-    The flat export of the training set: a chunk is one folder whatever
-    number of part files Spark writes into it.
+    The flat export of the training set: a chunk is one file in a folder of its own.
     """
     keyed = with_chunk_key(df)
     write_chunks(keyed, path, fmt=fmt, layout=("chunk_key",), mode=mode)
@@ -49,18 +49,25 @@ def write_chunks(
     mode: str = "overwrite",
     dynamic: bool = False,
     options: Mapping[str, str] | None = None,
+    chunks_per_file: int = CHUNKS_PER_FILE,
 ) -> None:
-    """Write chunked telemetry partitioned by ``layout``.
-
-    Rows are sorted inside each task by the layout columns and then
-    ``order``, which is also the order the partitioned writer needs, so a
-    reader filtering on ``chunk_id`` skips row groups.  ``dynamic`` replaces
-    only the partitions present in ``df`` (e.g. one race).
+    """Write chunked telemetry partitioned by ``layout``, every chunk whole in one file.
+
+    Rows are brought together by the layout columns and runs of
+    ``chunks_per_file`` chunks (a folder per chunk: one file each), sorted
+    inside each task by the layout columns and then ``order``, which is also
+    the order the partitioned writer needs, so a reader filtering on
+    ``chunk_id`` skips row groups.  ``dynamic`` replaces only the partitions
+    present in ``df``.
     """
     layout = list(layout)
     order = [c for c in order if c in df.columns and c not in layout]
+    runs = []
+    if "chunk_id" in df.columns and not {"chunk_id", "chunk_key"} & set(layout):
+        runs = [F.floor(F.col("chunk_id") / chunks_per_file)]
     writer = (
-        df.sortWithinPartitions(*layout, *order)
+        df.repartition(*layout, *runs)
+        .sortWithinPartitions(*layout, *order)
         .write.mode(mode)
         .format(fmt)
         .partitionBy(*layout)
@@ -74,14 +81,30 @@ def write_chunks(
     writer.save(path)
 
 
-def write_flat(df: DataFrame, path: str, max_records_per_file: int = 0, mode: str = "overwrite", fmt: str = "parquet") -> None:
-    """A flat folder of files without ``key=value`` directories.
+def write_flat(
+    df: DataFrame,
+    path: str,
+    max_records_per_file: int = 0,
+    mode: str = "overwrite",
+    fmt: str = "parquet",
+    by: Iterable[str] = (),
+    dynamic: bool = False,
+) -> None:
+    """A folder of files without ``key=value`` directories, or with those of ``by`` only.
 
-    For tools that cannot read partitioned folders.  Every task writes its
-    own files (``max_records_per_file`` bounds their size); nothing is
-    funnelled into a single task.
+    For tools that cannot read deeper partitioned folders.  Every task writes
+    its own files (``max_records_per_file`` bounds their size); nothing is
+    funnelled into a single task.  ``by=("raceId",)`` gives one folder per
+    race, and ``dynamic`` then replaces only the races present in ``df``.
     """
+    by = list(by)
+    if dynamic and not by:
+        raise ValueError("dynamic overwrite needs partition columns")
     writer = df.write.mode(mode).format(fmt)
+    if by:
+        writer = writer.partitionBy(*by)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if fmt == "csv":

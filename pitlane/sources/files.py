@@ -4,11 +4,15 @@ A dataset folder holds one file per race and kind, named like
 ``TelemetryData_<raceId>.csv``, ``ParticipantData_<raceId>.csv`` and
 ``SessionData_<raceId>.csv`` (a name may also be a Spark output folder with
 part files inside).  All files of a kind are read by one scan per distinct
-header, with declared types, and stacked by column name; the race id comes
-from the file path, so it is a column of every row.
+header and stacked by column name; the race id comes from the file path, so it
+is a column of every row.
 
-Only the file listing and one header line per file pass through the driver;
-rows never do.
+Fields are read as text and cast tolerantly to the declared types: ``7.0`` is
+the integer 7, and a non-empty field that has no value of its type becomes
+null and is counted (``rejected_fields``).
+
+Only the file listing and one header line per file pass through the driver
+(``headers="first"``: one name and one header); rows never do.
 """
 
 from __future__ import annotations
@@ -25,7 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DoubleType,
+    FractionalType,
     IntegerType,
+    IntegralType,
     LongType,
     StringType,
     StructField,
@@ -33,7 +39,7 @@ from pyspark.sql.types import (
 )
 
 from pitlane.functions.columns import race_id_from_name
-from pitlane.functions.roles import MEAN_SCALARS
+from pitlane.functions.roles import COMPOUND, FORWARD_SCALARS, MEAN_SCALARS, ORDER_KEY, SERIES_KEYS
 from pitlane.operators.union import union_all
 
 # --- fixed values: file kinds and the race-id pattern ------------------------
@@ -43,18 +49,15 @@ SESSIONS = "SessionData"
 RACE_ID_PATTERN = r"_(\d+)"
 # ---------------------------------------------------------------------------
 
-# Declared types of the telemetry columns; any other column is read as string.
+# Declared types of the telemetry columns; any other column stays a string
+# unless the caller declares it.
 TELEMETRY_TYPES: dict[str, DataType] = {
-    "pilot_index": IntegerType(),
-    "frameIdentifier": LongType(),
-    "pitLimiterStatus": IntegerType(),
-    "drs": IntegerType(),
-    "gear": IntegerType(),
-    "ersDeployMode": IntegerType(),
-    "fuelMix": IntegerType(),
+    SERIES_KEYS[1]: IntegerType(),
+    ORDER_KEY: LongType(),
+    **{c: IntegerType() for c in FORWARD_SCALARS if c != COMPOUND},
     **{c: DoubleType() for c in MEAN_SCALARS},
 }
-PARTICIPANT_TYPES: dict[str, DataType] = {"pilot_index": IntegerType()}
+PARTICIPANT_TYPES: dict[str, DataType] = {SERIES_KEYS[1]: IntegerType()}
 SESSION_TYPES: dict[str, DataType] = {}
 
 _RACE_RE = re.compile(RACE_ID_PATTERN)
@@ -120,7 +123,7 @@ def _list(spark: SparkSession, root: str, kind: str, threads: int = 16) -> tuple
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the first line of a CSV file (one line is read)."""
+    """Column names from the first line of a CSV file as they stand there (one line is read)."""
     jvm, conf = _hadoop(spark)
     p = jvm.org.apache.hadoop.fs.Path(path)
     stream = p.getFileSystem(conf).open(p)
@@ -129,38 +132,91 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
         line = reader.readLine() or ""
     finally:
         stream.close()
-    return [h.strip() for h in next(csv.reader([line.lstrip("\ufeff")]))] if line else []
+    return next(csv.reader([line.lstrip("\ufeff")])) if line else []
+
+
+def _entry(root: str) -> Column:
+    """Name of the entry below ``root`` a row came from; a row from elsewhere is an error.
+
+    ``root`` is qualified and, like ``_metadata.file_path``, URI-encoded; an
+    empty authority may be written ``file:/`` or ``file:///`` on either side.
+    """
+    path, root = F.col("_metadata.file_path"), root.rstrip("/") + "/"
+    short = re.sub(r"^([a-z][a-z0-9+.-]*):///", r"\1:/", root)
+    long = re.sub(r"^([a-z][a-z0-9+.-]*):/(?!/)", r"\1:///", short)
+    below = F.when(path.startswith(short), F.substring(path, len(short) + 1, 1 << 30))
+    if long != short:
+        below = below.when(path.startswith(long), F.substring(path, len(long) + 1, 1 << 30))
+    below = below.otherwise(F.raise_error(F.concat(F.lit(f"not below {short}: "), path)).cast("string"))
+    return F.url_decode(F.replace(F.element_at(F.split(below, "/"), 1), F.lit("+"), F.lit("%2B")))
 
 
 def race_id_column(root: str | None = None, pattern: str = RACE_ID_PATTERN) -> Column:
     """Race id of a row: first ``_<digits>`` of the entry below ``root`` it came from.
 
     The entry is the file itself for a file directly below ``root``, or the
-    top folder for files inside a folder -- the same rule the listing uses.
-    Without ``root`` (or for a path outside it) the file name, then its
-    folder, is used.
+    top folder for files inside a folder -- the same rule the listing uses, so
+    a file without an id never picks one up from a folder above it.  Without
+    ``root`` the file name, then its folder, is used.
     """
-    path = F.col("_metadata.file_path")
+    if root:
+        return race_id_from_name(_entry(root), pattern)
     # split, not an anchored regex: ``([^/]+)$`` backtracks over the whole path
-    parts = F.split(path, "/")
-    by_name = F.coalesce(
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    return F.coalesce(
         race_id_from_name(F.element_at(parts, -1), pattern),
         race_id_from_name(F.element_at(parts, -2), pattern),
     )
-    if not root:
-        return by_name
-    prefix = root.rstrip("/") + "/"
-    entry = F.element_at(F.split(F.substring(path, len(prefix) + 1, 1 << 30), "/"), 1)
-    # below the root only the entry counts: a file without an id must not pick
-    # one up from a folder above it
-    return F.when(path.startswith(prefix), race_id_from_name(entry, pattern)).otherwise(by_name)
 
 
 def qualified(spark: SparkSession, root: str) -> str:
-    """``root`` as the file system writes it into ``_metadata.file_path``."""
+    """``root`` as the file system writes it into ``_metadata.file_path`` (URI-encoded)."""
     jvm, conf = _hadoop(spark)
     p = jvm.org.apache.hadoop.fs.Path(root)
-    return p.getFileSystem(conf).makeQualified(p).toString()
+    return p.getFileSystem(conf).makeQualified(p).toUri().toString()
+
+
+def tolerant(c: Column, dtype: DataType) -> Column:
+    """``c`` (text) as ``dtype``; null where it has no such value.
+
+    An integer may be written as a number with an integral value (``7.0``),
+    as exports of columns with gaps do.
+    """
+    text = F.trim(c)
+    if isinstance(dtype, IntegralType):
+        number = text.try_cast("double")
+        return F.coalesce(text.try_cast(dtype), F.when(number == F.floor(number), number.try_cast(dtype)))
+    if isinstance(dtype, FractionalType):
+        return text.try_cast(dtype)
+    return c if isinstance(dtype, StringType) else text.try_cast(dtype)
+
+
+def _quoted(c: str) -> Column:
+    return F.col("`" + c.replace("`", "``") + "`")
+
+
+def typed(raw: DataFrame, types: Mapping[str, DataType]) -> DataFrame:
+    """A text scan with its declared columns cast, in the same column order."""
+    return raw.select(*[tolerant(_quoted(c), types[c]).alias(c) if c in types else _quoted(c) for c in raw.columns])
+
+
+def rejects(raw: DataFrame, types: Mapping[str, DataType]) -> dict[str, Column]:
+    """Per declared column, an aggregate counting non-empty fields without a value of its type."""
+    return {
+        c: F.count_if((F.trim(_quoted(c)) != "") & tolerant(_quoted(c), t).isNull())
+        for c, t in types.items()
+        if c in raw.columns and not isinstance(t, StringType)
+    }
+
+
+def rejected_fields(raw: DataFrame, types: Mapping[str, DataType], by: Iterable[str] = ("raceId",)) -> DataFrame:
+    """One row per group and declared column of a text scan: ``column``, ``rejected``."""
+    by = list(by)
+    counts = rejects(raw, types)
+    names = list(counts)
+    grouped = raw.groupBy(*map(_quoted, by)).agg(*[counts[c].alias(f"n{i}") for i, c in enumerate(names)])
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("rejected")) for i, c in enumerate(names)]
+    return grouped.select(*map(_quoted, by), F.inline(F.array(*pairs)))
 
 
 def _reader(spark: SparkSession, schema: StructType, options: Mapping[str, str] | None):
@@ -176,24 +232,25 @@ def _reader(spark: SparkSession, schema: StructType, options: Mapping[str, str]
     return reader
 
 
-def _schema(header: Iterable[str], types: Mapping[str, DataType]) -> StructType:
-    return StructType([StructField(h, types.get(h, StringType()), True) for h in header])
+def _scan(spark: SparkSession, header: Iterable[str], paths, options: Mapping[str, str] | None) -> DataFrame:
+    """Text scan of files with one header; names are stripped after Spark has checked them as they stand."""
+    header = list(header)
+    frame = _reader(spark, StructType([StructField(h, StringType(), True) for h in header]), options).csv(paths)
+    return frame.withColumnsRenamed({h: h.strip() for h in header if h != h.strip()})
 
 
 def scan_csv(
     spark: SparkSession,
     files: list[DataFile],
-    types: Mapping[str, DataType],
     options: Mapping[str, str] | None = None,
     header_threads: int = 16,
     root: str | None = None,
     glob: str | None = None,
 ) -> DataFrame:
-    """One CSV scan per distinct header, stacked by column name, plus ``raceId``.
+    """One text scan per distinct header, stacked by column name, plus ``raceId``.
 
     Each scan validates headers (``enforceSchema=false``), so a file whose
-    columns are reordered can never be read by position.  Unknown columns are
-    strings; a field that does not parse becomes null.
+    columns are reordered can never be read by position.
     """
     if not files:
         raise FileNotFoundError("no data files")
@@ -206,42 +263,50 @@ def scan_csv(
         groups[header].append(f.path)
     if glob and len(groups) == 1:
         # one header for every file: one path string instead of one per file
-        (header,) = groups
-        return _reader(spark, _schema(header, types), options).csv(glob).withColumn("raceId", race_id_column(root))
-    frames = [
-        _reader(spark, _schema(header, types), options).csv(paths).withColumn("raceId", race_id_column(root))
-        for header, paths in groups.items()
-    ]
-    return union_all(frames, allow_missing=True)
+        groups = {header: glob for header in groups}
+    race = race_id_column(root)
+    return union_all([_scan(spark, h, paths, options).withColumn("raceId", race) for h, paths in groups.items()], allow_missing=True)
 
 
-def scan_uniform(
-    spark: SparkSession,
-    root: str,
-    kind: str,
-    types: Mapping[str, DataType],
-    options: Mapping[str, str] | None = None,
-) -> DataFrame:
-    """All files of a kind in one scan, for datasets whose files share one header.
+def first_file(spark: SparkSession, root: str, kind: str) -> DataFile | None:
+    """One data file of a kind; the listing stops at the first."""
+    jvm, conf = _hadoop(spark)
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(conf)
+    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, f"*{kind}*")) or []:
+        entry = st.getPath().getName()
+        m = _RACE_RE.search(entry)
+        if _hidden(entry) or not m:
+            continue
+        if not st.isDirectory():
+            return DataFile(st.getPath().toString(), entry, kind, m.group(1))
+        top, it = st.getPath().toUri().getPath(), fs.listFiles(st.getPath(), True)
+        while it.hasNext():
+            f = it.next().getPath()
+            if not any(_hidden(part) for part in f.toUri().getPath()[len(top) :].split("/") if part):
+                return DataFile(f.toString(), entry, kind, m.group(1))
+    return None
+
 
-    The driver reads a single header and hands Spark one glob; Spark checks
-    the header of every file against it in the executors and fails the job
-    on a file that differs (never reading it by position).  Rows of entries
-    without a race id in their name are dropped.
+def scan_uniform(spark: SparkSession, root: str, kind: str, options: Mapping[str, str] | None = None) -> DataFrame:
+    """All files of a kind in one text scan, for datasets whose files share one header.
+
+    The driver finds a first file, reads its header and hands Spark one glob;
+    Spark lists the rest, checks the header of every file in the executors and
+    fails the job on a file that differs (never reading it by position).  Rows
+    of entries without a race id in their name are dropped.
     """
-    files = list_files(spark, root, kind)
-    if not files:
+    found = first_file(spark, root, kind)
+    if not found:
         raise FileNotFoundError(f"no {kind} files below {root}")
-    schema = _schema(read_header(spark, files[0].path), types)
-    pattern = root.rstrip("/") + f"/*{kind}*"
-    frame = _reader(spark, schema, options).csv(pattern).withColumn("raceId", race_id_column(qualified(spark, root)))
-    return frame.where(F.col("raceId").isNotNull())
+    frame = _scan(spark, read_header(spark, found.path), root.rstrip("/") + f"/*{kind}*", options)
+    return frame.withColumn("raceId", race_id_column(qualified(spark, root))).where(F.col("raceId").isNotNull())
 
 
-def telemetry(
-    spark: SparkSession, root: str, types: Mapping[str, DataType] = TELEMETRY_TYPES, headers: str = "all"
+def raw_files(
+    spark: SparkSession, root: str, kind: str, headers: str = "all", options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """All telemetry files below ``root`` as one frame with ``raceId``.
+    """All files of a kind as text columns with ``raceId``.
 
     ``headers="all"`` reads every file's header and scans each header group
     (files may differ); ``headers="first"`` is the one-glob scan of
@@ -250,34 +315,51 @@ def telemetry(
     if headers not in ("all", "first"):
         raise ValueError('headers must be "all" or "first"')
     if headers == "first":
-        return scan_uniform(spark, root, TELEMETRY, types)
-    return _scan_kind(spark, root, TELEMETRY, types)
-
-
-def _scan_kind(spark: SparkSession, root: str, kind: str, types: Mapping[str, DataType]) -> DataFrame:
+        return scan_uniform(spark, root, kind, options)
     files, skipped = _list(spark, root, kind)
     glob = None if skipped else root.rstrip("/") + f"/*{kind}*"
-    return scan_csv(spark, files, types, root=qualified(spark, root), glob=glob)
+    return scan_csv(spark, files, options, root=qualified(spark, root), glob=glob)
+
+
+def telemetry(
+    spark: SparkSession,
+    root: str,
+    types: Mapping[str, DataType] = TELEMETRY_TYPES,
+    headers: str = "all",
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """All telemetry files below ``root`` as one typed frame with ``raceId``."""
+    return typed(raw_files(spark, root, TELEMETRY, headers, options), types)
 
 
 def participants(spark: SparkSession, root: str, types: Mapping[str, DataType] = PARTICIPANT_TYPES) -> DataFrame:
     """Driver table of every race, stacked by name, with ``raceId``."""
-    return _scan_kind(spark, root, PARTICIPANTS, types)
+    return typed(raw_files(spark, root, PARTICIPANTS), types)
 
 
 def sessions(spark: SparkSession, root: str, types: Mapping[str, DataType] = SESSION_TYPES) -> DataFrame:
     """Session table of every race (read from the session files), with ``raceId``."""
-    return _scan_kind(spark, root, SESSIONS, types)
+    return typed(raw_files(spark, root, SESSIONS), types)
 
 
 def catalogue(spark: SparkSession, root: str, kinds=(TELEMETRY, PARTICIPANTS, SESSIONS)) -> DataFrame:
     """Races found below ``root``: one row per race with a flag per file kind.
 
-    Built from the file listing (one row per file), not from file contents.
+    Spark lists the files and their rows hold the path alone; no file is opened.
     """
-    listing = [(f.race_id, f.kind, f.entry) for k in kinds for f in list_files(spark, root, k)]
-    schema = "raceId string, kind string, entry string"
-    files = spark.createDataFrame(listing, schema)
+    base = qualified(spark, root)
+    jvm, conf = _hadoop(spark)
+    frames = []
+    for kind in kinds:
+        pattern = jvm.org.apache.hadoop.fs.Path(root, f"*{kind}*")
+        if not pattern.getFileSystem(conf).globStatus(pattern):
+            continue
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern.toString())
+        entry = _entry(base)
+        frames.append(files.select(entry.alias("entry"), race_id_from_name(entry, RACE_ID_PATTERN).alias("raceId"), F.lit(kind).alias("kind")))
+    if not frames:
+        frames = [spark.range(0).select(*[F.lit(None).cast("string").alias(c) for c in ("entry", "raceId", "kind")])]
+    files = union_all(frames).where(F.col("raceId").isNotNull())
     return files.groupBy("raceId").agg(
         *[F.max(F.col("kind") == F.lit(k)).alias(f"has_{k}") for k in kinds],
         F.count_distinct("entry").alias("entries"),

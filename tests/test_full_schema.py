@@ -1,6 +1,6 @@
 """The whole preparation on the full telemetry schema (all 47 filled columns)."""
 
-from pitlane.functions.roles import DEFAULT_ROLES, MEAN_SCALARS
+from pitlane.functions.roles import COMPOUND, COMPOUND_CODES, DEFAULT_ROLES, FORWARD_SCALARS, MEAN_SCALARS, ORDER_KEY, SERIES_KEYS
 from pitlane.operators.impute import prepare
 from pitlane.operators.series import Series
 from pitlane.sources.files import TELEMETRY_TYPES
@@ -8,8 +8,7 @@ from pitlane.sources.files import TELEMETRY_TYPES
 
 def raw_frame(spark, n=12):
     cols = (
-        ["raceId", "pilot_index", "frameIdentifier", "pitStatus", "resultStatus", "actualTyreCompound"]
-        + ["pitLimiterStatus", "drs", "gear", "ersDeployMode", "fuelMix"]
+        [*SERIES_KEYS, ORDER_KEY, *DEFAULT_ROLES.status_columns, *FORWARD_SCALARS]
         + list(MEAN_SCALARS)
         + list(DEFAULT_ROLES.packed_double)
         + list(DEFAULT_ROLES.packed_int)
@@ -18,14 +17,16 @@ def raw_frame(spark, n=12):
     for i in range(n):
         gap = i % 3 == 1  # every third row has nulls everywhere it can
         row = {
-            "raceId": "15525718781239906836",
+            "raceId": "18274650913827465091",
             "pilot_index": i % 2,
             "frameIdentifier": i,
             "pitStatus": None if gap else "pitting",
             "resultStatus": None if gap else "active",
-            "actualTyreCompound": None if gap else ["soft", "medium", "hard", "inter"][i % 4],
+            "actualTyreCompound": None if gap else [*(name for name, _ in COMPOUND_CODES), "inter"][i % 4],
         }
-        for c in ("pitLimiterStatus", "drs", "gear", "ersDeployMode", "fuelMix"):
+        for c in FORWARD_SCALARS:
+            if c == COMPOUND:
+                continue
             row[c] = None if gap else i
         for c in MEAN_SCALARS:
             row[c] = None if gap else float(i)

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from pitlane.plans.queries import ORACLE, QUERIES
 
 DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -31,13 +32,11 @@ def canon(cols, rows):
     return sorted(cols), sorted(tuple(norm(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     got = canon(df.columns, [tuple(r) for r in df.collect()])
-    sql = E.oracle_sql().get(name)
-    assert sql is not None, f"{name} has no oracle"
-    res = con.sql(sql)
+    res = con.sql(ORACLE[name])
     want = canon(res.columns, res.fetchall())
     assert got[0] == want[0]
     assert got[1] == want[1]
@@ -47,6 +46,10 @@ def test_query_matches_oracle(spark, con, name):
     assert spark_types == duck_types
 
 
+def test_entry_lists_every_query_and_its_oracle():
+    assert set(QUERIES) == set(ORACLE) <= set(E.oracle_sql()) <= set(E.queries())
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0

@@ -75,3 +75,41 @@ def test_cleaning_is_one_codegen_span(spark):
     ops = [l.strip(" +-:") for l in plan.splitlines() if l.strip()]
     assert ops[-1].startswith("FileScan parquet") and "Batched: true" in ops[-1]
     assert all(op.startswith("*(1) ") for op in ops[:-1]), ops
+
+
+def test_the_csv_is_parsed_once(spark, workdir):
+    from pitlane.plans.fixtures import write_kind
+    from pitlane.plans.pipeline import PipelineConf, cleaned_telemetry, prepared_telemetry
+    from pitlane.plans.telemetry_view import load_t
+
+    root = f"{workdir}/races"
+    write_kind(load_t(spark, SF_SMALL), root, "Telemetry", mode="overwrite")
+    conf = PipelineConf(source=root)
+    cleaned = cleaned_telemetry(spark, conf)
+    assert len(re.findall("FileScan csv", final_plan(cleaned))) == 1
+    cleaned.write.parquet(f"{workdir}/cleaned")
+    staged = spark.read.schema(cleaned.schema).parquet(f"{workdir}/cleaned")
+    assert "FileScan csv" not in final_plan(prepared_telemetry(staged, conf))
+
+
+def test_global_sort_orders_the_rows(spark):
+    from pyspark.sql import functions as F
+
+    from pitlane.operators.series import ordered
+    from pitlane.plans.telemetry_view import load_t
+
+    # the row index is added after the sort, so it follows the partitions' order
+    rows = ordered(load_t(spark, SF_SMALL)).withColumn("i", F.monotonically_increasing_id()).collect()
+    keys = [(r.raceId, r.pilot_index, r.frameIdentifier) for r in sorted(rows, key=lambda r: r.i)]
+    assert keys == sorted(keys) and len(keys) == load_t(spark, SF_SMALL).count()
+
+
+def test_profiles_of_dotted_columns(spark):
+    from pitlane.operators import profile as P
+
+    df = spark.createDataFrame([(1, None), (2, 3), (2, None)], "`k.x` int, `a.b` int")
+    assert P.null_counts(df, by=["k.x"]).orderBy("`k.x`").collect()[1]["a.b"] == 1
+    assert P.null_shares(df).first()["rows"] == 3
+    assert sorted((r["column"], r["nulls"]) for r in P.profile(df).collect()) == [("a.b", 2), ("k.x", 0)]
+    assert P.value_counts(df, "k.x").count() == P.distinct_values(df, "k.x").count() == 2
+    assert P.null_rows(df, "a.b").count() == 2 and P.duplicate_keys(df, ["k.x"]).count() == 1

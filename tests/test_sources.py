@@ -2,7 +2,8 @@
 
 import os
 
-from pyspark.sql.types import IntegerType
+import pytest
+from pyspark.sql.types import DoubleType, IntegerType
 
 from pitlane.sources import files as src
 
@@ -13,7 +14,7 @@ def write(path, text):
 
 
 def test_race_files_by_name_and_header(spark, workdir):
-    write(os.path.join(workdir, "TelemetryData_15525718781239906836.csv"), "pilot_index,frameIdentifier,speed,mystery\n0,1,10.5,a\n0,2,,b\n")
+    write(os.path.join(workdir, "TelemetryData_18274650913827465091.csv"), "pilot_index,frameIdentifier,speed,mystery\n0,1,10.5,a\n0,2,,b\n")
     # reordered header: must be read by name, never by position
     write(os.path.join(workdir, "TelemetryData_42.csv"), "speed,frameIdentifier,pilot_index\n7.0,5,3\n")
     write(os.path.join(workdir, "TelemetryData_nodigits.csv"), "pilot_index,frameIdentifier\n9,9\n")
@@ -22,8 +23,8 @@ def test_race_files_by_name_and_header(spark, workdir):
     df = src.telemetry(spark, workdir)
     rows = sorted((r.raceId, r.pilot_index, r.frameIdentifier, r.speed, r.mystery) for r in df.collect())
     assert rows == [
-        ("15525718781239906836", 0, 1, 10.5, "a"),
-        ("15525718781239906836", 0, 2, None, "b"),
+        ("18274650913827465091", 0, 1, 10.5, "a"),
+        ("18274650913827465091", 0, 2, None, "b"),
         ("42", 3, 5, 7.0, None),
     ]
     types = dict(df.dtypes)
@@ -32,7 +33,7 @@ def test_race_files_by_name_and_header(spark, workdir):
     assert [(r.raceId, r.trackId, r.weather) for r in s] == [("42", 3, "dry")]
     cat = {r.raceId: r for r in src.catalogue(spark, workdir).collect()}
     assert cat["42"].has_Telemetry and cat["42"].has_SessionData and cat["42"].has_ParticipantData
-    assert cat["15525718781239906836"].has_Telemetry and not cat["15525718781239906836"].has_SessionData
+    assert cat["18274650913827465091"].has_Telemetry and not cat["18274650913827465091"].has_SessionData
     assert "nodigits" not in cat
 
 
@@ -88,3 +89,49 @@ def test_no_id_from_folders_above_the_root(spark):
     for mode in ("all", "first"):
         got = sorted((r.raceId, r.pilot_index) for r in src.telemetry(spark, root, headers=mode).collect())
         assert got == [("7", 1)], mode
+
+
+def test_integers_written_as_floats_keep_their_value(spark, workdir):
+    write(
+        os.path.join(workdir, "TelemetryData_1.csv"),
+        "pilot_index,frameIdentifier,gear,drs,speed,lapDistance\n1.0,4.0,7.0,3.5,1.5,12.25\n2, 5 ,,x,fast,7\n3,9007199254740993,1e2,99999999999,,\n",
+    )
+    types = {**src.TELEMETRY_TYPES, "lapDistance": DoubleType()}
+    got = [tuple(r) for r in src.telemetry(spark, workdir, types).drop("raceId").orderBy("frameIdentifier").collect()]
+    assert got == [(1, 4, 7, None, 1.5, 12.25), (2, 5, None, None, None, 7.0), (3, 9007199254740993, 100, None, None, None)]
+    raw = src.raw_files(spark, workdir, src.TELEMETRY)
+    counts = {r.column: r.rejected for r in src.rejected_fields(raw, types).collect()}
+    assert counts == {"pilot_index": 0, "frameIdentifier": 0, "gear": 0, "drs": 3, "speed": 1, "lapDistance": 0}
+
+
+def test_header_names_with_spaces(spark, workdir):
+    write(os.path.join(workdir, "TelemetryData_1.csv"), "pilot_index, frameIdentifier ,speed\n1,2,3.5\n")
+    for mode in ("all", "first"):
+        r = src.telemetry(spark, workdir, headers=mode).first()
+        assert (r.pilot_index, r.frameIdentifier, r.speed) == (1, 2, 3.5)
+
+
+@pytest.mark.parametrize("name", ["b dir_2021", "a%20b_7", "100% _3", "plus+and_4", "ümlaut_9"])
+def test_race_ids_below_any_root(spark, workdir, name):
+    root = os.path.join(workdir, name)
+    folder = os.path.join(root, "TelemetryData_5")
+    os.makedirs(folder)
+    write(os.path.join(folder, "chunk_99.csv"), "pilot_index,frameIdentifier\n1,1\n")
+    write(os.path.join(root, "Telemetry Data %_6.csv"), "pilot_index,frameIdentifier\n2,2\n")
+    write(os.path.join(root, "TelemetryData_none.csv"), "pilot_index,frameIdentifier\n3,3\n")
+    for mode in ("all", "first"):
+        got = sorted((r.raceId, r.pilot_index) for r in src.telemetry(spark, root, headers=mode).collect())
+        assert got == [("5", 1), ("6", 2)], mode
+    cat = sorted((r.raceId, r.has_Telemetry, r.has_SessionData, r.entries) for r in src.catalogue(spark, root).collect())
+    assert cat == [("5", True, False, 1), ("6", True, False, 1)]
+
+
+def test_rows_from_outside_the_root_are_an_error(spark, workdir):
+    write(os.path.join(workdir, "TelemetryData_1.csv"), "pilot_index\n1\n")
+    frame = spark.read.option("header", True).csv(workdir).withColumn("raceId", src.race_id_column("file:/elsewhere"))
+    with pytest.raises(Exception, match="not below"):
+        frame.collect()
+
+
+def test_catalogue_of_an_empty_folder(spark, workdir):
+    assert src.catalogue(spark, workdir).collect() == []
