@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,7 +19,24 @@ SPACE = r"[\x20\x09-\x0D]+"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors, whose Python may not have it on its path.
+
+    Once a session, what ``--py-files`` does: Spark serves the driver's zip to every executor.
+    """
+    sc, package = spark.sparkContext, Path(__file__).parent.parent
+    if getattr(sc, "_pitlane_shipped", False) or not package.is_dir():  # the package is in a shipped zip itself
+        return
+    path = Path(tempfile.mkdtemp(prefix="pitlane-ship-"), f"{package.name}.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted(package.rglob("*.py")):
+            out.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    sc._pitlane_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,6 +48,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     shuffle files of the finished write are released at once.
     """
     spark = df.sparkSession
+    ship(spark)
     path = staging_path(spark, name)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")

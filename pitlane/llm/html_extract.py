@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitlane.llm.common import ship
+
 SAMPLE = 4096  # labelled pages the weights are learned from, about
 LEAST, MOST = 0.05, 6.0  # bounds of a tag's penalty
 WORD = "#word"
@@ -172,6 +174,7 @@ def _tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def learn_weights(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
     """Weight of a word (``WORD``), of each tag, and of an unseen tag (``""``)."""
+    ship(pages.sparkSession)
     marked = pages.where(F.lower("html").rlike("<(article|main)[ >]"))
     rows = pages.count()
     if rows > sample:  # a bounded sample of the pages, by hash
@@ -199,6 +202,7 @@ def _extract(weights: dict[str, float]):
 
 def main_text(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
+    ship(pages.sparkSession)
     weights = weights or learn_weights(pages)
     given = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     return given.mapInArrow(_extract(weights), "page_id long, url string, text string, n_chars long")
