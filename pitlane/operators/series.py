@@ -26,6 +26,9 @@ frame numbers and works per block:
 
 A block holds at most ``block_frames`` rows when frames are unique in a
 series, so no task buffers more than that however skewed the series sizes.
+Rows without a frame share one block per series, and rows without a key one
+series: split them off first (``operators.keys``), as the pipeline does.  Rows
+that share a frame need ``tiebreak`` columns for a defined order.
 Results equal those of an unblocked window over the whole series.
 """
 
