@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 from pyspark.sql.window import Window
 
 from pitlane.session import staging_path
@@ -64,7 +65,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def row_hash(df: DataFrame) -> Column:
     """64-bit hash of every column of a row; rows that agree on ``doc_id`` and this count as identical."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    columns = [(F.col("`" + f.name.replace("`", "``") + "`"), f.dataType) for f in df.schema.fields]
+    # maps have no hash of their own
+    return F.xxhash64(*[F.array_sort(F.map_entries(c)) if isinstance(t, MapType) else c for c, t in columns])
 
 
 def take_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -75,7 +78,7 @@ def take_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     stands for all.  Both sides meet once on (``_id``, ``_hash``), and the window
     that numbers identical rows reuses that distribution.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
     keyed = docs.select(*columns, F.coalesce(F.col("doc_id"), F.lit(-1)).alias("_id"), row_hash(docs).alias("_hash"))
     wanted = decisions.where("_copies > 0").select(F.coalesce(F.col("_id"), F.lit(-1)).alias("_id"), "_hash", "_copies")
     same = Window.partitionBy("_id", "_hash").orderBy("_hash")

@@ -112,7 +112,7 @@ def drop_duplicates(docs: DataFrame, counters: int = COUNTERS, share: float = SH
     the rest, no digest above ``share``, is ranked within its digest (Spark
     limits each task's rows to the first of a digest before the shuffle too).
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
     rows = docs.select(*columns, digest().alias("_digest"))
     digests = staged(docs.select("doc_id", digest().alias("digest")).withColumn("tag", F.lit(0)), "digests")
     frequent = frequent_digests(digests, counters, share)

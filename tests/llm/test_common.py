@@ -1,0 +1,47 @@
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from pitlane.llm import common as C
+from pitlane.llm import exact_dedup, mixing, simhash
+from pitlane.llm.labelled import remainder, sampled_labels
+
+
+def odd_frame(spark):
+    """Documents with a map, a nested and an oddly named column, some rows repeated."""
+    rows = [(1, "a b c", {"k": 1, "j": 2}, [1], 5), (1, "a b c", {"j": 2, "k": 1}, [1], 5), (2, "a  b c", None, None, None), (3, "x y z w", {}, [], 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>, l array<int>, `odd.na``me` int")
+    return df.withColumn("source", F.lit("s"))
+
+
+def test_taking_rows_keeps_columns_and_counts(spark):
+    docs = odd_frame(spark)
+    keys = docs.select(F.col("doc_id").alias("_id"), C.row_hash(docs).alias("_hash")).distinct()
+    assert keys.count() == 3  # equal maps hash alike whatever their order
+    out = C.take_rows(docs, keys.withColumn("_copies", F.col("_id")))
+    assert out.dtypes == docs.dtypes
+    assert Counter(r.doc_id for r in out.collect()) == {1: 1, 2: 2, 3: 3}
+
+
+def test_stages_stand_odd_columns(spark):
+    docs = odd_frame(spark)
+    for out, ids in ((exact_dedup.drop_duplicates(docs), [1, 3]), (simhash.drop_near_duplicates(docs), [1, 3])):
+        assert out.dtypes == docs.dtypes and sorted(r.doc_id for r in out.collect()) == ids
+    assert mixing.mixed(docs).dtypes == docs.dtypes
+
+
+def test_staged_tables_keep_rows_and_types(spark):
+    docs = odd_frame(spark).select("doc_id", "text", "m", "l")
+    again = C.staged(docs, "test")
+    assert again.dtypes == docs.dtypes and again.count() == docs.count()
+    assert C.staged(docs.limit(0), "test").collect() == []
+
+
+def test_label_samples_are_bounded_and_weighted(spark):
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(5000)] + [(None, 1), (7, None), (10, 0)], "doc_id long, toxic int")
+    got = sampled_labels(labels, "toxic", remainder(4) != 2, 300).collect()
+    of = {k: [r for r in got if r.label == k] for k in (0, 1)}
+    assert len({r.doc_id for r in got}) == len(got)
+    assert 200 < len(of[0]) < 400 and 200 < len(of[1]) < 400
+    assert abs(sum(r.weight for r in of[0]) - 0.75 * 4500) < 0.2 * 3375
+    assert [r.label for r in got if r.doc_id == 10] in ([], [1])
