@@ -124,9 +124,10 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - third] + following[:third]
 
 
-_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, common_prefix long"
+# fingerprints travel as bytes, half their hex form
+_RESULT = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, common_prefix long"
 _NAMES = [c.split()[0] for c in _RESULT.split(", ")]
-_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
+_KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.int64()]
 
 
 class _Rows:
@@ -139,9 +140,9 @@ class _Rows:
         changed = edited(text, following)
         other = PrefixHash(changed)
         changed_print = other.fingerprint()
-        sha = hashlib.sha256(changed.encode()).hexdigest()
+        sha = hashlib.sha256(changed.encode()).digest()
         near = likeness(own, changed_print), likeness(own, following_print)
-        row = (doc, len(text), sha, own, changed_print, *near, hashed.common_extension(0, other, 0))
+        row = (doc, len(text), sha, bytes.fromhex(own), bytes.fromhex(changed_print), *near, hashed.common_extension(0, other, 0))
         for column, value in zip(self.out, row, strict=True):
             column.append(value)
 
@@ -199,10 +200,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     edges = done.where("edge IS NOT NULL")
     parts = sorted(r["part"] for r in edges.where("edge = 'first'").select("part").collect())  # one number per range
     spark = docs.sparkSession
+    columns = [F.lower(F.hex(c)).alias(c) if kind == pa.binary() else c for c, kind in zip(_NAMES, _KINDS, strict=True)]
     if not parts:
-        return done.select(*_NAMES)
+        return done.select(*columns)
     following = spark.createDataFrame(list(zip(parts, [*parts[1:], parts[0]], strict=True)), "part int, follows int")
     firsts = edges.where("edge = 'first'").select(F.col("part").alias("follows"), F.col("text").alias("following"))
     lasts = edges.where("edge = 'last'").select("doc_id", "text", "part").join(following, "part").join(firsts, "follows")
     pairs = lasts.select("doc_id", "text", "following").mapInArrow(_across, _RESULT)
-    return done.where("edge IS NULL").select(*_NAMES).unionByName(pairs)
+    return done.where("edge IS NULL").select(*_NAMES).unionByName(pairs).select(*columns)
