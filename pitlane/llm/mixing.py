@@ -37,7 +37,7 @@ REPEAT = 2  # most copies of a document, and most words of a source over its siz
 TILT = 0.25
 TOLERANCE = 1e-6  # of a target; sums are rounded to a millionth of a word per cell
 MAX_STEPS = 60
-CELL = 512  # documents of a class ranked together
+CELL = 128  # documents of a class ranked together
 _UNIT = 1_000_000  # fixed point of the sums
 
 
