@@ -20,6 +20,7 @@ pieces of their own; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from pathlib import Path
@@ -28,6 +29,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,8 +38,10 @@ from pitlane.llm.common import staged
 
 TOKENS = 4096
 END = 1
-CELL = 512  # pieces of one length ranked together
-_WORDS = 1 << 18  # words whose ids a task remembers
+CELL = 128  # pieces of one length ranked together
+_WORDS = 3 << 17  # words of a generation whose ids a task remembers
+_PORTION = 4 << 20  # bytes of text tokenized together
+_PUNCTUATION = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'  # no apostrophe: it can begin a token with the letters behind it
 
 
 class Capacity(NamedTuple):
@@ -118,12 +122,13 @@ def plan(histogram: dict[int, int], capacity: Capacity = Capacity(), weights: We
     return places
 
 
-class _Ids(dict):
-    """Word (bytes) -> its token ids, 4 little-endian bytes each.
+class _Ids:
+    """Token ids of words (bytes), 4 bytes each (little-endian, as every platform Spark's Python runs on).
 
     The tokenizer drops white space before it looks for words, so a text's ids
-    are those of its parts between white space in turn; so are those of a
-    word and a comma or full stop behind its last letter.
+    are those of its parts between white space in turn; so are those of a word
+    and of the punctuation behind its last letter.  Two generations of words
+    are kept, so that words in use survive when the older one goes.
     """
 
     def __init__(self, path: str):
@@ -131,16 +136,24 @@ class _Ids(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= _WORDS:
-            self.clear()
-        if len(word) > 1 and word[-1] in b".," and 97 <= word[-2] <= 122:
-            ids = self[word[:-1]] + self[word[-1:]]
-        else:
-            encoded = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-            ids = np.array(encoded, "<u4").tobytes()
-        self[word] = ids
+        self.newer: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def word(self, word: bytes) -> bytes:
+        ids = self.newer.get(word)
+        if ids is not None:
+            return ids
+        ids = self.older.get(word)
+        if ids is None:
+            letters = word if word.isalpha() else word.rstrip(_PUNCTUATION)
+            if len(letters) < len(word) and letters.decode("utf-8", "replace")[-1:].isalpha():
+                ids = self.word(letters) + self.word(word[len(letters) :])
+            else:
+                encoded = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+                ids = array("I", encoded).tobytes()
+        if len(self.newer) >= _WORDS:
+            self.older, self.newer = self.newer, {}
+        self.newer[word] = ids
         return ids
 
 
@@ -149,22 +162,51 @@ def _ids(path: str) -> _Ids:
     return _Ids(path)
 
 
-def token_ids(text: bytes | None, path: str) -> bytes:
-    """Ids of a text in UTF-8, 4 bytes each, and the end id."""
-    ids = _ids(path)
-    return b"".join([ids[w] for w in (text or b"").lower().split()]) + END.to_bytes(4, "little")
+def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts (binary, no nulls) in turn, without end ids, and where each text's begin and the last ends.
+
+    Each different word is looked up once; the texts are then gathered from the words' ids.
+    """
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    encoded = words.flatten().dictionary_encode()
+    known = _ids(path).word
+    ids = [known(w) if w else b"" for w in encoded.dictionary.view(pa.binary()).to_pylist()]
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    codes = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    each = lengths[codes]
+    ends = np.concatenate([[0], np.cumsum(each)])
+    place = np.repeat(starts[codes] - ends[:-1], each) + np.arange(ends[-1])
+    first = words.offsets.to_numpy() - words.offsets[0].as_py()
+    return np.frombuffer(b"".join(ids), "<u4")[place], ends[first]
+
+
+def _portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about _PORTION bytes, or of one longer text."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        done = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + _PORTION, side="right")))
+        yield start, stop
+        start = stop
 
 
 def _cut(path: str, tokens: int):
+    end = END.to_bytes(4, "little")
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = token_ids(text.as_py(), path)
-                for piece, at in enumerate(range(0, len(ids), 4 * tokens)):
-                    part = ids[at : at + 4 * tokens]
-                    for column, value in zip(out, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                        column.append(value)
+            docs, texts = batch.column(0).to_pylist(), batch.column(1)
+            for start, stop in _portions(texts):
+                ids, at = token_ids(texts.slice(start, stop - start), path)
+                for doc, a, b in zip(docs[start:stop], at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    whole = ids[a:b].tobytes() + end
+                    for piece, k in enumerate(range(0, len(whole), 4 * tokens)):
+                        part = whole[k : k + 4 * tokens]
+                        for column, value in zip(out, (doc, piece, k // 4, len(part) // 4, zlib.crc32(part)), strict=True):
+                            column.append(value)
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
@@ -173,7 +215,8 @@ def _cut(path: str, tokens: int):
 
 def pieces(docs: DataFrame, path: str, tokens: int = TOKENS) -> DataFrame:
     """Pieces of at most ``tokens`` ids: doc_id, piece, start, length, ids_crc32."""
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    texts = docs.select(F.col("doc_id").cast("long"), text.alias("text"))
     return texts.mapInArrow(_cut(path, tokens), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -48,12 +49,24 @@ def test_given_documents_fill_few_sequences(spark):
     assert used <= -(-tokens // 4096) + 1
 
 
-def test_word_cache_gives_the_tokenizers_ids():
-    texts = ["it's well-known, isn't it?", "a.b, c.. d., e.,", "x y z é ẛ̣", "ΟΔΟΣ İstanbul ﬁ", "###%%% $$$ 123 1a2b", "<|endoftext|> no"]
+def test_word_cache_gives_the_tokenizers_ids(monkeypatch):
+    texts = ["it's well-known, isn't it?", "a.b, c.. d., e.,", "x y z é ẛ̣", "ΟΔΟΣ İstanbul ﬁ", "", " \t", "###%%% $$$ 123 1a2b", "<|endoftext|> no é, é.", "A" * 50]
     t = Tokenizer.from_file(PATH)
     t.encode_special_tokens = True
-    for text in texts:
-        assert np.frombuffer(P.token_ids(text.encode(), PATH), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids + [1]
+    column = pa.array([x.encode() for x in ["dropped", *texts]], pa.binary()).slice(1)
+    for generation in (1 << 18, 3):
+        monkeypatch.setattr(P, "_WORDS", generation)
+        P._ids.cache_clear()
+        ids, at = P.token_ids(column, PATH)
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_portions_cover_every_text(monkeypatch):
+    monkeypatch.setattr(P, "_PORTION", 10)
+    texts = pa.array([b"x" * n for n in (0, 3, 4, 30, 0, 0, 9, 2, 10, 1)], pa.binary())
+    ranges = list(P._portions(texts))
+    assert [i for a, b in ranges for i in range(a, b)] == list(range(10))
+    assert all(b == a + 1 or sum(map(len, texts[a:b].to_pylist())) <= 10 for a, b in ranges)
 
 
 def pack_one_by_one(lengths, capacity):
