@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -122,16 +122,15 @@ def _diffuse(repeat: int):
     document has words, however many documents there are.
     """
 
-    def task(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("size", ascending=False)
+    def task(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("size", "descending")])
         owed, copies = 0.0, []
-        for words, n, rate in zip(group["size"], group["n"], group["rate"], strict=True):
+        for words, n, rate in zip(*(group.column(c).to_pylist() for c in ("size", "n", "rate")), strict=True):
             owed += words * n * rate
-            most = n * repeat
-            m = int(min(most, max(0, math.floor(owed / words + 0.5)))) if words else 0
+            m = min(n * repeat, max(0, math.floor(owed / words + 0.5))) if words else 0
             owed -= m * words
             copies.append(m)
-        return group.assign(copies=copies)[["source", "size", "n", "copies"]]
+        return group.select(["source", "size", "n"]).append_column("copies", pa.array(copies, pa.int64()))
 
     return task
 
@@ -145,7 +144,7 @@ def copies(docs: DataFrame, weights: tuple = WEIGHTS, volume: float = VOLUME, re
     solved = balance(histogram, sources, repeat, tilt)
     rated = histogram.join(solved.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
     rated = rated.withColumn("x", F.pow(F.col("size") / F.greatest("mean", F.lit(1.0)), F.lit(float(tilt)))).withColumn("rate", _tilted(repeat))
-    whole = rated.select("source", "size", "n", "rate").groupBy("source").applyInPandas(_diffuse(repeat), "source string, size long, n long, copies long")
+    whole = rated.select("source", "size", "n", "rate").groupBy("source").applyInArrow(_diffuse(repeat), "source string, size long, n long, copies long")
     plan = whole.join(sources.select(F.col("source").alias("_s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("_s")))
     plan = staged(plan.select(F.col("source").alias("_s"), F.col("size").alias("_z"), "n", "copies", "source_size", "target"), "plan")
     planned = rows.join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z"))).drop("_s", "_z")

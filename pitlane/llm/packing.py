@@ -27,7 +27,6 @@ from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -39,7 +38,8 @@ from pitlane.llm.common import staged
 TOKENS = 4096
 END = 1
 CELL = 128  # pieces of one length ranked together
-_WORDS = 3 << 17  # words of a generation whose ids a task remembers
+_WORDS = 1 << 18  # words of a generation whose ids a task remembers
+_PIECE = ["doc_id", "piece", "start", "length", "ids_crc32"]
 _PORTION = 4 << 20  # bytes of text tokenized together
 _PUNCTUATION = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'  # no apostrophe: it can begin a token with the letters behind it
 
@@ -208,7 +208,9 @@ def _cut(path: str, tokens: int):
                         for column, value in zip(out, (doc, piece, k // 4, len(part) // 4, zlib.crc32(part)), strict=True):
                             column.append(value)
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], _PIECE)
+        _ids(path).older = {}  # the task's process lives on
+
 
     return task
 
@@ -236,26 +238,21 @@ def ranked(items: DataFrame, histogram: DataFrame) -> DataFrame:
     return numbered.withColumn("rank", F.col("_base") + F.col("_row") - 1).drop("_cells", "_cell", "_n", "_base", "_row")
 
 
+_RANK_BITS = 48
+
+
 def _locate(places: list[Place]):
-    table = pd.DataFrame(places, columns=Place._fields).astype("int64").sort_values(["length", "rank"], ignore_index=True)
-    lengths, keys = table["length"].to_numpy(), table["rank"].to_numpy()
+    table = np.array(sorted(places), np.int64)
+    keys = table[:, 0] << _RANK_BITS | table[:, 1]
 
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        starts = dict(zip(*np.unique(lengths, return_index=True), strict=True))
-        ends = {n: at + int((lengths == n).sum()) for n, at in starts.items()}
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.zeros(len(batch), np.int64)
-            rank = batch["rank"].to_numpy()
-            for length, rows in batch.groupby("length").indices.items():
-                low, high = starts[length], ends[length]
-                at[rows] = low + np.searchsorted(keys[low:high], rank[rows], side="right") - 1
-            place = table.iloc[at].reset_index(drop=True)
-            index = rank - place["rank"].to_numpy()
-            each = place["each"].to_numpy()
-            yield batch.drop(columns="rank").assign(
-                sequence_id=place["bin"].to_numpy() + index // each,
-                offset=place["offset"].to_numpy() + index % each * batch["length"].to_numpy(),
-            )[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+            length, rank = (batch.column(c).to_numpy() for c in ("length", "rank"))
+            place = table[np.searchsorted(keys, length << _RANK_BITS | rank, side="right") - 1]
+            _, start, first, _, each, offset = place.T
+            sequence, at = first + (rank - start) // each, offset + (rank - start) % each * length
+            kept = [batch.column(c) for c in _PIECE]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(at)], [*_PIECE, "sequence_id", "offset"])
 
     return task
 
@@ -269,7 +266,7 @@ def pack(docs: DataFrame, path: str, capacity: Capacity = Capacity(), weights: W
     if not places:
         return items.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return ranked(items, histogram).select(*items.columns, "rank").mapInPandas(_locate(places), schema)
+    return ranked(items, histogram).select(*_PIECE, "rank").mapInArrow(_locate(places), schema)
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

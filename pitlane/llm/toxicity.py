@@ -25,7 +25,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -79,30 +78,30 @@ def _present(text: str | None, cache: _Cache) -> set[int]:
     return out
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Weighted texts with each feature, by whether the text is toxic; summed up per task."""
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with each feature, by whether the text is toxic; summed up per task."""
     cache, counts = _Cache(), (Counter(), Counter())
     for batch in batches:
-        for text, label in zip(batch["text"], batch["label"], strict=True):
-            counts[label > 0].update(_present(text, cache))
+        for text, label in zip(batch.column("text"), batch.column("label").to_pylist(), strict=True):
+            counts[label > 0].update(_present(text.as_py(), cache))
     for toxic, found in enumerate(counts):
         keys, n = np.array(list(found), np.int64), np.array(list(found.values()), np.int64)
-        yield pd.DataFrame({"key": keys, "clean": n * (toxic == 0), "toxic": n * (toxic == 1)})
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n * (toxic == 0)), pa.array(n * (toxic == 1))], ["key", "clean", "toxic"])
 
 
-def choose_features(sample: DataFrame, most: int = FEATURES) -> pd.DataFrame:
-    """key, lift of the features that speak for toxicity, strongest first; at most ``most`` rows."""
-    sizes = {r["t"]: (r["n"], r["w"]) for r in sample.groupBy((F.col("label") > 0).alias("t")).agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("w")).collect()}
+def choose_features(sample: DataFrame, most: int = FEATURES) -> list[tuple[int, float]]:
+    """(key, lift) of the features that speak for toxicity, strongest first; at most ``most``."""
+    sizes = {r["t"]: r["n"] for r in sample.groupBy((F.col("label") > 0).alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
-        return pd.DataFrame({"key": np.zeros(0, np.int64), "lift": np.zeros(0)})
-    n0, n1 = sizes[False][0], sizes[True][0]
-    counts = sample.select("text", "label").mapInPandas(_count, "key long, clean long, toxic long")
+        return []
+    n0, n1 = sizes[False], sizes[True]
+    counts = sample.select("text", "label").mapInArrow(_count, "key long, clean long, toxic long")
     counts = counts.groupBy("key").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("toxic") >= SUPPORT)
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
     chi2 = (n0 + n1) * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2)) / ((a + b) * (n0 + n1 - a - b + 1e-9) * n0 * n1)
     lift = F.ln((a + 0.5) / (n1 + 1)) - F.ln((b + 0.5) / (n0 + 1))
     strong = counts.select("key", lift.alias("lift"), chi2.alias("chi2")).where((F.col("lift") > 1) & (F.col("chi2") >= CHI2))
-    return strong.orderBy(F.desc("chi2"), "key").limit(most).select("key", "lift").toPandas()  # bounded by the model's size
+    return [(r["key"], r["lift"]) for r in strong.orderBy(F.desc("chi2"), "key").limit(most).collect()]  # bounded by the model's size
 
 
 def fit(rows: list[list[int]], grades: np.ndarray, weights: np.ndarray, features: int, ridge: float = RIDGE, steps: int = STEPS):
@@ -139,12 +138,14 @@ def fit(rows: list[list[int]], grades: np.ndarray, weights: np.ndarray, features
 
 
 def _encode(index: dict[int, int], telling: set[int]):
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Cache(index)
         for batch in batches:
-            found = [sorted(_present(t, cache)) for t in batch["text"]]
-            words = [{w.lower().strip(_EDGES) for w in set((t or "").split()) if not telling.isdisjoint(cache[w])} for t in batch["text"]]
-            yield pd.DataFrame({"features": found, "telling": [len(w) for w in words], "label": batch["label"], "weight": batch["weight"]})
+            texts = [t.as_py() or "" for t in batch.column("text")]
+            found = [sorted(_present(t, cache)) for t in texts]
+            words = [len({w.lower().strip(_EDGES) for w in set(t.split()) if not telling.isdisjoint(cache[w])}) for t in texts]
+            columns = [pa.array(found, pa.list_(pa.int32())), pa.array(words, pa.int32()), batch.column("label"), batch.column("weight")]
+            yield pa.RecordBatch.from_arrays(columns, ["features", "telling", "label", "weight"])
 
     return task
 
@@ -167,18 +168,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     chosen = staged(sampled_labels(labels, label, remainder(4) != HELD_OUT, sample), "sample")
     rows = staged(with_labels(docs, chosen, "text"), "labelled")
     features = choose_features(rows)
-    index = {int(k): i for i, k in enumerate(features["key"])}
-    telling = {i for i, lift in enumerate(features["lift"]) if lift > 2}
+    index = {k: i for i, (k, _) in enumerate(features)}
+    telling = {i for i, (_, lift) in enumerate(features) if lift > 2}
     # about ``sample`` rows of each class, each a short list of feature numbers
-    data = rows.mapInPandas(_encode(index, telling), "features array<int>, telling int, label int, weight double").toPandas()
-    data = data.assign(key=[tuple(f) for f in data["features"]]).sort_values(["label", "telling", "weight", "key"], ignore_index=True)
-    grades = data["label"].to_numpy(np.int64)
+    encoded = rows.select("text", "label", "weight").mapInArrow(_encode(index, telling), "features array<int>, telling int, label int, weight double")
+    data = sorted((r["label"], r["telling"], r["weight"], tuple(r["features"])) for r in encoded.collect())
+    grades, many, given = (np.array([r[i] for r in data], k) for i, k in enumerate((np.int64, np.int64, float)))
     if len(grades) and grades.max() == 1:
-        many = data["telling"].to_numpy()
         cuts = np.quantile(many[grades == 1], [1 / 3, 2 / 3])
         grades = np.where(grades == 1, 1 + (many > cuts[0]) + (many > cuts[1]), 0)
         _, grades = np.unique(grades, return_inverse=True)  # equal cuts leave a grade empty
-    weights, theta = fit(data["features"].tolist(), grades, data["weight"].to_numpy(float), len(index))
+    weights, theta = fit([r[3] for r in data], grades, given, len(index))
     return Model(index, weights, theta)
 
 
