@@ -11,8 +11,9 @@ candidate's probability of being a secret.
 Everything runs on DataFrame functions and Spark ML.  The forest, the letter
 statistics and the leading words come from a bounded sample of labelled findings, about
 ``SAMPLE`` of each label.  Where a table brings no labels, ``weak_labels`` stands
-in: quoted values assigned to a credential's name are true findings, candidates
-between plain words false ones, and all others stay unlabelled.
+in: values assigned to a credential's name, quoted or not, and tokens of known kinds are
+true findings, candidates between two real words with no credential's name near
+false ones, and all others stay unlabelled.
 
 Defined cases: null and empty texts have no candidates; whole texts are
 scanned; positions count code points; a null path is an empty one; without
@@ -40,8 +41,15 @@ SEEN = 3  # times a letter triple occurs in sampled words to count as in the dic
 TREES, DEPTH = 20, 6
 ACCEPT = 0.5
 
-CANDIDATE = rf"(?<![\p{{L}}\p{{N}}+/_=-])[A-Za-z0-9+/_=-]{{{LEAST},}}+(?![\p{{L}}\p{{N}}])"
-CREDENTIAL = r"(?i)(token|secret|passw(or)?d|passwd|pwd|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth)[\w.\[\]\"'-]*\s*(=|:|:=|=>)\s*[\"'`]$"
+_NAME = r"(?i:token|secret|passw(?:or)?d|passwd|pwd|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth)"
+_ASSIGNED = _NAME + r"[\w.\[\]\"'-]{0,32}\s{0,4}(?:=|:|:=|=>)\s{0,4}"
+_LONG = rf"(?<![\p{{L}}\p{{N}}+/_=-])(?![\w-]*{_NAME}[\w-]{{0,32}}=[^=\s])[A-Za-z0-9+/_=-]{{{LEAST},}}+(?![\p{{L}}\p{{N}}])"
+_UNQUOTED = rf"(?<=[=:>\s])(?<={_ASSIGNED})(?![=:>])[A-Za-z0-9+/_=-]{{{LEAST},}}+(?![\p{{L}}\p{{N}}])"
+#: A run of key characters, or one behind a credential's name and a sign of assignment.
+CANDIDATE = rf"{_UNQUOTED}|{_LONG}"
+CREDENTIAL = rf"{_NAME}[\w.\[\]\"'-]*\s*(=|:|:=|=>)\s*[\"'`]$"
+CREDENTIAL_UNQUOTED = rf"{_NAME}[\w.\[\]\"'-]*\s*(=|:|:=|=>)\s*$"
+KNOWN = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{20,}$|^github_pat_\w{20,}$|^glpat-[\w-]{16,}$|^xox[abprs]-[\w-]{10,}$|^[sr]k_live_\w{16,}$|^AIza[\w-]{30,}$|^eyJ[\w-]{5,}(\.[\w-]+)+$"
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _N = len(_LETTERS) + 1
 
@@ -76,10 +84,14 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
 
 
 def weak_labels(findings: DataFrame) -> DataFrame:
-    """Adds ``label``: 1 for quoted values assigned to a credential's name, 0 between plain words, else null."""
-    true = F.col("before").rlike(CREDENTIAL) & F.col("after").rlike("^[\"'`]")
-    plain = F.col("before").rlike(r"(^|\s)[\p{L}.,;!?|]*\s*$") & F.col("after").rlike(r"^[.,;!?|#$%&*]*\s*[\p{L}.,;|]*(\s|$)")
-    return findings.withColumn("label", F.when(true, 1).when(plain, 0))
+    """Adds ``label``: 1 for values assigned to a credential's name and known kinds of token, 0 between two real words with no credential's name near, else null."""
+    before, after, value = F.col("before"), F.col("after"), F.col("candidate")
+    telling = value.rlike(r"[^\p{L}]") | (F.length(value) >= LEAST)  # not ``auth: "basic"``
+    quoted = before.rlike(CREDENTIAL) & after.rlike("^[\"'`]") & telling
+    unquoted = before.rlike(CREDENTIAL_UNQUOTED) & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.length(value) >= 8)
+    cue = before.rlike(_NAME) | after.rlike(_NAME)
+    plain = before.rlike(r"(^|\s)\p{L}+[.,;!?|]*\s+$") & after.rlike(r"^[.,;!?|]*\s+\p{L}+[.,;!?|#$%&*]*(\s|$)") & ~cue
+    return findings.withColumn("label", F.when(quoted | unquoted | value.rlike(KNOWN), 1).when(plain, 0))
 
 
 def _table(values: list[float]) -> Column:
