@@ -19,6 +19,7 @@ pieces of their own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -135,7 +136,9 @@ class _Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.added = {content.encode(): i for content, i in added.items()}
+        self.tokenizer.encode_special_tokens = True  # words only; ``text_ids`` takes the added tokens out before
         self.newer: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -181,6 +184,31 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(ids), "<u4")[place], ends[first]
 
 
+def text_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``token_ids``, but added tokens written in a text have their own ids, as the plain tokenizer gives them."""
+    added = _ids(path).added
+    if not added:
+        return token_ids(texts, path)
+    pattern = "|".join(re.escape(a.decode()) for a in sorted(added, key=len, reverse=True))
+    if not pc.any(pc.match_substring_regex(texts, pattern)).as_py():
+        return token_ids(texts, path)
+    split = re.compile(f"({pattern})".encode())
+    parts = [split.split(t) for t in texts.to_pylist()]  # text, added token, text, ...
+    ids, at = token_ids(pa.array([x for p in parts for x in p[::2]], pa.binary()), path)
+    out, ends, k = [], [0], 0
+    for p in parts:
+        n = 0
+        for i, part in enumerate(p):
+            if i % 2:
+                got = np.array([added[part]], "<u4")
+            else:
+                got, k = ids[at[k] : at[k + 1]], k + 1
+            out.append(got)
+            n += len(got)
+        ends.append(ends[-1] + n)
+    return np.concatenate(out), np.array(ends)
+
+
 def _portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about _PORTION bytes, or of one longer text."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
@@ -200,7 +228,7 @@ def _cut(path: str, tokens: int):
             out: tuple[list, ...] = ([], [], [], [], [])
             docs, texts = batch.column(0).to_pylist(), batch.column(1)
             for start, stop in _portions(texts):
-                ids, at = token_ids(texts.slice(start, stop - start), path)
+                ids, at = text_ids(texts.slice(start, stop - start), path)
                 for doc, a, b in zip(docs[start:stop], at[:-1].tolist(), at[1:].tolist(), strict=True):
                     whole = ids[a:b].tobytes() + end
                     for piece, k in enumerate(range(0, len(whole), 4 * tokens)):

@@ -117,3 +117,16 @@ def test_many_pieces_of_one_length(spark):
 
 def test_empty_table(spark):
     assert P.pack(frame(spark, []), PATH).collect() == []
+
+
+ADDED = ["end <|endoftext|> next", "<|startoftext|>a<|endoftext|><|endoftext|>b é.", "<|ENDOFTEXT|> x", "it's<|endoftext|>'s", "<|endoftext", "", "plain"]
+
+
+def test_added_tokens_have_the_plain_tokenizers_ids(spark):
+    t = Tokenizer.from_file(PATH)
+    column = pa.array([x.encode() for x in ["<|endoftext|>", *ADDED]], pa.binary()).slice(1)
+    ids, at = P.text_ids(column, PATH)
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [t.encode(x, add_special_tokens=False).ids for x in ADDED]
+    assert ids[at[0] : at[1]].tolist() == [806, 49407, 1131]
+    rows = list(enumerate(ADDED))
+    check(rows, P.pack(frame(spark, rows), PATH).collect())
