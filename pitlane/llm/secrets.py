@@ -1,7 +1,8 @@
 """Secret scans with a random forest that removes false positives.
 
-Candidates are runs of at least ``LEAST`` characters that keys and tokens are made
-of.  Each is described by its length, its character transitions (changes
+Candidates are the whole values behind a credential's name, quoted or not, whatever
+their length and characters, passwords in URLs, and runs of at least ``LEAST``
+characters that keys and tokens are made of, also with dots.  Each is described by its length, its character transitions (changes
 of character class, and how likely its letter pairs are in words), its dictionary
 coverage (letter triples that occur in words), the path it was found under and
 its neighbouring words (assignment, quotes, and how often the word before
@@ -43,10 +44,15 @@ ACCEPT = 0.5
 
 _NAME = r"(?i:token|secret|passw(?:or)?d|passwd|pwd|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth)"
 _ASSIGNED = _NAME + r"[\w.\[\]\"'-]{0,32}\s{0,4}(?:=|:|:=|=>)\s{0,4}"
-_LONG = rf"(?<![\p{{L}}\p{{N}}+/_=-])(?![\w-]*{_NAME}[\w-]{{0,32}}=[^=\s])[A-Za-z0-9+/_=-]{{{LEAST},}}+(?![\p{{L}}\p{{N}}])"
-_UNQUOTED = rf"(?<=[=:>\s])(?<={_ASSIGNED})(?![=:>])[A-Za-z0-9+/_=-]{{{LEAST},}}+(?![\p{{L}}\p{{N}}])"
-#: A run of key characters, or one behind a credential's name and a sign of assignment.
-CANDIDATE = rf"{_UNQUOTED}|{_LONG}"
+_RUN = r"[A-Za-z0-9+/_=-]"
+_START = rf"(?<![\p{{L}}\p{{N}}+/_=-])(?![\w-]*{_NAME}[\w-]{{0,32}}=[^=\s])"
+_DOTTED = rf"{_START}(?<!\.)(?:eyJ[\w-]{{5,}}(?:\.[\w-]+)+|{_RUN}{{2,}}(?:\.{_RUN}+)*\.{_RUN}{{{LEAST},}}(?:\.{_RUN}+)*|{_RUN}{{{LEAST},}}(?:\.{_RUN}+)+)(?![\p{{L}}\p{{N}}])"
+_LONG = rf"{_START}{_RUN}{{{LEAST},}}+(?![\p{{L}}\p{{N}}])"
+_QUOTED = "|".join(rf"(?<={q})(?<={_ASSIGNED}{q})[^{q}\r\n]++(?={q})" for q in "\"'`")
+_UNQUOTED = rf"(?<=[=:>\s])(?<={_ASSIGNED})(?!//|[=:>])[^\s\"'`,;]++"
+_URL = r"(?<=:)(?<=://[^\s:/@]{0,64}:)[^\s/\"'`]+(?=@)"
+#: The whole value behind a credential's name, the password of a URL, or a run of key characters, with dots or without.
+CANDIDATE = rf"{_QUOTED}|{_UNQUOTED}|{_URL}|{_DOTTED}|{_LONG}"
 CREDENTIAL = rf"{_NAME}[\w.\[\]\"'-]*\s*(=|:|:=|=>)\s*[\"'`]$"
 CREDENTIAL_UNQUOTED = rf"{_NAME}[\w.\[\]\"'-]*\s*(=|:|:=|=>)\s*$"
 KNOWN = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{20,}$|^github_pat_\w{20,}$|^glpat-[\w-]{16,}$|^xox[abprs]-[\w-]{10,}$|^[sr]k_live_\w{16,}$|^AIza[\w-]{30,}$|^eyJ[\w-]{5,}(\.[\w-]+)+$"
@@ -89,9 +95,10 @@ def weak_labels(findings: DataFrame) -> DataFrame:
     telling = value.rlike(r"[^\p{L}]") | (F.length(value) >= LEAST)  # not ``auth: "basic"``
     quoted = before.rlike(CREDENTIAL) & after.rlike("^[\"'`]") & telling
     unquoted = before.rlike(CREDENTIAL_UNQUOTED) & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.length(value) >= 8)
+    url = before.rlike(r"://[^\s:/@]*:$") & after.rlike("^@")
     cue = before.rlike(_NAME) | after.rlike(_NAME)
     plain = before.rlike(r"(^|\s)\p{L}+[.,;!?|]*\s+$") & after.rlike(r"^[.,;!?|]*\s+\p{L}+[.,;!?|#$%&*]*(\s|$)") & ~cue
-    return findings.withColumn("label", F.when(quoted | unquoted | value.rlike(KNOWN), 1).when(plain, 0))
+    return findings.withColumn("label", F.when(quoted | unquoted | url | value.rlike(KNOWN), 1).when(plain, 0))
 
 
 def _table(values: list[float]) -> Column:
