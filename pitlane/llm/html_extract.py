@@ -8,7 +8,8 @@ one ``article`` or ``main`` element serve as labelled, a bounded sample of them.
 
 Elements that are never content (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, comments), known by tag or by class and id words, are
-cut out before the scan, wherever they stand.  The region's text is split into
+cut out before the scan, wherever they stand; class and id words count on containers, not
+on headings, paragraphs and the like inside the content.  The region's text is split into
 blocks at block-level tags; references are decoded, white space inside a
 block becomes one space, blocks are joined by one newline.
 
@@ -38,16 +39,18 @@ SAMPLE = 4096  # labelled pages the weights are learned from, about
 LEAST, MOST = 0.05, 6.0  # bounds of a tag's penalty
 WORD = "#word"
 
-_RAW = "script style textarea title noscript template svg math iframe object select"
+_RAW = "script style textarea title iframe select"
+_DRAWN = "svg"  # may close itself, unlike the raw elements of HTML
 _PIECE = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({'|'.join(_RAW.split())})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
+    rf"<!--.*?(?:-->|\Z)|<({'|'.join(_RAW.split())})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"""|<{_DRAWN}\b(?:"[^"]*"|'[^']*'|[^>"'])*(?:(?<=/)>|>.*?(?:</{_DRAWN}\s*>|\Z))|<[!?][^>]*>"""
     r"""|<(/?)([a-z][\w:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>|<(/?)([a-z][\w:-]*)([^>]*)>|[^<]+|<""",
     re.S | re.I,
 )
 _NAMING = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr math semantics mi mn mo mtext ms mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BOILER_TAGS = frozenset("nav header footer aside form button dialog menu head fieldset".split())
@@ -56,6 +59,8 @@ _BOILER_NAMES = frozenset(
     "consent notice notices popup modal promo sponsor sponsored share sharing social related newsletter subscribe comment comments "
     "reply replies respond footer header masthead topbar toolbar pagination pager login signup search complementary contentinfo".split()
 )
+#: Elements that hold text of their own: a class or id does not make them boilerplate inside marked content, or on a page that marks none.
+_CONTENT = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote figure figcaption table caption thead tbody tfoot tr td th li dt dd".split()) | _INLINE
 _MARKS = frozenset(("article", "main"))
 _OWN = frozenset(("html", "body", *_MARKS))
 
@@ -106,7 +111,8 @@ def without_boilerplate(parts: list[tuple[str, str]]) -> list[tuple[str, str]]:
         kind, name = parts[i]
         if kind == "boiler" or kind == "open" and name in _BOILER_TAGS:
             end = ends.get(i)
-            own = name == "header" and kind == "open" and any(a < i < b for a, b in inside)
+            own = name == "header" and kind == "open" or name in _CONTENT
+            own = own and (any(a < i < b for a, b in inside) or not marks and name in _CONTENT)
             if end is not None and not own and not any(i < m < end for m in marks):
                 i = end + 1
                 continue

@@ -82,3 +82,16 @@ def test_awkward_rows(spark):
 def test_weights_follow_the_labels(spark):
     weights = H.learn_weights(table(spark, "/root/testdata/sf0.01", "pages"))
     assert weights[H.WORD] > 0 > weights["p"] > weights["a"] and all(v < 0 for k, v in weights.items() if k != H.WORD)
+
+
+def test_nothing_else_of_an_article_is_dropped():
+    def of(inner):
+        return H.extract(f"<nav>menu</nav><article>{inner}</article>", {H.WORD: 2.0, "": -0.1})
+
+    assert of('<p>one</p><svg class="i"/><p>two</p><p>three</p>') == "one\ntwo\nthree"
+    assert of('<p>one</p><svg viewBox="0 0 1 1"><path d="x"/><text>drawn</text></svg><p>two</p>') == "one\ntwo"
+    assert of("<p>so <math><mi>x</mi></math> holds</p><math/><p>two</p>") == "so x holds\ntwo"
+    assert of("<object><p>plain form</p></object><noscript><p>no script</p></noscript>") == "plain form\nno script"
+    assert of('<h2 id="related-work">Related work</h2><p class="notice">text</p><h2 class="section-header">Next</h2>') == "Related work\ntext\nNext"
+    assert of('<p>one</p><div class="related"><p>other pages</p></div>') == "one"
+    assert H.extract('<div><h2 class="section-header">Title</h2><p>one two three</p></div>', {H.WORD: 2.0, "": -0.1}) == "Title\none two three"
