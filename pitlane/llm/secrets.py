@@ -45,11 +45,12 @@ ACCEPT = 0.5
 _NAME = r"(?i:token|secret|passw(?:or)?d|passwd|pwd|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth)"
 _ASSIGNED = _NAME + r"[\w.\[\]\"'-]{0,32}\s{0,4}(?:=|:|:=|=>)\s{0,4}"
 _RUN = r"[A-Za-z0-9+/_=-]"
-_START = rf"(?<![\p{{L}}\p{{N}}+/_=-])(?![\w-]*{_NAME}[\w-]{{0,32}}=[^=\s])"
-_DOTTED = rf"{_START}(?<!\.)(?:eyJ[\w-]{{5,}}(?:\.[\w-]+)+|{_RUN}{{2,}}(?:\.{_RUN}+)*\.{_RUN}{{{LEAST},}}(?:\.{_RUN}+)*|{_RUN}{{{LEAST},}}(?:\.{_RUN}+)+)(?![\p{{L}}\p{{N}}])"
-_LONG = rf"{_START}{_RUN}{{{LEAST},}}+(?![\p{{L}}\p{{N}}])"
+_EDGE = r"(?<![\p{L}\p{N}+/_=-])"  # cheap conditions stand before those that search
+_START = rf"(?![\w-]*{_NAME}[\w-]{{0,32}}=[^=\s])"
+_DOTTED = rf"{_EDGE}(?<!\.)(?={_RUN}{{2,}}+\.{_RUN}){_START}(?:eyJ[\w-]{{5,}}(?:\.[\w-]+)+|{_RUN}{{2,}}(?:\.{_RUN}+)*\.{_RUN}{{{LEAST},}}(?:\.{_RUN}+)*|{_RUN}{{{LEAST},}}(?:\.{_RUN}+)+)(?![\p{{L}}\p{{N}}])"
+_LONG = rf"{_EDGE}(?={_RUN}{{{LEAST}}}){_START}{_RUN}{{{LEAST},}}+(?![\p{{L}}\p{{N}}])"
 _QUOTED = "|".join(rf"(?<={q})(?<={_ASSIGNED}{q})[^{q}\r\n]++(?={q})" for q in "\"'`")
-_UNQUOTED = rf"(?<=[=:>\s])(?<={_ASSIGNED})(?!//|[=:>])[^\s\"'`,;]++"
+_UNQUOTED = rf"(?<=[=:>\s])(?<=[=:>]\s{{0,4}})(?<={_ASSIGNED})(?!//|[=:>])[^\s\"'`,;]++"
 _URL = r"(?<=:)(?<=://[^\s:/@]{0,64}:)[^\s/\"'`]+(?=@)"
 #: The whole value behind a credential's name, the password of a URL, or a run of key characters, with dots or without.
 CANDIDATE = rf"{_QUOTED}|{_UNQUOTED}|{_URL}|{_DOTTED}|{_LONG}"
