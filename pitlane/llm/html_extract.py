@@ -182,9 +182,9 @@ def learn_weights(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
     """Weight of a word (``WORD``), of each tag, and of an unseen tag (``""``)."""
     ship(pages.sparkSession)
     marked = pages.where(F.lower("html").rlike("<(article|main)[ >]"))
-    rows = pages.count()
-    if rows > sample:  # a bounded sample of the pages, by hash
-        marked = marked.where(F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)) < F.lit(sample / rows * (1 << 30)))
+    rows = marked.count()
+    if rows > sample:  # a bounded sample of the marked pages, by hash; pages without an id and url differ by their html
+        marked = marked.where(F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(1 << 30)) < F.lit(sample / rows * (1 << 30)))
     counts = marked.select("html").mapInPandas(_tally, "kind string, inside long, outside long").groupBy("kind")
     # a row for each tag name used by the sampled pages
     counts = {r["kind"]: (r["inside"], r["outside"]) for r in counts.agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).collect()}

@@ -95,3 +95,12 @@ def test_nothing_else_of_an_article_is_dropped():
     assert of('<h2 id="related-work">Related work</h2><p class="notice">text</p><h2 class="section-header">Next</h2>') == "Related work\ntext\nNext"
     assert of('<p>one</p><div class="related"><p>other pages</p></div>') == "one"
     assert H.extract('<div><h2 class="section-header">Title</h2><p>one two three</p></div>', {H.WORD: 2.0, "": -0.1}) == "Title\none two three"
+
+
+def test_unmarked_pages_do_not_thin_out_the_labelled_ones(spark):
+    marked = [(None, None, f"<div><a>m{i}</a></div><article><p>one two</p>{'<b>x</b>' * i}</article>") for i in range(40)]
+    pages = spark.createDataFrame(marked + [(i, "u", "<p>words</p>") for i in range(400)], "page_id long, url string, html string")
+    every = H.learn_weights(pages, 10_000)
+    assert H.learn_weights(pages, 40) == every
+    some = H.learn_weights(pages, 20)
+    assert some != every and "b" in some
