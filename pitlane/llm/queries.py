@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlane.llm import exact_dedup, html_extract, mixing, packing, pitman_yor, prefix_hash, quality, secrets, simhash, toxicity
+from pitlane.llm import exact_dedup, html_extract, mixing, packing, pitman_yor, prefix_hash, quality, secrets, simhash, token_counts, toxicity
 from pitlane.llm.common import table
 
 
@@ -61,6 +61,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents under the byte-level tokenizer."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -72,6 +77,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLE = {"op9_exact_dedup": exact_dedup.SQL}
