@@ -14,10 +14,11 @@ pre-tokens' frequencies:
 No pre-token of the second kind can be hot: each has less than 1 / FREQUENT of all
 occurrences, and its rows of one document are one.
 
-Texts are cut at ASCII white space first, where the byte-level pattern always
-cuts, so that each distinct stretch between is split once a task.  Texts holding
-another white-space character or the tokenizer's added tokens are split whole;
-an added token counts one, as the tokenizer's default has it.
+Texts are cut on whole batches with numpy: the byte-level pattern looks at classes of
+characters alone (letters, numbers, white space, others), which are asked from the
+tokenizer itself, and at the English endings behind an apostrophe.  Texts holding the
+tokenizer's added tokens or characters beyond the table are split by the library; an added token
+counts one, as the tokenizer's default has it.
 
 Defined cases: a null text counts as empty (0 bytes, 0 tokens); repeated rows and null
 ids are rows of their own; an empty table gives an empty result; other columns are ignored.
@@ -42,14 +43,16 @@ from pyspark.sql import functions as F
 from pitlane.llm.common import staged
 
 LIMIT = 512
-FREQUENT = 1 << 17  # pre-tokens whose counts every task holds (about 20 MB)
-_GATHERED = 1 << 19  # distinct pre-tokens a task holds before it passes them on
-_FORMS = 1 << 18  # stretches of a generation whose pre-tokens a task remembers
+FREQUENT = 1 << 17  # at most so many pre-tokens whose counts every task holds (about 4 MB)
 _PORTION = 4 << 20  # bytes of text split together
+_STEPS = 8  # steps of frequency to a doubling, when the frequent ones are chosen
 
-_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
-# white space beyond ASCII, and characters that only some libraries count as such
-_OTHER_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
+# classes of characters, and how many characters have theirs in the table
+_SPACE, _LETTER, _NUMBER, _OTHER = range(4)
+_TABLE = 0x20000
+_BEYOND = r"\xf0[\xa0-\xbf]|[\xf1-\xf4]"  # the others, in UTF-8
+# endings that the byte-level pattern cuts off with their apostrophe
+_ENDINGS = ("s", "t", "m", "d", "re", "ve", "ll")
 
 
 class Splitter:
@@ -72,80 +75,96 @@ class Splitter:
         added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         step = spec["pre_tokenizer"]
-        self.cuts_at_space = not spec["normalizer"] and step["type"] == "ByteLevel" and step["use_regex"] and not step["add_prefix_space"]
-        self.whole = "|".join([_OTHER_SPACE, *map(re.escape, added)])
-        self.newer: dict[bytes, tuple[str, ...]] = {}
-        self.older: dict[bytes, tuple[str, ...]] = {}
+        by_class = not spec["normalizer"] and step["type"] == "ByteLevel" and step["use_regex"] and not step["add_prefix_space"]
+        self.classes = self._classes() if by_class else None
+        self.whole = "|".join([_BEYOND, *map(re.escape, added)])
+
+    def _classes(self) -> np.ndarray:
+        """A character has a letter's class if no cut stands between a letter and it, and so on."""
+        chars = [c for c in range(_TABLE) if not 0xD800 <= c < 0xE000]
+        classes = np.full(_TABLE, _SPACE, np.uint8)
+        for sample, kind in (("a", _LETTER), ("1", _NUMBER), ("!", _OTHER)):
+            text = "".join(sample + chr(c) for c in chars)
+            cuts = np.array([start for _, (start, _) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)])
+            joined = np.ones(len(text), bool)
+            joined[cuts] = False
+            classes[np.array(chars)[joined[1::2]]] = kind
+        return classes
 
     def pieces(self, pretoken: str) -> int:
-        return len(self.tokenizer.model.tokenize(pretoken))
+        return sum(len(self.tokenizer.model.tokenize(p)) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(pretoken))
 
-    def split(self, text: str) -> tuple[str, ...]:
+    def split(self, text: str) -> list[str]:
         if self.tokenizer.normalizer:
             text = self.tokenizer.normalizer.normalize_str(text)
-        return tuple(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text))
-
-    def form(self, stretch: bytes) -> tuple[str, ...]:
-        """Pre-tokens of a stretch; two generations are kept, so that those in use survive."""
-        form = self.newer.get(stretch)
-        if form is None:
-            form = self.older.get(stretch) or self.split(stretch.decode("utf-8", "replace"))
-            if len(self.newer) >= _FORMS:
-                self.older, self.newer = self.newer, {}
-            self.newer[stretch] = form
-        return form
-
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[tuple[str, ...]], np.ndarray]:
-        """Of binary texts: for each stretch its text's number and form's number, the forms, and each text's added tokens."""
+        return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+        """Of binary texts: each pre-token's text and its number, the distinct ones by number, and each text's added tokens."""
         added = np.zeros(len(texts), np.int64)
-        if self.cuts_at_space:
-            whole = np.flatnonzero(pc.match_substring_regex(texts, self.whole).to_numpy(zero_copy_only=False))
-        else:
+        if self.classes is None:
             whole = np.arange(len(texts))
-        owners, codes, forms = [], [], []
+        else:
+            whole = np.flatnonzero(pc.match_substring_regex(texts, self.whole).to_numpy(zero_copy_only=False))
+        owners, found = [], []
         if len(whole) < len(texts):
             plain = np.delete(np.arange(len(texts)), whole)
-            owner, cut = stretches(texts.take(pa.array(plain)))
-            cut = cut.dictionary_encode()
-            owners.append(plain[owner])
-            codes.append(cut.indices.to_numpy(zero_copy_only=False).astype(np.int64))
-            forms = [self.form(s) for s in cut.dictionary.to_pylist()]
+            try:
+                owner, cut = pretokens(texts.take(pa.array(plain)) if len(whole) else texts, self.classes)
+            except UnicodeDecodeError:  # Spark lets such strings pass; the library reads them with replacements
+                whole = np.arange(len(texts))
+            else:
+                owners.append(plain[owner])
+                found.append(cut)
         for i in whole.tolist():
             text = texts[i].as_py().decode("utf-8", "replace")
             parts = self.added.split(text) if self.added else [text]
             added[i] = len(parts) - 1
-            seen: dict[str, int] = {}
-            code = [seen.setdefault(p, len(seen)) for part in parts if part for p in self.split(part)]
-            owners.append(np.full(len(code), i))
-            codes.append(np.array(code, np.int64) + len(forms))
-            forms += [(p,) for p in seen]
+            cut = [p.encode() for part in parts if part for p in self.split(part)]
+            owners.append(np.full(len(cut), i))
+            found.append(pa.array(cut, pa.binary()))
         none = np.zeros(0, np.int64)
-        return np.concatenate([none, *owners]), np.concatenate([none, *codes]), forms, added
+        every = pa.concat_arrays([pa.array([], pa.binary()), *found]).dictionary_encode()
+        return np.concatenate([none, *owners]), every.indices.to_numpy(zero_copy_only=False).astype(np.int64), every.dictionary, added
 
 
-def stretches(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Cuts binary texts at ASCII white space: each stretch's text number, and the stretches.
+def pretokens(texts: pa.Array, classes: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Cuts binary texts where the byte-level pattern does: each pre-token's text number, and the pre-tokens.
 
-    A stretch is a run of other characters with the one blank before it, or what is
-    left of a run of white space; where the last character of such a run
-    is no blank, that one stands alone.
+    Runs of one class stand alone, with the blank before them if there is one; of a run of
+    white space before other characters the last one stands alone unless it is that blank; an
+    ending goes with its apostrophe if that begins a pre-token.
     """
     at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
     at = at - at[0]
-    space = _SPACE[data]
-    before = np.empty(len(data), bool)  # is the character before white space; texts begin as after a word
-    before[1:] = space[:-1]
-    begins = at[:-1][at[:-1] < len(data)]
-    before[begins] = False
-    cut = space & ~before  # white space begins
-    runs = np.flatnonzero(~space & before)  # other characters begin
-    cut[runs - 1] = True
-    cut[runs[data[runs - 1] != 0x20]] = True
-    cut[begins] = True
+    place = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # of each character
+    chars = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    begins = np.searchsorted(place, at)
+    kind = classes[chars]
+    first = np.zeros(len(chars) + 1, bool)  # of a text
+    first[begins] = True
+    cut = first.copy()
+    cut[1:-1] |= kind[1:] != kind[:-1]
+    after = np.flatnonzero(cut[1:-1] & ~first[1:-1] & (kind[1:] != _SPACE) & (kind[:-1] == _SPACE)) + 1  # other characters behind white space
+    cut[after - 1] = True
+    cut[after[chars[after - 1] == 0x20]] = False
+    marks = np.flatnonzero(chars == 0x27)
+    if len(marks):
+        before = np.maximum(marks - 1, 0)
+        opens = first[marks] | (kind[before] != _OTHER) & (chars[before] != 0x20)
+        padded = np.concatenate([chars, np.zeros(2, np.uint32)])
+        inside = np.concatenate([~first, [False, False]])  # does the character go on with the text of the one before
+        for ending in _ENDINGS:
+            here = marks[opens]
+            for k, c in enumerate(ending, 1):
+                here = here[(padded[np.minimum(here + k, len(chars))] == ord(c)) & inside[np.minimum(here + k, len(chars))]]
+            cut[here + 1] = False
+            cut[here + 1 + len(ending)] = True
+    cut[len(chars)] = False
     starts = np.flatnonzero(cut)
-    owner = np.searchsorted(at, starts, side="right") - 1
-    offsets = np.append(starts, len(data)).astype(np.int32)
+    owner = np.searchsorted(begins, starts, side="right") - 1
+    offsets = np.append(place[starts], len(data)).astype(np.int32)
     return owner, pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
@@ -165,23 +184,15 @@ def _portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def _gather(name: str, gathered: int):
-    def rows(seen: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["pretoken", "n"])
+def _gather(name: str):
+    """Task function: texts in, each portion's distinct pre-tokens with their frequencies out."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seen = _splitter(name), Counter()
+        split = _splitter(name)
         for batch in batches:
-            texts = batch.column(0)
-            for start, stop in _portions(texts):
-                _, codes, forms, _ = split(texts.slice(start, stop - start))
-                for form, n in zip(forms, np.bincount(codes, minlength=len(forms)).tolist(), strict=True):
-                    for p in form:
-                        seen[p] += n
-                if len(seen) >= gathered:
-                    yield rows(seen)
-                    seen = Counter()
-        yield rows(seen)
+            for start, stop in _portions(batch.column(0)):
+                _, codes, distinct, _ = split(batch.column(0).slice(start, stop - start))
+                yield pa.RecordBatch.from_arrays([distinct, pa.array(np.bincount(codes, minlength=len(distinct)))], ["pretoken", "n"])
 
     return task
 
@@ -190,7 +201,7 @@ def _pieces(name: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = _splitter(name)
         for batch in batches:
-            pieces = pa.array([split.pieces(p) for p in batch.column("pretoken").to_pylist()], pa.int64())
+            pieces = pa.array([split.pieces(p.decode("utf-8", "replace")) for p in batch.column("pretoken").to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("pretoken"), batch.column("n"), pieces], ["pretoken", "n", "pieces"])
 
     return task
@@ -198,26 +209,23 @@ def _pieces(name: str):
 
 def _sum(name: str, frequent):
     """Task function: (doc_id, text) in; doc_id, tag, bytes, tokens known here, and the other pre-tokens with frequencies out."""
-    other = pa.struct([("pretoken", pa.string()), ("n", pa.int64())])
+    other = [pa.field("pretoken", pa.binary()), pa.field("n", pa.int64())]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, known, tag = _splitter(name), frequent.value, TaskContext.get().partitionId() << 40
+        split, tag = _splitter(name), TaskContext.get().partitionId() << 40
+        known, pieces = (pa.array(c, t) for c, t in zip(frequent.value, (pa.binary(), pa.int64()), strict=True))
+        pieces = np.append(pieces.to_numpy(), 0)
         for batch in batches:
             docs, texts = batch.column(0), batch.column(1)
             for start, stop in _portions(texts):
                 part = texts.slice(start, stop - start)
-                owner, codes, forms, tokens = split(part)
-                here = np.fromiter((sum(known.get(p, 0) for p in f) for f in forms), np.int64, len(forms))
-                np.add.at(tokens, owner, here[codes])
-                rest = [[p for p in f if p not in known] for f in forms]
-                has = np.fromiter(map(bool, rest), bool, len(rest))[codes]
-                pairs: Counter = Counter()
-                for o, c in zip(owner[has].tolist(), codes[has].tolist(), strict=True):
-                    for p in rest[c]:
-                        pairs[o, p] += 1
-                pairs = sorted(pairs.items())
-                at = np.searchsorted([o for (o, _), _ in pairs], np.arange(len(part) + 1)).astype(np.int32)
-                found = pa.StructArray.from_arrays([pa.array([p for (_, p), _ in pairs], pa.string()), pa.array([n for _, n in pairs], pa.int64())], fields=list(other))
+                owner, codes, distinct, tokens = split(part)
+                index = pc.index_in(distinct, known).fill_null(len(known)).to_numpy()
+                np.add.at(tokens, owner, pieces[index][codes])
+                rest = index[codes] == len(known)
+                pairs, n = np.unique(owner[rest] * len(distinct) + codes[rest], return_counts=True)
+                at = np.searchsorted(pairs, np.arange(len(part) + 1) * len(distinct))
+                found = pa.StructArray.from_arrays([distinct.take(pa.array(pairs % max(len(distinct), 1))), pa.array(n)], fields=other)
                 yield pa.RecordBatch.from_arrays(
                     [
                         docs.slice(start, stop - start),
@@ -233,22 +241,36 @@ def _sum(name: str, frequent):
     return task
 
 
-def vocabulary(docs: DataFrame, name: str, gathered: int = _GATHERED) -> DataFrame:
+def _text():
+    return F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
+
+
+def vocabulary(docs: DataFrame, name: str) -> DataFrame:
     """Every distinct pre-token of the texts with its frequency and its pieces, counted once."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    seen = docs.select(text.alias("text")).mapInArrow(_gather(name, gathered), "pretoken string, n long")
-    return seen.groupBy("pretoken").agg(F.sum("n").alias("n")).mapInArrow(_pieces(name), "pretoken string, n long, pieces long")
+    seen = docs.select(_text()).mapInArrow(_gather(name), "pretoken binary, n long")
+    return seen.groupBy("pretoken").agg(F.sum("n").alias("n")).mapInArrow(_pieces(name), "pretoken binary, n long, pieces long")
+
+
+def most_frequent(words: DataFrame, most: int = FREQUENT) -> DataFrame:
+    """The vocabulary's most frequent pre-tokens, at most ``most``: all above a step of frequency."""
+    step = F.floor(F.log2("n") * _STEPS)
+    least, total = None, 0
+    for r in words.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect():  # 64 * _STEPS rows at most
+        total += r.words
+        if total > most:
+            break
+        least = r.step
+    return words.where(F.lit(False) if least is None else step >= least)
 
 
 def token_counts(docs: DataFrame, name: str, limit: int = LIMIT, frequent: int = FREQUENT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_tokens, over_limit (more than ``limit`` tokens)."""
     spark = docs.sparkSession
     words = staged(vocabulary(docs, name), "pretokens")
-    top = words.orderBy(F.desc("n"), "pretoken").limit(frequent).select("pretoken", "pieces").collect()  # ``frequent`` rows at most
-    known = spark.sparkContext.broadcast({r.pretoken: r.pieces for r in top})
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    schema = "doc_id long, tag long, n_bytes long, known long, others array<struct<pretoken:string,n:long>>"
-    rows = staged(docs.select(F.col("doc_id").cast("long"), text.alias("text")).mapInArrow(_sum(name, known), schema), "counted")
+    top = most_frequent(words, frequent).select("pretoken", "pieces").collect()  # ``frequent`` rows at most
+    known = spark.sparkContext.broadcast(([bytes(r.pretoken) for r in top], [r.pieces for r in top]))
+    schema = "doc_id long, tag long, n_bytes long, known long, others array<struct<pretoken:binary,n:long>>"
+    rows = staged(docs.select(F.col("doc_id").cast("long"), _text()).mapInArrow(_sum(name, known), schema), "counted")
     others = rows.select("tag", F.explode("others").alias("other")).select("tag", "other.*")
     sums = others.join(words.select("pretoken", "pieces"), "pretoken").groupBy("tag").agg(F.sum(F.col("n") * F.col("pieces")).alias("rest"))
     tokens = F.col("known") + F.coalesce(F.col("rest"), F.lit(0))

@@ -47,11 +47,35 @@ def test_awkward_texts_as_the_plain_tokenizer(spark):
 
 def test_vocabulary_counts_each_pretoken_once(spark):
     texts = ["the cat", "the cat's", "cat", None, "\n\n the"] * 3
-    got = T.vocabulary(frame(spark, list(enumerate(texts))).repartition(4), NAME, gathered=2).collect()
-    assert len({r.pretoken for r in got}) == len(got)
-    want = Counter(p for t in texts if t for p, _ in PLAIN.pre_tokenizer.pre_tokenize_str(t))
-    assert {r.pretoken: r.n for r in got} == want
-    assert all(r.pieces == len(PLAIN.model.tokenize(r.pretoken)) for r in got)
+    words = T.vocabulary(frame(spark, list(enumerate(texts))).repartition(4), NAME)
+    got = {bytes(r.pretoken).decode(): (r.n, r.pieces) for r in words.collect()}
+    want = Counter(t[a:b] for t in texts if t for _, (a, b) in PLAIN.pre_tokenizer.pre_tokenize_str(t))
+    assert got == {p: (n, plain(p)) for p, n in want.items()}
+    assert len(words.collect()) == len(got)
+    # at most so many frequent ones, and none of them rarer than one left out
+    for most in (0, 1, 3, 100):
+        top = {bytes(r.pretoken).decode(): r.n for r in T.most_frequent(words, most).collect()}
+        assert len(top) <= most and (most < 100 or top == want)
+        assert min(top.values(), default=99) > max((n for p, n in want.items() if p not in top), default=0)
+
+
+def test_batch_split_as_the_library():
+    split = T.Splitter(NAME)
+    texts = SPACES + fuzz(20_000, 3) + ["'s", "x's't're", "''s", " 's", "\n's", "'", "a'", "'l", "'r e", "don't'vex", "!'s", "1'd2"]
+    texts = [t for t in texts if "<|" not in t]
+    owner, codes, distinct, added = split(T.pa.array([t.encode() for t in texts], T.pa.binary()))
+    got = [[] for _ in texts]
+    for o, c in zip(owner.tolist(), codes.tolist()):
+        got[o].append(distinct[c].as_py().decode())
+    assert not added.any()
+    for t, g in zip(texts, got):
+        assert g == split.split(t), repr(t)
+
+
+def test_broken_strings_do_not_end_the_job(spark):
+    docs = spark.sql("select 1L as doc_id, cast(x'6120ff62' as string) as text union all select 2L, 'a b'")
+    got = {r.doc_id: r.n_tokens for r in T.token_counts(docs, NAME).collect()}
+    assert got[2] == plain("a b") and got[1] > 0
 
 
 def test_empty_table(spark):
