@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlane.llm import exact_dedup, html_extract, mixing, packing, pitman_yor, prefix_hash, quality, secrets, simhash, token_counts, toxicity
+from pitlane.llm import exact_dedup, filter_audit, html_extract, mixing, packing, pitman_yor, prefix_hash, quality, secrets, simhash, token_counts, toxicity
 from pitlane.llm.common import table
 
 
@@ -61,6 +61,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removals of five filters over all documents in all 120 orders, by source."""
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents under the byte-level tokenizer."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
@@ -77,7 +82,8 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_filter_audit": op11_filter_audit,
     "op13_token_counts": op13_token_counts,
 }
 
-ORACLE = {"op9_exact_dedup": exact_dedup.SQL}
+ORACLE = {"op9_exact_dedup": exact_dedup.SQL, "op11_filter_audit": filter_audit.SQL}
