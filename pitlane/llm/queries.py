@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlane.llm import exact_dedup, filter_audit, html_extract, mixing, packing, pitman_yor, prefix_hash, quality, secrets, simhash, token_counts, toxicity
+from pitlane.llm import conversation_trie, exact_dedup, filter_audit, html_extract, mixing, packing, pitman_yor, prefix_hash, quality, secrets, simhash, token_counts, toxicity
 from pitlane.llm.common import table
 
 
@@ -66,6 +66,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of all conversations, rebuilt to share beginnings."""
+    return conversation_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents under the byte-level tokenizer."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
@@ -83,7 +88,8 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
     "op11_filter_audit": op11_filter_audit,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_token_counts": op13_token_counts,
 }
 
-ORACLE = {"op9_exact_dedup": exact_dedup.SQL, "op11_filter_audit": filter_audit.SQL}
+ORACLE = {"op9_exact_dedup": exact_dedup.SQL, "op11_filter_audit": filter_audit.SQL, "op12_conversation_trie": conversation_trie.SQL}
