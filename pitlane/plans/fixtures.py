@@ -59,6 +59,44 @@ def with_float_ints(t: DataFrame) -> DataFrame:
     )
 
 
+# --- fixed values: races whose files disagree -------------------------------
+MIXED_FIRST = ("click", "view")  # these races' files have one header, the others' another
+# ---------------------------------------------------------------------------
+
+
+def mixed_races(t: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """T's keys with columns nobody declares: the races of MIXED_FIRST and the others list and write them differently."""
+    m = F.col("frameIdentifier")
+    keys = [F.col("raceId"), F.col("pilot_index"), m]
+    first = F.col("raceId").isin(*MIXED_FIRST)
+    two = lambda k: F.lpad((m % k + 1).cast("string"), 2, "0")
+    a = t.where(first).select(
+        *keys,
+        (m % 60).alias("lap"),
+        (m % 1000 / 8).alias("dist"),
+        m.alias("sensor"),
+        F.concat(F.lit("2024-01-"), two(28)).alias("stamp"),
+        (m % 2 == 0).cast("string").alias("flag"),
+        F.concat(F.lit("9"), F.lpad(m.cast("string"), 19, "0")).alias("serial"),
+    )
+    b = t.where(~first).select(
+        F.concat(F.lit("S"), (m % 10).cast("string")).alias("sensor"),
+        F.when(m % 3 != 0, m * 10_000_000).alias("extra"),
+        F.concat(F.lit("2024-02-01 10:"), two(59), F.lit(":00")).alias("stamp"),
+        (m % 1000).alias("dist"),
+        (m % 60).alias("lap"),
+        *keys,
+    )
+    return a, b
+
+
+def write_mixed_races(spark: SparkSession, t: DataFrame) -> str:
+    root = staging_path(spark, "mixed-races")
+    for df, mode in zip(mixed_races(t), ("overwrite", "append")):
+        write_kind(df, root, TELEMETRY, mode)
+    return root
+
+
 def write_race_files(spark: SparkSession, t: DataFrame) -> str:
     """Telemetry, participant and session files of every race in T; returns the root."""
     root = staging_path(spark, "race-files")

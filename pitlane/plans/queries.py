@@ -21,7 +21,7 @@ from pitlane.operators.clean import clean, with_race_id
 from pitlane.operators.impute import chunk, impute, manifest, prepare
 from pitlane.operators.keys import keyed_rows, rejected_rows
 from pitlane.operators.series import DEFAULT_SERIES, ordered, series_pass
-from pitlane.operators.union import empty_like, union_all
+from pitlane.operators.union import empty_like, union_all, union_widened
 from pitlane.plans import oracle_sql as O
 from pitlane.plans import fixtures as X
 from pitlane.plans.pipeline import PipelineConf, run
@@ -37,6 +37,7 @@ from pitlane.sinks.files import (
 )
 from pitlane.sources import files
 from pitlane.sources.files import chunks
+from pitlane.sources.infer import type_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -478,6 +479,64 @@ def rejected_fields(spark, sf_dir):
     return files.rejected_fields(raw, _FLOAT_INT_TYPES)
 
 
+_MIXED_A = "raceId IN (" + ", ".join(f"'{r}'" for r in X.MIXED_FIRST) + ")"
+_M = "frameIdentifier"
+
+
+@query(
+    "scan_inferred",
+    O.with_t(
+        f"SELECT {RACE_NO} AS raceId, pilot_index, {_M}, CAST({_M} % 60 AS INTEGER) AS lap, "
+        f"CASE WHEN {_MIXED_A} THEN ({_M} % 1000) / 8.0::DOUBLE ELSE CAST({_M} % 1000 AS DOUBLE) END AS dist, "
+        f"CASE WHEN {_MIXED_A} THEN CAST({_M} AS VARCHAR) ELSE 'S' || CAST({_M} % 10 AS VARCHAR) END AS sensor, "
+        f"CASE WHEN {_MIXED_A} THEN '2024-01-' || lpad(CAST({_M} % 28 + 1 AS VARCHAR), 2, '0') || ' 00:00:00' "
+        f"ELSE '2024-02-01 10:' || lpad(CAST({_M} % 59 + 1 AS VARCHAR), 2, '0') || ':00' END AS stamp, "
+        f"CASE WHEN {_MIXED_A} THEN {_M} % 2 = 0 END AS flag, "
+        f"CASE WHEN {_MIXED_A} THEN '9' || lpad(CAST({_M} AS VARCHAR), 19, '0') END AS serial, "
+        f"CASE WHEN NOT {_MIXED_A} AND {_M} % 3 <> 0 THEN {_M} * 10000000 END AS extra FROM t"
+    ),
+)
+def scan_inferred(spark, sf_dir):
+    """Races whose files disagree: types that hold all of a column, from its fields; the time is shown as text."""
+    out = files.telemetry(spark, X.write_mixed_races(spark, load_t(spark, sf_dir)), infer=True)
+    return out.withColumn("stamp", F.date_format("stamp", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query(
+    "inferred_types",
+    O.with_t(
+        f"SELECT DISTINCT {RACE_NO} AS raceId, c.name AS \"column\", CASE WHEN {_MIXED_A} THEN c.a ELSE c.b END AS \"type\" FROM t, "
+        "(SELECT unnest([{'name': 'lap', 'a': 'int', 'b': 'int'}, {'name': 'dist', 'a': 'double', 'b': 'int'}, "
+        "{'name': 'sensor', 'a': 'int', 'b': 'string'}, {'name': 'stamp', 'a': 'date', 'b': 'timestamp'}, "
+        "{'name': 'flag', 'a': 'boolean', 'b': 'void'}, {'name': 'serial', 'a': 'string', 'b': 'void'}, "
+        "{'name': 'extra', 'a': 'void', 'b': 'bigint'}]) AS c)"
+    ),
+)
+def inferred_types(spark, sf_dir):
+    """What each race's own fields would make of the columns."""
+    raw = files.raw_files(spark, X.write_mixed_races(spark, load_t(spark, sf_dir)), files.TELEMETRY)
+    return type_report(raw, cols=["lap", "dist", "sensor", "stamp", "flag", "serial", "extra"])
+
+
+@query(
+    "union_widened",
+    O.with_t(
+        f"SELECT raceId, pilot_index, {_M}, "
+        f"CASE WHEN raceId = 'click' THEN CAST({_M} % 9 AS DOUBLE) ELSE speed END AS speed, "
+        "CASE WHEN raceId = 'click' THEN CAST(pilot_index AS VARCHAR) ELSE resultStatus END AS resultStatus, "
+        f"CASE WHEN raceId = 'click' THEN {_M} % 2 = 0 END AS even FROM t"
+    ),
+)
+def union_widened_races(spark, sf_dir):
+    """One race with integers where the others have fractions and text, and a column of its own."""
+    t = load_t(spark, sf_dir).select(*KEYS, "speed", "resultStatus")
+    m, one = F.col(_M), F.col("raceId") == "click"
+    other = t.where(one).select(
+        (m % 2 == 0).alias("even"), F.col("pilot_index").alias("resultStatus"), (m % 9).cast("int").alias("speed"), *KEYS
+    )
+    return union_widened([t.where(~one), other])
+
+
 @query(
     "participants",
     O.with_t(f"SELECT DISTINCT {RACE_NO} AS raceId, pilot_index, 'pilot ' || CAST(pilot_index AS VARCHAR) AS name FROM t"),

@@ -41,6 +41,7 @@ from pyspark.sql.types import (
 from pitlane.functions.columns import race_id_from_name
 from pitlane.functions.roles import COMPOUND, FORWARD_SCALARS, MEAN_SCALARS, ORDER_KEY, SERIES_KEYS
 from pitlane.operators.union import union_all
+from pitlane.sources.infer import infer_types
 
 # --- fixed values: file kinds and the race-id pattern ------------------------
 TELEMETRY = "Telemetry"
@@ -327,19 +328,30 @@ def telemetry(
     types: Mapping[str, DataType] = TELEMETRY_TYPES,
     headers: str = "all",
     options: Mapping[str, str] | None = None,
+    infer: bool = False,
 ) -> DataFrame:
-    """All telemetry files below ``root`` as one typed frame with ``raceId``."""
-    return typed(raw_files(spark, root, TELEMETRY, headers, options), types)
+    """All telemetry files below ``root`` as one typed frame with ``raceId``.
 
+    ``infer`` also types the columns that ``types`` does not name, from one more pass over the text;
+    without it they stay text.
+    """
+    return _typed(raw_files(spark, root, TELEMETRY, headers, options), types, infer)
+
+
+def _typed(raw: DataFrame, types: Mapping[str, DataType], infer: bool) -> DataFrame:
+    return typed(raw, infer_types(raw, types) if infer else types)
 
-def participants(spark: SparkSession, root: str, types: Mapping[str, DataType] = PARTICIPANT_TYPES) -> DataFrame:
+
+def participants(
+    spark: SparkSession, root: str, types: Mapping[str, DataType] = PARTICIPANT_TYPES, infer: bool = False
+) -> DataFrame:
     """Driver table of every race, stacked by name, with ``raceId``."""
-    return typed(raw_files(spark, root, PARTICIPANTS), types)
+    return _typed(raw_files(spark, root, PARTICIPANTS), types, infer)
 
 
-def sessions(spark: SparkSession, root: str, types: Mapping[str, DataType] = SESSION_TYPES) -> DataFrame:
+def sessions(spark: SparkSession, root: str, types: Mapping[str, DataType] = SESSION_TYPES, infer: bool = False) -> DataFrame:
     """Session table of every race (read from the session files), with ``raceId``."""
-    return typed(raw_files(spark, root, SESSIONS), types)
+    return _typed(raw_files(spark, root, SESSIONS), types, infer)
 
 
 def catalogue(spark: SparkSession, root: str, kinds=(TELEMETRY, PARTICIPANTS, SESSIONS)) -> DataFrame:
