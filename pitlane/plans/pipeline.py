@@ -23,14 +23,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from pitlane.functions.roles import CHUNK_SIZE, Roles
+from pitlane.functions.roles import CHUNK_SIZE, DEFAULT_ROLES, Roles
 from pitlane.operators.clean import clean
 from pitlane.operators.impute import imputed_chunks
 from pitlane.operators.keys import keyed_rows, keyless, rejected_rows
 from pitlane.operators.series import DEFAULT_SERIES, Series
 from pitlane.session import ensure_checkpoint_dir, remove_path, staging_path
 from pitlane.sinks.files import CHUNK_LAYOUT, write_chunks, write_flat, write_jdbc
+from pitlane.sinks.replace import replace_partitions
 from pitlane.sources import files as src
+from pitlane.sources.infer import infer_types
 
 
 @dataclass(frozen=True)
@@ -61,6 +63,8 @@ class PipelineConf:
     participant_types: Mapping[str, DataType] = field(default_factory=dict)
     session_types: Mapping[str, DataType] = field(default_factory=dict)
     reader_options: Mapping[str, str] = field(default_factory=dict)
+    infer_telemetry: bool = False  # types of telemetry columns without a declared one: one more pass over the text
+    infer_dimensions: bool = True  # the same for the participant and session tables, which are small
 
     def __post_init__(self) -> None:
         if self.dynamic_overwrite and self.jdbc_url:
@@ -86,6 +90,9 @@ def cleaned_telemetry(spark: SparkSession, conf: PipelineConf, seen: Observation
     """Typed and cleaned rows of all telemetry files; ``seen`` counts rejected fields and rows without a key."""
     types = {**src.TELEMETRY_TYPES, **conf.types}
     raw = src.raw_files(spark, conf.source, src.TELEMETRY, conf.headers, conf.reader_options)
+    if conf.infer_telemetry:
+        roles = conf.roles or DEFAULT_ROLES  # what cleaning reads as text stays text
+        types = infer_types(raw, types, skip=["raceId", *roles.consumed, *[c for c in [roles.compound] if c]])
     if seen is not None:
         key_types = {c: types[c] for c in (*conf.series.keys, conf.series.order) if c in types and c in raw.columns}
         no_key = keyless(conf.series) if set(conf.series.keys) | {conf.series.order} <= set(raw.columns) else F.lit(True)
@@ -139,7 +146,7 @@ def run(spark: SparkSession, conf: PipelineConf) -> Written:
 def _write_table(table: DataFrame, path: str, conf: PipelineConf) -> None:
     """A table of many races: flat, or by race so that single races can be replaced."""
     if conf.dynamic_overwrite:
-        write_flat(table, path, by=("raceId",), dynamic=True)
+        replace_partitions(table.sparkSession, path, lambda new: write_flat(table, new, by=("raceId",)))
     else:
         write_flat(table, path)
 
@@ -158,20 +165,21 @@ def _write_telemetry(spark: SparkSession, conf: PipelineConf, written: Written,
     if not any(sinks):
         return
     prepared = prepared_telemetry(cleaned, conf, frames)
-    if sum(s is not None for s in sinks) > 1 or conf.dynamic_overwrite or conf.duplicate_frames == "error":
-        # several sinks read the same rows, or old rows go first: compute them once, into the shared folder
+    if sum(s is not None for s in sinks) > 1 or conf.jdbc_url or conf.duplicate_frames == "error":
+        # several sinks read the same rows, or one that takes few tasks: compute them once, with all tasks, into the shared folder
         prepared = _staged(spark, prepared, "prepared", stages)
         written.counts["duplicate_frames"] = frames.get["twice"]
         if conf.duplicate_frames == "error" and frames.get["twice"]:
             raise ValueError(f"{frames.get['twice']} frames occur twice in their series; set Series.tiebreak or remove them")
     relational = prepared.drop("row_num", "chunk_id")
     if conf.chunks_path:
+        def chunks_to(path: str) -> None:
+            write_chunks(prepared, path, conf.chunks_format, conf.chunks_layout)
+
         if conf.dynamic_overwrite:
-            # a race may come back with fewer chunks, so its folder goes before the new one is added
-            drop_races(spark, conf.chunks_path, prepared.select("raceId").distinct())
-        write_chunks(
-            prepared, conf.chunks_path, conf.chunks_format, conf.chunks_layout, mode="append" if conf.dynamic_overwrite else "overwrite"
-        )
+            replace_partitions(spark, conf.chunks_path, chunks_to)
+        else:
+            chunks_to(conf.chunks_path)
         written["chunks"] = conf.chunks_path
     if conf.table_path:
         _write_table(relational, conf.table_path, conf)
@@ -185,13 +193,6 @@ def _write_telemetry(spark: SparkSession, conf: PipelineConf, written: Written,
     written.counts.setdefault("duplicate_frames", frames.get["twice"])
 
 
-def drop_races(spark: SparkSession, path: str, races: DataFrame) -> None:
-    """Remove the ``raceId=`` folders of ``races`` (one id per race passes through the driver)."""
-    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for r in races.collect():
-        remove_path(spark, f"{path.rstrip('/')}/raceId={escape(r['raceId'])}")
-
-
 def dimension_tables(spark: SparkSession, conf: PipelineConf) -> Iterable[tuple[str, str, DataFrame]]:
     """(name, path, table) of the participant and session tables asked for; missing files are an error."""
     for name, path, reader, types in (
@@ -199,7 +200,7 @@ def dimension_tables(spark: SparkSession, conf: PipelineConf) -> Iterable[tuple[
         ("sessions", conf.sessions_path, src.sessions, {**src.SESSION_TYPES, **conf.session_types}),
     ):
         if path:
-            yield name, path, reader(spark, conf.source, types)
+            yield name, path, reader(spark, conf.source, types, conf.infer_dimensions)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -222,6 +223,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--sessions", help="stacked session table output")
     ap.add_argument("--rejects", help="output for rows without a race, car or frame")
     ap.add_argument("--type", action="append", default=[], metavar="COLUMN=TYPE", help="type of a further telemetry column, e.g. lapDistance=double")
+    ap.add_argument("--infer-types", action="store_true", help="type further telemetry columns from their fields")
     ap.add_argument("--reader-option", action="append", default=[], metavar="NAME=VALUE", help="option of the CSV reader")
     ap.add_argument("--replace-races", action="store_true", help="replace only the races present in the input")
     ap.add_argument("--fail-on-duplicate-frames", action="store_true")
@@ -255,6 +257,7 @@ def main(argv: list[str] | None = None) -> None:
         types={c: DataType.fromDDL(t) for c, t in (x.split("=", 1) for x in args.type)},
         reader_options=dict(x.split("=", 1) for x in args.reader_option),
         headers="first" if args.uniform_headers else "all",
+        infer_telemetry=args.infer_types,
     )
     written = run(spark, conf)
     print(json.dumps({"written": written, "counts": written.counts}))
