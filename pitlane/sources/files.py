@@ -11,7 +11,7 @@ Fields are read as text and cast tolerantly to the declared types: ``7.0`` is
 the integer 7, and a non-empty field that has no value of its type becomes
 null and is counted (``rejected_fields``).
 
-Only the file listing and one header line per file pass through the driver
+Only the file listing and the distinct header lines pass through the driver
 (``headers="first"``: one name and one header); rows never do.
 """
 
@@ -21,9 +21,10 @@ import csv
 import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -136,6 +137,43 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return next(csv.reader([line.lstrip("\ufeff")])) if line else []
 
 
+_ONE_FILE = str(1 << 40)  # bytes; a cost of opening this high gives every file a task of its own
+
+
+def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: the first row only; what follows is not asked for."""
+    for batch in batches:
+        if len(batch):
+            yield batch.slice(0, 1)
+            return
+
+
+def header_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path`` and first ``line`` of every file that is not empty, read by one task per file.
+
+    A task stops after its first line, so of a file of any size one buffer is read.  The
+    settings for this hold in a session of its own.
+    """
+    apart = spark.newSession()
+    for setting in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        apart.conf.set(setting, _ONE_FILE)
+    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    lines = apart.read.option("recursiveFileLookup", True).text(paths)
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return lines.select(path.alias("path"), F.col("value").alias("line")).mapInArrow(_first_row, "path string, line string")
+
+
+def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of each distinct header, grouped in the executors.
+
+    The driver gets every distinct header line once, and the paths, which it needs to name each group's files.
+    """
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for r in header_lines(spark, paths).groupBy("line").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect():
+        groups[tuple(next(csv.reader([r.line.lstrip("\ufeff")]), []))] += r.paths
+    return dict(groups)
+
+
 def _entry(root: str) -> Column:
     """Name of the entry below ``root`` a row came from; a row from elsewhere is an error.
 
@@ -244,7 +282,6 @@ def scan_csv(
     spark: SparkSession,
     files: list[DataFile],
     options: Mapping[str, str] | None = None,
-    header_threads: int = 16,
     root: str | None = None,
     glob: str | None = None,
 ) -> DataFrame:
@@ -255,13 +292,9 @@ def scan_csv(
     """
     if not files:
         raise FileNotFoundError("no data files")
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    # one short read per file; on an object store these are latency-bound, so
-    # they run concurrently (only the header lines reach the driver)
-    with ThreadPoolExecutor(max_workers=header_threads) as pool:
-        headers = list(pool.map(lambda f: tuple(read_header(spark, f.path)), files))
-    for f, header in zip(files, headers):
-        groups[header].append(f.path)
+    groups: dict = header_groups(spark, [f.path for f in files])
+    if not groups:  # all files are empty
+        return spark.createDataFrame([], "raceId string")
     if glob and len(groups) == 1:
         # one header for every file: one path string instead of one per file
         groups = {header: glob for header in groups}

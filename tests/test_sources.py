@@ -135,3 +135,28 @@ def test_rows_from_outside_the_root_are_an_error(spark, workdir):
 
 def test_catalogue_of_an_empty_folder(spark, workdir):
     assert src.catalogue(spark, workdir).collect() == []
+
+
+def test_headers_are_read_by_tasks(spark, workdir, monkeypatch):
+    """One task per file, which stops after one line; the driver opens no file."""
+    for n in range(6):
+        columns = ["pilot_index", "frameIdentifier", "speed"][:: 1 if n % 2 else -1]
+        write(os.path.join(workdir, f"TelemetryData_{n}.csv"), ",".join(columns) + "\n" + "1,1,1\n" * 50_000)
+    write(os.path.join(workdir, "TelemetryData_8 +%41.csv"), "\ufeffpilot_index,frameIdentifier,speed\n3,3,3\n")
+    write(os.path.join(workdir, "TelemetryData_9.csv"), "")
+    monkeypatch.setattr(src, "read_header", lambda *a: pytest.fail("the driver read a header"))
+    files = src.list_files(spark, workdir, src.TELEMETRY)
+    lines = src.header_lines(spark, [f.path for f in files])
+    assert lines.rdd.getNumPartitions() == 7  # Spark lists no empty file
+    assert lines.count() == 7
+    groups = src.header_groups(spark, [f.path for f in files])
+    assert sorted(len(v) for v in groups.values()) == [3, 4]
+    df = src.telemetry(spark, workdir)
+    assert df.count() == 6 * 50_000 + 1
+    assert df.where("raceId = '8'").first().speed == 3.0
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != src._ONE_FILE
+
+
+def test_empty_files_only(spark, workdir):
+    write(os.path.join(workdir, "TelemetryData_9.csv"), "")
+    assert src.raw_files(spark, workdir, src.TELEMETRY).collect() == []
