@@ -30,6 +30,7 @@ from pitlane.operators.keys import keyed_rows, keyless, rejected_rows
 from pitlane.operators.series import DEFAULT_SERIES, Series
 from pitlane.session import ensure_checkpoint_dir, remove_path, staging_path
 from pitlane.sinks.files import CHUNK_LAYOUT, write_chunks, write_flat, write_jdbc
+from pitlane.sinks.manifest import verify
 from pitlane.sinks.replace import replace_partitions
 from pitlane.sources import files as src
 from pitlane.sources.infer import infer_types
@@ -64,6 +65,7 @@ class PipelineConf:
     session_types: Mapping[str, DataType] = field(default_factory=dict)
     reader_options: Mapping[str, str] = field(default_factory=dict)
     infer_telemetry: bool = False  # types of telemetry columns without a declared one: one more pass over the text
+    verify_chunks: bool = False  # read the written chunks' keys back and fail unless they are the planned ones
     infer_dimensions: bool = True  # the same for the participant and session tables, which are small
 
     def __post_init__(self) -> None:
@@ -165,7 +167,7 @@ def _write_telemetry(spark: SparkSession, conf: PipelineConf, written: Written,
     if not any(sinks):
         return
     prepared = prepared_telemetry(cleaned, conf, frames)
-    if sum(s is not None for s in sinks) > 1 or conf.jdbc_url or conf.duplicate_frames == "error":
+    if sum(s is not None for s in sinks) > 1 or conf.jdbc_url or conf.verify_chunks or conf.duplicate_frames == "error":
         # several sinks read the same rows, or one that takes few tasks: compute them once, with all tasks, into the shared folder
         prepared = _staged(spark, prepared, "prepared", stages)
         written.counts["duplicate_frames"] = frames.get["twice"]
@@ -180,6 +182,8 @@ def _write_telemetry(spark: SparkSession, conf: PipelineConf, written: Written,
             replace_partitions(spark, conf.chunks_path, chunks_to)
         else:
             chunks_to(conf.chunks_path)
+        if conf.verify_chunks:
+            verify(spark, prepared, conf.chunks_path, conf.chunks_format)
         written["chunks"] = conf.chunks_path
     if conf.table_path:
         _write_table(relational, conf.table_path, conf)
@@ -223,6 +227,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--sessions", help="stacked session table output")
     ap.add_argument("--rejects", help="output for rows without a race, car or frame")
     ap.add_argument("--type", action="append", default=[], metavar="COLUMN=TYPE", help="type of a further telemetry column, e.g. lapDistance=double")
+    ap.add_argument("--verify-chunks", action="store_true", help="read the written chunks' keys back and compare")
     ap.add_argument("--infer-types", action="store_true", help="type further telemetry columns from their fields")
     ap.add_argument("--reader-option", action="append", default=[], metavar="NAME=VALUE", help="option of the CSV reader")
     ap.add_argument("--replace-races", action="store_true", help="replace only the races present in the input")
@@ -258,6 +263,7 @@ def main(argv: list[str] | None = None) -> None:
         reader_options=dict(x.split("=", 1) for x in args.reader_option),
         headers="first" if args.uniform_headers else "all",
         infer_telemetry=args.infer_types,
+        verify_chunks=args.verify_chunks,
     )
     written = run(spark, conf)
     print(json.dumps({"written": written, "counts": written.counts}))

@@ -18,9 +18,12 @@ from pitlane.functions import columns as C
 from pitlane.functions.roles import COMPOUND_CODES, WHEELS
 from pitlane.operators import profile as prof
 from pitlane.operators.clean import clean, with_race_id
+from pitlane.operators.index import global_index as indexed
 from pitlane.operators.impute import chunk, impute, manifest, prepare
 from pitlane.operators.keys import keyed_rows, rejected_rows
 from pitlane.operators.series import DEFAULT_SERIES, ordered, series_pass
+from pitlane.operators.sequences import chunk_sequences, sequence_rows
+from pitlane.operators.sketches import merge_sketches, profile_wide as wide_profile, sketch_columns, estimates
 from pitlane.operators.union import empty_like, union_all, union_widened
 from pitlane.plans import oracle_sql as O
 from pitlane.plans import fixtures as X
@@ -35,6 +38,8 @@ from pitlane.sinks.files import (
     write_flat,
     write_keyed_chunks,
 )
+from pitlane.sinks.manifest import written_manifest as manifest_of_files
+from pitlane.sinks.replace import replace_partitions
 from pitlane.sources import files
 from pitlane.sources.files import chunks
 from pitlane.sources.infer import type_report
@@ -703,3 +708,136 @@ def keyed_chunks_roundtrip(spark, sf_dir):
     path = staging_path(spark, "keyed")
     write_keyed_chunks(prepared, path)
     return spark.read.parquet(path).select(*prepared.columns, "chunk_key")
+
+
+# --- profiles with sketches, sequences, indexes, what was written ----------------
+
+_PROFILED = {"raceId": "string", "pilot_index": "int", "frameIdentifier": "bigint", "speed": "double", "resultStatus": "string"}
+_PROFILE_SQL = O.with_t(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{t}' AS \"type\", count(*) AS \"rows\", count(*) - count({c}) AS nulls, "
+        f"CAST(min({c}) AS VARCHAR) AS minimum, CAST(max({c}) AS VARCHAR) AS maximum, 100.0::DOUBLE * (count(*) - count({c})) / count(*) AS null_pct FROM t"
+        for c, t in _PROFILED.items()
+    )
+)
+_PROFILE = ["column", "type", "rows", "nulls", "minimum", "maximum", "null_pct"]
+
+
+@query("profile_wide", _PROFILE_SQL)
+def profile_wide(spark, sf_dir):
+    """The exact part of the wide profile; its sketches are tested against exact figures (tests/test_sketches.py)."""
+    return wide_profile(load_t(spark, sf_dir), _PROFILED).select(*_PROFILE)
+
+
+@query("profile_merged", _PROFILE_SQL)
+def profile_merged(spark, sf_dir):
+    """The same from every car's profile, added up."""
+    t = load_t(spark, sf_dir).withColumns({"car": F.col("pilot_index"), "race": F.col("raceId")})
+    return estimates(merge_sketches(sketch_columns(t, _PROFILED, by=["race", "car"]))).select(*_PROFILE)
+
+
+_SEQUENCE = ["speed", "FL_surfaceType"]
+
+
+@query(
+    "chunk_sequences",
+    O.with_t(
+        "SELECT c.raceId, c.pilot_index, c.chunk_id, CAST(s.position AS INTEGER) AS position, p.row_num IS NOT NULL AS real, "
+        "p.speed, CAST(p.FL_surfaceType AS DOUBLE) AS FL_surfaceType "
+        "FROM (SELECT DISTINCT raceId, pilot_index, chunk_id FROM p) c, (SELECT unnest(range(200)) AS position) s "
+        "LEFT JOIN p ON p.raceId = c.raceId AND p.pilot_index = c.pilot_index AND p.row_num = c.chunk_id * 200 + s.position + 1",
+        O.CLEAN_CTE + ",\n" + O.PREPARED_CTE,
+    ),
+)
+def sequences(spark, sf_dir):
+    """Chunks as padded arrays, taken apart again place by place."""
+    return sequence_rows(chunk_sequences(prepare(load_t(spark, sf_dir)), _SEQUENCE), _SEQUENCE)
+
+
+@query("global_index", O.with_t(f"SELECT {KEYS_SQL}, row_number() OVER (ORDER BY {KEYS_SQL}) AS row_index FROM t"))
+def global_index(spark, sf_dir):
+    """Every row's place in the global order."""
+    return indexed(load_t(spark, sf_dir).select(*KEYS), *KEYS)
+
+
+@query(
+    "written_manifest",
+    O.with_t(
+        "SELECT raceId, pilot_index, chunk_id, count(*) AS frames, min(frameIdentifier) AS first_frame, max(frameIdentifier) AS last_frame, "
+        "CAST(1 AS BIGINT) AS files, true AS in_one_piece FROM p GROUP BY raceId, pilot_index, chunk_id",
+        O.CLEAN_CTE + ",\n" + O.PREPARED_CTE,
+    ),
+)
+def written_manifest(spark, sf_dir):
+    """Every chunk as it lies in the files: whole in one of them, its rows side by side."""
+    prepared = prepare(load_t(spark, sf_dir))
+    path = staging_path(spark, "manifest")
+    write_chunks(prepared, path)
+    each = manifest_of_files(chunks(spark, path, prepared.schema))
+    return each.groupBy("raceId", "pilot_index", "chunk_id").agg(
+        F.sum("frames").alias("frames"),
+        F.min("first_frame").alias("first_frame"),
+        F.max("last_frame").alias("last_frame"),
+        F.count(F.lit(1)).alias("files"),
+        F.bool_and(F.col("last_row") - F.col("first_row") + 1 == F.col("frames")).alias("in_one_piece"),
+    )
+
+
+@query(
+    "catalogue_files",
+    O.with_t(
+        f"SELECT DISTINCT {RACE_NO} AS raceId, k.kind, CAST(3 AS INTEGER) AS entries, true AS has_bytes, true AS has_time FROM t, "
+        f"(SELECT unnest(['{files.TELEMETRY}', '{files.PARTICIPANTS}', '{files.SESSIONS}']) AS kind) k"
+    ),
+)
+def catalogue_files(spark, sf_dir):
+    """Each race's files by kind, with sizes and times."""
+    root = _race_files(spark, sf_dir, files.TELEMETRY, files.PARTICIPANTS, files.SESSIONS)
+    races = files.catalogue_files(files.data_files(spark, root))
+    each = races.select("raceId", F.size("entries").alias("entries"), F.explode("files").alias("kind", "files"))
+    return each.select(
+        "raceId",
+        "kind",
+        "entries",
+        F.forall("files", lambda f: f["bytes"] > 0).alias("has_bytes"),
+        F.forall("files", lambda f: f["modified"].isNotNull()).alias("has_time"),
+    )
+
+
+@query(
+    "catalogue_changes",
+    O.with_t(
+        f"SELECT DISTINCT {RACE_NO} AS raceId, '{files.TELEMETRY}' AS kind, "
+        "CASE raceId WHEN 'click' THEN 'gone' WHEN 'view' THEN 'changed' ELSE 'new' END AS status "
+        "FROM t WHERE raceId IN ('click', 'view', 'purchase')"
+    ),
+)
+def catalogue_changes(spark, sf_dir):
+    """Two snapshots of a folder: between them a race went, one shrank and one came."""
+    t = load_t(spark, sf_dir).select(*KEYS, "speed")
+    race = F.col("raceId")
+    snapshots = []
+    for rows in (t.where(race != "purchase"), t.where((race != "click") & ((race != "view") | (F.col("pilot_index") < 2)))):
+        # entries keep their files' sizes and times only while they stand, so each snapshot has a folder of its own
+        root = staging_path(spark, "snapshot")
+        X.write_kind(rows.repartition(1, "raceId").sortWithinPartitions(*KEYS), root, files.TELEMETRY, mode="overwrite")
+        snapshots.append(files.data_files(spark, root).withColumn("modified", F.lit(None).cast("timestamp")))
+    return files.catalogue_changes(*snapshots).select("raceId", "kind", "status")
+
+
+@query(
+    "replace_race_chunks",
+    O.with_t(
+        f"SELECT * REPLACE (CASE WHEN raceId = '{OVERWRITTEN_RACE}' THEN (row_num - 1) // 50 ELSE chunk_id END AS chunk_id) FROM p",
+        O.CLEAN_CTE + ",\n" + O.PREPARED_CTE,
+    ),
+)
+def replace_race_chunks(spark, sf_dir):
+    """All races written, then one replaced by write, commit, switch and remove."""
+    t = load_t(spark, sf_dir)
+    path = staging_path(spark, "replace")
+    full = prepare(t)
+    write_chunks(full, path)
+    one = prepare(t.where(F.col("raceId") == OVERWRITTEN_RACE), chunk_size=50)
+    replace_partitions(spark, path, lambda new: write_chunks(one, new))
+    return chunks(spark, path, full.schema)

@@ -387,10 +387,13 @@ def sessions(spark: SparkSession, root: str, types: Mapping[str, DataType] = SES
     return _typed(raw_files(spark, root, SESSIONS), types, infer)
 
 
-def catalogue(spark: SparkSession, root: str, kinds=(TELEMETRY, PARTICIPANTS, SESSIONS)) -> DataFrame:
-    """Races found below ``root``: one row per race with a flag per file kind.
+KINDS = (TELEMETRY, PARTICIPANTS, SESSIONS)
 
-    Spark lists the files and their rows hold the path alone; no file is opened.
+
+def data_files(spark: SparkSession, root: str, kinds: Iterable[str] = KINDS) -> DataFrame:
+    """Files below ``root`` that belong to a race: raceId, kind, entry, file, bytes, modified.
+
+    Spark lists the files; no file is opened.
     """
     base = qualified(spark, root)
     jvm, conf = _hadoop(spark)
@@ -401,16 +404,60 @@ def catalogue(spark: SparkSession, root: str, kinds=(TELEMETRY, PARTICIPANTS, SE
             continue
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern.toString())
         entry = _entry(base)
-        frames.append(files.select(entry.alias("entry"), race_id_from_name(entry, RACE_ID_PATTERN).alias("raceId"), F.lit(kind).alias("kind")))
+        frames.append(
+            files.select(
+                race_id_from_name(entry, RACE_ID_PATTERN).alias("raceId"),
+                F.lit(kind).alias("kind"),
+                entry.alias("entry"),
+                F.col("path").alias("file"),
+                F.col("length").alias("bytes"),
+                F.col("modificationTime").alias("modified"),
+            )
+        )
     if not frames:
-        frames = [spark.range(0).select(*[F.lit(None).cast("string").alias(c) for c in ("entry", "raceId", "kind")])]
-    files = union_all(frames).where(F.col("raceId").isNotNull())
-    return files.groupBy("raceId").agg(
+        return spark.createDataFrame([], "raceId string, kind string, entry string, file string, bytes bigint, modified timestamp")
+    return union_all(frames).where(F.col("raceId").isNotNull())
+
+
+def catalogue(spark: SparkSession, root: str, kinds=KINDS) -> DataFrame:
+    """Races found below ``root``: one row per race with a flag per file kind."""
+    return data_files(spark, root, kinds).groupBy("raceId").agg(
         *[F.max(F.col("kind") == F.lit(k)).alias(f"has_{k}") for k in kinds],
         F.count_distinct("entry").alias("entries"),
     )
 
 
+def catalogue_files(files: DataFrame) -> DataFrame:
+    """One row per race of ``data_files``: its entries, and a map from kind to that kind's files with size and time, by name."""
+    each = files.groupBy("raceId", "kind").agg(
+        F.sort_array(F.collect_list(F.struct("file", "bytes", "modified"))).alias("files"), F.collect_set("entry").alias("entries")
+    )
+    return each.groupBy("raceId").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("entries")))).alias("entries"),
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("kind", "files")))).alias("files"),
+    )
+
+
+def catalogue_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Entries of two ``data_files`` snapshots that are ``new``, ``changed`` or ``gone``, with their sizes.
+
+    An entry has changed when its files' number, bytes or latest time differ.  A snapshot to
+    compare with later must be written: ``data_files`` lists anew whenever it is read.
+    """
+    sides = [
+        df.groupBy("raceId", "kind", "entry").agg(
+            F.count(F.lit(1)).alias(f"{name}_files"), F.sum("bytes").alias(f"{name}_bytes"), F.max("modified").alias(f"{name}_modified")
+        )
+        for name, df in (("before", before), ("after", after))
+    ]
+    both = sides[0].join(sides[1], ["raceId", "kind", "entry"], "full_outer")
+    differ = F.lit(False)
+    for c in ("files", "bytes", "modified"):
+        differ = differ | ~F.col(f"before_{c}").eqNullSafe(F.col(f"after_{c}"))
+    status = F.when(F.col("before_files").isNull(), "new").when(F.col("after_files").isNull(), "gone").when(differ, "changed")
+    return both.withColumn("status", status).where(F.col("status").isNotNull())
+
+
 def chunks(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
     """Read a chunked dataset back with its declared schema.
 
