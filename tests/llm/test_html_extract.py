@@ -104,3 +104,80 @@ def test_unmarked_pages_do_not_thin_out_the_labelled_ones(spark):
     assert H.learn_weights(pages, 40) == every
     some = H.learn_weights(pages, 20)
     assert some != every and "b" in some
+
+
+def paragraph(n, tag):
+    return " ".join(f"{tag}{i}" for i in range(n))
+
+
+LEARNED = {H.WORD: 0.88, "p": -0.05, "h1": -0.05, "b": -0.05, "br": -0.05, **dict.fromkeys("li ul a div nav footer".split(), -H.MOST * 0.88), "": H.UNSEEN}
+FIRST, LAST = paragraph(30, "first"), paragraph(30, "last")
+INNER = {
+    "list": ("<ul>" + "".join(f"<li>item {i}</li>" for i in range(6)) + "</ul>", "\n".join(f"item {i}" for i in range(6))),
+    "table": ("<table>" + "".join(f"<tr><td>{i}</td><td>x{i}</td></tr>" for i in range(10)) + "</table>", "\n".join(f"{i}\nx{i}" for i in range(10))),
+    "div": ("<div><div>nested text</div></div>", "nested text"),
+    "figure": ("<figure><img src=a.png><figcaption>a caption</figcaption></figure>", "a caption"),
+    "references": ("<ol>" + "".join(f'<li><a href="/{i}">reference number {i}</a></li>' for i in range(10)) + "</ol>", "\n".join(f"reference number {i}" for i in range(10))),
+    "section": ('<section id="related-work"><h2>Related work</h2><p>others did</p></section>', "Related work\nothers did"),
+    "button": ("<p>press <button>Save</button> twice</p>", "press Save twice"),
+    "header": ('<header class="entry-header"><h1>Title</h1></header>', "Title"),
+}
+
+
+def test_marked_articles_stay_whole():
+    for name, (inner, text) in INNER.items():
+        page = f"<nav><a>menu</a></nav><article><p>{FIRST}</p>{inner}<p>{LAST}</p></article><footer>foot</footer>"
+        assert H.extract(page, LEARNED) == f"{FIRST}\n{text}\n{LAST}", name
+    title = "<main><article><header><h1>Title</h1></header><p>one two three</p><ul><li>last</li></ul></article></main>"
+    assert H.extract(title, LEARNED) == "Title\none two three\nlast"
+    teasers = f"<article><p>{FIRST}</p></article><article><p>short</p></article>"
+    assert H.extract(teasers, LEARNED) == FIRST
+    assert H.extract("<main><article>a b</article><article>c d</article></main>", LEARNED) == "a b\nc d"
+
+
+def test_unmarked_pages_keep_nearly_all_of_their_text():
+    """Share of the article's words kept on pages that mark nothing, and none of the rest."""
+    kept = every = 0
+    for inner, text in INNER.values():
+        for around in ("<div>{}</div>", '<div class="content no-sidebar">{}</div>', '<div class="site has-header"><div id="page">{}</div></div>', "<form>{}</form>"):
+            body = f"<p>{FIRST}</p>{inner}<p>{LAST}</p>"
+            page = (
+                '<div class="site-header"><a>home</a></div><ul><li><a>menu</a></li><li><a>two</a></li></ul><p class="cookie-notice">we use cookies here</p>'
+                + around.format(body)
+                + '<div id="disqus_thread"><p>' + paragraph(200, "reader") + '</p></div><div class="ad-box">buy</div><footer>foot</footer>'
+            )
+            got, want = H.extract(page, LEARNED).split(), f"{FIRST} {text} {LAST}".split()
+            assert not set(got) - set(want)
+            kept, every = kept + len(got), every + len(want)
+    assert kept / every > 0.99, kept / every
+
+
+def test_boilerplate_names():
+    for yes in ('class="ad"', "id=comments", "class='comment-list x'", 'class="x site-footer"', 'role="navigation"', 'class="share_buttons2"'):
+        assert H._boilerplate_name(yes), yes
+    for no in ('class="content no-sidebar"', 'class="has-header"', 'id="related-work"', 'class="entry-header"', 'class="adder"', 'href="ad"', ""):
+        assert not H._boilerplate_name(no), no
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    for k, unit in enumerate(("<svg ", '<a b="', "<a b='\"", "<", "<!--", "<script>", "<article>", "</p>", "<p", '<a "<a>" ', "<form>", "<div class=ad>", "<button>x", "<svg>", 'class="', "<a ' > ", "&")):
+        n = (5 if k < 2 else 1) << 20
+        page = unit * (n // len(unit))
+        began = time.process_time()
+        H.extract(page[: n // 4], LEARNED)
+        quarter = time.process_time() - began
+        began = time.process_time()
+        H.extract(page, LEARNED)
+        took = time.process_time() - began
+        assert took < 5 or took < 6 * quarter, (unit, quarter, took)
+
+
+def test_tags_with_quotes():
+    assert H.pieces('<p title="a>b" class=x>t</p >') == [("open", "p"), ("text", "t"), ("close", "p")]
+    assert H.pieces("<p title='never>t") == [("open", "p"), ("text", "t")]
+    assert H.pieces("<br/><P>x<3 & <!DOCTYPE html><?php x?>y") == [("open", "br"), ("open", "p"), ("text", "x"), ("text", "<"), ("text", "3 & "), ("text", "y")]
+    assert H.blocks(H.pieces("a<b c<d")) == "a<b c<d"
+    assert H.pieces('<svg/>a<svg x=">">b<SVG>c</svg >d') == [("text", "a"), ("text", "d")]
+    assert H.pieces("a<script>1</SCRIPT >b<textarea>c") == [("text", "a"), ("text", "b")]
