@@ -36,9 +36,11 @@ from pyspark.sql.window import Window
 
 from pitlane.llm.common import staged
 
+TOKENIZER = "word_bpe_49k.json"
 TOKENS = 4096
 END = 1
 CELL = 128  # pieces of one length ranked together
+_CELLS = 4096  # cells of one length whose sizes are summed together
 _WORDS = 3 << 17  # words of a generation whose ids a task remembers
 _PIECE = ["doc_id", "piece", "start", "length", "ids_crc32"]
 _PORTION = 4 << 20  # bytes of text tokenized together
@@ -128,7 +130,8 @@ class _Ids:
 
     The tokenizer drops white space before it looks for words, so a text's ids
     are those of its parts between white space in turn; so are those of a word
-    and of the punctuation behind its last letter.  Two generations of words
+    and of the punctuation behind it, if the word still ends in a letter when it is normalised (a
+    capital may become a letter and a mark, which goes with the punctuation).  Two generations of words
     are kept, so that words in use survive when the older one goes.
     """
 
@@ -149,7 +152,7 @@ class _Ids:
         ids = self.older.get(word)
         if ids is None:
             letters = word if word.isalpha() else word.rstrip(_PUNCTUATION)
-            if len(letters) < len(word) and letters.decode("utf-8", "replace")[-1:].isalpha():
+            if len(letters) < len(word) and self._ends_in_letter(letters):
                 ids = self.word(letters) + self.word(word[len(letters) :])
             else:
                 encoded = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
@@ -160,9 +163,18 @@ class _Ids:
         return ids
 
 
+    def _ends_in_letter(self, word: bytes) -> bool:
+        if word.isascii():
+            return word[-1:].isalpha()
+        text = word.decode("utf-8", "replace")
+        if self.tokenizer.normalizer:
+            text = self.tokenizer.normalizer.normalize_str(text)
+        return text[-1:].isalpha()
+
+
 @cache
-def _ids(path: str) -> _Ids:
-    return _Ids(path)
+def _ids(name: str) -> _Ids:
+    return _Ids(tokenizer_path(name))
 
 
 def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -253,16 +265,21 @@ def ranked(items: DataFrame, histogram: DataFrame) -> DataFrame:
     """Adds ``rank``, a gapless number from 0 among the pieces of a length.
 
     Pieces of a length are spread over cells of about CELL by hash and numbered there; a
-    cell's base is the running sum of the cells before it.
+    cell's base is the running sum of the cells before it in its block of _CELLS cells, and of the blocks before.
     """
     cells = F.broadcast(histogram.select("length", F.ceil(F.col("n") / CELL).alias("_cells")))  # one row per length, at most TOKENS
     spread = items.join(cells, "length").withColumn("_cell", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("_cells")))
     sizes = staged(spread.groupBy("length", "_cell").agg(F.count(F.lit(1)).alias("_n")), "cells")
-    before = Window.partitionBy("length").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("length", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    sizes = sizes.withColumn("_block", F.floor(F.col("_cell") / _CELLS))
+    blocks = sizes.groupBy("length", "_block").agg(F.sum("_n").alias("_n"))
+    earlier = Window.partitionBy("length").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("length", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    before = Window.partitionBy("length", "_block").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    inside = sizes.withColumn("_inside", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    bases = inside.join(starts, ["length", "_block"]).select("length", "_cell", (F.col("_start") + F.col("_inside")).alias("_base"))
     within = Window.partitionBy("length", "_cell").orderBy("doc_id", "piece", "ids_crc32")
     numbered = spread.withColumn("_row", F.row_number().over(within)).join(bases, ["length", "_cell"])
-    return numbered.withColumn("rank", F.col("_base") + F.col("_row") - 1).drop("_cells", "_cell", "_n", "_base", "_row")
+    return numbered.withColumn("rank", F.col("_base") + F.col("_row") - 1).drop("_cells", "_cell", "_base", "_row")
 
 
 _RANK_BITS = 48
@@ -296,7 +313,10 @@ def pack(docs: DataFrame, path: str, capacity: Capacity = Capacity(), weights: W
     return ranked(items, histogram).select(*_PIECE, "rank").mapInArrow(_locate(places), schema)
 
 
-def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where this machine keeps the tokenizer: a path itself, or a name of the public tokenizers."""
+    if Path(name).exists():
+        return name
     import public_tokenizers
 
-    return str(Path(public_tokenizers.path(name)))
+    return str(public_tokenizers.path(name))

@@ -26,7 +26,7 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
-    return packing.pack(table(spark, sf_dir, "documents"), packing.tokenizer_path())
+    return packing.pack(table(spark, sf_dir, "documents"), packing.TOKENIZER)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -130,3 +130,33 @@ def test_added_tokens_have_the_plain_tokenizers_ids(spark):
     assert ids[at[0] : at[1]].tolist() == [806, 49407, 1131]
     rows = list(enumerate(ADDED))
     check(rows, P.pack(frame(spark, rows), PATH).collect())
+
+
+def fuzzed(n, seed):
+    """Texts of letters, marks, capitals that normalise to a letter and a mark, digits, punctuation and white space."""
+    rnd = random.Random(seed)
+    letters = ["a", "B", "é", "é", "İ", "ı", "ß", "ẞ", "Σ", "ς", "Å", "ﬁ", "Ǆ", "क", "क़", "क़", "ज़ा", "日", "ん", "한", "하", "ا", "̀", "ª", "Ⅷ", "²", "๑"]
+    marks = list(".,!?;:'\"()-_/#$%&*|@~^`<>[]{}=+\\") + ["'s", "'RE", "’", "…", "🙂", "‍", "̇", "<|endoftext|>", "\x00", "\x1c", "\x7f"]
+    gaps = [" ", "\n", "\t", "  ", "\x0b", " ", "　", " ", "\x85"]
+    kinds = (letters, letters, letters, list("0123456789"), marks, marks, gaps)
+    return ["".join(rnd.choice(rnd.choice(kinds)) for _ in range(rnd.randrange(1, 14))) for _ in range(n)]
+
+
+def test_ids_as_the_plain_tokenizer():
+    texts = ["TARİHİ.", "क़.", "ROMA'NIN TARİHİ, VE.", "xय़!"] + fuzzed(100_000, 4)
+    plain = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
+    ids, at = P.text_ids(pa.array([x.encode() for x in texts], pa.binary()), "word_bpe_49k.json")
+    wrong = [t for t, p, a, b in zip(texts, plain, at, at[1:]) if ids[a:b].tolist() != p.ids]
+    assert wrong == []
+
+
+def test_ranks_are_gapless_over_blocks_of_cells(spark, monkeypatch):
+    monkeypatch.setattr(P, "CELL", 4)
+    monkeypatch.setattr(P, "_CELLS", 3)
+    rows = [(i, 0, 0, 1 + i % 3 // 2, i) for i in range(400)]
+    items = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").repartition(5)
+    histogram = items.groupBy("length").count().withColumnRenamed("count", "n")
+    got = P.ranked(items, histogram).collect()
+    for length in (1, 2):
+        ranks = sorted(r["rank"] for r in got if r.length == length)
+        assert ranks == list(range(len(ranks))) and len(ranks) > 100
