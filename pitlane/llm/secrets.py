@@ -17,7 +17,7 @@ true findings, candidates between two real words with no credential's name near
 false ones, and all others stay unlabelled.
 
 Defined cases: null and empty texts have no candidates; whole texts are
-scanned; positions count code points; a null path is an empty one; without
+scanned, in time linear in their length; names, blanks, URL users and values may have any length; positions count code points; a null path is an empty one; without
 findings of both labels the weak label decides; repeated rows are scanned each;
 an empty table gives an empty result.
 """
@@ -37,23 +37,32 @@ from pitlane.llm.common import staged
 LEAST = 16
 SAMPLE = 10_000
 CONTEXT = 64  # characters of context on either side
+BLOCK = 256  # matches of a text whose lengths are summed at once
 CUES = 256  # leading words the model knows, at most
 SEEN = 3  # times a letter triple occurs in sampled words to count as in the dictionary
 TREES, DEPTH = 20, 6
 ACCEPT = 0.5
 
-_NAME = r"(?i:token|secret|passw(?:or)?d|passwd|pwd|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth)"
-_ASSIGNED = _NAME + r"[\w.\[\]\"'-]{0,32}\s{0,4}(?:=|:|:=|=>)\s{0,4}"
+_NAME = r"(?i:token|secret|passw(?:or)?d|passphrase|passwd|pwd|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth(?!or(?!i[sz])))"
+_ID = r"[\w.\[\]\"'-]"  # names, with the brackets and quotes of subscripts and JSON keys
+_IS = r"\s*+(?::=|=>|=|:)\s*+"
 _RUN = r"[A-Za-z0-9+/_=-]"
-_EDGE = r"(?<![\p{L}\p{N}+/_=-])"  # cheap conditions stand before those that search
-_START = rf"(?![\w-]*{_NAME}[\w-]{{0,32}}=[^=\s])"
-_DOTTED = rf"{_EDGE}(?<!\.)(?={_RUN}{{2,}}+\.{_RUN}){_START}(?:eyJ[\w-]{{5,}}(?:\.[\w-]+)+|{_RUN}{{2,}}(?:\.{_RUN}+)*\.{_RUN}{{{LEAST},}}(?:\.{_RUN}+)*|{_RUN}{{{LEAST},}}(?:\.{_RUN}+)+)(?![\p{{L}}\p{{N}}])"
-_LONG = rf"{_EDGE}(?={_RUN}{{{LEAST}}}){_START}{_RUN}{{{LEAST},}}+(?![\p{{L}}\p{{N}}])"
-_QUOTED = "|".join(rf"(?<={q})(?<={_ASSIGNED}{q})[^{q}\r\n]++(?={q})" for q in "\"'`")
-_UNQUOTED = rf"(?<=[=:>\s])(?<=[=:>]\s{{0,4}})(?<={_ASSIGNED})(?!//|[=:>])[^\s\"'`,;]++"
-_URL = r"(?<=:)(?<=://[^\s:/@]{0,64}:)[^\s/\"'`]+(?=@)"
-#: The whole value behind a credential's name, the password of a URL, or a run of key characters, with dots or without.
-CANDIDATE = rf"{_QUOTED}|{_UNQUOTED}|{_URL}|{_DOTTED}|{_LONG}"
+_EDGE = r"(?<![\p{L}\p{N}+/_=-])"
+# Groups that repeat are possessive: they cannot backtrack, so time is linear and no text exhausts the stack.
+# A name is tried where it begins only; cheap conditions stand before those that search.
+_NAMED = rf"(?={_ID}++\s*+[=:])(?={_ID}*?{_NAME}){_ID}++{_IS}"
+_VALUE = "|".join(rf"{q}[^{q}\r\n]++(?={q})" for q in "\"'`") + r"|(?!//|[=:>])[^\s\"'`,;]++"
+_ASSIGNED = rf"(?:(?<!{_ID})|\G){_NAMED}(?:{_VALUE})"
+_USER = r"://[^\s:/@]*+:"
+_URL = rf"{_USER}[^\s/\"'`]+(?=@)"
+_END = r"(?![\p{L}\p{N}])"
+_JWT = r"eyJ[\w-]{5,}+(?:\.[\w-]++)++"
+_DOTTED = rf"{_EDGE}(?<!\.)(?={_RUN}{{2,}}+\.{_RUN})(?:{_JWT}|(?=(?:{_RUN}{{1,{LEAST - 1}}}+(?!{_RUN})\.(?={_RUN}))*+{_RUN}{{{LEAST}}}){_RUN}++(?:\.{_RUN}++)++){_END}"
+_LONG = rf"{_EDGE}{_RUN}{{{LEAST},}}+{_END}"
+#: What holds a candidate: a credential's name with its value, a URL's user and password, or a run of key characters, with dots or without.
+CANDIDATE = rf"{_ASSIGNED}|{_URL}|{_DOTTED}|{_LONG}"
+#: What stands before the candidate in such a match.
+LEAD = rf"^(?:{_NAMED}(?:[\"'`]|(?!//|[=:>])(?=[^\s\"'`,;]))|{_USER})"
 CREDENTIAL = rf"{_NAME}[\w.\[\]\"'-]*\s*(=|:|:=|=>)\s*[\"'`]$"
 CREDENTIAL_UNQUOTED = rf"{_NAME}[\w.\[\]\"'-]*\s*(=|:|:=|=>)\s*$"
 KNOWN = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{20,}$|^github_pat_\w{20,}$|^glpat-[\w-]{16,}$|^xox[abprs]-[\w-]{10,}$|^[sr]k_live_\w{16,}$|^AIza[\w-]{30,}$|^eyJ[\w-]{5,}(\.[\w-]+)+$"
@@ -67,24 +76,38 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
-    """doc_id, path, start, candidate, before, after: every candidate with its position and context."""
+    """doc_id, path, start, candidate, before, after, kind: every candidate with its position and context.
+
+    ``kind``: ``quoted`` or ``unquoted`` behind a credential's name, ``url``, or ``run``.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     found = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), text.alias("text"))
     found = found.where(F.col("text").rlike(CANDIDATE)).select(
         "doc_id", "path", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split("text", CANDIDATE, -1).alias("gaps")
     )
-    lengths = F.transform("found", lambda c, i: F.length(F.get("gaps", i)) + F.length(c))
-    bases = F.aggregate(lengths, F.array(F.lit(0)), lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n)))
-    found = found.withColumn("bases", bases)
+    found = found.withColumn("leads", F.transform("found", lambda c: F.regexp_extract(c, LEAD, 0)))
+    # where each match begins: sums over whole blocks of matches, and over the rest of its own block
+    found = found.withColumn("lengths", F.transform("found", lambda c, i: F.length(F.get("gaps", i)) + F.length(c)))
+
+    def total(start: Column, n: Column) -> Column:
+        return F.aggregate(F.slice("lengths", start + 1, n), F.lit(0), lambda t, x: t + x)
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("lengths") - 1) / BLOCK).cast("int")), lambda k: total(k * BLOCK, F.lit(BLOCK)))
+    found = found.withColumn("bases", F.aggregate(blocks, F.array(F.lit(0)), lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n))))
+
+    def last(c: Column) -> Column:
+        return F.substring(c, -CONTEXT, CONTEXT)
 
     def described(c: Column, i: Column) -> Column:
-        gap, following = F.get("gaps", i), F.get("gaps", i + 1)
+        gap, following, lead = F.get("gaps", i), F.get("gaps", i + 1), F.get("leads", i)
         earlier, later = (F.coalesce(F.get("found", i + k), F.lit("")) for k in (-1, 1))
+        kind = F.when(lead == "", "run").when(lead.startswith("://"), "url").when(lead.rlike("[\"'`]$"), "quoted").otherwise("unquoted")
         return F.struct(
-            (F.get("bases", i) + F.length(gap)).cast("long").alias("start"),
-            c.alias("candidate"),
-            F.substring(F.concat(F.substring(earlier, -CONTEXT, CONTEXT), F.substring(gap, -CONTEXT, CONTEXT)), -CONTEXT, CONTEXT).alias("before"),
+            (F.get("bases", F.floor(i / BLOCK).cast("int")) + total(i - i % BLOCK, i % BLOCK) + F.length(gap) + F.length(lead)).cast("long").alias("start"),
+            F.substr(c, F.length(lead) + 1).alias("candidate"),
+            last(F.concat(last(earlier), last(gap), last(lead))).alias("before"),
             F.substring(F.concat(F.substring(following, 1, CONTEXT), F.substring(later, 1, CONTEXT)), 1, CONTEXT).alias("after"),
+            kind.alias("kind"),
         )
 
     return found.select("doc_id", "path", F.explode(F.transform("found", described)).alias("c")).select("doc_id", "path", "c.*")
@@ -92,11 +115,11 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
 
 def weak_labels(findings: DataFrame) -> DataFrame:
     """Adds ``label``: 1 for values assigned to a credential's name and known kinds of token, 0 between two real words with no credential's name near, else null."""
-    before, after, value = F.col("before"), F.col("after"), F.col("candidate")
+    before, after, value, kind = F.col("before"), F.col("after"), F.col("candidate"), F.col("kind")
     telling = value.rlike(r"[^\p{L}]") | (F.length(value) >= LEAST)  # not ``auth: "basic"``
-    quoted = before.rlike(CREDENTIAL) & after.rlike("^[\"'`]") & telling
-    unquoted = before.rlike(CREDENTIAL_UNQUOTED) & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.length(value) >= 8)
-    url = before.rlike(r"://[^\s:/@]*:$") & after.rlike("^@")
+    quoted = ((kind == "quoted") | before.rlike(CREDENTIAL)) & after.rlike("^[\"'`]") & telling
+    unquoted = ((kind == "unquoted") | before.rlike(CREDENTIAL_UNQUOTED)) & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.length(value) >= 8)
+    url = kind == "url"
     cue = before.rlike(_NAME) | after.rlike(_NAME)
     plain = before.rlike(r"(^|\s)\p{L}+[.,;!?|]*\s+$") & after.rlike(r"^[.,;!?|]*\s+\p{L}+[.,;!?|#$%&*]*(\s|$)") & ~cue
     return findings.withColumn("label", F.when(quoted | unquoted | url | value.rlike(KNOWN), 1).when(plain, 0))
@@ -112,9 +135,10 @@ def _runs(value: Column, n: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.greatest(F.length(value) - n + 1, F.lit(1))), lambda i: F.substring(value, i, F.lit(n)))
 
 
-def _grams(n: int, value: Column, table: Column) -> Column:
-    """Mean table entry over the candidate's runs of ``n`` letters; 0 if it has none."""
-    runs = F.filter(_runs(value, n), lambda s: s.rlike(f"^[a-z]{{{n}}}$"))
+def _grams(n: int, table: Column) -> Column:
+    """Mean table entry over the runs of ``n`` letters in ``_chars``, the candidate's characters; 0 if it has none."""
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_chars") - n, F.lit(0))), lambda i: F.concat(*[F.get("_chars", i + k) for k in range(n)]))
+    runs = F.filter(runs, lambda s: s.rlike(f"^[a-z]{{{n}}}$"))
 
     def index(s: Column) -> Column:
         at = F.lit(0)
@@ -139,22 +163,22 @@ def _word_before() -> Column:
 def features(findings: DataFrame, model: Model) -> DataFrame:
     """Adds the FEATURES of each finding."""
     c, n = F.col("candidate"), F.length("candidate")
-    low = F.lower(c)
     changes = F.regexp_count(c, F.lit("[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])|[a-z](?=[A-Z])|[A-Z](?=[a-z])"))
     if model.cues:
         cues = F.broadcast(findings.sparkSession.createDataFrame(model.cues, "_cue string, _odds double"))  # at most CUES rows
         findings = findings.join(cues, _word_before() == F.col("_cue"), "left")
     else:
         findings = findings.withColumn("_odds", F.lit(None).cast("double"))
+    findings = findings.withColumn("_chars", F.split(F.lower(c), ""))  # read by position, which a string does in linear time only
     return findings.select(
-        *[x for x in findings.columns if x not in ("_cue", "_odds")],
+        *[x for x in findings.columns if x not in ("_cue", "_odds", "_chars")],
         n.cast("double").alias("length"),
         (changes / n).alias("class_changes"),
         (F.regexp_count(c, F.lit("[0-9]")) / n).alias("digits"),
         (F.regexp_count(c, F.lit("[A-Z]")) / n).alias("upper"),
         (F.size(F.array_distinct(F.split(c, ""))) / n).alias("distinct"),
-        _grams(2, low, _table(model.pairs)).alias("pair_likelihood"),
-        _grams(3, low, _table(model.triples)).alias("dictionary_coverage"),
+        _grams(2, _table(model.pairs)).alias("pair_likelihood"),
+        _grams(3, _table(model.triples)).alias("dictionary_coverage"),
         F.col("before").rlike(r"[=:]\s*[\"'`]?$").cast("double").alias("assigned"),
         (F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]")).cast("double").alias("quoted"),
         F.coalesce("_odds", F.lit(0.0)).alias("word_before"),
@@ -194,8 +218,9 @@ def train(labelled: DataFrame, most: int = SAMPLE) -> Model:
     model = Model(pairs, triples, cues)
     if sample.select("label").distinct().count() < 2:
         return model
-    rows = staged(features(sample, model).select(F.col("label").cast("double").alias("label"), *FEATURES), "features")
-    rows = rows.repartition(4, *FEATURES).sortWithinPartitions(*FEATURES)  # bounded; the same order in reruns
+    place = ["doc_id", "start", "candidate"]
+    rows = staged(features(sample, model).select(*place, F.col("label").cast("double").alias("label"), *FEATURES), "features")
+    rows = rows.repartition(4, *place).sortWithinPartitions(*place, *FEATURES)  # bounded; equal findings spread; the same order in reruns
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows)
     model.forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=17).fit(vectors)
     return model

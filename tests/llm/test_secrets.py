@@ -1,19 +1,90 @@
 import hashlib
+import itertools
 import random
 import re
+import string
+import time
+import unicodedata
 
-import regex
+import pytest
 from pyspark.sql import functions as F
 
 from pitlane.llm import secrets as X
 from pitlane.llm.common import table
 from tests.llm.cases import AWKWARD, WORDS, frame
 
-CANDIDATE = regex.compile(r"(?<![\p{L}\p{N}+/_=-])[A-Za-z0-9+/_=-]{16,}+(?![\p{L}\p{N}])")
+BLANK, QUOTES = set(" \t\n\x0b\f\r"), set("\"'`")
+RUN = set(string.ascii_letters + string.digits + "+/_=-")
+ID = set(string.ascii_letters + string.digits + "_.[]\"'-")
+NAMES = "token secret passwd password passphrase pwd credential apikey api_key api-key accesskey access_key access-key privatekey private_key private-key".split()
+
+
+def until(text, at, stop):
+    while at < len(text) and not stop(text[at]):
+        at += 1
+    return at
+
+
+def names_credential(text, start, end):
+    low = text.lower()
+    for i in range(start, end):
+        if any(low.startswith(n, i) for n in NAMES):
+            return True
+        if low.startswith("auth", i) and not (text[i + 4 : i + 6].lower() == "or" and low[i + 6 : i + 8] not in ("is", "iz")):
+            return True
+    return False
+
+
+def lettered(text, at):
+    return 0 <= at < len(text) and unicodedata.category(text[at])[0] in "LN"
+
+
+def match(text, at, last):
+    """(start, end) of the candidate of the match that begins at ``at``, rule after rule, or None."""
+    if at == last or text[at - 1] not in ID:
+        end = until(text, at, lambda c: c not in ID)
+        sign = until(text, end, lambda c: c not in BLANK)
+        if end > at and names_credential(text, at, end) and text[sign : sign + 1] in ("=", ":"):
+            sign += 2 if text[sign : sign + 2] in (":=", "=>") else 1
+            value = until(text, sign, lambda c: c not in BLANK)
+            quote = text[value : value + 1]
+            if quote and quote in QUOTES:
+                close = until(text, value + 1, lambda c: c in (quote, "\r", "\n"))
+                if close > value + 1 and text[close : close + 1] == quote:
+                    return value + 1, close
+            elif quote and quote not in "=:>,;" and text[value : value + 2] != "//":
+                return value, until(text, value, lambda c: c in BLANK or c in QUOTES or c in ",;")
+    if text.startswith("://", at):
+        user = until(text, at + 3, lambda c: c in BLANK or c in ":/@")
+        if text[user : user + 1] == ":":
+            close = text.rfind("@", user + 2, until(text, user + 1, lambda c: c in BLANK or c in QUOTES or c == "/"))
+            if close > 0:
+                return user + 1, close
+    if text[at] not in RUN or lettered(text, at - 1) or (at and text[at - 1] in "+/_=-"):
+        return None
+    first = until(text, at, lambda c: c not in RUN)
+    if first - at >= 2 and text[first : first + 1] == "." and text[first + 1 : first + 2] in RUN and not (at and text[at - 1] == "."):
+        ends = [at - 1, first]
+        while text[ends[-1] : ends[-1] + 1] == "." and text[ends[-1] + 1 : ends[-1] + 2] in RUN:
+            ends.append(until(text, ends[-1] + 1, lambda c: c not in RUN))
+        jwt = re.match(r"eyJ[\w-]{5,}+(?:\.[\w-]++)++", text[at:], re.ASCII)
+        if jwt and not lettered(text, at + jwt.end()):
+            return at, at + jwt.end()
+        if max(b - a - 1 for a, b in itertools.pairwise(ends)) >= X.LEAST and not lettered(text, ends[-1]):
+            return at, ends[-1]
+    return (at, first) if first - at >= X.LEAST and not lettered(text, first) else None
 
 
 def places(text):
-    return [(m.start(), m[0]) for m in CANDIDATE.finditer(text or "")]
+    out, at, last = [], 0, 0
+    while text and at < len(text):
+        found = match(text, at, last)
+        if found:
+            out.append((found[0], text[found[0] : found[1]]))
+            at = last = found[1]
+        else:
+            at += 1
+    return out
 
 
 def corpus(n=400):
@@ -136,3 +207,55 @@ def test_short_and_unusual_secrets_are_candidates(spark):
     ]
     got = sorted((r.doc_id, r.candidate, r.start) for r in X.candidates(frame(spark, [(i, t) for i, (t, _) in enumerate(texts)])).collect())
     assert got == [(i, c, t.index(c)) for i, (t, c) in enumerate(texts)]
+
+
+def test_names_of_any_length_and_blanks(spark):
+    name = "api_key_for_the_production_database_of_customer"
+    texts = [
+        (f'{name} = "s3cr3t!pass"', "s3cr3t!pass", "quoted"),
+        (f'{name * 4} = "s3cr3t!pass"', "s3cr3t!pass", "quoted"),
+        ('password =      "hunter2!x"', "hunter2!x", "quoted"),
+        (f"password{' ' * 500}: hunter2!x", "hunter2!x", "unquoted"),
+        (f"see https://{'u' * 70}:s3c@ret!@host/db", "s3c@ret!", "url"),
+        ("passphrase: correct4horse", "correct4horse", "unquoted"),
+        ("Authorization: abc123def", "abc123def", "unquoted"),
+    ]
+    texts += [(t, None, None) for t in ("author: Smith", "authority: local", "Authors = 'Smith'", "authored: 2020a1")]
+    found = X.weak_labels(X.candidates(frame(spark, [(i, t) for i, (t, _, _) in enumerate(texts)]))).collect()
+    assert sorted((r.doc_id, r.candidate, r.kind, r.label) for r in found) == [(i, c, k, 1) for i, (_, c, k) in enumerate(texts) if c]
+
+
+def test_fuzzed_candidates_match_brute_force(spark):
+    rng = random.Random(21)
+    parts = [" ", "  ", "\n", "=", ":", " = ", " := ", "=>", '"', "'", "`", ",", ";", "://", "@", "/", ".", "..", "-", "_", "[", "]", "é", "ß9", "\U0001f600", "(", "==", "//"]
+    parts += ["token", "TOKEN", "api_key", "Api-Key", "passwd", "passphrase", "auth", "author", "authorize", "secret", "x", "ab", "url", "user", "eyJhbGciOi", "hunter2!"]
+    parts += ["A1b2C3d4E5f6G7h8", "0123456789abcdef01234567", "abc/def+ghi=", "pass", "word", "p@ss"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(1, 40)))) for i in range(6000)]
+    got: dict[int, list] = {}
+    for r in X.candidates(frame(spark, rows)).collect():
+        got.setdefault(r.doc_id, []).append((r.start, r.candidate))
+        text = rows[r.doc_id][1]
+        assert text[: r.start].endswith(r.before) and text[r.start + len(r.candidate) :].startswith(r.after)
+    wrong = [(t, places(t), sorted(got.get(i, []))) for i, t in rows if sorted(got.get(i, [])) != places(t)]
+    assert not wrong, wrong[:3]
+    assert sum(map(len, got.values())) > 5000
+
+
+HOSTILE = ["token", "token ", "token=", 'token="', "token:'a", "a.", "ab.c", " ", "\n", "://a:", "://a:b@", "aB3", "eyJabcdef.", "[", '"', "password = ", "_=", "auth.", "key: x, "]
+
+
+@pytest.mark.parametrize("part", HOSTILE)
+def test_long_hostile_texts_take_linear_time(spark, part):
+    text = "aa " + part * (400_000 // len(part))
+    begin = time.time()
+    X.candidates(frame(spark, [(1, text)])).agg(F.count(F.lit(1)), F.sum("start")).collect()
+    assert time.time() - begin < 20
+
+
+def test_a_very_long_value_is_described(spark):
+    value = "Zm9vYmFy" * 60_000
+    begin = time.time()
+    model = X.Model([0.5] * X._N**2, [1.0] * X._N**3, [])
+    r = X.features(X.candidates(frame(spark, [(1, f'key token = "{value}" end')])), model).first()
+    assert r.candidate == value and r.length == len(value) and r.pair_likelihood == 0.5 and r.dictionary_coverage == 1.0
+    assert time.time() - begin < 30
