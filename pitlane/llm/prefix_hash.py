@@ -3,17 +3,21 @@
 A text's prefix array holds, modulo two primes, the polynomial hash of each of its
 beginnings.  Any span's hash follows from two entries, so spans are
 compared in constant time and the longest common extension of two positions is found by
-binary search.  The fingerprint is the whole text's hash and length and a sketch: the
-``SKETCH`` smallest mixed hashes among all spans of ``SPAN`` code points.  Two
-fingerprints' likeness is estimated from their sketches as the share of spans
-in common (Dice), 1 for equal texts.
+binary search.  The fingerprint is the whole text's hash and length, a ladder (the
+prefix array's entries modulo the first prime at 1, 2, 4, ... code points) and a sketch: the
+smallest mixed hashes among all spans of ``SPAN`` code points, ``SKETCH`` of them or one
+for each ``EACH`` code points, whichever is more.  Two fingerprints alone tell whether spans between
+rungs are equal, and a binary search of their ladders brackets the common beginning.  Their
+likeness is the share of spans in common (Dice) as the sketches estimate it, at least the
+share that the equal beginning proves, 1 for equal texts.  A sketch of k hashes
+estimates the Jaccard share J with standard error sqrt(J (1 - J) / k).
 
 The query compares each document with its neighbour in descending id order.
-Documents are range-partitioned by id; each task pairs the rows within its range,
-and only its last row and its first row travel on to be paired across ranges.
+Documents are range-partitioned by id and hash of text, so rows of one id spread, too; each task
+pairs the rows within its range, and only its last row and its first row travel on to be paired across ranges.
 
 Defined cases: null text counts as empty; texts shorter than ``SPAN`` are one
-span; null ids come last, rows of equal id are ordered by text; a single row is
+span; null ids come last, rows of equal id are ordered by the XXH64 of their text, then the text; a single row is
 its own neighbour; an empty table gives an empty result.
 """
 
@@ -34,6 +38,7 @@ PRIMES = (2**31 - 1, 2**31 - 19)
 BASES = (911_382_323, 972_663_749)
 SPAN = 8
 SKETCH = 64
+EACH = 256  # 3 bytes in 100 of a long text, for both of its fingerprints: the disk budget has no more
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LENGTH = 10  # hex digits of the length in a fingerprint
 
@@ -95,27 +100,67 @@ class PrefixHash:
             out ^= out >> np.uint64(32)
             return out * _MIX
 
-    def fingerprint(self, width: int = SPAN, sketch: int = SKETCH) -> str:
-        """Hex: whole hash (16 digits), length, and the sketch's 32-bit values in order."""
+    def fingerprint(self, width: int = SPAN) -> str:
+        """Hex: whole hash (16 digits), length, the ladder's entries and the sketch's 32-bit values in order."""
         whole = "".join(f"{h:08x}" for h in self.span(0, self.n))
-        hashes = self.spans(width) >> np.uint64(32)
+        ladder = "".join(f"{h:08x}" for h in self.arrays[0][rungs(self.n)].tolist())
+        hashes, sketch = self.spans(width) >> np.uint64(32), sketch_size(self.n)
         if len(hashes) > 8 * sketch:  # most texts: the smallest are below a multiple of their expected bound
             few = np.unique(hashes[hashes < np.uint64((sketch * 4 << 32) // len(hashes))])
             hashes = few if len(few) >= sketch else hashes
-        return whole + f"{self.n:0{_LENGTH}x}" + "".join(f"{h:08x}" for h in np.unique(hashes)[:sketch].tolist())
+        return whole + f"{self.n:0{_LENGTH}x}" + ladder + "".join(f"{h:08x}" for h in np.unique(hashes)[:sketch].tolist())
 
 
-def likeness(a: str, b: str, sketch: int = SKETCH) -> float:
+def rungs(n: int) -> list[int]:
+    """The ladder's positions in a text of ``n`` code points: the powers of two below it."""
+    return [1 << k for k in range(max(n - 1, 0).bit_length())]
+
+
+def sketch_size(n: int) -> int:
+    """Most hashes in the sketch of a text of ``n`` code points."""
+    return max(SKETCH, n // EACH)
+
+
+class Fingerprint:
+    """A fingerprint's parts: ``n`` code points, ``entries`` of the prefix array by position, ``sketch``."""
+
+    def __init__(self, text: str):
+        head = 16 + _LENGTH
+        self.n = int(text[16:head], 16)
+        positions = rungs(self.n)
+        values = [text[i : i + 8] for i in range(head, len(text), 8)]
+        self.entries = {0: 0, **{p: int(v, 16) for p, v in zip(positions, values, strict=False)}, self.n: int(text[:8], 16) if self.n else 0}
+        self.sketch = values[len(positions) :]
+
+    def span(self, start: int, end: int) -> int:
+        """Hash of the span between two positions of the ladder (0 and ``n`` among them), the same wherever it stands."""
+        return (self.entries[end] - self.entries[start]) * pow(BASES[0], -start, PRIMES[0]) % PRIMES[0]
+
+    def common_beginning(self, other: Fingerprint) -> tuple[int, int]:
+        """Least and greatest length the two texts' common beginning can have, by binary search of the ladders."""
+        shared = sorted(self.entries.keys() & other.entries.keys())
+        low, high = 0, len(shared) - 1  # the entries at 0 agree
+        while low < high:
+            mid = (low + high + 1) // 2
+            if self.entries[shared[mid]] == other.entries[shared[mid]]:
+                low = mid
+            else:
+                high = mid - 1
+        return shared[low], shared[low + 1] - 1 if low + 1 < len(shared) else min(self.n, other.n)
+
+
+def likeness(a: str, b: str) -> float:
     """Estimated share of spans in common of two fingerprinted texts, 0 to 1."""
     if a == b:
         return 1.0
-    head = 16 + _LENGTH
-    one, two = ({s[i : i + 8] for i in range(head, len(s), 8)} for s in (a, b))
-    least = sorted(one | two)[:sketch]
-    if not least:
+    one, two = Fingerprint(a), Fingerprint(b)
+    if not one.n or not two.n:
         return 0.0
-    shared = sum(h in one and h in two for h in least) / len(least)
-    return 2 * shared / (1 + shared)
+    x, y = set(one.sketch), set(two.sketch)
+    least = sorted(x | y)[: min(sketch_size(one.n), sketch_size(two.n))]  # both sketches are complete this far
+    shared = sum(h in x and h in y for h in least) / len(least)
+    proven = 2 * max(one.common_beginning(two)[0] - SPAN + 1, 0) / (max(one.n - SPAN + 1, 1) + max(two.n - SPAN + 1, 1))
+    return max(2 * shared / (1 + shared), proven)
 
 
 def edited(text: str, following: str) -> str:
@@ -195,7 +240,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, common_prefix."""
     order = F.col("doc_id").desc_nulls_last()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ranged = texts.repartitionByRange(order).sortWithinPartitions(order, "text")
+    ranged = texts.repartitionByRange(order, F.xxhash64("text")).sortWithinPartitions(order, F.xxhash64("text"), "text")
     done = staged(ranged.mapInArrow(_within, f"{_RESULT}, part int, edge string, text string"), "within")
     edges = done.where("edge IS NOT NULL")
     parts = sorted(r["part"] for r in edges.where("edge = 'first'").select("part").collect())  # one number per range

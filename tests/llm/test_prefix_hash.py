@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from pitlane.llm import prefix_hash as P
 from pitlane.llm.common import table
@@ -35,14 +37,87 @@ def test_likeness_estimates_shared_spans():
     assert P.PrefixHash("short").fingerprint() == P.PrefixHash("short").fingerprint() != P.PrefixHash("shirt").fingerprint()
 
 
+P1, P2 = 2**31 - 1, 2**31 - 19
+
+
+def plain_hash(codes, base, prime):
+    """Sum of (code point + 1) * base^place, place by place."""
+    total, power = 0, 1
+    for c in codes:
+        total, power = (total + (c + 1) * power) % prime, power * base % prime
+    return total
+
+
+def plain_fingerprint(text):
+    """The fingerprint by its definition, without prefix arrays."""
+    codes, mask = [ord(c) for c in text], 2**64 - 1
+    n = len(codes)
+    ladder, k = [], 1
+    while k < n:
+        ladder.append(plain_hash(codes[:k], 911_382_323, P1))
+        k *= 2
+    width, mixed = min(8, n), set()
+    for i in range(n - width + 1 if n else 0):
+        span = codes[i : i + width]
+        h = (plain_hash(span, 911_382_323, P1) << 31) ^ plain_hash(span, 972_663_749, P2)
+        h ^= h >> 29
+        h = h * 0x9E3779B97F4A7C15 & mask
+        h ^= h >> 32
+        mixed.add((h * 0x9E3779B97F4A7C15 & mask) >> 32)
+    parts = [plain_hash(codes, 911_382_323, P1), plain_hash(codes, 972_663_749, P2)]
+    return "".join(f"{x:08x}" for x in parts) + f"{n:010x}" + "".join(f"{x:08x}" for x in [*ladder, *sorted(mixed)[: max(64, n // 256)]])
+
+
+def test_fingerprints_match_their_definition():
+    rng = random.Random(3)
+    texts = ["", "a", "ab", "abc", "1234567", "12345678", "123456789", "\U0001f600" * 5, "ab" * 300, "\x00\x00"]
+    texts += ["".join(rng.choice("abcdefghij \u00e4\U0001f600") for _ in range(n)) for n in (16, 17, 63, 64, 65, 700, 5000, 20_000)]
+    for t in texts:
+        assert P.PrefixHash(t).fingerprint() == plain_fingerprint(t)
+
+
+def test_ladders_bracket_common_beginnings_and_compare_spans():
+    rng = random.Random(5)
+    for _ in range(300):
+        text = "".join(rng.choice("ab") for _ in range(rng.randrange(0, 300)))
+        cut = rng.randrange(0, len(text) + 1)
+        other = text[:cut] + "".join(rng.choice("abc") for _ in range(rng.randrange(0, 100)))
+        common = next((k for k, (x, y) in enumerate(zip(text, other, strict=False)) if x != y), min(len(text), len(other)))
+        one, two = (P.Fingerprint(P.PrefixHash(t).fingerprint()) for t in (text, other))
+        low, high = one.common_beginning(two)
+        assert low <= common <= high and (high < 2 * max(low, 1) or high == min(len(text), len(other)))
+        for i in one.entries:
+            for j in two.entries:
+                for w in (1, 2, 4, 8, 64):
+                    if i + w in one.entries and j + w in two.entries:
+                        assert (one.span(i, i + w) == two.span(j, j + w)) == (text[i : i + w] == other[j : j + w])
+
+
+def test_sketch_grows_with_the_text():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(60_000)) for _ in range(12)]
+    errors = []
+    for k in range(0, 12, 2):
+        part = 5000 * (k + 1)
+        a, b = texts[k], texts[k + 1][:-part] + texts[k][-part:]  # only the end in common: nothing for the ladder
+        spans = [{t[i : i + P.SPAN] for i in range(len(t) - P.SPAN + 1)} for t in (a, b)]
+        errors.append(P.likeness(*(P.PrefixHash(t).fingerprint() for t in (a, b))) - 2 * len(spans[0] & spans[1]) / sum(map(len, spans)))
+    assert max(map(abs, errors)) < 0.12 and sum(e * e for e in errors) / len(errors) < 0.05**2
+
+
+def order(row):
+    h = xxhash.xxh64(row[1].encode(), seed=42).intdigest()
+    return row[0] is None, -(row[0] or 0), h - 2**64 if h >> 63 else h, row[1].encode()
+
+
 def expected(rows):
-    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), (r[1] or "").encode()))
+    rows = sorted(((doc, text or "") for doc, text in rows), key=order)
+    prints = {text: plain_fingerprint(text) for _, text in rows}
     out = []
     for (doc, text), (_, following) in zip(rows, [*rows[1:], rows[0]], strict=True):
-        text, following = text or "", following or ""
         third = len(text) // 3
         changed = text[: len(text) - third] + following[:third]
-        own, new, nxt = (P.PrefixHash(t).fingerprint() for t in (text, changed, following))
+        own, new, nxt = prints[text], plain_fingerprint(changed), prints[following]
         common = next((k for k, (x, y) in enumerate(zip(text, changed, strict=False)) if x != y), min(len(text), len(changed)))
         out.append((doc, len(text), hashlib.sha256(changed.encode()).hexdigest(), own, new, P.likeness(own, new), P.likeness(own, nxt), common))
     return sorted(out, key=str)
@@ -67,3 +142,12 @@ def test_given_documents(spark):
 
 def test_empty_table(spark):
     assert P.fingerprints(frame(spark, [])).collect() == []
+
+
+def test_rows_of_one_id_spread_over_ranges(spark):
+    rows = [(7, f"text number {i} of one document id") for i in range(3000)]
+    docs = frame(spark, rows).repartition(8)
+    assert result(P.fingerprints(docs)) == expected([r[:2] for r in rows])
+    plan = docs.repartitionByRange(8, F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
+    sizes = [r["count"] for r in plan.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
