@@ -110,9 +110,10 @@ def balance(histogram: DataFrame, sources: DataFrame, repeat: float = REPEAT, ti
         gap = F.abs("off") / F.greatest("target", F.lit(1.0))
         step = F.when(F.col("off") == 0, F.col("multiplier")).when((newton > F.col("low")) & (newton < F.col("high")), newton).otherwise(halved)
         state = staged(joined.select(F.col("_s").alias("source"), "target", "mean", "full", step.alias("multiplier"), "low", "high", gap.alias("gap")), "state")
-        if (state.where("not full").agg(F.max("gap")).first()[0] or 0.0) <= TOLERANCE:
-            break
-    return state.select("source", "multiplier", "full", "mean")
+        gap = state.where("not full").agg(F.max("gap")).first()[0] or 0.0
+        if gap <= TOLERANCE:
+            return state.select("source", "multiplier", "full", "mean")
+    raise RuntimeError(f"a source is {gap:.2g} of its target away after {MAX_STEPS} steps")
 
 
 def _diffuse(repeat: int):

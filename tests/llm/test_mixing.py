@@ -98,3 +98,10 @@ def test_one_class_with_many_documents_is_split_into_cells(spark):
 def test_empty_and_wordless_tables(spark):
     assert M.mix(frame(spark, [])).collect() == []
     assert [(r.size, r.target, r.taken) for r in M.mix(frame(spark, [(1, " ", "a"), (2, None, None)])).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_a_balance_that_does_not_converge_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(M, "MAX_STEPS", 1)
+    rows = [(i, "word " * (1 + i % 7), "abc"[i % 3]) for i in range(60)]
+    with pytest.raises(RuntimeError, match="after 1 steps"):
+        M.mix(frame(spark, rows)).collect()
