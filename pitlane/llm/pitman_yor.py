@@ -53,6 +53,7 @@ BUCKET_TOKENS = 1_500_000  # tokens of rare words a bucket holds, about
 LEAST_BUCKETS = 48
 CHUNK = 1_000_000  # tokens packed together
 EXACT = 32
+ONE_BY_ONE = 128  # cells of a word drawn one after another at most
 PASSES = 2  # passes that settle the totals
 BURN, SAMPLES = 2, 4  # steps over each word's restaurants in the last pass: dropped, averaged
 SEED = 20
@@ -401,20 +402,33 @@ class Seating(NamedTuple):
     parent_tables: np.ndarray
 
 
-def seat(per: np.ndarray, context: np.ndarray, n: np.ndarray, totals: Totals, seed: list[int], burn: int, samples: int) -> Seating:
-    """Gibbs over one bucket's words: the ``samples`` steps after ``burn``."""
+def seat(per: np.ndarray, context: np.ndarray | None, n: np.ndarray, totals: Totals, seed: list[int], burn: int, samples: int, strengths=None, fixed=None) -> Seating:
+    """Gibbs over one bucket's words: the ``samples`` steps after ``burn``.
+
+    ``strengths`` has those of the cells if they are not in ``totals``, ``fixed`` the parent's customers of each word from other
+    cells.  The cells of a word are drawn one after another.  Those of a word with more than ``ONE_BY_ONE`` are drawn together, given a draw of the
+    parent's probability: the product of its predictive probabilities, a rising factorial, is the mean of its powers under a gamma distribution.
+    """
     rng = np.random.default_rng(seed)
     word = np.repeat(np.arange(len(per)), per)
     start = np.concatenate([[0], np.cumsum(per)[:-1]]).astype(np.int64)
     rank = np.arange(len(word)) - start[word]
+    rank[per[word] > ONE_BY_ONE] = ONE_BY_ONE
     # one cell of a word at a time, cells of like size together
     ranks = np.split(np.argsort(rank, kind="stable"), np.cumsum(np.bincount(rank))[:-1]) if len(rank) else []
-    strengths, base = totals.strengths[context], totals.parent_strength * totals.base
-    turns = [(most, cells, word[cells], strengths[cells]) for r in ranks for most, cells in _by_size(n, r)]
+    strengths, base = totals.strengths[context] if strengths is None else strengths, totals.parent_strength * totals.base
+    turns = [(most, cells, word[cells], strengths[cells]) for r in ranks[:ONE_BY_ONE] for most, cells in _by_size(n, r)]
+    crowd = [(most, cells, word[cells], strengths[cells]) for r in ranks[ONE_BY_ONE:] for most, cells in _by_size(n, r)]
+    crowded = np.flatnonzero(per > ONE_BY_ONE)
     scale = STRENGTH + totals.parent_customers
     d0 = totals.parent_discount
     t = np.maximum(1, np.rint(n**totals.discount)).astype(np.int64)
-    c0 = np.add.reduceat(t, start) if len(start) else np.zeros(0, np.int64)
+    fixed = np.zeros(len(per), np.int64) if fixed is None else fixed
+
+    def customers():
+        return fixed + np.bincount(word, t, len(per)).astype(np.int64)
+
+    c0 = customers()
     t0 = np.maximum(1, np.rint(c0**d0)).astype(np.int64)
     kept = []
     for step in range(burn + samples):
@@ -429,7 +443,13 @@ def seat(per: np.ndarray, context: np.ndarray, n: np.ndarray, totals: Totals, se
 
             t[cells] = _draw(n[cells], most, strength, weight, totals.discount, rng)
             c0[w] = others + t[cells]
-        t0 = np.ones(len(c0), np.int64)
+        if len(crowded):
+            chance = np.zeros(len(per))
+            chance[crowded] = rng.gamma(c0[crowded] - d0 * np.minimum(t0, c0)[crowded] + base) / scale
+            for most, cells, w, strength in crowd:
+                t[cells] = _draw(n[cells], most, strength, lambda i, g=chance[w][:, None]: np.broadcast_to(g, (len(g), i.shape[1])), totals.discount, rng)
+            c0 = customers()
+        t0 = np.minimum(c0, 1)
         for most, rows in _by_size(c0, np.arange(len(c0))):
             flat = np.full(len(rows), totals.parent_strength)
             t0[rows] = _draw(c0[rows], most, flat, lambda i, m=len(rows): np.full((m, i.shape[1]), totals.base), d0, rng)
