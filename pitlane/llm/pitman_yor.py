@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import staged
+from pitlane.llm.common import staged, unstage
 from pitlane.llm.labelled import remainder
 
 FOLDS, HELD_OUT = 5, 1
@@ -132,6 +132,7 @@ def vocabulary(texts: DataFrame, anchors: int = ANCHORS, frequent: float = FREQU
     total = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens, words = total[0] or 0, total[1]
     often = counts.where(F.col("n") >= max(2.0, tokens * frequent)).collect()  # at most 1 / frequent rows
+    unstage(counts)
     end = key(b"")
     often = sorted(((r["n"], r["word"]) for r in often), key=lambda x: (-x[0], x[1]))
     inner = [w for w in often if w[1] != end]

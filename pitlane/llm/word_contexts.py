@@ -31,18 +31,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitlane.llm import pitman_yor as L
-from pitlane.llm.common import staged
+from pitlane.llm.common import staged, unstage
 from pitlane.llm.labelled import remainder
 
-BUCKET_TOKENS = 1_500_000  # training tokens of a bucket, about
+BUCKET_TOKENS = 1_000_000  # training tokens of a bucket, about
 LEAST_BUCKETS = 48
 PARTS = 4  # a word with more than this share of a bucket's tokens is cut
-FREQUENT_PAIR = 2.0**-19
+FREQUENT_PAIR = 2.0**-20
 HELD = 1 << 21  # pairs a task holds
 
 _ODD = 0x9E3779B97F4A7C15
 _LOW = 31  # bits of a pair that tell its context
 _OFTEN = 0xFFFFFFFF  # stands for the count of a frequent word
+_FINE = 2.0**30  # log probabilities are kept to whole multiples of its inverse
 
 
 class Words(NamedTuple):
@@ -110,6 +111,41 @@ def _routed(m: Words, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys, contexts
 
 
+def _tight(x: np.ndarray, rising: bool = False) -> bytes:
+    """Whole numbers in few bytes: differences if they rise, like bytes of all of them side by side, compressed."""
+    x = np.ascontiguousarray(np.diff(x, prepend=0) if rising else x, np.int64).reshape(-1)
+    return len(x).to_bytes(8, "little") + (pa.compress(x.view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True) if len(x) else b"")
+
+
+def _loose(x: bytes, rising: bool = False) -> np.ndarray:
+    size = int.from_bytes(x[:8], "little")
+    if not size:
+        return np.zeros(0, np.int64)
+    raw = np.frombuffer(pa.decompress(x[8:], 8 * size, "zstd", asbytes=True), np.uint8)
+    x = np.ascontiguousarray(raw.reshape(8, size).T).view(np.int64).reshape(-1)
+    return np.cumsum(x) if rising else x
+
+
+def _coded(m: Words, contexts: np.ndarray) -> np.ndarray:
+    """Keys of frequent words by their rank."""
+    by_key = np.argsort(m.vocabulary.keys)
+    at, hit = _find(m.vocabulary.keys[by_key], contexts)
+    return np.where(hit, by_key[at], contexts + L._RARE) if len(by_key) else contexts + L._RARE
+
+
+def _decoded(m: Words, codes: np.ndarray) -> np.ndarray:
+    keys = m.vocabulary.keys
+    return np.where(codes < L._RARE, keys[np.minimum(codes, len(keys) - 1)], codes - L._RARE) if len(keys) else codes - L._RARE
+
+
+def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``wanted`` in the sorted ``table``, and whether they are there."""
+    if not len(table):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
+    return at, table[at] == wanted
+
+
 def _cuts(keys: np.ndarray, edges: list[int]) -> list[tuple[int, slice]]:
     """The places of sorted keys in each range that has some."""
     at = np.concatenate([[0], np.searchsorted(keys, np.array(edges[1:], np.int64)), [len(keys)]])
@@ -129,8 +165,14 @@ def _merged(keys, contexts, n):
 _COUNTS = "keys binary, contexts binary, n binary"
 
 
-def _counted(rows: pa.Table):
-    return _merged(*(np.concatenate([np.frombuffer(x, np.int64) for x in rows.column(c).to_pylist()]) for c in L._names(_COUNTS)))
+def _sent(m: Words, cells: tuple) -> tuple[bytes, bytes, bytes]:
+    keys, contexts, n = cells
+    return _tight(keys, rising=True), _tight(_coded(m, contexts)), _tight(n)
+
+
+def _counted(m: Words, rows: pa.Table):
+    keys, contexts, n = ([_loose(x, rising=c == "keys") for x in rows.column(c).to_pylist()] for c in L._names(_COUNTS))
+    return _merged(np.concatenate(keys), _decoded(m, np.concatenate(contexts)), np.concatenate(n))
 
 
 def _pairs(m: Words):
@@ -153,7 +195,7 @@ def _pairs(m: Words):
         def out():
             some = _cuts(pair(*cells[:2]), edges)
             piece = L._piece(len(edges), turn)
-            return pa.RecordBatch.from_arrays(L._arrow([(g, piece, *(x[at].tobytes() for x in cells)) for g, at in some], "grp int, piece long, " + _COUNTS), L._names("grp int, piece long, " + _COUNTS))
+            return pa.RecordBatch.from_arrays(L._arrow([(g, piece, *_sent(m, [x[at] for x in cells])) for g, at in some], "grp int, piece long, " + _COUNTS), L._names("grp int, piece long, " + _COUNTS))
 
         for batch in batches:
             for held_out, text in zip(batch.column("held_out").to_pylist(), batch.column("text"), strict=True):
@@ -177,9 +219,9 @@ def _deal_pairs(m: Words):
     bounds = m.bounds
 
     def task(rows: pa.Table) -> pa.Table:
-        *cells, pairs = _counted(rows)
+        *cells, pairs = _counted(m, rows)
         schema = "bucket int, " + _COUNTS
-        return pa.table(L._arrow([(b, *(x[at].tobytes() for x in cells)) for b, at in _cuts(pairs, bounds)], schema), L._names(schema))
+        return pa.table(L._arrow([(b, *_sent(m, [x[at] for x in cells])) for b, at in _cuts(pairs, bounds)], schema), L._names(schema))
 
     return task
 
@@ -187,14 +229,18 @@ def _deal_pairs(m: Words):
 _TABLE = "bucket int, words binary, per binary, contexts binary, at binary, n binary"
 
 
-def _gather(rows: pa.Table) -> pa.Table:
+def _gather(m: Words):
     """One row per bucket: its words, how many pairs each has, its contexts, and the pairs' contexts and counts."""
-    keys, contexts, n, _ = _counted(rows)
-    order = np.argsort(keys, kind="stable")
-    words, per = np.unique(keys, return_counts=True)
-    known, at = np.unique(contexts[order], return_inverse=True)
-    row = (rows.column("bucket")[0].as_py(), *(x.tobytes() for x in (words, per, known, at.astype(np.uint32), n[order])))
-    return pa.table(L._arrow([row], _TABLE), L._names(_TABLE))
+
+    def task(rows: pa.Table) -> pa.Table:
+        keys, contexts, n, _ = _counted(m, rows)
+        order = np.argsort(keys, kind="stable")
+        words, per = np.unique(keys, return_counts=True)
+        known, at = np.unique(contexts[order], return_inverse=True)
+        row = (rows.column("bucket")[0].as_py(), _tight(words, rising=True), _tight(per), _tight(known, rising=True), _tight(at), _tight(n[order]))
+        return pa.table(L._arrow([row], _TABLE), L._names(_TABLE))
+
+    return task
 
 
 class Bucket(NamedTuple):
@@ -206,8 +252,7 @@ class Bucket(NamedTuple):
 
     @classmethod
     def of(cls, row: dict) -> Bucket:
-        kinds = (("words", np.int64), ("per", np.int64), ("contexts", np.int64), ("at", np.uint32), ("n", np.int64))
-        words, per, contexts, at, n = (np.frombuffer(row[c], k) for c, k in kinds)
+        words, per, contexts, at, n = (_loose(row[c], rising=c in ("words", "contexts")) for c in ("words", "per", "contexts", "at", "n"))
         return cls(words, np.repeat(np.arange(len(words)), per), contexts, at, n)
 
     def hot(self, m: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -226,7 +271,7 @@ def _asked(m: Words, bucket: int, b: Bucket, cells: np.ndarray, saved: np.ndarra
     size = len(b.contexts)
     numbers = [np.bincount(b.at, b.n, size), *(np.bincount(b.at[cells], x, size) for x in saved)]
     numbers = np.array(numbers).astype(np.int64)
-    rows = [(p, bucket, b.contexts[s].tobytes(), numbers[:, s].tobytes(), *[None] * 7) for p, s in L._cuts(b.contexts, L._bounds(m.buckets))]
+    rows = [(p, bucket, _tight(b.contexts[s], rising=True), _tight(numbers[:, s]), *[None] * 7) for p, s in L._cuts(b.contexts, L._bounds(m.buckets))]
     rows.append((None, bucket, None, None, *own))
     return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(_ASKED_KINDS)], L._names(_ASKED))
 
@@ -257,11 +302,11 @@ def _tell(samples: int):
 
     def task(asked: pa.Table) -> pa.Table:
         rows = asked.to_pylist()
-        contexts, numbers = [np.frombuffer(r["contexts"], np.int64) for r in rows], [np.frombuffer(r["numbers"], np.int64).reshape(1 + samples, -1) for r in rows]
+        contexts, numbers = [_loose(r["contexts"], rising=True) for r in rows], [_loose(r["numbers"]).reshape(1 + samples, -1) for r in rows]
         _, at = np.unique(np.concatenate(contexts), return_inverse=True)
         sums = [np.bincount(at, x).astype(np.int64)[at] for x in np.concatenate(numbers, axis=1)]
         ends = np.cumsum([len(x) for x in contexts])
-        out = [(r["bucket"], r["part"], x.tobytes()) for r, x in zip(rows, np.split(np.array(sums), ends[:-1], axis=1), strict=True)]
+        out = [(r["bucket"], r["part"], _tight(x)) for r, x in zip(rows, np.split(np.array(sums), ends[:-1], axis=1), strict=True)]
         return pa.table(L._arrow(out, _TOLD), L._names(_TOLD))
 
     return task
@@ -270,7 +315,7 @@ def _tell(samples: int):
 def _heard(told: pa.Table, samples: int) -> np.ndarray:
     """Customers and each sample's tables of a bucket's contexts."""
     rows = sorted((r for r in told.select(["part", "numbers"]).to_pylist() if r["part"] is not None), key=lambda r: r["part"])
-    numbers = np.concatenate([np.frombuffer(r["numbers"], np.int64).reshape(1 + samples, -1) for r in rows], axis=1)
+    numbers = np.concatenate([_loose(r["numbers"]).reshape(1 + samples, -1) for r in rows], axis=1)
     return np.concatenate([numbers[:1], numbers[0] - numbers[1:]])
 
 
@@ -296,8 +341,7 @@ def _sit(m: Words, totals: L.Totals, hot: np.ndarray, burn: int, samples: int, t
         ones, twos = (int((c0[-1, cold] == k).sum()) for k in (1, 2))
         own = seats = None
         if keep:
-            own = (b.n[many] - totals.discount * got.tables.mean(axis=0)).tobytes()
-            seats = np.array([c0, t0], np.int64).tobytes()
+            own, seats = _tight(got.tables.sum(axis=0)), _tight(np.array([c0, t0]))
         own = (c0.sum(axis=1).astype(float).tolist(), t0[:, cold].sum(axis=1).astype(float).tolist(), ones, twos, np.array([there, *c0[:, here]], np.int64).tobytes(), own, seats)
         return _asked(m, row["bucket"], b, many, b.n[many] - got.tables, own)
 
@@ -356,22 +400,22 @@ def _chances(m: Words, given: L.Totals, parent: Parent, least: float):
         (seated,) = (r for r in known.select(["part", "own", "seats"]).to_pylist() if r["part"] is None)
         customers, *tables = _heard(known, samples)
         own = np.where(b.n > 0, 1 - given.discount, 0.0)
-        own[b.n > 1] = np.frombuffer(seated["own"])
-        c0, t0 = np.frombuffer(seated["seats"], np.int64).reshape(2, samples, -1).copy()
+        own[b.n > 1] = b.n[b.n > 1] - given.discount * _loose(seated["own"]) / samples
+        c0, t0 = _loose(seated["seats"]).reshape(2, samples, -1).copy()
         here, there = b.hot(m)
         c0[:, here], t0[:, here] = parent.customers[:, m.owner[there]], parent.tables[:, m.owner[there]]
         backed = np.zeros(len(b.n))
         for totals, t, c, k in zip(parent.samples, tables, c0, t0, strict=True):
             backed += (L.STRENGTH + given.discount * t)[b.at] * L._parent(c, k, totals)[b.word]
-        logs = np.log10((own + backed / samples) / (L.STRENGTH + customers[b.at]))
+        logs = np.rint(np.log10((own + backed / samples) / (L.STRENGTH + customers[b.at])) * _FINE).astype(np.int64)
         counts = np.bincount(b.word, b.n, len(b.words)).astype(np.int64)
         counts[np.isin(b.words, m.vocabulary.keys)] = _OFTEN
         counts[here] = _OFTEN
         pairs = pair(b.words[b.word], b.contexts[b.at])
         order = np.argsort(pairs)
         often = b.n >= least
-        blobs = (pairs[order], logs[order], counts[b.word[order]].astype(np.uint32), pairs[often], logs[often])
-        return pa.table(L._arrow([(row["bucket"], *(x.tobytes() for x in blobs))], _CHANCES), L._names(_CHANCES))
+        blobs = (_tight(pairs[order], rising=True), _tight(logs[order]), _tight(counts[b.word[order]]), pairs[often].tobytes(), (logs[often] / _FINE).tobytes())
+        return pa.table(L._arrow([(row["bucket"], *blobs)], _CHANCES), L._names(_CHANCES))
 
     return task
 
@@ -389,7 +433,7 @@ def train(docs: DataFrame, bucket_tokens: int = BUCKET_TOKENS, least: int = LEAS
         return Model(m, None, np.zeros(0, np.int64), np.zeros(0))
     packed = texts.select("held_out", "text").mapInArrow(_pairs(m), "grp int, piece long, " + _COUNTS)
     packed = packed.groupBy("grp", "piece").applyInArrow(_deal_pairs(m), "bucket int, " + _COUNTS)
-    table = staged(packed.groupBy("bucket").applyInArrow(_gather, _TABLE), "pairs")
+    table = staged(packed.groupBy("bucket").applyInArrow(_gather(m), _TABLE), "pairs")
     buckets = table.groupBy("bucket")
     asked = staged(table.mapInArrow(_ask(m), _ASKED), "asked")
     seen = asked.where("part is null").agg(F.sum("ones"), F.sum("twos"), F.sum(F.col("customers")[0])).first()
@@ -400,27 +444,22 @@ def train(docs: DataFrame, bucket_tokens: int = BUCKET_TOKENS, least: int = LEAS
         told = asked.where("part is not null").groupBy("part").applyInArrow(_tell(1), _TOLD)
         burn, samples = (L.BURN, L.SAMPLES) if last else (1, 1)
         sat = buckets.cogroup(told.groupBy("bucket")).applyInArrow(_sit(m, totals, parent.hot[0], burn, samples, turn, last), _ASKED)
-        asked = staged(sat, "asked")
+        spent, asked = asked, staged(sat, "asked")
+        unstage(spent)
         parent = _parents(m, asked, totals, samples, totals.parent_discount if last else None, turn)
         given, totals = totals, parent.samples[0]
     told = asked.where("part is not null").groupBy("part").applyInArrow(_tell(L.SAMPLES), _TOLD)
     known = told.withColumns({"own": F.lit(None).cast("binary"), "seats": F.lit(None).cast("binary")}).unionByName(asked.where("part is null").select("bucket", "part", "numbers", "own", "seats"))
     least_pair = max(2.0, v.tokens * frequent_pair)
     chances = staged(buckets.cogroup(known.groupBy("bucket")).applyInArrow(_chances(m, given, parent, least_pair), _CHANCES), "chances")
+    for spent in (asked, table):
+        unstage(spent)
     often = chances.select("often", "often_log_p").collect()  # at most 1 / frequent_pair pairs
     pairs, log_p = np.concatenate([np.frombuffer(r[0], np.int64) for r in often]), np.concatenate([np.frombuffer(r[1]) for r in often])
     order = np.argsort(pairs)
     return Model(m, chances.select("bucket", "pairs", "log_p", "counts"), pairs[order], log_p[order])
 
 
-def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``wanted`` in the sorted ``table``, and whether they are there."""
-    if not len(table):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
-    return at, table[at] == wanted
-
-
 _PACKED = "grp int, piece long, chunk long, docs binary, at binary, pairs binary"
 _DEALT = "bucket int, grp int, piece long, chunk long, docs binary, chunks binary, place binary, at binary, pairs binary"
 
@@ -448,12 +487,12 @@ def _pack(model: Model):
             rows["base"] = np.bincount(doc, log_n[rank], len(docs))
             if hit.any():
                 rows["score"] = np.bincount(doc[hit], log_p[at[hit]], len(docs))
-            left, doc = pairs[~hit], doc[~hit].astype(np.uint32)
+            left, doc = pairs[~hit], doc[~hit]
             order = np.argsort(left, kind="stable")
             left, doc = left[order], doc[order]
             piece = L._piece(len(edges), chunk - first)
             sent = [(int(chunk % len(edges)), piece, chunk, rows.tobytes(), None, None)]
-            sent += [(g, piece, chunk, None, doc[s].tobytes(), left[s].tobytes()) for g, s in _cuts(left, edges)]
+            sent += [(g, piece, chunk, None, _tight(doc[s]), _tight(left[s], rising=True)) for g, s in _cuts(left, edges)]
             return pa.RecordBatch.from_arrays(L._arrow(sent, _PACKED), L._names(_PACKED))
 
         for batch in batches:
@@ -481,12 +520,13 @@ def _deal(m: Words):
         out = [(r["chunk"] % m.buckets, grp, piece, r["chunk"], r["docs"], *[None] * 4) for r in rows if r["docs"] is not None]
         tokens = sorted((r for r in rows if r["docs"] is None), key=lambda r: r["chunk"])
         if tokens:
-            at, pairs = (np.concatenate([np.frombuffer(r[c], k) for r in tokens]) for c, k in (("at", np.uint32), ("pairs", np.int64)))
-            place = np.repeat(np.arange(len(tokens), dtype=np.uint32), [len(r["at"]) // 4 for r in tokens])
+            at, pairs = ([_loose(r[c], rising=c == "pairs") for r in tokens] for c in ("at", "pairs"))
+            place = np.repeat(np.arange(len(tokens)), [len(x) for x in at])
+            at, pairs = np.concatenate(at), np.concatenate(pairs)
             order = np.argsort(pairs, kind="stable")
             place, at, pairs = place[order], at[order], pairs[order]
             chunks = np.array([r["chunk"] for r in tokens], np.int64).tobytes()
-            out += [(b, grp, piece, None, None, chunks, *(x[s].tobytes() for x in (place, at, pairs))) for b, s in _cuts(pairs, bounds)]
+            out += [(b, grp, piece, None, None, chunks, _tight(place[s]), _tight(at[s]), _tight(pairs[s], rising=True)) for b, s in _cuts(pairs, bounds)]
         return pa.table(L._arrow(out, _DEALT), L._names(_DEALT))
 
     return task
@@ -494,8 +534,9 @@ def _deal(m: Words):
 
 def _score(texts: pa.Table, chances: pa.Table) -> pa.Table:
     """Sums per document of a bucket's tokens; the documents' own rows pass through."""
-    blobs = (np.concatenate([np.frombuffer(x, k) for x in [*chances.column(c).to_pylist(), b""]]) for c, k in (("pairs", np.int64), ("log_p", np.float64), ("counts", np.uint32)))
-    table, log_p, counts = blobs
+    rows = chances.to_pylist() or [{c: _tight(np.zeros(0, np.int64)) for c in ("pairs", "log_p", "counts")}]
+    table, log_p, counts = (_loose(rows[0][c], rising=c == "pairs") for c in ("pairs", "log_p", "counts"))
+    log_p = log_p / _FINE
     known = (counts > 0) & (counts < _OFTEN)
     seen = np.where(counts < _OFTEN, np.log10(counts + 0.5), 0.0)  # frequent words are counted where they are read
     out = []
@@ -503,10 +544,11 @@ def _score(texts: pa.Table, chances: pa.Table) -> pa.Table:
         if row["docs"] is not None:
             out.append((row["grp"], row["piece"], row["chunk"], row["docs"], None))
             continue
-        chunks, place, at, pairs = (np.frombuffer(row[c], k) for c, k in (("chunks", np.int64), ("place", np.uint32), ("at", np.uint32), ("pairs", np.int64)))
+        place, at, pairs = (_loose(row[c], rising=c == "pairs") for c in ("place", "at", "pairs"))
+        chunks = np.frombuffer(row["chunks"], np.int64)
         cell, there = _find(table, pairs)
         assert there.all()  # the table has the pairs of all texts
-        docs, to = np.unique(place.astype(np.int64) << 32 | at, return_inverse=True)
+        docs, to = np.unique(place << 32 | at, return_inverse=True)
         part = np.zeros(len(docs), L._PART)
         part["chunk"], part["at"], part["known"] = chunks[docs >> 32], docs & 0xFFFFFFFF, np.bincount(to, known[cell])
         part["score"], part["base"] = np.bincount(to, log_p[cell]), np.bincount(to, seen[cell])
