@@ -403,24 +403,24 @@ class Seating(NamedTuple):
     parent_tables: np.ndarray
 
 
-def seat(per: np.ndarray, context: np.ndarray | None, n: np.ndarray, totals: Totals, seed: list[int], burn: int, samples: int, strengths=None, fixed=None) -> Seating:
+def seat(per: np.ndarray, context: np.ndarray | None, n: np.ndarray, totals: Totals, seed: list[int], burn: int, samples: int, strengths=None, fixed=None, one_by_one: int = ONE_BY_ONE) -> Seating:
     """Gibbs over one bucket's words: the ``samples`` steps after ``burn``.
 
     ``strengths`` has those of the cells if they are not in ``totals``, ``fixed`` the parent's customers of each word from other
-    cells.  The cells of a word are drawn one after another.  Those of a word with more than ``ONE_BY_ONE`` are drawn together, given a draw of the
+    cells.  The cells of a word are drawn one after another.  Those of a word with more than ``one_by_one`` are drawn together, given a draw of the
     parent's probability: the product of its predictive probabilities, a rising factorial, is the mean of its powers under a gamma distribution.
     """
     rng = np.random.default_rng(seed)
     word = np.repeat(np.arange(len(per)), per)
     start = np.concatenate([[0], np.cumsum(per)[:-1]]).astype(np.int64)
     rank = np.arange(len(word)) - start[word]
-    rank[per[word] > ONE_BY_ONE] = ONE_BY_ONE
+    rank[per[word] > one_by_one] = one_by_one
     # one cell of a word at a time, cells of like size together
     ranks = np.split(np.argsort(rank, kind="stable"), np.cumsum(np.bincount(rank))[:-1]) if len(rank) else []
     strengths, base = totals.strengths[context] if strengths is None else strengths, totals.parent_strength * totals.base
-    turns = [(most, cells, word[cells], strengths[cells]) for r in ranks[:ONE_BY_ONE] for most, cells in _by_size(n, r)]
-    crowd = [(most, cells, word[cells], strengths[cells]) for r in ranks[ONE_BY_ONE:] for most, cells in _by_size(n, r)]
-    crowded = np.flatnonzero(per > ONE_BY_ONE)
+    turns = [(most, cells, word[cells], strengths[cells]) for r in ranks[:one_by_one] for most, cells in _by_size(n, r)]
+    crowd = [(most, cells, word[cells], strengths[cells]) for r in ranks[one_by_one:] for most, cells in _by_size(n, r)]
+    crowded = np.flatnonzero(per > one_by_one)
     scale = STRENGTH + totals.parent_customers
     d0 = totals.parent_discount
     t = np.maximum(1, np.rint(n**totals.discount)).astype(np.int64)

@@ -38,7 +38,9 @@ BUCKET_TOKENS = 1_000_000  # training tokens of a bucket, about
 LEAST_BUCKETS = 48
 PARTS = 4  # a word with more than this share of a bucket's tokens is cut
 FREQUENT_PAIR = 2.0**-20
-HELD = 1 << 21  # pairs a task holds
+FOLD = 1 << 19  # tokens counted together
+HELD = 3 << 19  # pairs a task holds, about
+ONE_BY_ONE = 16  # pairs of a word drawn one after another at most
 
 _ODD = 0x9E3779B97F4A7C15
 _LOW = 31  # bits of a pair that tell its context
@@ -182,18 +184,20 @@ def _pairs(m: Words):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = L._Codes({int(k): i for i, k in enumerate(m.vocabulary.keys)})
         part, train, held, turn = [], [], 0, 0
-        cells = (np.zeros(0, np.int64),) * 3
+        folded = []
 
         def fold():
-            nonlocal part, train, held, cells
+            nonlocal part, train, held
             if part:
                 n = np.repeat(np.array(train, np.int64), [len(x) for x in part])
                 keys, contexts = _routed(m, np.concatenate(part))
-                cells = _merged(*(np.concatenate(x) for x in zip(cells, _merged(keys, contexts, n)[:3], strict=True)))[:3]
+                folded.append(_merged(keys, contexts, n)[:3])
             part, train, held = [], [], 0
 
         def out():
-            some = _cuts(pair(*cells[:2]), edges)
+            *cells, pairs = _merged(*(np.concatenate(x) for x in zip(*folded, strict=True)))
+            folded.clear()
+            some = _cuts(pairs, edges)
             piece = L._piece(len(edges), turn)
             return pa.RecordBatch.from_arrays(L._arrow([(g, piece, *_sent(m, [x[at] for x in cells])) for g, at in some], "grp int, piece long, " + _COUNTS), L._names("grp int, piece long, " + _COUNTS))
 
@@ -203,13 +207,14 @@ def _pairs(m: Words):
                 part.append(np.fromiter(map(codes.__getitem__, words), np.int64, len(words)))
                 train.append(not held_out)
                 held += len(words)
-                if held >= L.CHUNK:
+                if held >= min(FOLD, L.CHUNK):
                     fold()
-                    if len(cells[0]) > HELD:
+                    if sum(len(x[0]) for x in folded) > HELD:
                         yield out()
-                        cells, turn = (np.zeros(0, np.int64),) * 3, turn + 1
+                        turn += 1
         fold()
-        yield out()
+        if folded:
+            yield out()
 
     return task
 
@@ -334,7 +339,7 @@ def _sit(m: Words, totals: L.Totals, hot: np.ndarray, burn: int, samples: int, t
         elsewhere[here] = (whole - hot)[there]
         fixed = elsewhere + np.bincount(b.word, b.n == 1, size).astype(np.int64)
         strengths = L.STRENGTH + totals.discount * tables[b.at[many]]
-        got = L.seat(np.bincount(b.word[many], minlength=size), None, b.n[many], totals, [L.SEED, turn, row["bucket"]], burn, samples, strengths, fixed)
+        got = L.seat(np.bincount(b.word[many], minlength=size), None, b.n[many], totals, [L.SEED, turn, row["bucket"]], burn, samples, strengths, fixed, ONE_BY_ONE)
         c0, t0 = got.parent_customers - elsewhere, got.parent_tables
         cold = np.ones(size, bool)
         cold[here] = False
@@ -383,11 +388,12 @@ def _parents(m: Words, asked: DataFrame, given: L.Totals, samples: int, discount
 class Model(NamedTuple):
     words: Words
     table: DataFrame | None  # pairs' probabilities by bucket
-    pairs: np.ndarray  # the frequent ones, sorted, and their log10 probabilities
+    pairs: np.ndarray  # the frequent ones, sorted, their log10 probabilities and their words' counts
     log_p: np.ndarray
+    counts: np.ndarray
 
 
-_CHANCES = "bucket int, pairs binary, log_p binary, counts binary, often binary, often_log_p binary"
+_CHANCES = "bucket int, pairs binary, log_p binary, counts binary, often binary, often_log_p binary, often_counts binary"
 
 
 def _chances(m: Words, given: L.Totals, parent: Parent, least: float):
@@ -414,7 +420,7 @@ def _chances(m: Words, given: L.Totals, parent: Parent, least: float):
         pairs = pair(b.words[b.word], b.contexts[b.at])
         order = np.argsort(pairs)
         often = b.n >= least
-        blobs = (_tight(pairs[order], rising=True), _tight(logs[order]), _tight(counts[b.word[order]]), pairs[often].tobytes(), (logs[often] / _FINE).tobytes())
+        blobs = (_tight(pairs[order], rising=True), _tight(logs[order]), _tight(counts[b.word[order]]), pairs[often].tobytes(), (logs[often] / _FINE).tobytes(), counts[b.word[often]].tobytes())
         return pa.table(L._arrow([(row["bucket"], *blobs)], _CHANCES), L._names(_CHANCES))
 
     return task
@@ -430,7 +436,7 @@ def train(docs: DataFrame, bucket_tokens: int = BUCKET_TOKENS, least: int = LEAS
     m = frequent_words(texts.where("not held_out").select("text"), bucket_tokens, least, frequent)
     v = m.vocabulary
     if not v.tokens:
-        return Model(m, None, np.zeros(0, np.int64), np.zeros(0))
+        return Model(m, None, np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
     packed = texts.select("held_out", "text").mapInArrow(_pairs(m), "grp int, piece long, " + _COUNTS)
     packed = packed.groupBy("grp", "piece").applyInArrow(_deal_pairs(m), "bucket int, " + _COUNTS)
     table = staged(packed.groupBy("bucket").applyInArrow(_gather(m), _TABLE), "pairs")
@@ -454,10 +460,16 @@ def train(docs: DataFrame, bucket_tokens: int = BUCKET_TOKENS, least: int = LEAS
     chances = staged(buckets.cogroup(known.groupBy("bucket")).applyInArrow(_chances(m, given, parent, least_pair), _CHANCES), "chances")
     for spent in (asked, table):
         unstage(spent)
-    often = chances.select("often", "often_log_p").collect()  # at most 1 / frequent_pair pairs
-    pairs, log_p = np.concatenate([np.frombuffer(r[0], np.int64) for r in often]), np.concatenate([np.frombuffer(r[1]) for r in often])
+    often = chances.select("often", "often_log_p", "often_counts").collect()  # at most 1 / frequent_pair pairs
+    pairs, log_p, counts = (np.concatenate([np.frombuffer(r[i], k) for r in often]) for i, k in enumerate((np.int64, np.float64, np.int64)))
     order = np.argsort(pairs)
-    return Model(m, chances.select("bucket", "pairs", "log_p", "counts"), pairs[order], log_p[order])
+    return Model(m, chances.select("bucket", "pairs", "log_p", "counts"), pairs[order], log_p[order], counts[order])
+
+
+def _rare(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether words are known, and the logs of their counts; nothing for frequent ones, which are counted where they are read."""
+    rare = counts < _OFTEN
+    return rare & (counts > 0), np.where(rare, np.log10(counts + 0.5), 0.0)
 
 
 _PACKED = "grp int, piece long, chunk long, docs binary, at binary, pairs binary"
@@ -467,6 +479,7 @@ _DEALT = "bucket int, grp int, piece long, chunk long, docs binary, chunks binar
 def _pack(model: Model):
     """Texts in chunks: tokens of frequent pairs scored at once, the others packed for their groups of buckets."""
     m, often, log_p = model.words, model.pairs, model.log_p
+    rare, seen = _rare(model.counts)
     v, edges = m.vocabulary, m.groups
     log_n = np.append(np.log10(v.counts + 0.5), 0.0)
 
@@ -486,7 +499,10 @@ def _pack(model: Model):
             rows["known"] = np.bincount(doc, code < L._RARE, len(docs))
             rows["base"] = np.bincount(doc, log_n[rank], len(docs))
             if hit.any():
-                rows["score"] = np.bincount(doc[hit], log_p[at[hit]], len(docs))
+                near, at = doc[hit], at[hit]
+                rows["score"] = np.bincount(near, log_p[at], len(docs))
+                rows["known"] += np.bincount(near, rare[at], len(docs)).astype(np.int64)
+                rows["base"] += np.bincount(near, seen[at], len(docs))
             left, doc = pairs[~hit], doc[~hit]
             order = np.argsort(left, kind="stable")
             left, doc = left[order], doc[order]
@@ -537,8 +553,7 @@ def _score(texts: pa.Table, chances: pa.Table) -> pa.Table:
     rows = chances.to_pylist() or [{c: _tight(np.zeros(0, np.int64)) for c in ("pairs", "log_p", "counts")}]
     table, log_p, counts = (_loose(rows[0][c], rising=c == "pairs") for c in ("pairs", "log_p", "counts"))
     log_p = log_p / _FINE
-    known = (counts > 0) & (counts < _OFTEN)
-    seen = np.where(counts < _OFTEN, np.log10(counts + 0.5), 0.0)  # frequent words are counted where they are read
+    known, seen = _rare(counts)
     out = []
     for row in texts.to_pylist():
         if row["docs"] is not None:

@@ -113,6 +113,7 @@ def test_scores_are_means_of_predictive_probabilities(spark, monkeypatch, sizes)
         return (own[k, L.key(u)] + p) / (L.STRENGTH + customers[u])
 
     texts = dict(rows)
+    assert outline(W.score(docs, model)) == base_of(rows)
     for r in W.score(docs, model).collect():
         assert r.score == pytest.approx(sum(math.log10(probability(*p)) for p in pairs_of(texts[r.doc_id])), rel=1e-9)
     pairs = {}
@@ -157,15 +158,14 @@ def test_chunks_partitions_and_local_pairs_do_not_matter(spark, monkeypatch):
     assert all(three[k] == pytest.approx(v, rel=0.03) for k, v in one.items())
 
 
-def test_cells_drawn_together_and_one_after_another_agree(monkeypatch):
+def test_cells_drawn_together_and_one_after_another_agree():
     """The auxiliary draw of the parent's probability leaves the distribution of the tables as it is."""
     rng = np.random.default_rng(4)
     n, per = np.tile(rng.integers(2, 30, 40), 300), np.full(300, 40)
     totals = L.Totals(np.zeros(1), np.zeros(1), 5e4, 2e4, 0.7, 0.5, 1e-3)
     means = []
     for bound in (128, 10):
-        monkeypatch.setattr(L, "ONE_BY_ONE", bound)
-        got = L.seat(per, None, n, totals, [7], 20, 10, np.full(len(n), 200.0))
+        got = L.seat(per, None, n, totals, [7], 20, 10, np.full(len(n), 200.0), None, bound)
         means.append((got.tables.mean(), got.parent_customers.std(axis=1).mean()))
     assert means[0][0] == pytest.approx(means[1][0], rel=0.02)
     assert means[0][1] == pytest.approx(means[1][1], rel=0.12)
