@@ -30,7 +30,6 @@ rows are scored each; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from functools import cache, lru_cache
 from typing import NamedTuple
@@ -38,6 +37,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -102,6 +102,76 @@ def words_of(text: bytes | None) -> list[bytes]:
     return [*(text or b"").lower().split(), b""]
 
 
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+_STRIPE = 32  # bytes from which XXH64 goes another way
+_BLOCK = 1 << 20  # bytes of text whose words are hashed together
+
+
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return x << np.uint64(by) | x >> np.uint64(64 - by)
+
+
+def _hashes(text: bytes, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """XXH64 of the parts of ``text`` that begin at ``at``: those of one size at once, long ones by the library."""
+    eights = np.frombuffer(text + bytes(16 - len(text) % 8), "<u8")
+    out = np.empty(len(at), np.uint64)
+    kind = np.minimum(size, _STRIPE).astype(np.uint8)
+    order = np.argsort(kind, kind="stable")
+    ends = np.cumsum(np.bincount(kind, minlength=_STRIPE + 1))
+    for n in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
+        some = order[ends[n - 1] if n else 0 : ends[n]]
+        if n == _STRIPE:
+            out[some] = [xxhash.xxh64_intdigest(text[a : a + k]) for a, k in zip(at[some].tolist(), size[some].tolist(), strict=True)]
+            continue
+        place, by = at[some] >> 3, ((at[some] & 7) << 3).astype(np.uint64)
+        back, lane = np.uint64(63) - by, eights[place]
+        h = np.full(len(some), _P5 + np.uint64(n))
+        for k in range(-(-n // 8)):
+            following = eights[place + (k + 1)]
+            eight = lane >> by | (following << np.uint64(1)) << back
+            lane = following
+            left = n - 8 * k
+            if left >= 8:
+                h = _turned(h ^ _turned(eight * _P2, 31) * _P1, 27) * _P1 + _P4
+                continue
+            if left >= 4:
+                h = _turned(h ^ (eight & np.uint64(0xFFFFFFFF)) * _P1, 23) * _P2 + _P3
+                eight >>= np.uint64(32)
+            for _ in range(left % 4):
+                h = _turned(h ^ (eight & np.uint64(0xFF)) * _P5, 11) * _P1
+                eight >>= np.uint64(8)
+        h = (h ^ h >> np.uint64(33)) * _P2
+        h = (h ^ h >> np.uint64(29)) * _P3
+        out[some] = h ^ h >> np.uint64(32)
+    return out
+
+
+def word_keys(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """``key`` of each word of ``words_of``, text after text, and the texts' numbers of words."""
+    text = b" ".join([b"", *(t or b"" for t in texts), b""]).lower()
+    data = np.frombuffer(text, np.uint8)
+    inside = (data != 32) & (data - np.uint8(9) > 4)
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    at, size = edges[::2], edges[1::2] - edges[::2]
+    ends = np.cumsum([len(t or b"") + 1 for t in texts])
+    before = np.searchsorted(at, ends)  # words up to each text's end
+    per = np.diff(before, prepend=0)
+    keys = np.full(len(at) + len(texts), key(b""), np.int64)
+    keys[np.arange(len(at)) + np.repeat(np.arange(len(texts)), per)] = _hashes(text, at, size) >> np.uint64(64 - _KEY_BITS)
+    return keys, per + 1
+
+
+def blocks(texts: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Neighbouring texts of about ``_BLOCK`` bytes: their places, ``word_keys``."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(sizes):
+        end = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + _BLOCK)) + 1
+        some = slice(start, min(end, len(sizes)))
+        yield some, *word_keys(texts[some].to_pylist())
+        start = some.stop
+
+
 def contexts(codes: np.ndarray, anchors: int) -> np.ndarray:
     """Rank of the last anchor before each token; ``anchors`` where there is none."""
     at = np.where(codes < anchors, np.arange(len(codes)), -1)
@@ -111,18 +181,29 @@ def contexts(codes: np.ndarray, anchors: int) -> np.ndarray:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Training words counted per task."""
-    counts: Counter = Counter()
+    part, held = [], 0
+    keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def fold():
+        nonlocal part, held, keys, n
+        if part:
+            got, times = np.unique(np.concatenate(part), return_counts=True)
+            keys, n = _merged(np.concatenate([keys, got]), np.concatenate([n, times]))
+        part, held = [], 0
 
     def out():
-        keys = np.fromiter(map(key, counts), np.int64, len(counts))
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["word", "n"])
 
     for batch in batches:
-        for text in batch.column("text"):
-            counts.update(words_of(text.as_py()))
-            if len(counts) > 1 << 19:
-                yield out()
-                counts.clear()
+        for _, some, _ in blocks(batch.column("text")):
+            part.append(some)
+            held += len(some)
+            if held >= CHUNK:
+                fold()
+                if len(keys) > 1 << 19:
+                    yield out()
+                    keys, n = keys[:0], n[:0]
+    fold()
     yield out()
 
 
@@ -164,7 +245,7 @@ def _cuts(keys: np.ndarray, edges: np.ndarray) -> list[tuple[int, slice]]:
 
 
 def _merged(cells: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(cells, kind="stable")
+    order = np.argsort(cells)
     cells, n = cells[order], n[order]
     first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else np.zeros(0, int)
     return cells[first], np.add.reduceat(n, first) if len(first) else n[:0]

@@ -13,7 +13,8 @@ parts by context; a part knows the parent's customers from the others as of the
 like the totals.
 
 To score, a pair's probability is found in its bucket.  Pairs with a share of at least
-``FREQUENT_PAIR`` (so at most 1 / FREQUENT_PAIR) are scored where texts are read.
+``FREQUENT_PAIR`` (so at most 1 / FREQUENT_PAIR) are scored where texts are read.  Texts are scored in ``ROUNDS``
+shares by their hash, so that only the tokens of one share are on disk at a time.
 
 Defined cases are those of ``pitman_yor``.
 """
@@ -41,6 +42,7 @@ FREQUENT_PAIR = 2.0**-20
 FOLD = 1 << 19  # tokens counted together
 HELD = 3 << 19  # pairs a task holds, about
 ONE_BY_ONE = 16  # pairs of a word drawn one after another at most
+ROUNDS = 2  # texts are scored in so many shares, one after another
 
 _ODD = 0x9E3779B97F4A7C15
 _LOW = 31  # bits of a pair that tell its context
@@ -116,23 +118,46 @@ def _routed(m: Words, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _tight(x: np.ndarray, rising: bool = False) -> bytes:
     """Whole numbers in few bytes: differences if they rise, like bytes of all of them side by side, compressed."""
     x = np.ascontiguousarray(np.diff(x, prepend=0) if rising else x, np.int64).reshape(-1)
-    return len(x).to_bytes(8, "little") + (pa.compress(x.view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True) if len(x) else b"")
+    each, side = x.view(np.uint8).reshape(-1, 8), np.empty((8, len(x)), np.uint8)
+    for k in range(8):
+        side[k] = each[:, k]
+    return len(x).to_bytes(8, "little") + (pa.compress(side, "zstd", asbytes=True) if len(x) else b"")
 
 
 def _loose(x: bytes, rising: bool = False) -> np.ndarray:
     size = int.from_bytes(x[:8], "little")
     if not size:
         return np.zeros(0, np.int64)
-    raw = np.frombuffer(pa.decompress(x[8:], 8 * size, "zstd", asbytes=True), np.uint8)
-    x = np.ascontiguousarray(raw.reshape(8, size).T).view(np.int64).reshape(-1)
+    side = np.frombuffer(pa.decompress(x[8:], 8 * size, "zstd"), np.uint8).reshape(8, size)
+    x = np.empty(size, np.int64)
+    each = x.view(np.uint8).reshape(-1, 8)
+    for k in range(8):
+        each[:, k] = side[k]
     return np.cumsum(x) if rising else x
 
 
-def _coded(m: Words, contexts: np.ndarray) -> np.ndarray:
-    """Keys of frequent words by their rank."""
-    by_key = np.argsort(m.vocabulary.keys)
-    at, hit = _find(m.vocabulary.keys[by_key], contexts)
-    return np.where(hit, by_key[at], contexts + L._RARE) if len(by_key) else contexts + L._RARE
+def _coder(m: Words):
+    """What turns keys of frequent words into their rank: few candidates have a key's leading bits."""
+    rank = np.argsort(m.vocabulary.keys)
+    table = m.vocabulary.keys[rank]
+    bits = len(table).bit_length() + 3
+    shift = L._KEY_BITS - bits
+    first = np.searchsorted(table, np.arange((1 << bits) + 1) << shift)
+    most = int(np.diff(first).max())
+
+    def coded(keys: np.ndarray) -> np.ndarray:
+        codes = keys + L._RARE
+        slot = keys >> shift
+        at = first[slot]
+        left = np.flatnonzero(first[slot + 1] > at)
+        at, wanted = at[left], keys[left]
+        for k in range(most):
+            near = np.minimum(at + k, len(table) - 1)
+            hit = table[near] == wanted
+            codes[left[hit]] = rank[near[hit]]
+        return codes
+
+    return coded
 
 
 def _decoded(m: Words, codes: np.ndarray) -> np.ndarray:
@@ -157,7 +182,7 @@ def _cuts(keys: np.ndarray, edges: list[int]) -> list[tuple[int, slice]]:
 def _merged(keys, contexts, n):
     """Counts of equal pairs added up, in the order of ``pair``; the pairs."""
     pairs = pair(keys, contexts)
-    order = np.argsort(pairs, kind="stable")
+    order = np.argsort(pairs)
     pairs = pairs[order]
     first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, int)
     n = np.add.reduceat(n[order], first) if len(first) else n[:0]
@@ -167,9 +192,9 @@ def _merged(keys, contexts, n):
 _COUNTS = "keys binary, contexts binary, n binary"
 
 
-def _sent(m: Words, cells: tuple) -> tuple[bytes, bytes, bytes]:
+def _sent(coded, cells: tuple) -> tuple[bytes, bytes, bytes]:
     keys, contexts, n = cells
-    return _tight(keys, rising=True), _tight(_coded(m, contexts)), _tight(n)
+    return _tight(keys, rising=True), _tight(coded(contexts)), _tight(n)
 
 
 def _counted(m: Words, rows: pa.Table):
@@ -182,16 +207,15 @@ def _pairs(m: Words):
     edges = m.groups
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = L._Codes({int(k): i for i, k in enumerate(m.vocabulary.keys)})
+        coded = _coder(m)
         part, train, held, turn = [], [], 0, 0
         folded = []
 
         def fold():
             nonlocal part, train, held
             if part:
-                n = np.repeat(np.array(train, np.int64), [len(x) for x in part])
-                keys, contexts = _routed(m, np.concatenate(part))
-                folded.append(_merged(keys, contexts, n)[:3])
+                keys, contexts = _routed(m, coded(np.concatenate(part)))
+                folded.append(_merged(keys, contexts, np.concatenate(train))[:3])
             part, train, held = [], [], 0
 
         def out():
@@ -199,14 +223,14 @@ def _pairs(m: Words):
             folded.clear()
             some = _cuts(pairs, edges)
             piece = L._piece(len(edges), turn)
-            return pa.RecordBatch.from_arrays(L._arrow([(g, piece, *_sent(m, [x[at] for x in cells])) for g, at in some], "grp int, piece long, " + _COUNTS), L._names("grp int, piece long, " + _COUNTS))
+            return pa.RecordBatch.from_arrays(L._arrow([(g, piece, *_sent(coded, [x[at] for x in cells])) for g, at in some], "grp int, piece long, " + _COUNTS), L._names("grp int, piece long, " + _COUNTS))
 
         for batch in batches:
-            for held_out, text in zip(batch.column("held_out").to_pylist(), batch.column("text"), strict=True):
-                words = L.words_of(text.as_py())
-                part.append(np.fromiter(map(codes.__getitem__, words), np.int64, len(words)))
-                train.append(not held_out)
-                held += len(words)
+            counts = 1 - batch.column("held_out").to_numpy(zero_copy_only=False).astype(np.int64)
+            for some, keys, sizes in L.blocks(batch.column("text")):
+                part.append(keys)
+                train.append(np.repeat(counts[some], sizes))
+                held += len(keys)
                 if held >= min(FOLD, L.CHUNK):
                     fold()
                     if sum(len(x[0]) for x in folded) > HELD:
@@ -224,9 +248,10 @@ def _deal_pairs(m: Words):
     bounds = m.bounds
 
     def task(rows: pa.Table) -> pa.Table:
+        coded = _coder(m)
         *cells, pairs = _counted(m, rows)
         schema = "bucket int, " + _COUNTS
-        return pa.table(L._arrow([(b, *_sent(m, [x[at] for x in cells])) for b, at in _cuts(pairs, bounds)], schema), L._names(schema))
+        return pa.table(L._arrow([(b, *_sent(coded, [x[at] for x in cells])) for b, at in _cuts(pairs, bounds)], schema), L._names(schema))
 
     return task
 
@@ -484,7 +509,7 @@ def _pack(model: Model):
     log_n = np.append(np.log10(v.counts + 0.5), 0.0)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = L._Codes({int(k): i for i, k in enumerate(v.keys)})
+        coded = _coder(m)
         first = chunk = TaskContext.get().partitionId() << 32
         docs, part, held = [], [], 0
 
@@ -492,31 +517,31 @@ def _pack(model: Model):
             rows = np.zeros(len(docs), L._DOC)
             for i, c in enumerate(("id", "null", "held", "tokens")):
                 rows[c] = [d[i] for d in docs]
-            code, doc = np.concatenate(part), np.repeat(np.arange(len(docs)), rows["tokens"])
+            code, doc = coded(np.concatenate(part)), np.repeat(np.arange(len(docs)), rows["tokens"])
             rank = np.minimum(code, len(v.keys))
             pairs = pair(*_routed(m, code))
-            at, hit = _find(often, pairs)
             rows["known"] = np.bincount(doc, code < L._RARE, len(docs))
             rows["base"] = np.bincount(doc, log_n[rank], len(docs))
+            order = np.argsort(pairs, kind="stable")
+            pairs, doc = pairs[order], doc[order]
+            at, hit = _find(often, pairs)
             if hit.any():
                 near, at = doc[hit], at[hit]
                 rows["score"] = np.bincount(near, log_p[at], len(docs))
                 rows["known"] += np.bincount(near, rare[at], len(docs)).astype(np.int64)
                 rows["base"] += np.bincount(near, seen[at], len(docs))
             left, doc = pairs[~hit], doc[~hit]
-            order = np.argsort(left, kind="stable")
-            left, doc = left[order], doc[order]
             piece = L._piece(len(edges), chunk - first)
             sent = [(int(chunk % len(edges)), piece, chunk, rows.tobytes(), None, None)]
             sent += [(g, piece, chunk, None, _tight(doc[s]), _tight(left[s], rising=True)) for g, s in _cuts(left, edges)]
             return pa.RecordBatch.from_arrays(L._arrow(sent, _PACKED), L._names(_PACKED))
 
         for batch in batches:
-            for doc, fold, text in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), batch.column("text"), strict=True):
-                words = L.words_of(text.as_py())
-                part.append(np.fromiter(map(codes.__getitem__, words), np.int64, len(words)))
-                docs.append((doc or 0, doc is None, fold, len(words)))
-                held += len(words)
+            ids, folds = (batch.column(c).to_pylist() for c in ("doc_id", "held_out"))
+            for some, keys, sizes in L.blocks(batch.column("text")):
+                part.append(keys)
+                docs += [(doc or 0, doc is None, fold, size) for doc, fold, size in zip(ids[some], folds[some], sizes.tolist(), strict=True)]
+                held += len(keys)
                 if held >= L.CHUNK:
                     yield out()
                     docs, part, held, chunk = [], [], 0, chunk + 1
@@ -576,7 +601,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     m = model.words
     if model.table is None:
         return L.score(docs, L.Model(m.vocabulary, None, None, model.log_p))
-    packed = _texts(docs).mapInArrow(_pack(model), _PACKED).groupBy("grp", "piece").applyInArrow(_deal(m), _DEALT)
-    sums = packed.groupBy("bucket").cogroup(model.table.groupBy("bucket")).applyInArrow(_score, L._SCORED)
-    chunks = sums.groupBy("grp", "piece").applyInArrow(L._collect, L._CHUNKS)
-    return chunks.groupBy("chunk").applyInArrow(L._unite(m.vocabulary.tokens, m.vocabulary.words), L._RESULT)
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
+    done = None
+    for turn in range(ROUNDS):
+        packed = _texts(docs.where(share == turn)).mapInArrow(_pack(model), _PACKED).groupBy("grp", "piece").applyInArrow(_deal(m), _DEALT)
+        sums = packed.groupBy("bucket").cogroup(model.table.groupBy("bucket")).applyInArrow(_score, L._SCORED)
+        chunks = sums.groupBy("grp", "piece").applyInArrow(L._collect, L._CHUNKS)
+        scores = chunks.groupBy("chunk").applyInArrow(L._unite(m.vocabulary.tokens, m.vocabulary.words), L._RESULT)
+        scores = staged(scores, "scores") if turn < ROUNDS - 1 else scores
+        done = scores if done is None else done.unionByName(scores)
+    return done

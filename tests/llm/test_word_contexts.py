@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pitlane.llm import pitman_yor as L
@@ -169,3 +170,41 @@ def test_cells_drawn_together_and_one_after_another_agree():
         means.append((got.tables.mean(), got.parent_customers.std(axis=1).mean()))
     assert means[0][0] == pytest.approx(means[1][0], rel=0.02)
     assert means[0][1] == pytest.approx(means[1][1], rel=0.12)
+
+
+def test_keys_of_many_words_at_once():
+    """Words of every size up to and beyond a stripe of XXH64, any white space, null and empty texts."""
+    rng = np.random.default_rng(6)
+    letters = np.frombuffer(b" \t\n\v\f\raZ\xc3\xa9\x00\x1c\x85" + b"xyQ" * 9, np.uint8)
+    texts = [None, b"", b" \n", b"A", *(rng.choice(letters, k).tobytes() for k in rng.integers(0, 3000, 60)), *(b"x" * k + b" " + b"Y" * (k % 9) for k in range(80))]
+    words = [L.words_of(t) for t in texts]
+    keys, sizes = L.word_keys(texts)
+    assert sizes.tolist() == [len(w) for w in words] and keys.tolist() == [L.key(x) for w in words for x in w]
+    got = list(L.blocks(pa.array(texts * 40, pa.binary())))
+    assert len(got) > 1 and np.concatenate([k for _, k, _ in got]).tolist() == keys.tolist() * 40
+    assert [i for at, _, _ in got for i in range(at.start, at.stop)] == list(range(len(texts) * 40))
+
+
+def test_ranks_of_frequent_words():
+    rng = np.random.default_rng(7)
+    keys = np.unique(np.concatenate([rng.integers(0, 1 << 56, 3000), (1 << 40) + np.arange(50), [0, (1 << 56) - 1]]))
+    other = rng.integers(0, 1 << 56, 5000)
+    for some in (rng.permutation(keys), keys[:1], keys[:0]):
+        m = W.Words(L.Vocabulary(some, np.ones(len(some), np.int64), 0, 0, 0, 1), np.ones(len(some), np.int64), keys[:0], keys[:0], 1)
+        ranks = {int(k): i for i, k in enumerate(some)}
+        wanted = np.concatenate([keys, other])
+        assert W._coder(m)(wanted).tolist() == [ranks.get(k, L._RARE + k) for k in wanted.tolist()]
+
+
+def test_tokens_of_one_share_of_the_texts_travel_at_a_time(spark, monkeypatch):
+    """The other share is done, its shuffles gone, before the last one starts; every row is scored once."""
+    rng = np.random.default_rng(9)
+    rows = [(i if i % 7 else None, " ".join(rng.choice(WORDS, 30))) for i in range(300)] + [(3, "a b")] * 5 + [(None, None)] * 3
+    docs = frame(spark, rows)
+    steps, staged = [], W.staged
+    monkeypatch.setattr(W, "staged", lambda df, name: steps.append((name, staged(df, name))) or steps[-1][1])
+    model = W.train(docs, **SMALL)
+    got = W.score(docs, model)
+    (done,) = (df for name, df in steps if name == "scores")
+    assert 0.3 * len(rows) < done.count() < 0.7 * len(rows)
+    assert outline(got) == base_of(rows)
